@@ -13,6 +13,7 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def normal_quantile(p: float) -> float:
@@ -28,7 +29,7 @@ def two_sided_p_value(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _two_sided_p(z: pd.Series) -> pd.Series:
     return z.abs().map(lambda v: math.erfc(v / math.sqrt(2.0)))
 

@@ -48,6 +48,19 @@ def _eq(a, b) -> bool:
     return a == b
 
 
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE",
+                 "StringType": "VARCHAR", "DateType": "DATE", "BooleanType": "BOOLEAN",
+                 "TimestampType": "TIMESTAMP", "TimestampNTZType": "TIMESTAMP",
+                 "ShortType": "SMALLINT", "ByteType": "TINYINT", "FloatType": "FLOAT"}
+
+
+def type_diff(schema, description):
+    spark_t = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__)
+               for f in schema.fields}
+    duck_t = {d[0]: str(d[1]) for d in description}
+    return {c: (spark_t[c], duck_t.get(c)) for c in spark_t if spark_t[c] != duck_t.get(c)}
+
+
 def compare(spark_rows, spark_cols, duck_rows, duck_cols):
     if sorted(spark_cols) != sorted(duck_cols):
         return f"columns differ: spark={spark_cols} duck={duck_cols}"
@@ -99,6 +112,9 @@ def main():
             print(f"FAIL {name}: duckdb error {str(exc)[:400]}")
             continue
         err = compare(rows, cols, drows, dcols)
+        tdiff = type_diff(df.schema, res.description)
+        if not err and tdiff:
+            err = f"types differ: {tdiff}"
         if err:
             failures += 1
             print(f"FAIL {name}: {err[:600]}")
