@@ -8,8 +8,10 @@ by ``rule_order`` / ``row_order``.  The portfolio CTR is a one-row broadcast.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import ACTIONS, ExperimentConfig, RuleConfig
 from ..functions.text import py_format, text_or_none, thousands
@@ -37,13 +39,57 @@ def segment_label(dims=("device_type", "app_category", "site_category", "banner_
                     F.lit(" | banner="), b)
 
 
-def _rows(df: DataFrame, rule: int, row_order, channel, segment, metric, action, evidence,
-          caveat) -> DataFrame:
+_NUM = ("ctr", "impressions", "click_share", "pctr", "lift", "rel", "p", "inc", "mae", "rmse",
+        "mape")
+
+
+def _evidence_text(kind, v: dict, alpha: float) -> str:
+    """Evidence sentence with Python number formatting (see ``functions.text``)."""
+    def num(x):
+        return float("nan") if x is None or x != x else float(x)
+    if kind == "segment_scale":
+        return (f"{num(v['ctr']):.2%} CTR on {int(v['impressions']):,} impressions "
+                f"({num(v['click_share']):.1%} click share)")
+    if kind == "segment_pause":
+        return (f"{num(v['ctr']):.2%} CTR on {int(v['impressions']):,} impressions "
+                f"vs {num(v['pctr']):.2%} portfolio CTR")
+    if kind == "hour":
+        return f"{num(v['ctr']):.2%} CTR with {int(v['impressions']):,} impressions"
+    if kind == "arm_scale":
+        return (f"+{num(v['lift']):.2%} absolute lift ({num(v['rel']):.1f}% relative), "
+                f"p={num(v['p']):.4g}, incremental revenue ${num(v['inc']):,.0f}")
+    if kind == "arm_retest":
+        return (f"Lift {num(v['lift']):.2%} not significant at alpha {alpha:g} "
+                f"(p={num(v['p']):.4g})")
+    if kind == "arm_pause":
+        return f"Negative lift {num(v['lift']):.2%} vs control"
+    if kind == "forecast":
+        return (f"Model {v['model']}: MAE={num(v['mae']):,.1f}, RMSE={num(v['rmse']):,.1f}, "
+                f"MAPE={num(v['mape']):.1f}%")
+    return None
+
+
+def _evidence_udf(alpha: float):
+    @F.pandas_udf(T.StringType())
+    def evidence(kind: pd.Series, model: pd.Series, nums: pd.DataFrame) -> pd.Series:
+        out = []
+        for i in range(len(kind)):
+            v = {name: nums[f"_{name}"].iloc[i] for name in _NUM}
+            v["model"] = model.iloc[i]
+            out.append(_evidence_text(kind.iloc[i], v, alpha))
+        return pd.Series(out, dtype="object")
+    return evidence
+
+
+def _rows(df: DataFrame, rule: int, row_order, channel, segment, metric, action, kind,
+          caveat, **values) -> DataFrame:
     lit = lambda v: F.lit(v) if isinstance(v, str) else v
+    nums = [values.get(n, F.lit(None)).cast("double").alias(f"_{n}") for n in _NUM]
     return df.select(lit(channel).alias("channel"), lit(segment).alias("segment"),
                      lit(metric).alias("metric"), lit(action).alias("action"),
-                     lit(evidence).alias("evidence"), lit(caveat).alias("caveat"),
-                     F.lit(rule).alias("rule_order"), row_order.cast("int").alias("row_order"))
+                     lit(caveat).alias("caveat"), F.lit(rule).alias("rule_order"),
+                     row_order.cast("int").alias("row_order"), lit(kind).alias("_kind"),
+                     values.get("model", F.lit(None)).cast("string").alias("_model"), *nums)
 
 
 def _best_hour(hourly: DataFrame, ascending: bool) -> DataFrame:
@@ -58,65 +104,55 @@ def recommendations(portfolio_row: DataFrame, top: DataFrame, bottom: DataFrame,
     """R3-R10.  ``portfolio_row``: one row with ``ctr``; ``top`` / ``bottom``: ranked
     segments with ``rank``; ``ab``: experiment mart (with ``p_value`` and
     ``statistically_significant``); ``forecast_metrics``: per-model metrics with
-    ``selected``."""
+    ``selected``.  Rule rows are appended first; the evidence text is then formatted
+    in one vectorised pass over the (few) result rows."""
     port = F.broadcast(portfolio_row.select(F.col("ctr").alias("_portfolio_ctr")))
     pctr = F.col("_portfolio_ctr")
-    pct2 = py_format("ctr", ".2%")
-
-    seg_scale = (top.filter(F.col("rank") <= rules.rule_candidates).crossJoin(port)
-                 .filter(F.col("ctr") >= pctr * rules.scale_multiplier))
-    seg_scale = _rows(seg_scale, 1, F.col("rank"), AD_CHANNEL, segment_label(), "CTR", "Scale",
-                      F.concat(pct2, F.lit(" CTR on "), thousands("impressions"),
-                               F.lit(" impressions ("), py_format("click_share", ".1%"),
-                               F.lit(" click share)")), CAVEAT_SEGMENT_SCALE)
-
-    seg_pause = (bottom.filter(F.col("rank") <= rules.rule_candidates).crossJoin(port)
-                 .filter(F.col("ctr") <= pctr * rules.pause_multiplier))
-    seg_pause = _rows(seg_pause, 2, F.col("rank"), AD_CHANNEL, segment_label(), "CTR", "Pause",
-                      F.concat(pct2, F.lit(" CTR on "), thousands("impressions"),
-                               F.lit(" impressions vs "), py_format(pctr, ".2%"),
-                               F.lit(" portfolio CTR")), CAVEAT_SEGMENT_PAUSE)
-
-    hour_label = F.format_string("Hour %02d", F.col("event_hour"))
-    hour_evidence = F.concat(pct2, F.lit(" CTR with "), thousands("impressions"),
-                             F.lit(" impressions"))
+    c = F.col
+
+    seg_scale = (top.filter(c("rank") <= rules.rule_candidates).crossJoin(port)
+                 .filter(c("ctr") >= pctr * rules.scale_multiplier))
+    seg_scale = _rows(seg_scale, 1, c("rank"), AD_CHANNEL, segment_label(), "CTR", "Scale",
+                      "segment_scale", CAVEAT_SEGMENT_SCALE, ctr=c("ctr"),
+                      impressions=c("impressions"), click_share=c("click_share"))
+    seg_pause = (bottom.filter(c("rank") <= rules.rule_candidates).crossJoin(port)
+                 .filter(c("ctr") <= pctr * rules.pause_multiplier))
+    seg_pause = _rows(seg_pause, 2, c("rank"), AD_CHANNEL, segment_label(), "CTR", "Pause",
+                      "segment_pause", CAVEAT_SEGMENT_PAUSE, ctr=c("ctr"),
+                      impressions=c("impressions"), pctr=pctr)
+
+    hour_label = F.format_string("Hour %02d", c("event_hour"))
     best = _rows(_best_hour(hourly, False), 3, F.lit(1), AD_CHANNEL, hour_label, "Hourly CTR",
-                 "Scale", hour_evidence, CAVEAT_HOUR_SCALE)
+                 "Scale", "hour", CAVEAT_HOUR_SCALE, ctr=c("ctr"), impressions=c("impressions"))
     worst = (_best_hour(hourly, True).crossJoin(port)
-             .filter(F.col("ctr") <= pctr * rules.pause_multiplier))
-    worst = _rows(worst, 4, F.lit(1), AD_CHANNEL, hour_label, "Hourly CTR", "Pause",
-                  hour_evidence, CAVEAT_HOUR_PAUSE)
+             .filter(c("ctr") <= pctr * rules.pause_multiplier))
+    worst = _rows(worst, 4, F.lit(1), AD_CHANNEL, hour_label, "Hourly CTR", "Pause", "hour",
+                  CAVEAT_HOUR_PAUSE, ctr=c("ctr"), impressions=c("impressions"))
 
-    arms = ab.filter(F.col("treatment_group") != exp.control)
-    sig, lift = F.col("statistically_significant"), F.col("absolute_lift")
+    arms = ab.filter(c("treatment_group") != exp.control)
+    sig, lift = c("statistically_significant"), c("absolute_lift")
     action = (F.when(sig & (lift > 0), F.lit("Scale")).when(~sig, F.lit("Retest"))
               .when(lift <= 0, F.lit("Pause")))
-    lift2 = py_format("absolute_lift", ".2%")
-    p4 = py_format("p_value", ".4g")
-    evidence = (F.when(action == "Scale", F.concat(
-                    F.lit("+"), lift2, F.lit(" absolute lift ("), py_format("relative_lift_pct", ".1f"),
-                    F.lit("% relative), p="), p4, F.lit(", incremental revenue $"),
-                    py_format("incremental_revenue", ",.0f")))
-                .when(action == "Retest", F.concat(
-                    F.lit("Lift "), lift2, F.lit(f" not significant at alpha {exp.alpha:g} (p="),
-                    p4, F.lit(")")))
-                .otherwise(F.concat(F.lit("Negative lift "), lift2, F.lit(" vs control"))))
+    kind = F.concat(F.lit("arm_"), F.lower(action))
     arm_rows = _rows(arms.filter(action.isNotNull()), 5, arm_rank(exp), EMAIL_CHANNEL,
-                     F.col("treatment_label"), "Visit conversion rate", action, evidence, "")
+                     c("treatment_label"), "Visit conversion rate", action, kind, "",
+                     lift=lift, rel=c("relative_lift_pct"), p=c("p_value"),
+                     inc=c("incremental_revenue"))
 
-    fc = forecast_metrics.filter(F.col("selected") & F.col("mape").isNotNull())
-    fc_action = F.when(F.col("mape") >= rules.mape_retest_threshold, F.lit("Retest")) \
+    fc = forecast_metrics.filter(c("selected") & c("mape").isNotNull())
+    fc_action = F.when(c("mape") >= rules.mape_retest_threshold, F.lit("Retest")) \
         .otherwise(F.lit("Scale"))
-    fc_evidence = F.concat(F.lit("Model "), F.col("model_name"), F.lit(": MAE="),
-                           py_format("mae", ",.1f"), F.lit(", RMSE="), py_format("rmse", ",.1f"),
-                           F.lit(", MAPE="), py_format("mape", ".1f"), F.lit("%"))
     fc_rows = _rows(fc, 6, F.lit(1), AD_CHANNEL, "Hourly click forecast",
-                    "Forecast accuracy (MAPE)", fc_action, fc_evidence, CAVEAT_FORECAST)
+                    "Forecast accuracy (MAPE)", fc_action, "forecast", CAVEAT_FORECAST,
+                    model=c("model_name"), mae=c("mae"), rmse=c("rmse"), mape=c("mape"))
 
     out = seg_scale
     for part in (seg_pause, best, worst, arm_rows, fc_rows):
         out = out.unionByName(part)
-    return out
+    evidence = _evidence_udf(exp.alpha)(c("_kind"), c("_model"),
+                                        F.struct(*[c(f"_{n}") for n in _NUM]))
+    return out.select("channel", "segment", "metric", "action", evidence.alias("evidence"),
+                      "caveat", "rule_order", "row_order")
 
 
 def action_counts(recs: DataFrame, actions: tuple[str, ...] = ACTIONS) -> DataFrame:

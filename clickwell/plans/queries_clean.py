@@ -89,3 +89,18 @@ SELECT CAST(count(*) AS BIGINT) AS input_rows,
 FROM exp_prep"""))
 def clean_experiment_summary(spark, sf):
     return clean.clean_experiment_summary(raw_experiment(spark, sf))
+
+
+@register("clean_summary_upsert", None)
+def clean_summary_upsert(spark, sf):
+    """Both datasets' summaries upserted into one keyed store (JSON partitioned by
+    dataset) under the session's checkpoint folder; returns the stored rows."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources.sinks import merge_summary
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cleaning_summary-{uuid.uuid4().hex}"
+    merge_summary(spark, clean.clean_ads_summary(raw_ads(spark, sf)).drop("dataset"),
+                  "avazu_mobile_ads", path)
+    return merge_summary(spark, clean.clean_experiment_summary(raw_experiment(spark, sf))
+                         .drop("dataset"), "hillstrom_email_experiment", path)
