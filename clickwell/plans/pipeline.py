@@ -106,3 +106,71 @@ def materialize(bundle: Bundle, warehouse: str, ranking: RankingConfig = Ranking
 
 
 __all__ = ["Bundle", "build", "materialize", "fields"]
+
+
+def run_all(raw_ads: DataFrame, raw_experiment: DataFrame, warehouse: str,
+            export_zones: tuple[str, ...] = (), ranking: RankingConfig = RankingConfig(),
+            exp: ExperimentConfig = ExperimentConfig(),
+            holdout_hours: int = DEFAULT_HOLDOUT_HOURS) -> dict[str, DataFrame]:
+    """The whole batch run: guard inputs (A11), write staging + marts (S6, S10, S11),
+    guard marts (R2), write recommendations, validation checks and the metric lock,
+    export marts and the recommendation matrix to every zone (S13, S14) with a
+    manifest (S15).  Returns the written tables re-read from the warehouse."""
+    from ..config import ACTIONS
+    from ..operators import quality
+    from ..sources import sinks
+    spark = raw_ads.sparkSession
+    base = warehouse.rstrip("/")
+    lazy = build(raw_ads, raw_experiment, ranking, exp, holdout_hours)
+    kpi.ensure_not_empty(lazy.stg_ads, "stg_ad_events")
+    kpi.ensure_not_empty(lazy.stg_experiment, "stg_email_experiment")
+    b = materialize(lazy, base, ranking, exp, holdout_hours)
+    for name, (layer, _) in TABLES.items():
+        if layer == "mart":
+            kpi.ensure_not_empty(b.table(name), name)
+    sinks.write_table(b.recommendations, f"{base}/recommendations")
+    recs = spark.read.parquet(f"{base}/recommendations")
+    checks = quality.validation_checks(
+        raw_ads=b.raw_ads, raw_experiment=b.raw_experiment, stg_ads=b.stg_ads,
+        stg_experiment=b.stg_experiment, daily=b.daily, hourly=b.hourly, segments=b.segments,
+        ab=b.ab, forecast_inputs=b.forecast_inputs, forecast_results=b.forecast_results,
+        ads_summary=b.ads_summary, experiment_summary=b.experiment_summary)
+    sinks.write_table(checks, f"{base}/validation_checks")
+    checks = spark.read.parquet(f"{base}/validation_checks")
+    arms = tuple(r[0] for r in b.ab.select("treatment_group").collect())  # k arm names
+    metrics = quality.lock_metrics(
+        ads_summary=b.ads_summary, experiment_summary=b.experiment_summary, daily=b.daily,
+        hourly=b.hourly, segments=b.segments, top=b.top, ab=b.ab,
+        forecast_inputs=b.forecast_inputs, forecast_metrics=b.forecast_metrics,
+        forecast_results=b.forecast_results, recommendations=recs, arms=arms, actions=ACTIONS)
+    flags = quality.validation_summary(checks).select(F.lit("validation").alias("step"), "success")
+    sinks.write_table(quality.lock_snapshot(metrics, flags), f"{base}/metric_lock")
+    exports = {
+        "campaign_kpis.csv": ("mart_campaign_kpis", "Campaign KPIs", b.daily, ["event_date"]),
+        "ctr_trends.csv": ("mart_ctr_trends", "CTR trends", b.hourly,
+                           ["event_date", "event_hour"]),
+        "segment_performance.csv": ("mart_device_app_performance", "Segment performance",
+                                    b.segments, list(ranking.dims)),
+        "ab_test_results.csv": ("mart_ab_test_results", "A/B test results", b.ab,
+                                ["treatment_group"]),
+        "forecast_results.csv": ("mart_forecast_results", "Forecast results",
+                                 b.forecast_results, ["event_date", "event_hour"]),
+        "recommendation_matrix.csv": ("recommendations_summary",
+                                      "Scale / pause / retest recommendation matrix",
+                                      sinks.recommendation_matrix(
+                                          recs.orderBy("rule_order", "row_order")),
+                                      []),
+    }
+    manifest = None
+    if export_zones:
+        for file_name, (_, _, df, keys) in exports.items():
+            sinks.export_mart(df, file_name, export_zones, keys)
+        manifest = sinks.export_manifest({f: (src, desc, df) for f, (src, desc, df, _)
+                                          in exports.items()}, export_zones[-1])
+        sinks.write_table(manifest, f"{export_zones[-1].rstrip('/')}/data_manifest", fmt="json")
+    out = {name: b.table(name) for name in TABLES}
+    out.update({"recommendations": recs, "validation_checks": checks,
+                "metric_lock": spark.read.parquet(f"{base}/metric_lock")})
+    if manifest is not None:
+        out["manifest"] = manifest
+    return out

@@ -95,7 +95,8 @@ def export_mart(df: DataFrame, file_name: str, zones: Sequence[str],
     """Mart without ``created_at`` as CSV (header), sorted, to every zone.  The
     sorted frame is persisted so each zone receives identical rows; the output stays
     partitioned (range-partitioned by the sort) rather than forced into one task."""
-    out = df.drop("created_at").orderBy(*order_by).persist()
+    out = df.drop("created_at")
+    out = (out.orderBy(*order_by) if order_by else out).persist()
     try:
         n = 0
         for zone in zones:

@@ -57,3 +57,17 @@ def test_materialize_round_trip(spark, bundle, scratch):
     assert {r.status for r in _checks(m).collect()} == {"pass"}
     assert m.daily.count() == bundle.daily.count()
     assert "created_at" in spark.read.parquet(f"{scratch}/mart_campaign_kpis").columns
+
+
+def test_run_all_writes_everything(spark, scratch):
+    from clickwell.plans.pipeline import run_all
+    zones = (f"{scratch}/marts", f"{scratch}/exports")
+    out = run_all(raw_ads(spark, SF), raw_experiment(spark, SF, "contrast"), f"{scratch}/wh",
+                  zones, RankingConfig(min_impressions=5), holdout_hours=24)
+    assert {r.status for r in out["validation_checks"].collect()} == {"pass"}
+    assert out["metric_lock"].count() > 20
+    man = {r.file: r.row_count for r in out["manifest"].collect()}
+    assert man["recommendation_matrix.csv"] == out["recommendations"].count()
+    back = spark.read.option("header", True).csv(f"{zones[1]}/campaign_kpis.csv")
+    assert back.count() == out["mart_campaign_kpis"].count()
+    assert "created_at" not in back.columns
