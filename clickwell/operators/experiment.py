@@ -9,7 +9,7 @@ of exactly one row, and the p-value UDF sees k rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ExperimentConfig
@@ -25,12 +25,19 @@ def arm_metrics(stg: DataFrame, cfg: ExperimentConfig = ExperimentConfig(),
     per recipient.  Money is summed exactly as a decimal (inputs carry cents) unless
     ``money_type`` is None; rates are ratios of exact integer sums."""
     rev = F.col(cfg.revenue_col)
-    rev_sum = F.sum(rev.cast(money_type)).cast("double") if money_type else F.sum(rev).cast("double")
-    m = stg.groupBy(cfg.arm_col).agg(
+    rev = rev.cast(money_type) if money_type else rev
+    # Hash aggregation on (arm, label): a string MAX buffer would force a sort-based
+    # aggregate over every row.  The label MAX is then taken over the k x labels
+    # partial rows, which is tiny.
+    by_label = stg.groupBy(cfg.arm_col, cfg.label_col).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(F.col(cfg.outcome_col)).cast("bigint").alias("_conv"),
+        F.sum(rev).alias("_rev"))
+    m = by_label.groupBy(cfg.arm_col).agg(
         F.max(cfg.label_col).alias("treatment_label"),
-        F.count(F.lit(1)).alias("recipients"),
-        F.sum(F.col(cfg.outcome_col)).cast("bigint").alias("conversions"),
-        rev_sum.alias("total_revenue"),
+        F.sum("_n").alias("recipients"),
+        F.sum("_conv").cast("bigint").alias("conversions"),
+        F.sum("_rev").cast("double").alias("total_revenue"),
     )
     return (m.withColumnRenamed(cfg.arm_col, "treatment_group")
             .withColumns({"conversion_rate": safe_ratio("conversions", "recipients"),
@@ -47,14 +54,20 @@ def arm_rank(cfg: ExperimentConfig = ExperimentConfig()):
 
 
 def with_control(arms: DataFrame, cfg: ExperimentConfig = ExperimentConfig()) -> DataFrame:
-    """Attach the control arm's metrics to every arm (one-row broadcast).  A
-    missing control arm fails the job instead of silently dropping rows."""
-    control = arms.filter(F.col("treatment_group") == cfg.control).select(
-        F.col("recipients").alias("_c_n"), F.col("conversions").alias("_c_conv"),
-        F.col("conversion_rate").alias("_c_rate"),
-        F.col("revenue_per_customer").alias("_c_rpc"))
-    joined = arms.join(F.broadcast(control), how="left")
-    return joined.withColumn(
+    """Attach the control arm's metrics to every arm.  The arm table has one row
+    per arm, so a window over the whole table (k rows in one task) carries the control
+    values without consuming the aggregate twice (which would re-scan the input under
+    adaptive execution).  A missing control arm fails the job."""
+    whole = Window.partitionBy()
+    is_control = F.col("treatment_group") == cfg.control
+
+    def control(c):
+        return F.max(F.when(is_control, F.col(c))).over(whole)
+
+    out = arms.withColumns({"_c_n": control("recipients"), "_c_conv": control("conversions"),
+                            "_c_rate": control("conversion_rate"),
+                            "_c_rpc": control("revenue_per_customer")})
+    return out.withColumn(
         "_c_n", F.when(F.col("_c_n").isNull(),
                        F.raise_error(F.lit(f"Missing required control group: {cfg.control}")))
         .otherwise(F.col("_c_n")))
@@ -128,10 +141,9 @@ def scenario_lift(results: DataFrame, scenarios: DataFrame | None = None,
     if scenarios is None:
         scenarios = results.select("treatment_group",
                                    F.col("conversion_rate").alias("scenario_rate"))
-    control = scenarios.filter(F.col("treatment_group") == cfg.control).select(
-        F.col("scenario_rate").alias("_c"))
-    s = scenarios.join(F.broadcast(control), how="left")
     is_control = F.col("treatment_group") == cfg.control
+    s = scenarios.withColumn("_c", F.max(F.when(is_control, F.col("scenario_rate")))
+                             .over(Window.partitionBy()))
     return s.select(
         "treatment_group", "scenario_rate",
         F.when(is_control, 0.0).otherwise(F.col("scenario_rate") - F.col("_c"))

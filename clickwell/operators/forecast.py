@@ -80,16 +80,22 @@ def forecast_candidates(hourly: DataFrame, holdout_hours: int = DEFAULT_HOLDOUT_
                       F.col("h").alias("holdout_hours"))
 
 
+def _error_aggs(a, f):
+    err = a - f
+    return {
+        "mae": lambda agg: F.round(agg(F.abs(err)), 6),
+        "rmse": lambda agg: F.round(F.sqrt(agg(err * err)), 6),
+        "mape": lambda agg: F.round(agg(F.when(a != 0, F.abs(err) / a)) * 100.0, 6),
+    }
+
+
 def forecast_metrics(candidates: DataFrame, series_cols: tuple[str, ...] = ()) -> DataFrame:
     """F6-F8 (+F9 flag): MAE, RMSE, MAPE (%, zero actuals skipped, null if none left),
     all rounded to 6 dp, per model; ``selected`` marks the lowest MAE (ties -> the
     first-listed model, null MAE last)."""
-    a, f = F.col("actual_clicks").cast("double"), F.col("forecast_clicks")
-    err = a - f
+    aggs = _error_aggs(F.col("actual_clicks").cast("double"), F.col("forecast_clicks"))
     m = candidates.groupBy(*series_cols, "model_name", "model_rank").agg(
-        F.round(F.avg(F.abs(err)), 6).alias("mae"),
-        F.round(F.sqrt(F.avg(err * err)), 6).alias("rmse"),
-        F.round(F.avg(F.when(a != 0, F.abs(err) / a)) * 100.0, 6).alias("mape"),
+        *[fn(F.avg).alias(name) for name, fn in aggs.items()],
         F.first("train_hours").alias("train_hours"),
         F.first("holdout_hours").alias("holdout_hours"),
     )
@@ -97,12 +103,17 @@ def forecast_metrics(candidates: DataFrame, series_cols: tuple[str, ...] = ()) -
     return m.withColumn("selected", F.row_number().over(w) == 1)
 
 
-def forecast_results(candidates: DataFrame, metrics: DataFrame,
-                     series_cols: tuple[str, ...] = ()) -> DataFrame:
-    """holdout rows of the selected model, metrics repeated on every row."""
-    best = metrics.filter("selected").select(*series_cols, "model_name", "mae", "rmse", "mape")
-    # ``best`` has one row per series: the join key set is bounded by the series count.
-    return candidates.join(best, [*series_cols, "model_name"]).select(
+def forecast_results(candidates: DataFrame, series_cols: tuple[str, ...] = ()) -> DataFrame:
+    """holdout rows of the selected model, metrics repeated on every row.
+
+    Metrics and the selection are windows over the candidate rows (holdout hours x
+    models per series) so the candidates are consumed once."""
+    per_model = Window.partitionBy(*series_cols, "model_name", "model_rank")
+    aggs = _error_aggs(F.col("actual_clicks").cast("double"), F.col("forecast_clicks"))
+    c = candidates.withColumns({name: fn(lambda x: F.avg(x).over(per_model))
+                                for name, fn in aggs.items()})
+    pick = Window.partitionBy(*series_cols).orderBy(F.col("mae").asc_nulls_last(), "model_rank")
+    return c.withColumn("_pick", F.dense_rank().over(pick)).filter(F.col("_pick") == 1).select(
         *series_cols, *ORDER_COLS, "actual_clicks", "forecast_clicks", "actual_ctr",
         "forecast_ctr", "model_name", "mae", "rmse", "mape")
 
@@ -124,4 +135,4 @@ def run_forecast(hourly: DataFrame, holdout_hours: int = DEFAULT_HOLDOUT_HOURS,
     """Candidates, metrics and results from one hourly mart."""
     cand = forecast_candidates(hourly, holdout_hours, series_cols=series_cols)
     met = forecast_metrics(cand, series_cols)
-    return cand, met, forecast_results(cand, met, series_cols)
+    return cand, met, forecast_results(cand, series_cols)

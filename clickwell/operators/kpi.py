@@ -43,14 +43,37 @@ def one_row_total(mart: DataFrame, col: str, alias: str) -> DataFrame:
     return mart.agg(F.coalesce(F.sum(col), F.lit(0)).cast("bigint").alias(alias))
 
 
-def segment_performance(stg: DataFrame, dims: tuple[str, ...] = SEGMENT_DIMS) -> DataFrame:
+def segment_performance(stg: DataFrame, dims: tuple[str, ...] = SEGMENT_DIMS,
+                        total_strategy: str = "window") -> DataFrame:
     """A4 + A5: per segment (null dimension values kept as their own group), with the
-    segment's share of all clicks (0.0 when there are no clicks)."""
+    segment's share of all clicks (0.0 when there are no clicks).
+
+    The event log is aggregated once.  The click total is then taken over the
+    aggregated segment rows:
+
+    * ``window`` (default): a window over the whole segment mart.  Its single-partition
+      exchange carries one row per segment (bounded by the product of the dimension
+      cardinalities, not by the event volume).  Any plan that consumes the aggregate
+      twice (cross join with a one-row total, scalar subquery) makes adaptive execution
+      re-scan the event log for the second consumer, which at scale costs far more.
+    * ``checkpoint``: for very high-cardinality dimensions; the aggregated mart is
+      written once with a reliable ``checkpoint()`` to ``spark.checkpoint.dir`` and the
+      one-row total is broadcast back, so no task holds more than its share.
+    """
     seg = _with_ctr(stg.groupBy(*dims).agg(*_kpi_aggs()))
-    total = one_row_total(seg, "clicks", "_total_clicks")
-    return (seg.crossJoin(F.broadcast(total))
-            .withColumn("click_share", safe_ratio("clicks", "_total_clicks"))
-            .drop("_total_clicks"))
+    if total_strategy == "window":
+        total = F.sum("clicks").over(Window.partitionBy())
+        return seg.withColumn("click_share", F.when(total == 0, F.lit(0.0))
+                              .otherwise(F.col("clicks").cast("double") / total.cast("double")))
+    if total_strategy == "checkpoint":
+        from ..session import checkpoint_dir
+        checkpoint_dir(seg.sparkSession)
+        seg = seg.checkpoint(eager=True)
+        total = one_row_total(seg, "clicks", "_total_clicks")
+        return (seg.crossJoin(F.broadcast(total))
+                .withColumn("click_share", safe_ratio("clicks", "_total_clicks"))
+                .drop("_total_clicks"))
+    raise ValueError(f"unknown total_strategy {total_strategy!r}")
 
 
 def portfolio(mart: DataFrame) -> DataFrame:

@@ -67,7 +67,7 @@ def _derive(raw_ads, raw_exp, stg_ads, stg_exp, ranking, exp, holdout_hours,
     f_in = m.get("mart_forecast_inputs", hourly)
     cand = forecast.forecast_candidates(f_in, holdout_hours)
     met = forecast.forecast_metrics(cand)
-    res = m.get("mart_forecast_results", forecast.forecast_results(cand, met))
+    res = m.get("mart_forecast_results", forecast.forecast_results(cand))
     top = kpi.top_segments(seg, ranking.min_impressions, ranking.limit, ranking.dims)
     bottom = kpi.bottom_segments(seg, ranking.min_impressions, ranking.limit, ranking.dims)
     recs = decide.recommendations(kpi.portfolio(daily), top, bottom, hourly, ab, met, exp=exp)
