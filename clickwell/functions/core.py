@@ -24,6 +24,26 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_str(v: str) -> str:
+    """Spark SQL string literal."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_list(values) -> str:
+    return ", ".join(sql_str(v) for v in values)
+
+
+# Literal-heavy expressions are built as SQL text when the input is a column name:
+# the JVM parses the whole expression in one call instead of one call per literal,
+# which keeps driver-side plan construction cheap for wide raw tables.
+_NA_SQL = _sql_list(NA_TOKENS)
+_UNKNOWN_SQL = _sql_list(UNKNOWN_STRINGS)
+
+
 def safe_ratio(numerator: str | Column, denominator: str | Column) -> Column:
     """n / d as double, 0.0 when d is 0 (bare division by zero raises under ANSI)."""
     n, d = col(numerator), col(denominator)
@@ -32,7 +52,9 @@ def safe_ratio(numerator: str | Column, denominator: str | Column) -> Column:
 
 def na_to_null(c: str | Column) -> Column:
     """Normalise CSV missing-value tokens to null, as a pandas reader would."""
-    c = col(c)
+    if isinstance(c, str):
+        q = sql_ident(c)
+        return F.expr(f"CASE WHEN {q} IN ({_NA_SQL}) THEN CAST(NULL AS STRING) ELSE {q} END")
     return F.when(c.isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(c)
 
 
@@ -47,7 +69,9 @@ def is_binary(c: str | Column) -> Column:
 
 
 def is_unknown_string(c: str | Column) -> Column:
-    c = col(c)
+    if isinstance(c, str):
+        q = sql_ident(c)
+        return F.expr(f"({q} IS NULL OR lower(trim({q})) IN ({_UNKNOWN_SQL}))")
     return c.isNull() | F.lower(F.trim(c)).isin(UNKNOWN_STRINGS)
 
 
@@ -75,5 +99,8 @@ def decode_hour_code(c: str | Column) -> Column:
 
 def lookup(c: str | Column, mapping: dict[str, str]) -> Column:
     """Dictionary lookup of a small, configuration-sized map; unmapped -> null."""
+    if isinstance(c, str):
+        whens = " ".join(f"WHEN {sql_str(k)} THEN {sql_str(v)}" for k, v in mapping.items())
+        return F.expr(f"CASE {sql_ident(c)} {whens} ELSE CAST(NULL AS STRING) END")
     pairs = [F.lit(x) for kv in mapping.items() for x in kv]
-    return F.try_element_at(F.create_map(*pairs), col(c))
+    return F.try_element_at(F.create_map(*pairs), c)

@@ -29,17 +29,24 @@ def na_normalize(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------ ads
 
+def parse_once(df: DataFrame, **exprs) -> DataFrame:
+    """Append computed columns through a one-row ``inline`` generator.
+
+    Catalyst pushes filters below projections by inlining the projected expressions,
+    so a filter on a parsed value would re-run the parse (and every later filter on a
+    derived column runs it again).  Predicates on a generator's output stay above the
+    generator, so each parse runs exactly once per row."""
+    return df.select("*", F.inline(F.array(F.struct(*[e.alias(n) for n, e in exprs.items()]))))
+
+
 def _ads_prepared(raw: DataFrame) -> DataFrame:
-    df = na_normalize(normalize_columns(raw))
-    click = lenient_double("click")
-    ts = decode_hour_code("hour")
+    df = parse_once(na_normalize(normalize_columns(raw)),
+                    _click=lenient_double("click"), _ts=decode_hour_code("hour"))
     flags = {f"flag_unknown_{c}": (is_unknown_numeric(c) if c == "device_type"
                                    else is_unknown_string(c))
              for c in FLAG_COLUMNS if c in df.columns}
     return df.withColumns({
-        "_click": click,
-        "_ts": ts,
-        "_valid_click": is_binary(click),
+        "_valid_click": is_binary("_click"),
         **flags,
     }).withColumns({
         "_valid_hour": F.col("_ts").isNotNull(),
@@ -123,14 +130,13 @@ def unknown_flags(raw: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- experiment
 
 def _experiment_prepared(raw: DataFrame, segment_map: dict[str, str]) -> DataFrame:
-    df = na_normalize(normalize_columns(raw))
-    visit, conv, spend = lenient_double("visit"), lenient_double("conversion"), lenient_double("spend")
+    df = parse_once(na_normalize(normalize_columns(raw)), _visit=lenient_double("visit"),
+                    _conversion=lenient_double("conversion"), _spend=lenient_double("spend"),
+                    treatment_group=lookup("segment", segment_map))
     return df.withColumns({
-        "_visit": visit, "_conversion": conv, "_spend": spend,
-        "_bad_visit": ~is_binary(visit),
-        "_bad_conversion": ~is_binary(conv),
-        "_bad_spend": ~F.coalesce(spend >= 0, F.lit(False)),
-        "treatment_group": lookup("segment", segment_map),
+        "_bad_visit": ~is_binary("_visit"),
+        "_bad_conversion": ~is_binary("_conversion"),
+        "_bad_spend": ~F.coalesce(F.col("_spend") >= 0, F.lit(False)),
     }).withColumn("_valid", ~(F.col("_bad_visit") | F.col("_bad_conversion") | F.col("_bad_spend")))
 
 

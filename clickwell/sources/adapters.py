@@ -26,61 +26,49 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _mod(c, m: int):
-    return F.pmod(F.col(c) if isinstance(c, str) else c, F.lit(m))
-
-
-def _txt(c):
-    return c.cast("string")
+# The projections are written as Spark SQL expressions (``selectExpr``): the JVM
+# parses each one in a single call, so building the plan stays cheap even though the
+# adapters produce dozens of literal-heavy columns.
+_K = "try_cast(regexp_extract(props, '\"k\":\\\\s*(-?[0-9]+)', 1) AS INT)"
+_CODE = "date_format(ts, 'yyMMddHH')"
+
+ADS_EXPRS = {
+    "id": "CAST(event_id AS STRING)",
+    "click": ("CASE WHEN pmod(event_id, 97) = 13 THEN '9' WHEN pmod(event_id, 89) = 7 THEN 'x' "
+              "WHEN event_type = 'click' THEN '1' ELSE '0' END"),
+    "hour": (f"CASE WHEN pmod(event_id, 83) = 5 THEN '99999999' "
+             f"WHEN pmod(event_id, 79) = 3 THEN substring({_CODE}, 1, 7) ELSE {_CODE} END"),
+    "c1": "'1005'",
+    "banner_pos": "CAST(pmod(event_id, 2) AS STRING)",
+    "site_id": ("CASE pmod(event_id, 53) WHEN 1 THEN '' WHEN 2 THEN ' Unknown ' "
+                "WHEN 3 THEN CAST(NULL AS STRING) WHEN 4 THEN '-1' WHEN 5 THEN 'NA' "
+                f"ELSE concat('site_', CAST(pmod({_K}, 16) AS STRING)) END"),
+    "site_domain": f"concat('dom_', CAST(pmod({_K}, 8) AS STRING))",
+    "site_category": f"concat('site_', CAST(pmod({_K}, 4) AS STRING))",
+    "app_id": "concat('app_id_', CAST(pmod(event_id, 7) AS STRING))",
+    "app_domain": "concat('appdom_', CAST(pmod(event_id, 5) AS STRING))",
+    "app_category": "concat('app_', CAST(pmod(event_id, 3) AS STRING))",
+    "device_id": "concat('dev_', CAST(user_id AS STRING))",
+    "device_ip": "concat('ip_', CAST(pmod(user_id, 50) AS STRING))",
+    "device_model": "concat('model_', CAST(pmod(user_id, 9) AS STRING))",
+    "device_type": ("CASE WHEN pmod(event_id, 61) = 7 THEN '-1' "
+                    "ELSE CAST(pmod(user_id, 4) AS STRING) END"),
+    "device_conn_type": "CAST(pmod(user_id, 3) AS STRING)",
+    "c14": f"CAST({_K} AS STRING)",
+    "c15": "'320'",
+    "c16": "'50'",
+    "c17": f"CAST({_K} * 10 AS STRING)",
+    "c18": "CAST(pmod(user_id, 4) AS STRING)",
+    "c19": "'35'",
+    "c20": "CAST(pmod(event_id, 100) AS STRING)",
+    "c21": "CAST(value AS STRING)",
+}
 
 
 def raw_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type",
                                                 "value", "props")
-    eid, uid = F.col("event_id"), F.col("user_id")
-    k = F.regexp_extract("props", r'"k":\s*(-?[0-9]+)', 1).try_cast("int")
-    code = F.date_format("ts", "yyMMddHH")
-    click = (F.when(_mod(eid, 97) == 13, F.lit("9"))
-             .when(_mod(eid, 89) == 7, F.lit("x"))
-             .when(F.col("event_type") == "click", F.lit("1"))
-             .otherwise(F.lit("0")))
-    hour = (F.when(_mod(eid, 83) == 5, F.lit("99999999"))
-            .when(_mod(eid, 79) == 3, F.substring(code, 1, 7))
-            .otherwise(code))
-    site_id = (F.when(_mod(eid, 53) == 1, F.lit(""))
-               .when(_mod(eid, 53) == 2, F.lit(" Unknown "))
-               .when(_mod(eid, 53) == 3, F.lit(None).cast("string"))
-               .when(_mod(eid, 53) == 4, F.lit("-1"))
-               .when(_mod(eid, 53) == 5, F.lit("NA"))
-               .otherwise(F.concat(F.lit("site_"), _txt(_mod(k, 16)))))
-    device_type = F.when(_mod(eid, 61) == 7, F.lit("-1")).otherwise(_txt(_mod(uid, 4)))
-    cols = {
-        "id": _txt(eid),
-        "click": click,
-        "hour": hour,
-        "c1": F.lit("1005"),
-        "banner_pos": _txt(_mod(eid, 2)),
-        "site_id": site_id,
-        "site_domain": F.concat(F.lit("dom_"), _txt(_mod(k, 8))),
-        "site_category": F.concat(F.lit("site_"), _txt(_mod(k, 4))),
-        "app_id": F.concat(F.lit("app_id_"), _txt(_mod(eid, 7))),
-        "app_domain": F.concat(F.lit("appdom_"), _txt(_mod(eid, 5))),
-        "app_category": F.concat(F.lit("app_"), _txt(_mod(eid, 3))),
-        "device_id": F.concat(F.lit("dev_"), _txt(uid)),
-        "device_ip": F.concat(F.lit("ip_"), _txt(_mod(uid, 50))),
-        "device_model": F.concat(F.lit("model_"), _txt(_mod(uid, 9))),
-        "device_type": device_type,
-        "device_conn_type": _txt(_mod(uid, 3)),
-        "c14": _txt(k),
-        "c15": F.lit("320"),
-        "c16": F.lit("50"),
-        "c17": _txt(k * 10),
-        "c18": _txt(_mod(uid, 4)),
-        "c19": F.lit("35"),
-        "c20": _txt(_mod(eid, 100)),
-        "c21": _txt(F.col("value")),
-    }
-    return ev.select(*[cols[c].alias(c) for c in ADS_RAW_COLUMNS])
+    return ev.selectExpr(*[f"{ADS_EXPRS[c]} AS {c}" for c in ADS_RAW_COLUMNS])
 
 
 ARM_LABELS = ("No E-Mail", "Mens E-Mail", "Womens E-Mail")
@@ -93,56 +81,43 @@ def raw_experiment(spark: SparkSession, sf_dir: str, variant: str = "plain") ->
                                                     "c_mktsegment")
     orders = _table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus",
                                                     "o_totalprice", "o_orderpriority")
-    arm = _mod("o_custkey", 3)
-    urgent = F.col("o_orderpriority") == "1-URGENT"
-    status_f = F.col("o_orderstatus") == "F"
+    urgent = "o_orderpriority = '1-URGENT'"
     if variant == "plain":
-        hit = urgent & status_f
+        hit = f"({urgent} AND o_orderstatus = 'F')"
     elif variant == "contrast":
-        hit = (F.when(arm == 1, urgent & F.col("o_orderstatus").isin("F", "O"))
-               .when(arm == 2, urgent & status_f & (F.col("o_totalprice") > 200000))
-               .otherwise(urgent & status_f))
+        hit = (f"(CASE pmod(o_custkey, 3) WHEN 1 THEN {urgent} AND o_orderstatus IN ('F', 'O') "
+               f"WHEN 2 THEN {urgent} AND o_orderstatus = 'F' AND o_totalprice > 200000 "
+               f"ELSE {urgent} AND o_orderstatus = 'F' END)")
     else:
         raise ValueError(f"unknown experiment variant {variant!r}")
-    price = F.col("o_totalprice").cast("decimal(18,2)")
-    per_customer = (orders.groupBy("o_custkey").agg(
-        F.max(F.when(hit, 1).otherwise(0)).alias("any_visit"),
-        F.max(F.when(hit & (F.col("o_totalprice") > 300000), 1).otherwise(0)).alias("any_conv"),
-        F.sum(F.when(hit, price).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("spend_total"),
-    ))
+    zero = "CAST(0 AS DECIMAL(18,2))"
+    per_customer = orders.groupBy("o_custkey").agg(
+        F.expr(f"max(CASE WHEN {hit} THEN 1 ELSE 0 END)").alias("any_visit"),
+        F.expr(f"max(CASE WHEN {hit} AND o_totalprice > 300000 THEN 1 ELSE 0 END)").alias("any_conv"),
+        F.expr(f"sum(CASE WHEN {hit} THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE {zero} END)")
+        .alias("spend_total"))
     j = cust.join(per_customer, cust.c_custkey == per_customer.o_custkey, "left")
-    ck = F.col("c_custkey")
-    segment = (F.when(_mod(ck, 107) == 11, F.lit("Both E-Mail"))
-               .when(_mod(ck, 3) == 0, F.lit(ARM_LABELS[0]))
-               .when(_mod(ck, 3) == 1, F.lit(ARM_LABELS[1]))
-               .otherwise(F.lit(ARM_LABELS[2])))
-    zip_code = (F.when(_mod(ck, 211) == 5, F.lit("Mars"))
-                .when(_mod("c_nationkey", 4) == 0, F.lit("Urban"))
-                .when(_mod("c_nationkey", 4) == 1, F.lit("Suburban"))
-                .when(_mod("c_nationkey", 4) == 2, F.lit("Rural"))
-                .otherwise(F.lit("Surburban")))
-    history_segment = (F.when(_mod(ck, 3) == 0, F.lit("1) $0 - $100"))
-                       .when(_mod(ck, 3) == 1, F.lit("2) $100 - $200"))
-                       .otherwise(F.lit("3) $200 - $350")))
-    channel = (F.when(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING"), F.lit("Web"))
-               .when(F.col("c_mktsegment").isin("FURNITURE", "HOUSEHOLD"), F.lit("Phone"))
-               .otherwise(F.lit("Multichannel")))
-    visit = F.when(_mod(ck, 103) == 17, F.lit("2")).otherwise(
-        _txt(F.coalesce(F.col("any_visit"), F.lit(0))))
-    spend = F.when(_mod(ck, 101) == 23, F.lit("-5.0")).otherwise(
-        _txt(F.coalesce(F.col("spend_total"), F.lit(0).cast("decimal(18,2)"))))
-    cols = {
-        "recency": _txt(_mod(ck, 12) + 1),
-        "history_segment": history_segment,
-        "history": _txt(F.abs(F.col("c_acctbal"))),
-        "mens": _txt(_mod(ck, 2)),
-        "womens": _txt(_mod("c_nationkey", 2)),
-        "zip_code": zip_code,
-        "newbie": F.when(_mod(ck, 5) == 0, F.lit("1")).otherwise(F.lit("0")),
-        "channel": channel,
-        "segment": segment,
-        "visit": visit,
-        "conversion": _txt(F.coalesce(F.col("any_conv"), F.lit(0))),
-        "spend": spend,
+    exprs = {
+        "recency": "CAST(pmod(c_custkey, 12) + 1 AS STRING)",
+        "history_segment": ("CASE pmod(c_custkey, 3) WHEN 0 THEN '1) $0 - $100' "
+                            "WHEN 1 THEN '2) $100 - $200' ELSE '3) $200 - $350' END"),
+        "history": "CAST(abs(c_acctbal) AS STRING)",
+        "mens": "CAST(pmod(c_custkey, 2) AS STRING)",
+        "womens": "CAST(pmod(c_nationkey, 2) AS STRING)",
+        "zip_code": ("CASE WHEN pmod(c_custkey, 211) = 5 THEN 'Mars' "
+                     "ELSE CASE pmod(c_nationkey, 4) WHEN 0 THEN 'Urban' WHEN 1 THEN 'Suburban' "
+                     "WHEN 2 THEN 'Rural' ELSE 'Surburban' END END"),
+        "newbie": "CASE WHEN pmod(c_custkey, 5) = 0 THEN '1' ELSE '0' END",
+        "channel": ("CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'Web' "
+                    "WHEN c_mktsegment IN ('FURNITURE', 'HOUSEHOLD') THEN 'Phone' "
+                    "ELSE 'Multichannel' END"),
+        "segment": (f"CASE WHEN pmod(c_custkey, 107) = 11 THEN 'Both E-Mail' "
+                    f"ELSE CASE pmod(c_custkey, 3) WHEN 0 THEN '{ARM_LABELS[0]}' "
+                    f"WHEN 1 THEN '{ARM_LABELS[1]}' ELSE '{ARM_LABELS[2]}' END END"),
+        "visit": ("CASE WHEN pmod(c_custkey, 103) = 17 THEN '2' "
+                  "ELSE CAST(coalesce(any_visit, 0) AS STRING) END"),
+        "conversion": "CAST(coalesce(any_conv, 0) AS STRING)",
+        "spend": (f"CASE WHEN pmod(c_custkey, 101) = 23 THEN '-5.0' "
+                  f"ELSE CAST(coalesce(spend_total, {zero}) AS STRING) END"),
     }
-    return j.select(*[cols[c].alias(c) for c in EXPERIMENT_RAW_COLUMNS])
+    return j.selectExpr(*[f"{exprs[c]} AS {c}" for c in EXPERIMENT_RAW_COLUMNS])
