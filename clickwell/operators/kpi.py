@@ -158,3 +158,59 @@ def ensure_not_empty(df: DataFrame, name: str) -> None:
     """A11 / R2 guard: raise when a required table has no rows (a 1-row probe job)."""
     if df.isEmpty():
         raise RuntimeError(f"{name} is empty; build it before running this step.")
+
+
+# ------------------------------------------------------------------ one-pass ad marts
+
+HOURLY_SET, SEGMENT_SET = "hourly", "segment"
+
+
+def ad_rollup(stg: DataFrame, dims: tuple[str, ...] = SEGMENT_DIMS,
+              date_col: str = "event_date", hour_col: str = "event_hour") -> DataFrame:
+    """All ad KPI marts from ONE scan of the staging table: a ``GROUPING SETS``
+    aggregation over ``(date, hour)`` and over the segment dimensions.  Each input row
+    is expanded once per set before the map-side partial aggregation, so the scan
+    (the dominant cost at scale) happens once instead of once per mart.  The output
+    is small (one row per hour plus one per segment) and is meant to be materialised
+    once (``checkpoint`` or a written table) and then split with ``hourly_from`` /
+    ``daily_from`` / ``segments_from``.  ``grouping_id`` separates a rolled-up column
+    from a genuine null dimension value."""
+    keys = [date_col, hour_col, *dims]
+    g = stg.groupingSets([[date_col, hour_col], list(dims)], *keys).agg(
+        F.grouping_id().alias("_gid"), *_kpi_aggs())
+    # grouping_id bit i is set when keys[i] is rolled up (first key = highest bit).
+    n = len(keys)
+    hourly_gid = sum(1 << (n - 1 - i) for i, k in enumerate(keys) if k not in (date_col, hour_col))
+    return g.withColumn("_set", F.when(F.col("_gid") == hourly_gid, F.lit(HOURLY_SET))
+                        .otherwise(F.lit(SEGMENT_SET))).drop("_gid")
+
+
+def hourly_from(rollup: DataFrame, date_col: str = "event_date",
+                hour_col: str = "event_hour") -> DataFrame:
+    """A3 from the rollup: (date, hour) groups without nulls."""
+    return _with_ctr(rollup.filter((F.col("_set") == HOURLY_SET) & F.col(date_col).isNotNull()
+                                   & F.col(hour_col).isNotNull())
+                     .select(date_col, hour_col, "impressions", "clicks"))
+
+
+def daily_from(rollup: DataFrame, date_col: str = "event_date") -> DataFrame:
+    """A2 from the rollup: the (date, hour) groups summed per date.  Groups with a
+    null hour are included, so this equals grouping the events by date."""
+    return _with_ctr(rollup.filter((F.col("_set") == HOURLY_SET) & F.col(date_col).isNotNull())
+                     .groupBy(date_col).agg(F.sum("impressions").cast("bigint").alias("impressions"),
+                                            F.sum("clicks").cast("bigint").alias("clicks")))
+
+
+def segments_from(rollup: DataFrame, dims: tuple[str, ...] = SEGMENT_DIMS) -> DataFrame:
+    """A4 + A5 from the rollup (click share over the segment rows)."""
+    seg = _with_ctr(rollup.filter(F.col("_set") == SEGMENT_SET)
+                    .select(*dims, "impressions", "clicks"))
+    total = F.sum("clicks").over(Window.partitionBy())
+    return seg.withColumn("click_share", F.when(total == 0, F.lit(0.0))
+                          .otherwise(F.col("clicks").cast("double") / total.cast("double")))
+
+
+def staging_rows_from(rollup: DataFrame) -> DataFrame:
+    """Staging row count (one row, ``staging_rows``): every row is in one hourly group."""
+    return rollup.filter(F.col("_set") == HOURLY_SET).agg(
+        F.coalesce(F.sum("impressions"), F.lit(0)).cast("bigint").alias("staging_rows"))

@@ -51,18 +51,32 @@ class Bundle:
 
 def build(raw_ads: DataFrame, raw_experiment: DataFrame,
           ranking: RankingConfig = RankingConfig(), exp: ExperimentConfig = ExperimentConfig(),
-          holdout_hours: int = DEFAULT_HOLDOUT_HOURS) -> Bundle:
+          holdout_hours: int = DEFAULT_HOLDOUT_HOURS, share: bool = False) -> Bundle:
+    """Lazy bundle.  With ``share`` the small shared intermediates (the one-pass ad
+    rollup and the experiment mart) are written once with a reliable ``checkpoint()``
+    to ``spark.checkpoint.dir``, so the many consumers (rules, checks, locks) read them
+    instead of each re-scanning the raw inputs."""
     stg_ads = clean.clean_ads(raw_ads)
     stg_exp = clean.clean_experiment(raw_experiment)
-    return _derive(raw_ads, raw_experiment, stg_ads, stg_exp, ranking, exp, holdout_hours)
+    rollup = kpi.ad_rollup(stg_ads, ranking.dims)
+    ab = experiment.ab_results(stg_exp, exp)
+    if share:
+        from ..session import checkpoint_dir
+        checkpoint_dir(raw_ads.sparkSession)
+        rollup = rollup.checkpoint(eager=True)
+        ab = ab.checkpoint(eager=True)
+    return _derive(raw_ads, raw_experiment, stg_ads, stg_exp, ranking, exp, holdout_hours,
+                   {"mart_ab_test_results": ab}, rollup)
 
 
 def _derive(raw_ads, raw_exp, stg_ads, stg_exp, ranking, exp, holdout_hours,
-            marts: dict[str, DataFrame] | None = None) -> Bundle:
+            marts: dict[str, DataFrame] | None = None, rollup: DataFrame | None = None) -> Bundle:
     m = marts or {}
-    daily = m.get("mart_campaign_kpis", kpi.daily_kpis(stg_ads))
-    hourly = m.get("mart_ctr_trends", kpi.hourly_trends(stg_ads))
-    seg = m.get("mart_device_app_performance", kpi.segment_performance(stg_ads, ranking.dims))
+    if rollup is None:
+        rollup = kpi.ad_rollup(stg_ads, ranking.dims)
+    daily = m.get("mart_campaign_kpis", kpi.daily_from(rollup))
+    hourly = m.get("mart_ctr_trends", kpi.hourly_from(rollup))
+    seg = m.get("mart_device_app_performance", kpi.segments_from(rollup, ranking.dims))
     ab = m.get("mart_ab_test_results", experiment.ab_results(stg_exp, exp))
     f_in = m.get("mart_forecast_inputs", hourly)
     cand = forecast.forecast_candidates(f_in, holdout_hours)
@@ -72,8 +86,8 @@ def _derive(raw_ads, raw_exp, stg_ads, stg_exp, ranking, exp, holdout_hours,
     bottom = kpi.bottom_segments(seg, ranking.min_impressions, ranking.limit, ranking.dims)
     recs = decide.recommendations(kpi.portfolio(daily), top, bottom, hourly, ab, met, exp=exp)
     return Bundle(raw_ads, raw_exp, stg_ads, stg_exp, clean.clean_ads_summary(raw_ads),
-                  clean.clean_experiment_summary(raw_exp, with_counts=True), daily, hourly, seg, ab, f_in, met,
-                  res, top, bottom, recs)
+                  clean.clean_experiment_summary(raw_exp, with_counts=True), daily, hourly, seg,
+                  ab, f_in, met, res, top, bottom, recs)
 
 
 def materialize(bundle: Bundle, warehouse: str, ranking: RankingConfig = RankingConfig(),
@@ -89,8 +103,11 @@ def materialize(bundle: Bundle, warehouse: str, ranking: RankingConfig = Ranking
     stg_ads = spark.read.parquet(f"{base}/stg_ad_events").to(TABLES["stg_ad_events"][1])
     stg_exp = spark.read.parquet(f"{base}/stg_email_experiment").to(
         TABLES["stg_email_experiment"][1])
+    # one scan of the ad staging table for all ad marts: write the small rollup once
+    write_table(kpi.ad_rollup(stg_ads, ranking.dims), f"{base}/_ad_rollup")
+    rollup = spark.read.parquet(f"{base}/_ad_rollup")
     lazy = _derive(bundle.raw_ads, bundle.raw_experiment, stg_ads, stg_exp, ranking, exp,
-                   holdout_hours)
+                   holdout_hours, rollup=rollup)
     marts = {}
     for name, (layer, schema) in TABLES.items():
         if layer != "mart":
@@ -100,7 +117,7 @@ def materialize(bundle: Bundle, warehouse: str, ranking: RankingConfig = Ranking
                     path)
         marts[name] = spark.read.parquet(path).drop("created_at")
     out = _derive(bundle.raw_ads, bundle.raw_experiment, stg_ads, stg_exp, ranking, exp,
-                  holdout_hours, marts)
+                  holdout_hours, marts, rollup)
     return replace(out, ads_summary=bundle.ads_summary,
                    experiment_summary=bundle.experiment_summary)
 

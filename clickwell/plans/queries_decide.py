@@ -131,13 +131,15 @@ def _sql(body: str, variant: str = "contrast") -> str:
 
 
 def _inputs(spark, sf, variant="contrast"):
-    stg = inputs.stg_ads(spark, sf)
-    daily, hourly, seg = kpi.daily_kpis(stg), kpi.hourly_trends(stg), kpi.segment_performance(stg)
-    top = kpi.top_segments(seg, MIN_IMPRESSIONS, LIMIT)
-    bottom = kpi.bottom_segments(seg, MIN_IMPRESSIONS, LIMIT)
-    ab = X.ab_results(inputs.stg_experiment(spark, sf, variant))
-    met = FC.forecast_metrics(FC.forecast_candidates(hourly, HOLDOUT))
-    return daily, hourly, seg, top, bottom, ab, met
+    """Marts for the rules from one pass over each raw input (shared intermediates
+    checkpointed once; see ``pipeline.build``)."""
+    from ..config import RankingConfig
+    from .pipeline import build
+    from ..sources.adapters import raw_ads, raw_experiment
+    b = build(raw_ads(spark, sf), raw_experiment(spark, sf, variant),
+              RankingConfig(min_impressions=MIN_IMPRESSIONS, limit=LIMIT),
+              holdout_hours=HOLDOUT, share=True)
+    return b.daily, b.hourly, b.segments, b.top, b.bottom, b.ab, b.forecast_metrics
 
 
 def _recs(spark, sf, variant="contrast"):
