@@ -214,3 +214,33 @@ def staging_rows_from(rollup: DataFrame) -> DataFrame:
     """Staging row count (one row, ``staging_rows``): every row is in one hourly group."""
     return rollup.filter(F.col("_set") == HOURLY_SET).agg(
         F.coalesce(F.sum("impressions"), F.lit(0)).cast("bigint").alias("staging_rows"))
+
+
+def funnel_summary(rollup: DataFrame, date_col: str = "event_date",
+                   hour_col: str = "event_hour") -> DataFrame:
+    """A10 in one aggregation over the rollup (one consumer, so one scan of staging):
+    hourly totals, CTR range, mart row counts and the reconciliation flag."""
+    hourly_set = F.col("_set") == HOURLY_SET
+    hourly_row = hourly_set & F.col(date_col).isNotNull() & F.col(hour_col).isNotNull()
+    seg_row = F.col("_set") == SEGMENT_SET
+    ctr = safe_ratio("clicks", "impressions")
+
+    def total(cond, c):
+        return F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0)).cast("bigint")
+
+    s = rollup.agg(
+        F.sum(F.when(hourly_row, 1).otherwise(0)).cast("bigint").alias("hourly_rows"),
+        total(hourly_row, "impressions").alias("total_impressions"),
+        total(hourly_row, "clicks").alias("total_clicks"),
+        F.min(F.when(hourly_row, ctr)).alias("min_hourly_ctr"),
+        F.max(F.when(hourly_row, ctr)).alias("max_hourly_ctr"),
+        F.sum(F.when(seg_row, 1).otherwise(0)).cast("bigint").alias("segment_rows"),
+        total(seg_row, "impressions").alias("segment_impressions"),
+        total(hourly_set, "impressions").alias("staging_rows"),
+    )
+    return s.withColumns({
+        "overall_ctr": F.round(safe_ratio("total_clicks", "total_impressions"), 6),
+        "success": ((F.col("hourly_rows") > 0) & (F.col("segment_rows") > 0)
+                    & (F.col("total_impressions") == F.col("staging_rows"))
+                    & (F.col("segment_impressions") == F.col("staging_rows"))),
+    })

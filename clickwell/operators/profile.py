@@ -231,3 +231,27 @@ def revenue_distribution(raw: DataFrame, approx: bool = False) -> DataFrame:
 __all__ = ["missing_summary", "distribution", "distinct_counts", "value_counts", "top_values",
            "ads_valid_clicks", "ads_click_stats", "experiment_overview", "arm_profile",
            "revenue_distribution", "na_to_null"]
+
+
+def profile_ads(raw: DataFrame, distinct_columns=AD_DISTINCT_COLUMNS, top_columns=AD_TOP_COLUMNS,
+                k: int = TOP_K, approx_distinct: bool = False) -> dict[str, DataFrame]:
+    """The ad-log profile as named DataFrames (all lazy).  A missing ``click``
+    column fails immediately."""
+    if "click" not in [c.strip().lower() for c in raw.columns]:
+        raise ValueError("ad log has no click column")
+    valid = ads_valid_clicks(raw)
+    return {"summary": ads_click_stats(raw), "missing_values": missing_summary(valid),
+            "unique_counts": distinct_counts(valid, distinct_columns, approx_distinct),
+            "top_values": top_values(valid, top_columns, k)}
+
+
+def profile_experiment(raw: DataFrame, approx_median: bool = False) -> dict[str, DataFrame]:
+    """The experiment profile as named DataFrames (all lazy)."""
+    df = _as_pandas_read(raw)
+    k = experiment_columns(df.columns)
+    dist_cols = [c for c in ("zip_code", "channel") if c in df.columns]
+    return {"summary": experiment_overview(raw), "missing_values": missing_summary(df),
+            "treatment_counts": value_counts(df, [k["arm"]]),
+            "segment_metrics": arm_profile(raw),
+            "revenue_distribution": revenue_distribution(raw, approx_median),
+            "value_counts": value_counts(df, dist_cols) if dist_cols else None}

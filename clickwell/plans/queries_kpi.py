@@ -93,6 +93,4 @@ CROSS JOIN (SELECT CAST(count(*) AS BIGINT) AS segment_rows,
             FROM segments) s
 CROSS JOIN (SELECT CAST(count(*) AS BIGINT) AS staging_rows FROM stg_ads) r"""))
 def hourly_range(spark, sf):
-    stg = inputs.stg_ads(spark, sf)
-    rows = stg.agg(F.count(F.lit(1)).alias("staging_rows"))
-    return kpi.hourly_range(kpi.hourly_trends(stg), kpi.segment_performance(stg), rows)
+    return kpi.funnel_summary(kpi.ad_rollup(inputs.stg_ads(spark, sf)))

@@ -39,11 +39,16 @@ def _norm(v):
     return (4, str(v))
 
 
+STRICT = False
+
+
 def _eq(a, b) -> bool:
     if a[0] != b[0]:
         return False
     if a[0] == 2:
         x, y = a[1], b[1]
+        if STRICT:
+            return x == y
         return x == y or abs(x - y) <= 1e-9 * max(1.0, abs(x), abs(y))
     return a == b
 
@@ -79,8 +84,11 @@ def compare(spark_rows, spark_cols, duck_rows, duck_cols):
 
 
 def main():
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:]
+    global STRICT
+    args = [a for a in sys.argv[1:] if a != "--strict"]
+    STRICT = "--strict" in sys.argv
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:]
     from clickwell.session import local_session
     import __spark_entry__ as E
     spark = local_session()

@@ -45,3 +45,14 @@ def test_experiment_profile_tiny(raw_exp_tiny):
     arms = {r.segment: r for r in P.arm_profile(raw_exp_tiny).collect()}
     assert arms["Mens E-Mail"].recipients == 2 and arms["Mens E-Mail"].total_revenue == 60.0
     assert P.experiment_columns(["a", "treatment", "visit", "revenue"])["arm"] == "treatment"
+
+
+def test_composed_profiles(raw_ads_tiny, raw_exp_tiny):
+    ads = P.profile_ads(raw_ads_tiny)
+    assert set(ads) == {"summary", "missing_values", "unique_counts", "top_values"}
+    assert ads["summary"].first().ctr == 0.5
+    exp = P.profile_experiment(raw_exp_tiny)
+    assert exp["revenue_distribution"].first().median == 17.5
+    assert {r.value: r["count"] for r in exp["treatment_counts"].collect()}["Mens E-Mail"] == 2
+    with pytest.raises(ValueError):
+        P.profile_ads(raw_ads_tiny.drop("click"))
