@@ -16,3 +16,12 @@ def test_streaming_hours_match_batch(spark, scratch):
     assert stream.exceptAll(batch).count() == 0
     # hours not yet closed by the watermark are the only ones missing
     assert batch.count() - stream.count() <= 3
+
+
+def test_restart_does_not_duplicate(spark, scratch):
+    raw_ads(spark, SF).repartition(2).write.parquet(f"{scratch}/raw")
+    for _ in range(2):   # second run resumes from the checkpoint: nothing new to emit
+        q = start_hourly_refresh(spark, f"{scratch}/raw", f"{scratch}/mart", f"{scratch}/ckpt")
+        q.awaitTermination(180)
+    m = spark.read.parquet(f"{scratch}/mart")
+    assert m.count() == m.select("event_date", "event_hour").distinct().count()
