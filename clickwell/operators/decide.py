@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from ..config import ACTIONS, ExperimentConfig, RuleConfig
 from ..functions.text import py_format, text_or_none, thousands
-from ..schemas import RECOMMENDATIONS
 from .experiment import arm_rank
 
 # --- fixed values that must equal the reference ----------------------------------
@@ -29,9 +28,6 @@ CAVEAT_HOUR_PAUSE = "Hour-level pauses should be tested before full daypart shut
 CAVEAT_FORECAST = "Single-day holdout only; use forecasts for directional planning."
 # ----------------------------------------------------------------------------------
 
-OUT_COLS = [f.name for f in RECOMMENDATIONS.fields] + ["rule_order", "row_order"]
-
-
 def segment_label(dims=("device_type", "app_category", "site_category", "banner_pos")) -> F.Column:
     """``device=.. | app=.. | site=.. | banner=..`` (null shown as None)."""
     d, a, s, b = (text_or_none(c) for c in dims)

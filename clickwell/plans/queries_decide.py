@@ -8,7 +8,6 @@ metrics (24-hour holdout).
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..operators import decide as R
 from ..operators import experiment as X

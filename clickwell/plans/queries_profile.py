@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..operators import profile as P
 from ..schemas import ADS_RAW_COLUMNS, EXPERIMENT_RAW_COLUMNS
 from ..sources.adapters import raw_ads, raw_experiment
-from .oracle import EXP_PREP, binary, dbl, ratio, with_ctes
+from .oracle import binary, dbl, ratio, with_ctes
 from .registry import register
 
 ADS_VALID = f"ads_valid AS (SELECT * FROM ads_na WHERE {binary(dbl('click'))})"
