@@ -65,7 +65,10 @@ def clean_ads(raw: DataFrame) -> DataFrame:
     derives ``event_date`` / ``event_hour``; flags unknown values; coerces numeric
     feature columns leniently (bad text -> null).
     """
-    df = _ads_prepared(raw).filter(F.col("_valid_click") & F.col("_valid_hour"))
+    return _typed_ads(_ads_prepared(raw).filter(F.col("_valid_click") & F.col("_valid_hour")))
+
+
+def _typed_ads(df: DataFrame) -> DataFrame:
     typed = {
         "click": F.col("_click").cast("int"),
         "hour": F.trim("hour").cast("bigint"),
@@ -80,11 +83,8 @@ def clean_ads(raw: DataFrame) -> DataFrame:
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STG_ADS.fields])
 
 
-def clean_ads_summary(raw: DataFrame, dataset: str = "avazu_mobile_ads") -> DataFrame:
-    """C14: one-row cleaning summary (drops by reason, unknown counts, CTR, dates)."""
-    df = _ads_prepared(raw)
+def _ads_summary_counters(df: DataFrame) -> list:
     kept = F.col("_valid_click") & F.col("_valid_hour")
-    date = F.to_date("_ts")
 
     def n(cond):
         return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
@@ -98,13 +98,11 @@ def clean_ads_summary(raw: DataFrame, dataset: str = "avazu_mobile_ads") -> Data
     ]
     aggs += [n(kept & F.col(f"flag_unknown_{c}")).alias(f"unknown_{c}")
              for c in FLAG_COLUMNS if f"flag_unknown_{c}" in df.columns]
-    aggs += [
-        n(kept & (F.col("_click") == 1)).alias("_clicks"),
-        F.min(F.when(kept, date)).alias("min_event_date"),
-        F.max(F.when(kept, date)).alias("max_event_date"),
-        F.countDistinct(F.when(kept, date)).alias("distinct_days"),
-    ]
-    s = df.agg(*aggs)
+    aggs.append(n(kept & (F.col("_click") == 1)).alias("_clicks"))
+    return aggs
+
+
+def _finish_ads_summary(s: DataFrame, dataset: str) -> DataFrame:
     ctr = F.when(F.col("output_rows") == 0, F.lit(0.0)).otherwise(
         F.round(F.col("_clicks") / F.col("output_rows"), 6))
     return (s.withColumns({"dataset": F.lit(dataset),
@@ -114,6 +112,42 @@ def clean_ads_summary(raw: DataFrame, dataset: str = "avazu_mobile_ads") -> Data
             .drop("_clicks"))
 
 
+def clean_ads_summary(raw: DataFrame, dataset: str = "avazu_mobile_ads") -> DataFrame:
+    """C14: one-row cleaning summary (drops by reason, unknown counts, CTR, dates)."""
+    df = _ads_prepared(raw)
+    kept = F.col("_valid_click") & F.col("_valid_hour")
+    date = F.to_date("_ts")
+    s = df.agg(*_ads_summary_counters(df),
+               F.min(F.when(kept, date)).alias("min_event_date"),
+               F.max(F.when(kept, date)).alias("max_event_date"),
+               F.countDistinct(F.when(kept, date)).alias("distinct_days"))
+    return _finish_ads_summary(s, dataset)
+
+
+def clean_ads_observed(raw: DataFrame):
+    """C13 + C14 in one pass: the staging rows with the summary counters attached as
+    an ``Observation`` (filled when the returned frame is written).  Use
+    ``observed_ads_summary`` afterwards; the date range and distinct days come from
+    the (small) daily mart, since observed metrics cannot hold a distinct count."""
+    from pyspark.sql import Observation
+    obs = Observation("ads_cleaning_summary")
+    prepared = _ads_prepared(raw)
+    observed = prepared.observe(obs, *_ads_summary_counters(prepared))
+    return _typed_ads(observed.filter(F.col("_valid_click") & F.col("_valid_hour"))), obs
+
+
+def observed_ads_summary(obs, daily: DataFrame, dataset: str = "avazu_mobile_ads") -> DataFrame:
+    """C14 from an ``Observation`` filled by writing ``clean_ads_observed`` output."""
+    spark = daily.sparkSession
+    counters = obs.get
+    row = spark.createDataFrame([tuple(counters.values())],
+                                ", ".join(f"`{k}` bigint" for k in counters))
+    dates = daily.agg(F.min("event_date").alias("min_event_date"),
+                      F.max("event_date").alias("max_event_date"),
+                      F.count(F.lit(1)).alias("distinct_days"))
+    return _finish_ads_summary(row.crossJoin(F.broadcast(dates)), dataset)
+
+
 def unknown_flags(raw: DataFrame) -> DataFrame:
     """C7-C10 as a long table: per monitored column, rows flagged unknown among kept rows."""
     stg = clean_ads(raw)

@@ -98,7 +98,9 @@ def materialize(bundle: Bundle, warehouse: str, ranking: RankingConfig = Ranking
     from ..sources.sinks import write_table
     spark = bundle.stg_ads.sparkSession
     base = warehouse.rstrip("/")
-    write_table(bundle.stg_ads, f"{base}/stg_ad_events", partition_by=("event_date",))
+    # staging and the cleaning counters in one pass over the raw log
+    stg_observed, ads_obs = clean.clean_ads_observed(bundle.raw_ads)
+    write_table(stg_observed, f"{base}/stg_ad_events", partition_by=("event_date",))
     write_table(bundle.stg_experiment, f"{base}/stg_email_experiment")
     stg_ads = spark.read.parquet(f"{base}/stg_ad_events").to(TABLES["stg_ad_events"][1])
     stg_exp = spark.read.parquet(f"{base}/stg_email_experiment").to(
@@ -118,7 +120,7 @@ def materialize(bundle: Bundle, warehouse: str, ranking: RankingConfig = Ranking
         marts[name] = spark.read.parquet(path).drop("created_at")
     out = _derive(bundle.raw_ads, bundle.raw_experiment, stg_ads, stg_exp, ranking, exp,
                   holdout_hours, marts, rollup)
-    return replace(out, ads_summary=bundle.ads_summary,
+    return replace(out, ads_summary=clean.observed_ads_summary(ads_obs, out.daily),
                    experiment_summary=bundle.experiment_summary)
 
 

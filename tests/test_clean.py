@@ -52,3 +52,15 @@ def test_strict_narrowing_raises(spark):
                                   "0", "0", "0")], EXPERIMENT_RAW_TEXT)
     with pytest.raises(Exception):
         clean.clean_experiment(raw).collect()
+
+
+def test_observed_summary_matches_aggregate(spark, scratch):
+    from clickwell.operators.kpi import daily_kpis
+    from clickwell.sources.adapters import raw_ads
+    raw = raw_ads(spark, "/root/testdata/sf0.001")
+    stg, obs = clean.clean_ads_observed(raw)
+    stg.write.parquet(f"{scratch}/stg")
+    daily = daily_kpis(spark.read.parquet(f"{scratch}/stg"))
+    got = clean.observed_ads_summary(obs, daily).first().asDict()
+    want = clean.clean_ads_summary(raw).first().asDict()
+    assert got == want
