@@ -57,7 +57,7 @@ def segment_performance(stg: DataFrame, dims: tuple[str, ...] = SEGMENT_DIMS,
       twice (cross join with a one-row total, scalar subquery) makes adaptive execution
       re-scan the event log for the second consumer, which at scale costs far more.
     * ``checkpoint``: for very high-cardinality dimensions; the aggregated mart is
-      written once with a reliable ``checkpoint()`` to ``spark.checkpoint.dir`` and the
+      written once under ``spark.checkpoint.dir`` (``session.write_shared``) and the
       one-row total is broadcast back, so no task holds more than its share.
     """
     seg = _with_ctr(stg.groupBy(*dims).agg(*_kpi_aggs()))
@@ -66,9 +66,8 @@ def segment_performance(stg: DataFrame, dims: tuple[str, ...] = SEGMENT_DIMS,
         return seg.withColumn("click_share", F.when(total == 0, F.lit(0.0))
                               .otherwise(F.col("clicks").cast("double") / total.cast("double")))
     if total_strategy == "checkpoint":
-        from ..session import checkpoint_dir
-        checkpoint_dir(seg.sparkSession)
-        seg = seg.checkpoint(eager=True)
+        from ..session import write_shared
+        seg = write_shared(seg)
         total = one_row_total(seg, "clicks", "_total_clicks")
         return (seg.crossJoin(F.broadcast(total))
                 .withColumn("click_share", safe_ratio("clicks", "_total_clicks"))

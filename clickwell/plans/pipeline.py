@@ -9,8 +9,6 @@ not from the raw files, and every later step scans the small typed tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,112 +17,124 @@ from ..operators import clean, decide, experiment, forecast, kpi
 from ..schemas import TABLES
 
 
-@dataclass
 class Bundle:
-    raw_ads: DataFrame
-    raw_experiment: DataFrame
-    stg_ads: DataFrame
-    stg_experiment: DataFrame
-    ads_summary: DataFrame
-    experiment_summary: DataFrame
-    daily: DataFrame
-    hourly: DataFrame
-    segments: DataFrame
-    ab: DataFrame
-    forecast_inputs: DataFrame
-    forecast_metrics: DataFrame
-    forecast_results: DataFrame
-    top: DataFrame
-    bottom: DataFrame
-    recommendations: DataFrame
+    """Lazily built pipeline tables.  Each table's plan is constructed on first access
+    and reused, so a consumer that needs one output (say, the recommendations) does not
+    pay for building the others.  ``overrides`` replaces tables, e.g. with marts read
+    back from the warehouse."""
+
+    def __init__(self, raw_ads: DataFrame, raw_experiment: DataFrame,
+                 ranking: RankingConfig = RankingConfig(),
+                 exp: ExperimentConfig = ExperimentConfig(),
+                 holdout_hours: int = DEFAULT_HOLDOUT_HOURS, share: bool = False,
+                 overrides: dict[str, DataFrame] | None = None):
+        self.raw_ads, self.raw_experiment = raw_ads, raw_experiment
+        self.ranking, self.exp, self.holdout_hours, self.share = ranking, exp, holdout_hours, share
+        self._cache: dict[str, DataFrame] = dict(overrides or {})
+
+    def _get(self, name: str, make):
+        if name not in self._cache:
+            self._cache[name] = make()
+        return self._cache[name]
+
+    def _shared(self, df: DataFrame) -> DataFrame:
+        if not self.share:
+            return df
+        from ..session import write_shared
+        return write_shared(df)
+
+    stg_ads = property(lambda self: self._get("stg_ad_events", lambda: clean.clean_ads(self.raw_ads)))
+    stg_experiment = property(lambda self: self._get(
+        "stg_email_experiment", lambda: clean.clean_experiment(self.raw_experiment)))
+    rollup = property(lambda self: self._get("_ad_rollup", lambda: self._shared(
+        kpi.ad_rollup(self.stg_ads, self.ranking.dims))))
+    daily = property(lambda self: self._get("mart_campaign_kpis", lambda: kpi.daily_from(self.rollup)))
+    hourly = property(lambda self: self._get("mart_ctr_trends", lambda: kpi.hourly_from(self.rollup)))
+    segments = property(lambda self: self._get(
+        "mart_device_app_performance", lambda: kpi.segments_from(self.rollup, self.ranking.dims)))
+    ab = property(lambda self: self._get("mart_ab_test_results", lambda: self._shared(
+        experiment.ab_results(self.stg_experiment, self.exp))))
+    forecast_inputs = property(lambda self: self._get("mart_forecast_inputs", lambda: self.hourly))
+    forecast_candidates = property(lambda self: self._get("_forecast_candidates", lambda: (
+        forecast.forecast_candidates(self.forecast_inputs, self.holdout_hours))))
+    forecast_metrics = property(lambda self: self._get(
+        "_forecast_metrics", lambda: forecast.forecast_metrics(self.forecast_candidates)))
+    forecast_results = property(lambda self: self._get(
+        "mart_forecast_results", lambda: forecast.forecast_results(self.forecast_candidates)))
+    top = property(lambda self: self._get("_top", lambda: kpi.top_segments(
+        self.segments, self.ranking.min_impressions, self.ranking.limit, self.ranking.dims)))
+    bottom = property(lambda self: self._get("_bottom", lambda: kpi.bottom_segments(
+        self.segments, self.ranking.min_impressions, self.ranking.limit, self.ranking.dims)))
+    recommendations = property(lambda self: self._get("recommendations", lambda: (
+        decide.recommendations(kpi.portfolio(self.daily), self.top, self.bottom, self.hourly,
+                               self.ab, self.forecast_metrics, exp=self.exp))))
+    ads_summary = property(lambda self: self._get(
+        "_ads_summary", lambda: clean.clean_ads_summary(self.raw_ads)))
+    experiment_summary = property(lambda self: self._get(
+        "_experiment_summary",
+        lambda: clean.clean_experiment_summary(self.raw_experiment, with_counts=True)))
 
     def table(self, name: str) -> DataFrame:
         return {
-            "raw_avazu_ads": self.raw_ads, "raw_hillstrom_email": self.raw_experiment,
-            "stg_ad_events": self.stg_ads, "stg_email_experiment": self.stg_experiment,
-            "mart_campaign_kpis": self.daily, "mart_ctr_trends": self.hourly,
-            "mart_device_app_performance": self.segments, "mart_ab_test_results": self.ab,
-            "mart_forecast_inputs": self.forecast_inputs,
-            "mart_forecast_results": self.forecast_results,
-        }[name]
+            "raw_avazu_ads": lambda: self.raw_ads,
+            "raw_hillstrom_email": lambda: self.raw_experiment,
+            "stg_ad_events": lambda: self.stg_ads,
+            "stg_email_experiment": lambda: self.stg_experiment,
+            "mart_campaign_kpis": lambda: self.daily, "mart_ctr_trends": lambda: self.hourly,
+            "mart_device_app_performance": lambda: self.segments,
+            "mart_ab_test_results": lambda: self.ab,
+            "mart_forecast_inputs": lambda: self.forecast_inputs,
+            "mart_forecast_results": lambda: self.forecast_results,
+        }[name]()
 
 
 def build(raw_ads: DataFrame, raw_experiment: DataFrame,
           ranking: RankingConfig = RankingConfig(), exp: ExperimentConfig = ExperimentConfig(),
           holdout_hours: int = DEFAULT_HOLDOUT_HOURS, share: bool = False) -> Bundle:
     """Lazy bundle.  With ``share`` the small shared intermediates (the one-pass ad
-    rollup and the experiment mart) are written once with a reliable ``checkpoint()``
-    to ``spark.checkpoint.dir``, so the many consumers (rules, checks, locks) read them
-    instead of each re-scanning the raw inputs."""
-    stg_ads = clean.clean_ads(raw_ads)
-    stg_exp = clean.clean_experiment(raw_experiment)
-    rollup = kpi.ad_rollup(stg_ads, ranking.dims)
-    ab = experiment.ab_results(stg_exp, exp)
-    if share:
-        from ..session import checkpoint_dir
-        checkpoint_dir(raw_ads.sparkSession)
-        rollup = rollup.checkpoint(eager=True)
-        ab = ab.checkpoint(eager=True)
-    return _derive(raw_ads, raw_experiment, stg_ads, stg_exp, ranking, exp, holdout_hours,
-                   {"mart_ab_test_results": ab}, rollup)
-
-
-def _derive(raw_ads, raw_exp, stg_ads, stg_exp, ranking, exp, holdout_hours,
-            marts: dict[str, DataFrame] | None = None, rollup: DataFrame | None = None) -> Bundle:
-    m = marts or {}
-    if rollup is None:
-        rollup = kpi.ad_rollup(stg_ads, ranking.dims)
-    daily = m.get("mart_campaign_kpis", kpi.daily_from(rollup))
-    hourly = m.get("mart_ctr_trends", kpi.hourly_from(rollup))
-    seg = m.get("mart_device_app_performance", kpi.segments_from(rollup, ranking.dims))
-    ab = m.get("mart_ab_test_results", experiment.ab_results(stg_exp, exp))
-    f_in = m.get("mart_forecast_inputs", hourly)
-    cand = forecast.forecast_candidates(f_in, holdout_hours)
-    met = forecast.forecast_metrics(cand)
-    res = m.get("mart_forecast_results", forecast.forecast_results(cand))
-    top = kpi.top_segments(seg, ranking.min_impressions, ranking.limit, ranking.dims)
-    bottom = kpi.bottom_segments(seg, ranking.min_impressions, ranking.limit, ranking.dims)
-    recs = decide.recommendations(kpi.portfolio(daily), top, bottom, hourly, ab, met, exp=exp)
-    return Bundle(raw_ads, raw_exp, stg_ads, stg_exp, clean.clean_ads_summary(raw_ads),
-                  clean.clean_experiment_summary(raw_exp, with_counts=True), daily, hourly, seg,
-                  ab, f_in, met, res, top, bottom, recs)
-
-
-def materialize(bundle: Bundle, warehouse: str, ranking: RankingConfig = RankingConfig(),
-                exp: ExperimentConfig = ExperimentConfig(),
-                holdout_hours: int = DEFAULT_HOLDOUT_HOURS) -> Bundle:
+    rollup and the experiment mart) are written once as Parquet under
+    ``spark.checkpoint.dir`` when first used (``session.write_shared``), so the many
+    consumers (rules, checks, locks) read them instead of each re-scanning the raw
+    inputs."""
+    return Bundle(raw_ads, raw_experiment, ranking, exp, holdout_hours, share)
+
+
+def materialize(bundle: Bundle, warehouse: str, ranking: RankingConfig | None = None,
+                exp: ExperimentConfig | None = None,
+                holdout_hours: int | None = None) -> Bundle:
     """Write staging + marts (full refresh, ``created_at`` stamped on marts) and
-    return a bundle reading them back."""
+    return a bundle reading them back.  The ad staging table and the cleaning
+    counters come from one pass over the raw log; all ad marts from one pass over
+    staging (the rollup)."""
     from ..sources.sinks import write_table
-    spark = bundle.stg_ads.sparkSession
+    ranking = ranking or bundle.ranking
+    exp = exp or bundle.exp
+    holdout_hours = bundle.holdout_hours if holdout_hours is None else holdout_hours
+    spark = bundle.raw_ads.sparkSession
     base = warehouse.rstrip("/")
-    # staging and the cleaning counters in one pass over the raw log
     stg_observed, ads_obs = clean.clean_ads_observed(bundle.raw_ads)
     write_table(stg_observed, f"{base}/stg_ad_events", partition_by=("event_date",))
-    write_table(bundle.stg_experiment, f"{base}/stg_email_experiment")
+    write_table(clean.clean_experiment(bundle.raw_experiment), f"{base}/stg_email_experiment")
     stg_ads = spark.read.parquet(f"{base}/stg_ad_events").to(TABLES["stg_ad_events"][1])
     stg_exp = spark.read.parquet(f"{base}/stg_email_experiment").to(
         TABLES["stg_email_experiment"][1])
-    # one scan of the ad staging table for all ad marts: write the small rollup once
     write_table(kpi.ad_rollup(stg_ads, ranking.dims), f"{base}/_ad_rollup")
-    rollup = spark.read.parquet(f"{base}/_ad_rollup")
-    lazy = _derive(bundle.raw_ads, bundle.raw_experiment, stg_ads, stg_exp, ranking, exp,
-                   holdout_hours, rollup=rollup)
-    marts = {}
+    overrides = {"stg_ad_events": stg_ads, "stg_email_experiment": stg_exp,
+                 "_ad_rollup": spark.read.parquet(f"{base}/_ad_rollup")}
+    lazy = Bundle(bundle.raw_ads, bundle.raw_experiment, ranking, exp, holdout_hours,
+                  overrides=overrides)
     for name, (layer, schema) in TABLES.items():
         if layer != "mart":
             continue
         path = f"{base}/{name}"
         write_table(lazy.table(name).to(schema).withColumn("created_at", F.current_timestamp()),
                     path)
-        marts[name] = spark.read.parquet(path).drop("created_at")
-    out = _derive(bundle.raw_ads, bundle.raw_experiment, stg_ads, stg_exp, ranking, exp,
-                  holdout_hours, marts, rollup)
-    return replace(out, ads_summary=clean.observed_ads_summary(ads_obs, out.daily),
-                   experiment_summary=bundle.experiment_summary)
-
-
-__all__ = ["Bundle", "build", "materialize", "fields"]
+        overrides[name] = spark.read.parquet(path).drop("created_at")
+    out = Bundle(bundle.raw_ads, bundle.raw_experiment, ranking, exp, holdout_hours,
+                 overrides=overrides)
+    overrides["_ads_summary"] = clean.observed_ads_summary(ads_obs, out.daily)
+    overrides["_experiment_summary"] = bundle.experiment_summary
+    return out
 
 
 def run_all(raw_ads: DataFrame, raw_experiment: DataFrame, warehouse: str,

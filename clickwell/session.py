@@ -47,3 +47,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
+
+
+def write_shared(df):
+    """Cut lineage by writing ``df`` once as Parquet to a new folder under the shared
+    checkpoint directory and reading it back.  One job (a reliable RDD checkpoint
+    computes the data twice unless it is also cached); the result survives executor
+    loss and is columnar for the readers that follow."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/shared-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
