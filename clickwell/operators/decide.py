@@ -40,7 +40,9 @@ _NUM = ("ctr", "impressions", "click_share", "pctr", "lift", "rel", "p", "inc",
 
 
 def _evidence_text(kind, v: dict, alpha: float) -> str:
-    """Evidence sentence with Python number formatting (see ``functions.text``)."""
+    """Evidence sentence with Python number formatting (see ``functions.text``).
+
+    The sentence templates are fixed output values that must equal the reference."""
     def num(x):
         return float("nan") if x is None or x != x else float(x)
     if kind == "segment_scale":

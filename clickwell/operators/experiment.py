@@ -154,6 +154,7 @@ def scenario_lift(results: DataFrame, scenarios: DataFrame | None = None,
     )
 
 
+# --- fixed values that must equal the reference: arm-matrix row labels ---------
 MATRIX_METRICS = (
     ("Recipients", "recipients"),
     ("Conversions", "conversions"),

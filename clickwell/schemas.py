@@ -47,7 +47,7 @@ RAW_EXPERIMENT = _struct(
     ("conversion", I), ("spend", D),
 )
 
-# Monitored columns for unknown-value flags, in output order.
+# --- fixed values that must equal the reference: monitored columns (output order)
 FLAG_COLUMNS = [
     "site_id", "site_domain", "site_category", "app_id", "app_domain", "app_category",
     "device_id", "device_model", "device_type",

@@ -71,6 +71,7 @@ def raw_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.selectExpr(*[f"{ADS_EXPRS[c]} AS {c}" for c in ADS_RAW_COLUMNS])
 
 
+# Raw arm labels of the experiment file (fixed values; see config.SEGMENT_MAP).
 ARM_LABELS = ("No E-Mail", "Mens E-Mail", "Womens E-Mail")
 
 
