@@ -49,7 +49,7 @@ def validation_checks(*, raw_ads: DataFrame, raw_experiment: DataFrame, stg_ads:
                       experiment_summary: DataFrame, tol: float = VALIDATION_TOLERANCE,
                       pending_marts: dict[str, DataFrame] | None = None) -> DataFrame:
     """The 25 named checks as rows (check_order, check_name, status, expected,
-    actual).  Expectations come from the cleaning summaries."""
+    actual, message).  Expectations come from the cleaning summaries."""
     def cnt(df, alias):
         return df.agg(F.count(F.lit(1)).alias(alias))
 
@@ -157,11 +157,18 @@ def validation_checks(*, raw_ads: DataFrame, raw_experiment: DataFrame, stg_ads:
                              act.cast("string").alias("actual"))
                     for i, (name, ok, exp, act) in enumerate(checks)])
     out = row.select(F.explode(arr).alias("c")).select("c.*")
+    out = out.withColumn("message", F.concat(
+        F.col("check_name"), F.lit(": "), F.col("status"), F.lit(" (expected "),
+        F.coalesce(F.col("expected"), F.lit("None")), F.lit(", actual "),
+        F.coalesce(F.col("actual"), F.lit("None")), F.lit(")")))
     for name, df in (pending_marts or {}).items():   # V9: marts not yet built stay empty
         out = out.unionByName(df.agg(F.count(F.lit(1)).alias("n")).select(
             F.lit(len(checks)).alias("check_order"), F.lit(f"{name}_empty").alias("check_name"),
             F.when(F.col("n") == 0, "pass").otherwise("fail").alias("status"),
-            F.lit("0").alias("expected"), F.col("n").cast("string").alias("actual")))
+            F.lit("0").alias("expected"), F.col("n").cast("string").alias("actual"),
+            F.concat(F.lit(f"{name}_empty: "), F.when(F.col("n") == 0, "pass").otherwise("fail"),
+                     F.lit(" (expected 0, actual "), F.col("n").cast("string"), F.lit(")"))
+            .alias("message")))
     return out
 
 

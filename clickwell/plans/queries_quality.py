@@ -151,7 +151,10 @@ def _qsql(body: str) -> str:
     return contrast(sql)
 
 
-@register("validation_checks", _qsql("SELECT * FROM checks"))
+@register("validation_checks", _qsql("""
+SELECT *, check_name || ': ' || status || ' (expected ' || coalesce(expected, 'None')
+          || ', actual ' || coalesce(actual, 'None') || ')' AS message
+FROM checks"""))
 def validation_checks(spark, sf):
     return _checks(bundle(spark, sf))
 

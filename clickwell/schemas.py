@@ -87,8 +87,8 @@ MART_FORECAST_RESULTS = _struct(
 )
 RECOMMENDATIONS = _struct(("channel", S), ("segment", S), ("metric", S), ("action", S),
                           ("evidence", S), ("caveat", S))
-VALIDATION_CHECKS = _struct(("check_name", S), ("status", S), ("expected", S), ("actual", S),
-                            ("message", S))
+VALIDATION_CHECKS = _struct(("check_order", I), ("check_name", S), ("status", S),
+                            ("expected", S), ("actual", S), ("message", S))
 
 # Table registry: name -> (layer, schema).  The ten contracts of the warehouse.
 TABLES = {
