@@ -90,20 +90,29 @@ def table_inventory(tables: dict[str, tuple[str, DataFrame | None]]) -> DataFram
     return out
 
 
+def copy_tree(spark: SparkSession, src: str, dst: str) -> None:
+    """Copy a written output (file or directory) between Hadoop-compatible URIs."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    sp, dp = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    dst_fs = dp.getFileSystem(conf)
+    if dst_fs.exists(dp):
+        dst_fs.delete(dp, True)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(sp.getFileSystem(conf), sp, dst_fs, dp, False, conf)
+
+
 def export_mart(df: DataFrame, file_name: str, zones: Sequence[str],
                 order_by: Sequence[str]) -> int:
-    """Mart without ``created_at`` as CSV (header), sorted, to every zone.  The
-    sorted frame is persisted so each zone receives identical rows; the output stays
-    partitioned (range-partitioned by the sort) rather than forced into one task."""
+    """Mart without ``created_at`` as CSV (header), sorted, written once to the
+    first zone and copied byte for byte to the others.  The output stays partitioned
+    (range-partitioned by the sort) rather than forced into one task."""
     out = df.drop("created_at")
-    out = (out.orderBy(*order_by) if order_by else out).persist()
-    try:
-        n = 0
-        for zone in zones:
-            n = write_table(out, f"{zone.rstrip('/')}/{file_name}", fmt="csv")
-        return n
-    finally:
-        out.unpersist()
+    out = out.orderBy(*order_by) if order_by else out
+    first = f"{zones[0].rstrip('/')}/{file_name}"
+    n = write_table(out, first, fmt="csv")
+    for zone in zones[1:]:
+        copy_tree(df.sparkSession, first, f"{zone.rstrip('/')}/{file_name}")
+    return n
 
 
 def recommendation_matrix(recs: DataFrame) -> DataFrame:

@@ -79,3 +79,9 @@ def test_scenario_and_matrix(raw_exp_tiny, spark):
     mx = X.arm_matrix(ab).orderBy("metric_order").collect()
     assert [r.metric for r in mx][:3] == ["Recipients", "Conversions", "Conversion rate"]
     assert mx[0].mens_email == 2.0
+
+
+def test_rounded_summary_rows(raw_exp_tiny):
+    stg = clean.clean_experiment(raw_exp_tiny)
+    r = {x.treatment_group: x for x in X.ab_rounded(X.ab_results(stg, with_z=True)).collect()}
+    assert r["mens_email"].ci_lower == -0.192952 and r["mens_email"].p_value == 0.386476

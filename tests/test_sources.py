@@ -53,6 +53,11 @@ def test_export_two_zones_and_read_back(spark, scratch):
     back = readers.read_exports(spark, {z: (os.path.join(z, "campaign_kpis.csv"), MART_CAMPAIGN_KPIS)
                                         for z in zones})
     assert [tuple(r) for r in back[zones[0]].collect()] == [tuple(r) for r in back[zones[1]].collect()]
+    import filecmp
+    a, b = (os.path.join(z, "campaign_kpis.csv") for z in zones)
+    parts = sorted(f for f in os.listdir(a) if f.startswith("part-"))
+    assert parts and parts == sorted(f for f in os.listdir(b) if f.startswith("part-"))
+    assert all(filecmp.cmp(os.path.join(a, f), os.path.join(b, f), shallow=False) for f in parts)
     with pytest.raises(FileNotFoundError):
         readers.read_exports(spark, {"x": (os.path.join(scratch, "nope.csv"), MART_CAMPAIGN_KPIS)})
 
