@@ -114,23 +114,26 @@ def ab_results(stg: DataFrame, cfg: ExperimentConfig = ExperimentConfig(),
     return out.select(*cols)
 
 
-def ab_summary(results: DataFrame, staging_rows: DataFrame) -> DataFrame:
-    """Arms, total recipients, significant arms (comma list, by name) and the
-    reconciliation flag (recipients == staging rows).  ``staging_rows``: one-row frame."""
+def ab_summary(results: DataFrame, staging_rows: DataFrame,
+               cfg: ExperimentConfig = ExperimentConfig()) -> DataFrame:
+    """Mart rows, total recipients, significant treatment arms (comma list, by
+    name) and the reconciliation flag (recipients == staging rows).  ``staging_rows``
+    is a one-row frame with column ``staging_row_count``."""
+    significant = F.col("statistically_significant") & (F.col("treatment_group") != cfg.control)
     s = results.agg(
-        F.count(F.lit(1)).alias("arms"),
+        F.count(F.lit(1)).alias("mart_row_count"),
         F.coalesce(F.sum("recipients"), F.lit(0)).cast("bigint").alias("total_recipients"),
         F.coalesce(F.sum("conversions"), F.lit(0)).cast("bigint").alias("total_conversions"),
         F.concat_ws(",", F.array_sort(F.collect_list(
-            F.when(F.col("statistically_significant"), F.col("treatment_group")))))
-        .alias("significant_groups"),
+            F.when(significant, F.col("treatment_group"))))).alias("significant_treatments"),
     )
     return (s.crossJoin(F.broadcast(staging_rows))
             .withColumns({
+                "significance_alpha": F.lit(float(cfg.alpha)),
                 "overall_conversion_rate": F.round(safe_ratio("total_conversions",
                                                               "total_recipients"), 6),
-                "success": (F.col("arms") > 0)
-                           & (F.col("total_recipients") == F.col("staging_rows"))}))
+                "success": (F.col("mart_row_count") > 0)
+                           & (F.col("total_recipients") == F.col("staging_row_count"))}))
 
 
 # Digits per column in the experiment summary's rounded rows (fixed values).

@@ -118,15 +118,25 @@ def forecast_results(candidates: DataFrame, series_cols: tuple[str, ...] = ()) -
         "forecast_ctr", "model_name", "mae", "rmse", "mape")
 
 
-def forecast_summary(metrics: DataFrame, results: DataFrame) -> DataFrame:
-    """one row: hours, selected model, its metrics, row count and success flag."""
+def forecast_summary(metrics: DataFrame, results: DataFrame, hourly: DataFrame,
+                     staging_rows: DataFrame) -> DataFrame:
+    """one row: series length, result rows, hours, selected model and its
+    metrics, total input impressions and the reconciliation flag (series long enough,
+    results present, input impressions == staging rows, MAE present).
+    ``staging_rows`` is a one-row frame with column ``staging_row_count``."""
     sel = metrics.filter("selected").select(
         "train_hours", "holdout_hours", F.col("model_name").alias("selected_model"),
         "mae", "rmse", "mape")
     models = metrics.agg(F.count(F.lit(1)).alias("models_evaluated"))
-    rows = results.agg(F.count(F.lit(1)).alias("result_rows"))
-    out = sel.crossJoin(F.broadcast(models)).crossJoin(F.broadcast(rows))
-    return out.withColumn("success", (F.col("result_rows") == F.col("holdout_hours"))
+    rows = results.agg(F.count(F.lit(1)).alias("results_row_count"))
+    series = hourly.agg(F.count(F.lit(1)).alias("input_row_count"),
+                        F.coalesce(F.sum("impressions"), F.lit(0)).cast("bigint")
+                        .alias("total_impressions"))
+    out = (sel.crossJoin(F.broadcast(models)).crossJoin(F.broadcast(rows))
+           .crossJoin(F.broadcast(series)).crossJoin(F.broadcast(staging_rows)))
+    return out.withColumn("success", (F.col("input_row_count") >= MIN_SERIES_LENGTH)
+                          & (F.col("results_row_count") > 0)
+                          & (F.col("total_impressions") == F.col("staging_row_count"))
                           & F.col("mae").isNotNull())
 
 

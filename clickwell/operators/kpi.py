@@ -115,41 +115,44 @@ def kpi_summary(stg: DataFrame, date_col: str = "event_date") -> DataFrame:
     by_day = stg.groupBy(date_col).agg(*_kpi_aggs())
     dated = F.col(date_col).isNotNull()
     s = by_day.agg(
-        F.sum(F.when(dated, 1).otherwise(0)).cast("bigint").alias("days"),
+        F.sum(F.when(dated, 1).otherwise(0)).cast("bigint").alias("mart_row_count"),
         F.coalesce(F.sum(F.when(dated, F.col("impressions"))), F.lit(0)).cast("bigint")
         .alias("total_impressions"),
         F.coalesce(F.sum(F.when(dated, F.col("clicks"))), F.lit(0)).cast("bigint")
         .alias("total_clicks"),
         F.min(date_col).alias("min_event_date"),
         F.max(date_col).alias("max_event_date"),
-        F.coalesce(F.sum("impressions"), F.lit(0)).cast("bigint").alias("staging_rows"),
+        F.coalesce(F.sum("impressions"), F.lit(0)).cast("bigint").alias("staging_row_count"),
     )
     return s.withColumns({
         "overall_ctr": F.round(safe_ratio("total_clicks", "total_impressions"), 6),
-        "success": (F.col("days") > 0) & (F.col("total_impressions") == F.col("staging_rows")),
+        "success": (F.col("mart_row_count") > 0)
+                   & (F.col("total_impressions") == F.col("staging_row_count")),
     })
 
 
 def hourly_range(hourly: DataFrame, segments: DataFrame, staging_rows: DataFrame) -> DataFrame:
-    """A10: funnel summary over the hourly mart: totals, overall CTR, CTR range,
-    mart row counts and the reconciliation flag.  ``staging_rows`` is a one-row
-    frame with column ``staging_rows``."""
+    """A10 from built marts: hourly totals, overall CTR, CTR range (6 dp), mart row
+    counts and the reconciliation flag.  ``staging_rows`` is a one-row frame with
+    column ``staging_row_count``."""
     h = hourly.agg(
         F.count(F.lit(1)).alias("hourly_rows"),
         F.coalesce(F.sum("impressions"), F.lit(0)).cast("bigint").alias("total_impressions"),
         F.coalesce(F.sum("clicks"), F.lit(0)).cast("bigint").alias("total_clicks"),
-        F.min("ctr").alias("min_hourly_ctr"),
-        F.max("ctr").alias("max_hourly_ctr"),
+        F.round(F.min("ctr"), 6).alias("min_hourly_ctr"),
+        F.round(F.max("ctr"), 6).alias("max_hourly_ctr"),
     )
     s = segments.agg(F.count(F.lit(1)).alias("segment_rows"),
                      F.coalesce(F.sum("impressions"), F.lit(0)).cast("bigint")
                      .alias("segment_impressions"))
-    out = h.crossJoin(F.broadcast(s)).crossJoin(F.broadcast(staging_rows))
-    return out.withColumns({
+    return _funnel_flags(h.crossJoin(F.broadcast(s)).crossJoin(F.broadcast(staging_rows)))
+
+
+def _funnel_flags(df: DataFrame) -> DataFrame:
+    return df.withColumns({
         "overall_ctr": F.round(safe_ratio("total_clicks", "total_impressions"), 6),
         "success": ((F.col("hourly_rows") > 0) & (F.col("segment_rows") > 0)
-                    & (F.col("total_impressions") == F.col("staging_rows"))
-                    & (F.col("segment_impressions") == F.col("staging_rows"))),
+                    & (F.col("total_impressions") == F.col("staging_row_count"))),
     })
 
 
@@ -210,9 +213,10 @@ def segments_from(rollup: DataFrame, dims: tuple[str, ...] = SEGMENT_DIMS) -> Da
 
 
 def staging_rows_from(rollup: DataFrame) -> DataFrame:
-    """Staging row count (one row, ``staging_rows``): every row is in one hourly group."""
+    """Staging row count (one row, ``staging_row_count``): every row is in exactly one
+    (date, hour) group."""
     return rollup.filter(F.col("_set") == HOURLY_SET).agg(
-        F.coalesce(F.sum("impressions"), F.lit(0)).cast("bigint").alias("staging_rows"))
+        F.coalesce(F.sum("impressions"), F.lit(0)).cast("bigint").alias("staging_row_count"))
 
 
 def funnel_summary(rollup: DataFrame, date_col: str = "event_date",
@@ -231,15 +235,10 @@ def funnel_summary(rollup: DataFrame, date_col: str = "event_date",
         F.sum(F.when(hourly_row, 1).otherwise(0)).cast("bigint").alias("hourly_rows"),
         total(hourly_row, "impressions").alias("total_impressions"),
         total(hourly_row, "clicks").alias("total_clicks"),
-        F.min(F.when(hourly_row, ctr)).alias("min_hourly_ctr"),
-        F.max(F.when(hourly_row, ctr)).alias("max_hourly_ctr"),
+        F.round(F.min(F.when(hourly_row, ctr)), 6).alias("min_hourly_ctr"),
+        F.round(F.max(F.when(hourly_row, ctr)), 6).alias("max_hourly_ctr"),
         F.sum(F.when(seg_row, 1).otherwise(0)).cast("bigint").alias("segment_rows"),
         total(seg_row, "impressions").alias("segment_impressions"),
-        total(hourly_set, "impressions").alias("staging_rows"),
+        total(hourly_set, "impressions").alias("staging_row_count"),
     )
-    return s.withColumns({
-        "overall_ctr": F.round(safe_ratio("total_clicks", "total_impressions"), 6),
-        "success": ((F.col("hourly_rows") > 0) & (F.col("segment_rows") > 0)
-                    & (F.col("total_impressions") == F.col("staging_rows"))
-                    & (F.col("segment_impressions") == F.col("staging_rows"))),
-    })
+    return _funnel_flags(s)

@@ -94,20 +94,23 @@ def ab_pvalue(spark, sf):
 
 
 @register("ab_summary", _exp_sql(f"""
-SELECT CAST(count(*) AS BIGINT) AS arms,
+SELECT CAST(count(*) AS BIGINT) AS mart_row_count,
        CAST(coalesce(sum(recipients), 0) AS BIGINT) AS total_recipients,
        CAST(coalesce(sum(conversions), 0) AS BIGINT) AS total_conversions,
-       coalesce(string_agg(CASE WHEN statistically_significant THEN treatment_group END, ','
-                           ORDER BY CASE WHEN statistically_significant THEN treatment_group END),
-                '') AS significant_groups,
-       (SELECT CAST(count(*) AS BIGINT) FROM stg_exp) AS staging_rows,
+       coalesce(string_agg(CASE WHEN statistically_significant AND treatment_group != {CTRL}
+                                THEN treatment_group END, ','
+                           ORDER BY CASE WHEN statistically_significant
+                                         AND treatment_group != {CTRL}
+                                         THEN treatment_group END), '') AS significant_treatments,
+       (SELECT CAST(count(*) AS BIGINT) FROM stg_exp) AS staging_row_count,
+       CAST('{SIGNIFICANCE_ALPHA!r}' AS DOUBLE) AS significance_alpha,
        round({ratio('coalesce(sum(conversions), 0)', 'coalesce(sum(recipients), 0)')}, 6)
          AS overall_conversion_rate,
        count(*) > 0 AND coalesce(sum(recipients), 0) = (SELECT count(*) FROM stg_exp) AS success
 FROM ab_sig"""))
 def ab_summary(spark, sf):
     stg = inputs.stg_experiment(spark, sf)
-    rows = stg.agg(F.count(F.lit(1)).alias("staging_rows"))
+    rows = stg.agg(F.count(F.lit(1)).alias("staging_row_count"))
     return X.ab_summary(X.ab_results(stg, with_p_value=False), rows)
 
 

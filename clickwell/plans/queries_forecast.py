@@ -94,12 +94,22 @@ def forecast_results_1h(spark, sf):
     return FC.run_forecast(inputs.hourly(spark, sf), 1)[2]
 
 
-@register("forecast_summary", _sql("""
+@register("forecast_summary", with_ctes(["hourly", "stg_ads"], """
 SELECT m.train_hours, m.holdout_hours, m.model_name AS selected_model, m.mae, m.rmse, m.mape,
        (SELECT CAST(count(*) AS BIGINT) FROM metrics) AS models_evaluated,
-       (SELECT CAST(count(*) AS BIGINT) FROM results) AS result_rows,
-       (SELECT count(*) FROM results) = m.holdout_hours AND m.mae IS NOT NULL AS success
-FROM metrics m WHERE m.selected"""))
+       (SELECT CAST(count(*) AS BIGINT) FROM results) AS results_row_count,
+       (SELECT CAST(count(*) AS BIGINT) FROM hourly) AS input_row_count,
+       (SELECT CAST(coalesce(sum(impressions), 0) AS BIGINT) FROM hourly) AS total_impressions,
+       (SELECT CAST(count(*) AS BIGINT) FROM stg_ads) AS staging_row_count,
+       (SELECT count(*) FROM hourly) >= 2 AND (SELECT count(*) FROM results) > 0
+         AND (SELECT coalesce(sum(impressions), 0) FROM hourly) = (SELECT count(*) FROM stg_ads)
+         AND m.mae IS NOT NULL AS success
+FROM metrics m WHERE m.selected""", forecast_ctes(HOLDOUT)))
 def forecast_summary(spark, sf):
-    _, met, res = FC.run_forecast(inputs.hourly(spark, sf), HOLDOUT)
-    return FC.forecast_summary(met, res)
+    from ..operators import kpi
+    roll = kpi.ad_rollup(inputs.stg_ads(spark, sf))
+    from ..session import write_shared
+    roll = write_shared(roll)          # one scan of staging feeds all four consumers
+    hourly = kpi.hourly_from(roll)
+    _, met, res = FC.run_forecast(hourly, HOLDOUT)
+    return FC.forecast_summary(met, res, hourly, kpi.staging_rows_from(roll))

@@ -59,13 +59,13 @@ def bottom_segments(spark, sf):
 
 
 @register("kpi_summary", with_ctes(["stg_ads"], f"""
-SELECT CAST(sum(CASE WHEN event_date IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS days,
+SELECT CAST(sum(CASE WHEN event_date IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS mart_row_count,
        CAST(coalesce(sum(CASE WHEN event_date IS NOT NULL THEN impressions END), 0) AS BIGINT)
          AS total_impressions,
        CAST(coalesce(sum(CASE WHEN event_date IS NOT NULL THEN clicks END), 0) AS BIGINT)
          AS total_clicks,
        min(event_date) AS min_event_date, max(event_date) AS max_event_date,
-       CAST(coalesce(sum(impressions), 0) AS BIGINT) AS staging_rows,
+       CAST(coalesce(sum(impressions), 0) AS BIGINT) AS staging_row_count,
        round({ratio('coalesce(sum(CASE WHEN event_date IS NOT NULL THEN clicks END), 0)',
                     'coalesce(sum(CASE WHEN event_date IS NOT NULL THEN impressions END), 0)')}, 6)
          AS overall_ctr,
@@ -79,17 +79,18 @@ def kpi_summary(spark, sf):
 
 
 @register("hourly_range", with_ctes(["hourly", "segments"], f"""
-SELECT h.*, s.*, r.staging_rows,
+SELECT h.*, s.*, r.staging_row_count,
        round({ratio('h.total_clicks', 'h.total_impressions')}, 6) AS overall_ctr,
-       h.hourly_rows > 0 AND s.segment_rows > 0 AND h.total_impressions = r.staging_rows
-         AND s.segment_impressions = r.staging_rows AS success
+       h.hourly_rows > 0 AND s.segment_rows > 0 AND h.total_impressions = r.staging_row_count
+         AS success
 FROM (SELECT CAST(count(*) AS BIGINT) AS hourly_rows,
              CAST(coalesce(sum(impressions), 0) AS BIGINT) AS total_impressions,
              CAST(coalesce(sum(clicks), 0) AS BIGINT) AS total_clicks,
-             min(ctr) AS min_hourly_ctr, max(ctr) AS max_hourly_ctr FROM hourly) h
+             round(min(ctr), 6) AS min_hourly_ctr, round(max(ctr), 6) AS max_hourly_ctr
+      FROM hourly) h
 CROSS JOIN (SELECT CAST(count(*) AS BIGINT) AS segment_rows,
                    CAST(coalesce(sum(impressions), 0) AS BIGINT) AS segment_impressions
             FROM segments) s
-CROSS JOIN (SELECT CAST(count(*) AS BIGINT) AS staging_rows FROM stg_ads) r"""))
+CROSS JOIN (SELECT CAST(count(*) AS BIGINT) AS staging_row_count FROM stg_ads) r"""))
 def hourly_range(spark, sf):
     return kpi.funnel_summary(kpi.ad_rollup(inputs.stg_ads(spark, sf)))
