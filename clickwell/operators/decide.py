@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from ..config import ACTIONS, ExperimentConfig, RuleConfig
 from ..functions.text import py_format, text_or_none, thousands
-from .experiment import arm_rank
 
 # --- fixed values that must equal the reference ----------------------------------
 AD_CHANNEL = "Mobile display (Avazu)"
@@ -132,7 +131,9 @@ def recommendations(portfolio_row: DataFrame, top: DataFrame, bottom: DataFrame,
     action = (F.when(sig & (lift > 0), F.lit("Scale")).when(~sig, F.lit("Retest"))
               .when(lift <= 0, F.lit("Pause")))
     kind = F.concat(F.lit("arm_"), F.lower(action))
-    arm_rows = _rows(arms.filter(action.isNotNull()), 5, arm_rank(exp), EMAIL_CHANNEL,
+    # arms are walked in name order (ties in the headline pick resolve the same way)
+    arm_rows = _rows(arms.filter(action.isNotNull()), 5,
+                     F.row_number().over(Window.orderBy("treatment_group")), EMAIL_CHANNEL,
                      c("treatment_label"), "Visit conversion rate", action, kind, "",
                      lift=lift, rel=c("relative_lift_pct"), p=c("p_value"),
                      inc=c("incremental_revenue"))
@@ -182,7 +183,7 @@ def headline(recs: DataFrame, top: DataFrame, ab: DataFrame,
         F.concat(py_format("ctr", ".2%"), F.lit(" CTR on "), thousands("impressions"),
                  F.lit(" impressions")).alias("detail"))
     arms = ab.filter(F.col("treatment_group") != exp.control)
-    best = arms.orderBy(F.col("absolute_lift").desc(), arm_rank(exp)).limit(1).select(
+    best = arms.orderBy(F.col("absolute_lift").desc(), F.col("treatment_group")).limit(1).select(
         F.lit("best_treatment").alias("item"), F.lit(1).alias("item_order"),
         F.col("treatment_label").alias("segment"),
         F.concat(F.lit("+"), py_format("absolute_lift", ".2%"),

@@ -102,7 +102,7 @@ DECIDE_CTES = [
            WHEN 'Retest' THEN 'Lift ' || {_pct('absolute_lift', 2)} ||
              ' not significant at alpha 0.05 (p=' || {_P4} || ')'
            ELSE 'Negative lift ' || {_pct('absolute_lift', 2)} || ' vs control' END,
-         '', 5, arm_rank
+         '', 5, CAST(row_number() OVER (ORDER BY treatment_group) AS INTEGER)
   FROM (SELECT *, CASE WHEN statistically_significant AND absolute_lift > 0 THEN 'Scale'
                        WHEN NOT statistically_significant THEN 'Retest'
                        WHEN absolute_lift <= 0 THEN 'Pause' END AS act
@@ -171,7 +171,7 @@ UNION ALL
 SELECT * FROM (SELECT 'best_treatment', 1, treatment_label,
                       '+' || printf('%.2f%%', absolute_lift * 100) || ' absolute visit lift'
                FROM abp WHERE treatment_group != 'control'
-               ORDER BY absolute_lift DESC, arm_rank LIMIT 1) b
+               ORDER BY absolute_lift DESC, treatment_group LIMIT 1) b
 UNION ALL
 SELECT lower(action), CAST(item_order AS INTEGER), segment, evidence
 FROM (SELECT *, row_number() OVER (PARTITION BY action ORDER BY rule_order, row_order)
