@@ -26,18 +26,14 @@ def arm_metrics(stg: DataFrame, cfg: ExperimentConfig = ExperimentConfig(),
     ``money_type`` is None; rates are ratios of exact integer sums."""
     rev = F.col(cfg.revenue_col)
     rev = rev.cast(money_type) if money_type else rev
-    # Hash aggregation on (arm, label): a string MAX buffer would force a sort-based
-    # aggregate over every row.  The label MAX is then taken over the k x labels
-    # partial rows, which is tiny.
-    by_label = stg.groupBy(cfg.arm_col, cfg.label_col).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(F.col(cfg.outcome_col)).cast("bigint").alias("_conv"),
-        F.sum(rev).alias("_rev"))
-    m = by_label.groupBy(cfg.arm_col).agg(
-        F.max(cfg.label_col).alias("treatment_label"),
-        F.sum("_n").alias("recipients"),
-        F.sum("_conv").cast("bigint").alias("conversions"),
-        F.sum("_rev").cast("double").alias("total_revenue"),
+    # MAX of a string has no fixed-width buffer and would force a sort-based aggregate
+    # over every row; the max of the per-arm label *set* runs in the object hash
+    # aggregate instead (one label per arm in practice, so the set stays tiny).
+    m = stg.groupBy(cfg.arm_col).agg(
+        F.array_max(F.collect_set(cfg.label_col)).alias("treatment_label"),
+        F.count(F.lit(1)).alias("recipients"),
+        F.sum(F.col(cfg.outcome_col)).cast("bigint").alias("conversions"),
+        F.sum(rev).cast("double").alias("total_revenue"),
     )
     return (m.withColumnRenamed(cfg.arm_col, "treatment_group")
             .withColumns({"conversion_rate": safe_ratio("conversions", "recipients"),
