@@ -32,10 +32,11 @@ def daily_kpis(stg: DataFrame, date_col: str = "event_date") -> DataFrame:
 
 
 def hourly_trends(stg: DataFrame, date_col: str = "event_date",
-                  hour_col: str = "event_hour") -> DataFrame:
-    """A3 / F1: per (date, hour); rows missing either are dropped."""
+                  hour_col: str = "event_hour", by: tuple[str, ...] = ()) -> DataFrame:
+    """A3 / F1: per (date, hour); rows missing either are dropped.  ``by`` adds series
+    keys (e.g. ``("device_type",)``) for forecasting many series in parallel."""
     return _with_ctr(stg.filter(F.col(date_col).isNotNull() & F.col(hour_col).isNotNull())
-                     .groupBy(date_col, hour_col).agg(*_kpi_aggs()))
+                     .groupBy(*by, date_col, hour_col).agg(*_kpi_aggs()))
 
 
 def one_row_total(mart: DataFrame, col: str, alias: str) -> DataFrame:

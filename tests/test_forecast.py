@@ -56,3 +56,18 @@ def test_tie_prefers_moving_average(spark):
     cand = FC.forecast_candidates(_hourly(spark, [5, 5, 5, 5]), 1)
     met = {r.model_name: r for r in FC.forecast_metrics(cand).collect()}
     assert met["moving_average_3"].selected and met["moving_average_3"].mae == 0.0
+
+
+def test_many_series_in_parallel(spark):
+    from clickwell.operators import kpi
+    from clickwell.plans import inputs
+    stg = inputs.stg_ads(spark, "/root/testdata/sf0.001")
+    by = kpi.hourly_trends(stg, by=("banner_pos",))
+    _, met, res = FC.run_forecast(by, 24, series_cols=("banner_pos",))
+    got = {(r.banner_pos, r.event_date, r.event_hour): r.forecast_clicks for r in res.collect()}
+    for pos in (0, 1):
+        one = kpi.hourly_trends(stg.filter(stg.banner_pos == pos))
+        _, _, r1 = FC.run_forecast(one, 24)
+        want = {(pos, r.event_date, r.event_hour): r.forecast_clicks for r in r1.collect()}
+        assert want and all(got[k] == v for k, v in want.items())
+    assert met.filter("selected").count() == 2
