@@ -37,16 +37,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_FALLBACK_DIRS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the session setting if present, else a new scratch dir."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """Shared checkpoint folder: the session's ``spark.checkpoint.dir`` if set (the
+    folder a cluster names), else one scratch folder per application (tests, local
+    runs).  The setting itself is never changed: it is a core config."""
+    configured = (spark.conf.get("spark.checkpoint.dir", None)
+                  or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    scratch = tempfile.mkdtemp(prefix="clickwell-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    spark.sparkContext.setCheckpointDir(scratch)
-    return scratch
+    app = spark.sparkContext.applicationId
+    if app not in _FALLBACK_DIRS:
+        _FALLBACK_DIRS[app] = tempfile.mkdtemp(prefix="clickwell-ckpt-",
+                                               dir=os.environ.get("TMPDIR", "/tmp"))
+        spark.sparkContext.setCheckpointDir(_FALLBACK_DIRS[app])
+    return _FALLBACK_DIRS[app]
 
 
 def write_shared(df):

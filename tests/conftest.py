@@ -11,8 +11,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from clickwell.session import local_session
     s = local_session(cores=4, shuffle_partitions=4, app_name="clickwell-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clickwell-test-ckpt-"))
     yield s
     s.stop()
 

@@ -90,3 +90,21 @@ def test_json_summary_round_trip(spark, scratch):
     assert sorted(r.dataset for r in got.collect()) == ["ads", "exp"]
     sinks.merge_summary(spark, df, "ads", p)
     assert readers.read_json_summary(spark, p).count() == 2
+
+
+def test_checkpoint_dir_without_setting(spark, monkeypatch):
+    """With no ``spark.checkpoint.dir`` the library falls back to one scratch folder
+    per application instead of changing the (core) setting."""
+    from clickwell import session
+    real_get = spark.conf.get
+
+    def fake_get(key, default=None):
+        return default if key == "spark.checkpoint.dir" else real_get(key, default)
+
+    monkeypatch.setattr(spark.conf, "get", fake_get)
+    monkeypatch.setattr(spark.sparkContext, "getConf", lambda: type("C", (), {"get": lambda self, k, d=None: d})())
+    a = session.checkpoint_dir(spark)
+    assert "clickwell-ckpt-" in a, a
+    assert a == session.checkpoint_dir(spark) and os.path.isdir(a)
+    df = session.write_shared(spark.range(5))
+    assert df.count() == 5
