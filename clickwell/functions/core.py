@@ -86,15 +86,20 @@ def any_true(columns: list[Column]) -> Column:
 
 
 def decode_hour_code(c: str | Column) -> Column:
-    """``YYMMDDHH`` text -> timestamp; anything else -> null.
-
-    Two-digit years pivot like C ``strptime``: 69..99 -> 19xx, 00..68 -> 20xx.
-    Only exactly eight digits are accepted.
-    """
+    """``YYMMDDHH`` text -> ``timestamp_ntz`` (wall-clock time, independent of the
+    session time zone, so no daylight-saving gap can move an hour); anything else ->
+    null.  Two-digit years pivot like C ``strptime``: 69..99 -> 19xx, 00..68 -> 20xx.
+    Only exactly eight digits are accepted; impossible dates (month 13, 30 February,
+    hour 24) are null."""
     text = F.trim(col(c).cast("string"))
-    century = F.when(F.substring(text, 1, 2).cast("int") >= 69, F.lit("19")).otherwise(F.lit("20"))
+
+    def part(pos: int):
+        return F.substring(text, pos, 2).cast("int")
+
+    yy = part(1)
+    year = yy + F.when(yy >= 69, F.lit(1900)).otherwise(F.lit(2000))
     return F.when(text.rlike(r"^[0-9]{8}$"),
-                  F.try_to_timestamp(F.concat(century, text), F.lit("yyyyMMddHH")))
+                  F.try_make_timestamp_ntz(year, part(3), part(5), part(7), F.lit(0), F.lit(0)))
 
 
 def lookup(c: str | Column, mapping: dict[str, str]) -> Column:

@@ -22,9 +22,18 @@ from ..schemas import ADS_RAW_TEXT
 
 
 def event_time(stg: DataFrame) -> DataFrame:
-    """Staging rows with the hour start as a timestamp (``event_ts``)."""
-    return stg.withColumn("event_ts", F.timestamp_seconds(
-        F.unix_timestamp(F.col("event_date").cast("timestamp")) + F.col("event_hour") * 3600))
+    """Staging rows with the hour start as the event-time column (``event_ts``).
+    Watermarks need a ``timestamp``; it is built from epoch arithmetic (the wall clock
+    read as UTC) so hour windows do not depend on the session time zone."""
+    secs = F.unix_date("event_date").cast("bigint") * 86400 + F.col("event_hour") * 3600
+    return stg.withColumn("event_ts", F.timestamp_seconds(secs))
+
+
+def _wall_clock(ts):
+    """(date, hour) of an ``event_time`` timestamp, without the session time zone."""
+    secs = F.unix_seconds(ts)
+    return (F.date_from_unix_date(F.floor(secs / 86400).cast("int")),
+            (F.pmod(secs, F.lit(86400)) / 3600).cast("int"))
 
 
 def hourly_kpis_streaming(stg_stream: DataFrame, watermark: str = "2 hours") -> DataFrame:
@@ -32,8 +41,8 @@ def hourly_kpis_streaming(stg_stream: DataFrame, watermark: str = "2 hours") ->
     ev = event_time(stg_stream).withWatermark("event_ts", watermark)
     agg = ev.groupBy(F.window("event_ts", "1 hour").alias("w")).agg(
         F.count(F.lit(1)).alias("impressions"), F.sum("click").cast("bigint").alias("clicks"))
-    start = F.col("w.start")
-    return agg.select(F.to_date(start).alias("event_date"), F.hour(start).cast("int").alias("event_hour"),
+    date, hour = _wall_clock(F.col("w.start"))
+    return agg.select(date.alias("event_date"), hour.alias("event_hour"),
                       "impressions", "clicks", safe_ratio("clicks", "impressions").alias("ctr"))
 
 

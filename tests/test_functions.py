@@ -48,3 +48,17 @@ def test_lookup_unmapped_is_null(spark):
 def test_normal_helpers():
     assert critical_z(0.05) == pytest.approx(1.959963984540054)
     assert two_sided_p_value(1.959963984540054) == pytest.approx(0.05)
+
+
+def test_decode_is_independent_of_session_time_zone(spark):
+    """02:00 on the US spring-forward day does not exist in New York local time; the
+    decoded wall clock must still be hour 2."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("24031002",)], "v string")
+        r = df.select(F.to_date(core.decode_hour_code("v")).alias("d"),
+                      F.hour(core.decode_hour_code("v")).alias("h")).first()
+        assert (r.d, r.h) == (dt.date(2024, 3, 10), 2)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
