@@ -48,52 +48,75 @@ def missing_summary(df: DataFrame) -> DataFrame:
                     F.round(F.col("missing_count") / F.col("__rows") * 100, 2).alias("missing_pct")))
 
 
-def exact_median(df: DataFrame, column: str, accuracy: int = 1_000_000) -> DataFrame:
-    """Exact median (mean of the two middle values for an even count) without
-    gathering the column, or its value -> count map, in one task.
-
-    Pass 1: count and a quantile sketch give bounds ``lo <= median <= hi`` (the sketch's
-    rank error is at most n / accuracy, so quantiles 0.5 -/+ 2 / accuracy bracket it).
-    Pass 2: values below ``lo`` and above ``hi`` collapse into two counters; values in
-    the bracket are grouped by value, so the ordered window at the end sees at most
-    ~4n / accuracy distinct values however skewed the column is.  One-row result
-    with column ``median`` (null for no values)."""
-    x = F.col(column).cast("double")
-    base = df.select(x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+def _bracket_aggs(x, accuracy: int):
+    """Count and quantile-sketch bounds ``lo <= median <= hi`` (the sketch's rank
+    error is at most n / accuracy, so quantiles 0.5 -/+ 2 / accuracy bracket it)."""
     d = 2.0 / accuracy
-    bounds = base.agg(F.count(F.lit(1)).alias("_n"),
-                      F.percentile_approx("_x", [max(0.0, 0.5 - d), min(1.0, 0.5 + d)], accuracy)
-                      .alias("_b")).select("_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
-    tagged = base.crossJoin(F.broadcast(bounds)).select(
-        "_n", F.when(F.col("_x") < F.col("_lo"), F.lit(0))
+    return [F.count(x).alias("_n"),
+            F.percentile_approx(x, [max(0.0, 0.5 - d), min(1.0, 0.5 + d)], accuracy).alias("_b")]
+
+
+def _median_from_bounds(values: DataFrame, bounds: DataFrame,
+                        carry: tuple[str, ...] = ()) -> DataFrame:
+    """Second pass of the exact median.  ``values`` has one column ``_x`` (no nulls);
+    ``bounds`` is one row with ``_n`` and ``_b`` (the bracket) plus any ``carry``
+    columns, which are passed through to the one-row result (so the caller consumes
+    ``bounds`` once).  Values below / above the bracket collapse into two counters;
+    values inside are grouped by value, so the ordered window at the end sees at most
+    ~4n / accuracy distinct values however skewed the column is."""
+    b = bounds.select("_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"), *carry)
+    tagged = values.crossJoin(F.broadcast(b)).select(
+        "_n", *carry, F.when(F.col("_x") < F.col("_lo"), F.lit(0))
         .when(F.col("_x") > F.col("_hi"), F.lit(2)).otherwise(F.lit(1)).alias("_side"),
         F.when(F.col("_x").between(F.col("_lo"), F.col("_hi")), F.col("_x")).alias("_v"))
-    groups = tagged.groupBy("_n", "_side", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    groups = tagged.groupBy("_n", *carry, "_side", "_v").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.orderBy("_side", "_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = groups.withColumn("_cum", F.sum("_c").over(w))
     k1 = F.floor((F.col("_n") - 1) / 2)          # 0-based ranks of the middle values
     k2 = F.floor(F.col("_n") / 2)
-    picks = cum.filter(F.col("_side") == 1).agg(
-        F.min(F.when(F.col("_cum") > k1, F.col("_v"))).alias("_v1"),
-        F.min(F.when(F.col("_cum") > k2, F.col("_v"))).alias("_v2"))
-    return picks.select((F.col("_v1") + (F.col("_v2") - F.col("_v1")) * 0.5).alias("median"))
+    picks = cum.agg(
+        F.min(F.when((F.col("_side") == 1) & (F.col("_cum") > k1), F.col("_v"))).alias("_v1"),
+        F.min(F.when((F.col("_side") == 1) & (F.col("_cum") > k2), F.col("_v"))).alias("_v2"),
+        *[F.first(c).alias(c) for c in ("_n", *carry)])
+    return picks.select(*[c for c in ("_n", *carry) if carry],
+                        (F.col("_v1") + (F.col("_v2") - F.col("_v1")) * 0.5).alias("median"))
+
+
+def _values(df: DataFrame, column: str) -> DataFrame:
+    x = F.col(column).cast("double")
+    return df.select(x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+
+
+def exact_median(df: DataFrame, column: str, accuracy: int = 1_000_000) -> DataFrame:
+    """Exact median (mean of the two middle values for an even count) without
+    gathering the column, or its value -> count map, in one task: a sketch pass
+    brackets the median, a second pass counts around the bracket.  One-row result with
+    column ``median`` (null for no values)."""
+    values = _values(df, column)
+    return _median_from_bounds(values, values.agg(*_bracket_aggs(F.col("_x"), accuracy)))
 
 
 def distribution(df: DataFrame, column: str, approx: bool = False,
                  accuracy: int = 1_000_000) -> DataFrame:
     """Min, max, mean (4 dp), median, sample std (4 dp; 0.0 for one value) of the
-    non-null values.  The median is exact (``exact_median``); ``approx`` uses the
-    quantile sketch alone."""
-    x = F.col(column).cast("double")
-    aggs = [F.count(x).alias("n"), F.min(x).alias("min"), F.max(x).alias("max"),
-            F.round(F.avg(x), 4).alias("mean"), F.stddev_samp(x).alias("_std")]
+    non-null values.  The statistics and the median's sketch bracket come from one
+    aggregation; the exact median then needs one more pass (``approx`` skips it and
+    reports the sketch's median)."""
+    values = _values(df, column)
+    x = F.col("_x")
+    aggs = [F.min(x).alias("min"), F.max(x).alias("max"), F.round(F.avg(x), 4).alias("mean"),
+            F.stddev_samp(x).alias("_std")]
     if approx:
-        aggs.append(F.percentile_approx(x, 0.5, accuracy).cast("double").alias("median"))
-    s = df.agg(*aggs)
-    if not approx:
-        s = s.crossJoin(F.broadcast(exact_median(df, column, accuracy)))
-    return s.select(F.lit(column).alias("column_name"), "n", "min", "max", "mean", "median",
-                    F.when(F.col("n") == 1, F.lit(0.0)).otherwise(F.round("_std", 4)).alias("std"))
+        aggs += [F.count(x).alias("_n"),
+                 F.percentile_approx(x, 0.5, accuracy).cast("double").alias("median")]
+        s = values.agg(*aggs)
+    else:
+        stats = values.agg(*aggs, *_bracket_aggs(x, accuracy))
+        s = _median_from_bounds(values, stats, carry=("min", "max", "mean", "_std"))
+    return s.select(F.lit(column).alias("column_name"),
+                    F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("n"), "min", "max",
+                    "mean", "median",
+                    F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(F.round("_std", 4)).alias("std"))
 
 
 def distinct_counts(df: DataFrame, columns, approx: bool = False) -> DataFrame:

@@ -56,3 +56,8 @@ def test_composed_profiles(raw_ads_tiny, raw_exp_tiny):
     assert {r.value: r["count"] for r in exp["treatment_counts"].collect()}["Mens E-Mail"] == 2
     with pytest.raises(ValueError):
         P.profile_ads(raw_ads_tiny.drop("click"))
+
+
+def test_distribution_empty_input(spark):
+    r = P.distribution(spark.createDataFrame([(None,)], "x double"), "x").first()
+    assert r.n == 0 and r.median is None and r.mean is None and r.std is None
