@@ -217,7 +217,8 @@ def clean_experiment_summary(raw: DataFrame, segment_map: dict[str, str] | None
                              with_counts: bool = False) -> DataFrame:
     """One-row summary.  Drop reasons are counted independently (they overlap);
     unmapped arms are counted among the value-valid rows.  ``with_counts`` adds the
-    per-arm counts as a ``map<string,bigint>`` column (second tiny aggregation)."""
+    per-arm counts as a ``map<string,bigint>`` column, from the same pass (counters
+    grouped by arm, then rolled up)."""
     segment_map = segment_map or SEGMENT_MAP
     region_map = region_map or ZIP_CODE_MAP
     df = _experiment_prepared(raw, segment_map)
@@ -228,7 +229,7 @@ def clean_experiment_summary(raw: DataFrame, segment_map: dict[str, str] | None
     def n(cond):
         return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
 
-    s = df.agg(
+    counters = [
         F.count(F.lit(1)).alias("input_rows"),
         n(kept).alias("output_rows"),
         n(F.col("_bad_visit")).alias("dropped_invalid_visit"),
@@ -239,8 +240,21 @@ def clean_experiment_summary(raw: DataFrame, segment_map: dict[str, str] | None
         n(kept & std.isNull()).alias("rows_with_unknown_fields"),
         n(kept & (F.col("_visit") == 1)).alias("_visits"),
         n(kept & (F.col("_conversion") == 1)).alias("_conversions"),
-        F.sum(F.when(kept, F.col("_spend"))).alias("_revenue"),
-    )
+    ]
+    if not with_counts:
+        s = df.agg(*counters, F.sum(F.when(kept, F.col("_spend"))).alias("_revenue"))
+    else:
+        # One pass: the counters per arm (arms are few; null arm included), then a roll-up
+        # of those rows gives both the totals and the per-arm count map.
+        per_arm = df.groupBy("treatment_group").agg(
+            *counters, F.sum(F.when(kept, F.col("_spend"))).alias("_revenue"))
+        names = [c for c in per_arm.columns if c != "treatment_group"]
+        s = per_arm.agg(
+            *[F.sum(c).cast("double" if c == "_revenue" else "bigint").alias(c) for c in names],
+            F.map_from_entries(F.collect_list(F.when(
+                F.col("treatment_group").isNotNull() & (F.col("output_rows") > 0),
+                F.struct("treatment_group", F.col("output_rows").alias("count")))))
+            .alias("treatment_group_counts"))
     out_rows = F.col("output_rows")
 
     def rate(c, digits):
@@ -253,9 +267,4 @@ def clean_experiment_summary(raw: DataFrame, segment_map: dict[str, str] | None
         "conversion_rate": rate("_conversions", 6),
         "revenue_mean": rate("_revenue", 4),
     }).drop("_visits", "_conversions", "_revenue")
-    if with_counts:
-        counts = (df.filter(kept).groupBy("treatment_group").count()
-                  .agg(F.map_from_entries(F.collect_list(F.struct("treatment_group", "count")))
-                       .alias("treatment_group_counts")))
-        s = s.crossJoin(F.broadcast(counts))
     return s

@@ -38,6 +38,17 @@ def counts_text(df: DataFrame, key: str, value: str, alias: str) -> DataFrame:
                  F.col(value).cast("string"))))).alias(alias))
 
 
+def _stg_arms(stg_experiment: DataFrame) -> DataFrame:
+    per_arm = stg_experiment.groupBy("treatment_group").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("visit").cast("double")).alias("v"))
+    return per_arm.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("stg_exp_rows"),
+        (F.sum("v") / F.sum("n")).alias("stg_exp_visit_rate"),
+        F.concat_ws(",", F.array_sort(F.collect_list(F.concat(
+            F.coalesce(F.col("treatment_group").cast("string"), F.lit("None")), F.lit("="),
+            F.col("n").cast("string"))))).alias("stg_groups"))
+
+
 def _f6(c):
     return F.format_string("%.6f", F.round(c, 6))
 
@@ -63,10 +74,8 @@ def validation_checks(*, raw_ads: DataFrame, raw_experiment: DataFrame, stg_ads:
         cnt(raw_experiment, "raw_exp_rows"),
         stg_ads.agg(F.count(F.lit(1)).alias("stg_ads_rows"),
                     F.avg(F.col("click").cast("double")).alias("stg_ads_ctr")),
-        stg_experiment.agg(F.count(F.lit(1)).alias("stg_exp_rows"),
-                           F.avg(F.col("visit").cast("double")).alias("stg_exp_visit_rate")),
-        counts_text(stg_experiment.groupBy("treatment_group").count(), "treatment_group",
-                    "count", "stg_groups"),
+        # rows, visit rate and per-arm counts from one pass over the staging table
+        _stg_arms(stg_experiment),
         kpis(daily, "daily"), kpis(hourly, "hourly"), kpis(forecast_inputs, "finp"),
         segments.agg(F.count(F.lit(1)).alias("seg_rows"),
                      F.coalesce(F.sum("impressions"), F.lit(0)).cast("bigint").alias("seg_impr"),
