@@ -142,3 +142,35 @@ SELECT metric_order, metric,
 FROM ({_MATRIX_UNION}) m GROUP BY metric_order, metric"""))
 def arm_matrix(spark, sf):
     return X.arm_matrix(X.ab_results(inputs.stg_experiment(spark, sf), with_p_value=False))
+
+
+# --- X12 rounded rows with p-values -------------------------------------------------
+# DuckDB has no erfc.  For the rows the run summary reports (p rounded to 6 dp) the
+# oracle evaluates erf by its Taylor series (90 terms; absolute error < 6e-11 for
+# x <= 4) and uses p = 0 beyond x = 4, where erfc(x) < 1.6e-8 rounds to 0.
+import math as _math
+
+_TERMS = " + ".join(
+    f"CAST('{(-1) ** n / (_math.factorial(n) * (2 * n + 1))!r}' AS DOUBLE) * pow(xx, {2 * n + 1})"
+    for n in range(90))
+_P_SERIES = (f"(CASE WHEN xx > 4 THEN 0.0 ELSE 1.0 - CAST('{2 / _math.sqrt(_math.pi)!r}' AS DOUBLE)"
+             f" * ({_TERMS}) END)")
+_ROUND = {c: d for c, d in X.SUMMARY_DIGITS.items() if c != "p_value"}
+_ROUNDED_SQL = _exp_sql(f"""
+SELECT treatment_group, treatment_label, recipients, conversions,
+  {", ".join(f"round({c}, {d}) AS {c}" for c, d in _ROUND.items())},
+  CASE WHEN treatment_group = {CTRL} OR z_score IS NULL THEN NULL
+       ELSE round({_P_SERIES}, 6) END AS p_value,
+  statistically_significant
+FROM (SELECT *, abs(z_score) / sqrt(2.0) AS xx FROM ab_sig) t""")
+
+
+@register("ab_summary_rows", _ROUNDED_SQL)
+def ab_summary_rows(spark, sf):
+    """X12 rows as the run summary reports them (p from the erfc UDF, 6 dp)."""
+    return X.ab_rounded(X.ab_results(inputs.stg_experiment(spark, sf)))
+
+
+@register("ab_summary_rows_contrast", contrast(_ROUNDED_SQL))
+def ab_summary_rows_contrast(spark, sf):
+    return X.ab_rounded(X.ab_results(inputs.stg_experiment(spark, sf, "contrast")))
