@@ -85,14 +85,19 @@ def compare(spark_rows, spark_cols, duck_rows, duck_cols):
 
 def main():
     global STRICT
-    args = [a for a in sys.argv[1:] if a != "--strict" and not a.startswith("--tz=")]
+    args = [a for a in sys.argv[1:] if a not in ("--strict", "--plain")
+            and not a.startswith("--tz=")]
     STRICT = "--strict" in sys.argv
     tz = next((a.split("=", 1)[1] for a in sys.argv if a.startswith("--tz=")), None)
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     names = args[1:]
     from clickwell.session import local_session
     import __spark_entry__ as E
-    spark = local_session()
+    if "--plain" in sys.argv:   # a session with Spark's defaults, as a driver may create
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = local_session()
     if tz:
         spark.conf.set("spark.sql.session.timeZone", tz)
     qs, oracle = E.queries(), E.oracle_sql()
