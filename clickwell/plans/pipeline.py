@@ -74,6 +74,15 @@ class Bundle:
         "_experiment_summary",
         lambda: clean.clean_experiment_summary(self.raw_experiment, with_counts=True)))
 
+    def prefetch(self, *names: str) -> "Bundle":
+        """Build the named tables concurrently (their shared writes are independent
+        Spark jobs; running them side by side keeps the executors busy while one of
+        them has stragglers).  Names are attribute names, e.g. ``"rollup", "ab"``."""
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
+            list(pool.map(lambda n: getattr(self, n), names))
+        return self
+
     def table(self, name: str) -> DataFrame:
         return {
             "raw_avazu_ads": lambda: self.raw_ads,
@@ -88,6 +97,13 @@ class Bundle:
         }[name]()
 
 
+def _parallel(*jobs):
+    """Run independent write jobs concurrently (one driver thread each)."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        return [f.result() for f in [pool.submit(j) for j in jobs]]
+
+
 def build(raw_ads: DataFrame, raw_experiment: DataFrame,
           ranking: RankingConfig = RankingConfig(), exp: ExperimentConfig = ExperimentConfig(),
           holdout_hours: int = DEFAULT_HOLDOUT_HOURS, share: bool = False) -> Bundle:
@@ -113,8 +129,11 @@ def materialize(bundle: Bundle, warehouse: str, ranking: RankingConfig | None =
     spark = bundle.raw_ads.sparkSession
     base = warehouse.rstrip("/")
     stg_observed, ads_obs = clean.clean_ads_observed(bundle.raw_ads)
-    write_table(stg_observed, f"{base}/stg_ad_events", partition_by=("event_date",))
-    write_table(clean.clean_experiment(bundle.raw_experiment), f"{base}/stg_email_experiment")
+    # independent writes run as concurrent Spark jobs
+    _parallel(lambda: write_table(stg_observed, f"{base}/stg_ad_events",
+                                  partition_by=("event_date",)),
+              lambda: write_table(clean.clean_experiment(bundle.raw_experiment),
+                                  f"{base}/stg_email_experiment"))
     stg_ads = spark.read.parquet(f"{base}/stg_ad_events").to(TABLES["stg_ad_events"][1])
     stg_exp = spark.read.parquet(f"{base}/stg_email_experiment").to(
         TABLES["stg_email_experiment"][1])
@@ -123,13 +142,15 @@ def materialize(bundle: Bundle, warehouse: str, ranking: RankingConfig | None =
                  "_ad_rollup": spark.read.parquet(f"{base}/_ad_rollup")}
     lazy = Bundle(bundle.raw_ads, bundle.raw_experiment, ranking, exp, holdout_hours,
                   overrides=overrides)
-    for name, (layer, schema) in TABLES.items():
-        if layer != "mart":
-            continue
-        path = f"{base}/{name}"
-        write_table(lazy.table(name).to(schema).withColumn("created_at", F.current_timestamp()),
-                    path)
-        overrides[name] = spark.read.parquet(path).drop("created_at")
+    marts = [name for name, (layer, _) in TABLES.items() if layer == "mart"]
+
+    # plans are built here (the bundle's cache is not shared across threads); only the
+    # writes run concurrently
+    frames = {name: lazy.table(name).to(TABLES[name][1])
+              .withColumn("created_at", F.current_timestamp()) for name in marts}
+    _parallel(*[(lambda n=name: write_table(frames[n], f"{base}/{n}")) for name in marts])
+    for name in marts:
+        overrides[name] = spark.read.parquet(f"{base}/{name}").drop("created_at")
     out = Bundle(bundle.raw_ads, bundle.raw_experiment, ranking, exp, holdout_hours,
                  overrides=overrides)
     overrides["_ads_summary"] = clean.observed_ads_summary(ads_obs, out.daily)

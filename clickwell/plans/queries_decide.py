@@ -137,7 +137,7 @@ def _inputs(spark, sf, variant="contrast"):
     from ..sources.adapters import raw_ads, raw_experiment
     b = build(raw_ads(spark, sf), raw_experiment(spark, sf, variant),
               RankingConfig(min_impressions=MIN_IMPRESSIONS, limit=LIMIT),
-              holdout_hours=HOLDOUT, share=True)
+              holdout_hours=HOLDOUT, share=True).prefetch("rollup", "ab")
     return b.daily, b.hourly, b.segments, b.top, b.bottom, b.ab, b.forecast_metrics
 
 

@@ -20,7 +20,7 @@ RANKING = RankingConfig(min_impressions=MIN_IMPRESSIONS, limit=LIMIT)
 
 def bundle(spark, sf):
     return build(raw_ads(spark, sf), raw_experiment(spark, sf, "contrast"), RANKING,
-                 holdout_hours=HOLDOUT, share=True)
+                 holdout_hours=HOLDOUT, share=True).prefetch("rollup", "ab")
 
 
 def _checks(b):
