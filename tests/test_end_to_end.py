@@ -39,3 +39,17 @@ def test_tiny_pipeline_populates_marts_exports_and_passes_checks(spark, scratch)
     again = run_all(read_ads_csv(spark, ads), read_experiment_csv(spark, exp),
                     os.path.join(scratch, "wh"), zones)
     assert {name: again[name].count() for name in TABLES} == before
+
+
+def test_cli_runs_whole_pipeline(scratch):
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run(
+        [sys.executable, "-m", "clickwell.plans", "--sf", "/root/testdata/sf0.001",
+         "--warehouse", os.path.join(scratch, "wh"), "--export", os.path.join(scratch, "ex"),
+         "--min-impressions", "5", "--holdout-hours", "24"],
+        cwd=repo, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert out.stdout.count("|pass") == 25 and "|fail" not in out.stdout
+    assert os.path.isdir(os.path.join(scratch, "ex", "recommendation_matrix.csv"))
