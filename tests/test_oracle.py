@@ -2,10 +2,12 @@
 import pytest
 
 import __spark_entry__ as E
+from clickwell.plans.registry import QUERIES, load_all
 from oracle_compare import compare, duck, type_diff
 
 SF = "/root/testdata/sf0.001"
 ORACLE = E.oracle_sql()
+load_all()
 
 
 @pytest.fixture(scope="module")
@@ -13,7 +15,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
