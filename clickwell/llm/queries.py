@@ -41,10 +41,10 @@ shared AS (
 links AS (
   SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
   WHERE 100 * k >= 90 * (x.n + y.n - k)),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach(d, r) AS (
   SELECT doc_id, doc_id FROM documents
-  UNION SELECT reach.d, both.b FROM reach JOIN both ON both.a = reach.r)
+  UNION SELECT reach.d, ways.b FROM reach JOIN ways ON ways.a = reach.r)
 SELECT n.doc_id, n.n AS n_shingles, min(r) AS component_id
 FROM n JOIN reach ON reach.d = n.doc_id GROUP BY n.doc_id, n.n""")
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
