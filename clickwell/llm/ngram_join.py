@@ -191,16 +191,27 @@ def _with_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from out.combine_chunks().to_batches()
 
 
-def _set_rows(n: int, lower: bool):
+def _shared(n: int, lower: bool):
+    """Rows a, b (nodes) with text_a, text_b: the number of shared n-grams.  A row whose
+    text is not its node's (an id may name several texts) is left out."""
+    def members(texts: pa.Array):
+        coded = texts.dictionary_encode()  # a text in many pairs is hashed once
+        sets = list(_sets(coded.dictionary, n, lower))
+        nodes = [_node(s) for s in sets]
+        for code in coded.indices.to_pylist():
+            yield sets[code], nodes[code]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                sets = [s for s in _sets(part.column("text"), n, lower) if len(s)]
-                offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                flat = signed(np.concatenate(sets)) if sets else np.zeros(0, np.int64)
+            for part in slices(batch, "text_b"):
+                a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
+                rows = [(x, y, len(np.intersect1d(s, t, assume_unique=True)), len(s) + len(t))
+                        for x, y, (s, u), (t, v) in zip(a, b, members(part.column("text_a")), members(part.column("text_b")))
+                        if x == u and y == v]
+                columns = list(zip(*rows)) or [[], [], [], []]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([_node(s) for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "members"])
+                    pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.binary()),
+                    pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())], names=["a", "b", "shared", "both"])
     return run
 
 
@@ -213,20 +224,20 @@ def _overlap_filters(pairs: DataFrame, num: int, den: int) -> DataFrame:
 
 def _suffix_filter(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     """Every set is cut at fixed places of the hash range; the differing counts of the
-    pieces are n-grams that the two sets cannot share."""
+    pieces are n-grams that the two sets cannot share.  Adds the nodes' ids."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("bands").alias(f"bands_{x}"),
-                                  F.col("n_shingles").alias(f"n_{x}"))
+                                  F.col("n_shingles").alias(f"n_{x}"), F.col("id").alias(f"id_{x}"))
     return (pairs.join(side("a"), "a").join(side("b"), "b")
             .filter(f"({num + den}) * (n_a + n_b - aggregate(zip_with(bands_a, bands_b, (x, y) -> abs(x - y)), "
                     f"0, (s, x) -> s + x)) >= 2 * {num} * (n_a + n_b)")
-            .select("a", "b"))
+            .select("a", "b", "id_a", "id_b"))
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("members").alias(f"set_{x}"))
-    return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .select("a", "b", F.size(F.array_intersect("set_a", "set_b")).cast("long").alias("shared"),
-                    (F.size("set_a") + F.size("set_b")).cast("long").alias("both"))
+def _verify(pairs: DataFrame, texts: DataFrame, n: int, lower: bool, num: int, den: int) -> DataFrame:
+    """Both joins read one exchange of the texts; what travels besides is one text a pair."""
+    side = lambda x: texts.select(F.col("id").alias(f"id_{x}"), F.col("text").alias(f"text_{x}"))
+    return (pairs.join(side("b"), "id_b").join(side("a"), "id_a").select("a", "b", "text_a", "text_b")
+            .mapInArrow(_shared(n, lower), "a binary, b binary, shared long, both long")
             .withColumn("linked", F.expr(f"{den} * shared >= {num} * (both - shared)"))
             .select("a", "b", "shared", "linked"))
 
@@ -256,13 +267,11 @@ def similarity_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                             .sortWithinPartitions("token", "salt", "pos", "size", "node")
                             .mapInArrow(_with_pivot, _POSTINGS))
     nodes = write_shared(nodes.join(postings.select("node").distinct(), "node", "left_semi"))
-    sets = write_shared(texts.join(nodes.select("id").distinct(), "id", "left_semi").select("text")
-                        .mapInArrow(_set_rows(n, lower), "node binary, members array<long>"))
 
     star = _overlap_filters(postings.filter("node <> pivot")
                             .withColumnsRenamed({"pivot_pos": "pos_b", "pivot_size": "size_b"}), num, den)
     star = _suffix_filter(star.select(*_ordered("node", "pivot")).distinct(), nodes, num, den)
-    judged = write_shared(_verify(star, sets, num, den))
+    judged = write_shared(_verify(star, texts, n, lower, num, den))
     member = components(judged.filter("linked"))
 
     # what is left: lists whose members are in more than one component so far
@@ -274,9 +283,11 @@ def similarity_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                         F.col("node").alias("node_b"), F.col("part").alias("part_b"))
     pairs = _overlap_filters(rest.join(other, "token").filter("part <> part_b and node < node_b"), num, den)
     pairs = pairs.select(*_ordered("node", "node_b")).distinct().join(judged.select("a", "b"), ["a", "b"], "left_anti")
-    more = _verify(_suffix_filter(pairs, nodes, num, den), sets, num, den)
-    links = write_shared(judged.filter("linked").unionByName(more.filter("linked")).select("a", "b", "shared"))
-    return rows, links
+    more = write_shared(_suffix_filter(pairs, nodes, num, den))
+    links = judged.filter("linked")
+    if not more.isEmpty():
+        links = links.unionByName(write_shared(_verify(more, texts, n, lower, num, den)).filter("linked"))
+    return rows, links.select("a", "b", "shared")
 
 
 def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
