@@ -97,3 +97,11 @@ def lower_ascii(texts: pa.Array) -> pa.Array:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges [start, start + length), one after the other."""
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ngram_join
+from . import fingerprints, ngram_join, packing, quality, substring
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ WORD = r"'[^\x20\x09-\x0D]+'"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def query(name: str, sql: str | None = None):
     def add(fn: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = fn
@@ -50,3 +55,76 @@ FROM n JOIN reach ON reach.d = n.doc_id GROUP BY n.doc_id, n.n""")
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_classes(
         table(spark, sf_dir, "documents"), n=3, num=90, den=100).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op8_substring_dedup", f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {WORD}) AS ws FROM documents),
+places AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w),
+windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g FROM places),
+least AS (SELECT g, min(doc_id) AS m FROM windows GROUP BY g),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p
+  FROM windows JOIN least USING (g) WHERE doc_id > m),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+judged AS (
+  SELECT words.doc_id, words.word, words.p, covered.p IS NOT NULL AS gone
+  FROM words LEFT JOIN covered ON covered.doc_id = words.doc_id AND covered.p = words.p),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY p) FILTER (NOT gone), '') AS kept
+  FROM judged GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""")
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeated(table(spark, sf_dir, "documents"), width=13).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+@query("op1_simhash")
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.edited_and_next(table(spark, sf_dir, "documents"))
+    near = lambda h, low: fingerprints.likeness(fingerprints.distance(
+        F.col("hi"), F.col("lo"), F.col(h), F.col(low)))
+    return rows.select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
+        fingerprints.as_hex(F.col("hi"), F.col("lo")).alias("fingerprint"),
+        fingerprints.as_hex(F.col("edited_hi"), F.col("edited_lo")).alias("edited_fingerprint"),
+        near("edited_hi", "edited_lo").alias("near_edited"), near("next_hi", "next_lo").alias("near_next"))
+
+
+@query("op6_quality_rules", rf"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {WORD}) AS ws,
+         list_filter(split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, {WORD})) AS ls FROM documents),
+places AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w),
+windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS g FROM places),
+twice AS (SELECT doc_id, g FROM windows GROUP BY doc_id, g HAVING count(*) > 1),
+repeated AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM windows JOIN twice USING (doc_id, g)) GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')) AS n_symbols,
+         len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+         length(regexp_replace(t, '[^\p{{L}}]+', '', 'g')) AS n_letters,
+         length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS n_upper
+  FROM w LEFT JOIN repeated r USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines
+            OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+            OR 2 * n_letters < word_chars OR 2 * n_upper > n_letters) AS kept
+FROM b""")
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.ledger(table(spark, sf_dir, "documents"))
+    return quality.apply_policy(rows, "web-1").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~quality.passes(F.col("failures"), "base-1")).alias("base_failed"), "kept")
+
+
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
