@@ -61,20 +61,31 @@ def _lower(texts: pa.Array) -> pa.Array:
     return pc.utf8_lower(pc.fill_null(texts, ""))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[str, np.ndarray] = {}
-    for batch in batches:
-        for part in slices(batch, "text"):
-            langs = part.column("lang").dictionary_encode()
-            codes = langs.indices.to_numpy()
-            for code, lang in enumerate(langs.dictionary.to_pylist()):
-                words, _ = split_words(_lower(part.column("text").filter(pa.array(codes == code))))
-                cells, _ = _cells(words)
-                counts[lang] = counts.get(lang, 0) + np.bincount(cells, minlength=1 << BITS)
-    yield pa.RecordBatch.from_arrays([
-        pa.array(list(counts), pa.string()),
-        pa.array([pa.compress(c.astype(np.int64).tobytes(), "zstd", asbytes=True) for c in counts.values()],
-                 pa.binary())], names=["lang", "counts"])
+def _count(cells_of):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, np.ndarray] = {}
+        held: dict[str, int] = {}
+        for batch in batches:
+            for part in slices(batch, "text"):
+                langs = part.column("lang").dictionary_encode()
+                codes = langs.indices.to_numpy()
+                for code, lang in enumerate(langs.dictionary.to_pylist()):
+                    cells = cells_of(part.column("text").filter(pa.array(codes == code)))
+                    counts[lang] = counts.get(lang, 0) + np.bincount(cells, minlength=1 << BITS)
+                    held[lang] = held.get(lang, 0) + int((codes == code).sum())
+        yield _as_batch(counts, held)
+    return run
+
+
+def _as_batch(counts: dict[str, np.ndarray], held: dict[str, int]) -> pa.RecordBatch:
+    packed = [pa.compress(c.astype(np.int64).tobytes(), "zstd", asbytes=True) for c in counts.values()]
+    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(packed, pa.binary()),
+                                       pa.array([held[x] for x in counts], pa.int64())],
+                                      names=["lang", "counts", "held"])
+
+
+def _gram_cells(texts: pa.Array) -> np.ndarray:
+    return _cells(split_words(_lower(texts))[0])[0]
 
 
 def _unpack(counts: bytes) -> np.ndarray:
@@ -83,28 +94,35 @@ def _unpack(counts: bytes) -> np.ndarray:
 
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[str, np.ndarray] = {}
+    held: dict[str, int] = {}
     for batch in batches:
-        for lang, counts in zip(batch.column("lang").to_pylist(), batch.column("counts")):
-            total[lang] = total.get(lang, 0) + _unpack(counts.as_py())
-    yield pa.RecordBatch.from_arrays([
-        pa.array(list(total), pa.string()),
-        pa.array([pa.compress(c.tobytes(), "zstd", asbytes=True) for c in total.values()], pa.binary())],
-        names=["lang", "counts"])
+        for lang, counts, n in zip(*[batch.column(c).to_pylist() for c in ("lang", "counts", "held")]):
+            total[lang] = total.get(lang, 0) + _unpack(counts)
+            held[lang] = held.get(lang, 0) + n
+    yield _as_batch(total, held)
 
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
-    """Languages in alphabetical order and their log n-gram probabilities, from every row
-    with a text and a label."""
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(
+def count_cells(labelled: DataFrame, text_col: str, label_col: str, cells_of) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Labels in alphabetical order, the counts of their cells and their numbers of rows,
+    over every row with a text and a label.  ``cells_of`` maps texts to cells."""
+    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("lang")).filter(
         "text is not null and lang is not null")
-    per_task = rows.mapInArrow(_count, "lang string, counts binary")
-    found = per_task.repartition("lang").mapInArrow(_add, "lang string, counts binary").limit(MOST_LANGUAGES + 1).collect()
+    schema = "lang string, counts binary, held long"
+    per_task = rows.mapInArrow(_count(cells_of), schema)
+    found = per_task.repartition("lang").mapInArrow(_add, schema).limit(MOST_LANGUAGES + 1).collect()
     if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    by_lang = {r.lang: _unpack(r.counts) for r in found}
-    langs = sorted(x for x in by_lang if by_lang[x].any())
-    smooth = [np.log((by_lang[x] + 0.5) / (by_lang[x].sum() + 0.5 * (1 << BITS))) for x in langs]
-    return langs, np.array(smooth, np.float32).reshape(len(langs), 1 << BITS)
+        raise ValueError(f"more than {MOST_LANGUAGES} labels")
+    by_label = {r.lang: (_unpack(r.counts), r.held) for r in found}
+    labels = sorted(x for x, (counts, _) in by_label.items() if counts.any())
+    counts = np.array([by_label[x][0] for x in labels], np.int64).reshape(len(labels), 1 << BITS)
+    return labels, counts, np.array([by_label[x][1] for x in labels], np.int64)
+
+
+def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
+    """Languages in alphabetical order and their log n-gram probabilities."""
+    langs, counts, _ = count_cells(labelled, text_col, lang_col, _gram_cells)
+    totals = counts.sum(1, keepdims=True)
+    return langs, np.log((counts + 0.5) / (totals + 0.5 * (1 << BITS))).astype(np.float32)
 
 
 def _mixtures(like: np.ndarray, best: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

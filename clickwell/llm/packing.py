@@ -42,11 +42,27 @@ KEPT_UNITS = 4_000_000
 _PIECES = "id long, n_chars long, piece int, start long, length long, ids_crc32 long, salt int"
 
 
+def _without_punctuation(words: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """Words without trailing punctuation, that punctuation, and whose it is.  Only what
+    follows a letter or digit is cut off: other signs may form one token with it.  The
+    dotted capital I is left alone, as its lower case ends in a combining mark."""
+    trimmed = pc.ascii_rtrim(words, TRAILING)
+    shorter = pc.less(pc.binary_length(trimmed), pc.binary_length(words))
+    at = np.flatnonzero(shorter.to_numpy(zero_copy_only=False))
+    some = trimmed.take(pa.array(at))
+    safe = pc.and_not(pc.match_substring_regex(some, r"[\p{L}\p{N}]$"), pc.ends_with(some, "\u0130"))
+    at = at[safe.to_numpy(zero_copy_only=False)]
+    cut = np.zeros(len(words), bool)
+    cut[at] = True
+    tails = pc.extract_regex(words.take(pa.array(at)), f"(?P<tail>[{TRAILING}]+)$").field("tail")
+    return pc.if_else(pa.array(cut), trimmed, words), tails, at
+
+
 class UnitTokenizer:
     """Token ids of texts, by way of their distinct units.
 
     A unit is a word of the lower-cased text (A-Z only, the tokenizer does the rest)
-    without its trailing punctuation, or that punctuation.  This suits tokenizers that
+    without the punctuation after its last letter, or that punctuation.  This suits tokenizers that
     lower-case, drop white space and never join a letter with the punctuation after it;
     the ids are then those of the whole text.  Units are known by a 64-bit hash; their ids
     are kept between tasks in sorted arrays of bounded size."""
@@ -79,12 +95,9 @@ class UnitTokenizer:
         words, offsets = split_words(texts)
         raw = pc.match_substring(words, "<|")  # special tokens are known by their exact case
         words = pc.if_else(raw, words, pc.ascii_lower(words))
-        bare = pc.ascii_rtrim(words, TRAILING)
-        size = pc.binary_length(words).to_numpy(zero_copy_only=False)
-        cut = pc.binary_length(bare).to_numpy(zero_copy_only=False)
-        tails = words.filter(pa.array(cut < size))
-        tail_of = np.flatnonzero(cut < size)
-        tails = pc.extract_regex(tails, f"(?P<tail>[{TRAILING}]+)$").field("tail")
+        bare, tails, tail_of = _without_punctuation(words)
+        ends_early = np.zeros(len(words), bool)
+        ends_early[tail_of] = True
         coded = pa.concat_arrays([bare, tails]).dictionary_encode()
         units = coded.dictionary.to_numpy(zero_copy_only=False)
         if not len(units):
@@ -101,14 +114,14 @@ class UnitTokenizer:
             found = np.searchsorted(self.keys, keys)
         unit_at = found[coded.indices.to_numpy()]
         # each word's unit, then its punctuation, in text order
-        place = np.arange(len(words)) + np.cumsum(cut < size) - (cut < size)
+        place = np.arange(len(words)) + np.cumsum(ends_early) - ends_early
         order = np.zeros(len(unit_at), np.int64)
         order[place] = unit_at[:len(words)]
         order[place[tail_of] + 1] = unit_at[len(words):]
         lengths = self.offsets[order + 1] - self.offsets[order]
         ids = self.ids[ranges(self.offsets[order], lengths)]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        units_before = np.concatenate([[0], np.cumsum(1 + (cut < size))])[offsets]
+        units_before = np.concatenate([[0], np.cumsum(1 + ends_early)])[offsets]
         return ids, ends[units_before]
 
 

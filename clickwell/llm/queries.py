@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, ngram_join, packing, quality, substring
+from . import chat, fingerprints, langid, linededup, mixing, ngram_join, packing, quality, sharding, substring
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,47 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_best_fit_packing")
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op3_language_mixture")
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", langid.is_held_out(F.col("doc_id")).alias("held_out"), "text", "lang")
+    langs, model = langid.train(docs.filter("not held_out"))
+    return langid.predict(docs, langs, model, ["doc_id", "held_out"])
+
+
+@query("op9_line_dedup")
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs, stats="counts").select(
+        "doc_id", "counts.*", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+@query("op10_source_mixing")
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = mixing.document_rates(table(spark, sf_dir, "documents"), mixing.label_domains(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+    return rates.select("doc_id", "tokens", "posteriors", "rate", mixing.copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+
+
+@query("op5_chat_formatting", r"""
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+p AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM t),
+r AS (
+  SELECT conv_id, pos, '<|im_start|>' || replace(role, '<|', '<\|') || chr(10) || replace(text, '<|', '<\|') || '<|im_end|>' || chr(10) AS part
+  FROM p),
+prefix AS (
+  SELECT conv_id, pos, string_agg(part, '') OVER (PARTITION BY conv_id ORDER BY pos) AS body,
+         count(*) OVER (PARTITION BY conv_id) AS n FROM r),
+whole AS (SELECT conv_id, body, n FROM prefix WHERE pos = n),
+firsts AS (SELECT body, n, min(conv_id) AS conv_id, count(*) AS n_logged FROM whole GROUP BY body, n)
+SELECT f.conv_id, CAST(f.n AS BIGINT) AS n_turns, f.n_logged, f.body AS rendered
+FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM prefix p WHERE p.pos = f.n AND p.n > f.n AND p.body = f.body)""")
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.maximal_conversations(table(spark, sf_dir, "conversations"))
+
+
+@query("op7_sharding")
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents").select("doc_id"), sharding.Shards.numbered(64))
