@@ -15,6 +15,12 @@ NA_TOKENS = [
     "", "NA", "N/A", "n/a", "<NA>", "#N/A", "#N/A N/A", "#NA", "NULL", "null", "None",
     "nan", "NaN", "-nan", "-NaN", "1.#IND", "-1.#IND", "1.#QNAN", "-1.#QNAN",
 ]
+# What the language's string strip removes.
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+              "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+# Decimal numbers.  Longer digit strings and exponents of three digits, which could
+# overflow a double, are not numbers here.
+NUMBER_PATTERN = "^[+-]?([0-9]{1,200}([.][0-9]{0,200})?|[.][0-9]{1,200})([eE][+-]?[0-9]{1,2})?$"
 # Trimmed, lower-cased strings that count as an unknown value.
 UNKNOWN_STRINGS = ["", "nan", "null", "none", "unknown", "-1"]
 # ---------------------------------------------------------------------------------
@@ -42,6 +48,7 @@ def _sql_list(values) -> str:
 # which keeps driver-side plan construction cheap for wide raw tables.
 _NA_SQL = _sql_list(NA_TOKENS)
 _UNKNOWN_SQL = _sql_list(UNKNOWN_STRINGS)
+_SPACE_SQL = sql_str(WHITESPACE)
 
 
 def safe_ratio(numerator: str | Column, denominator: str | Column) -> Column:
@@ -58,9 +65,21 @@ def na_to_null(c: str | Column) -> Column:
     return F.when(c.isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(c)
 
 
+def strip(c: str | Column) -> Column:
+    """Text without white space at the ends (all Unicode white space, not only blanks)."""
+    return F.btrim(col(c).cast("string"), F.lit(WHITESPACE))
+
+
 def lenient_double(c: str | Column) -> Column:
-    """Parse text as a number; unparseable -> null (never raises)."""
-    return F.trim(col(c).cast("string")).try_cast("double")
+    """Parse decimal text as a number; anything else -> null (never raises, never NaN or
+    infinite).  A bare cast would also take ``1d``, ``0x1p0`` and ``NAN``."""
+    text = strip(c)
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+
+
+def lenient_int(c: str | Column, kind: str = "int") -> Column:
+    """Number rounded half to even; unparseable or out of range -> null."""
+    return F.rint(lenient_double(c)).try_cast(kind)
 
 
 def is_binary(c: str | Column) -> Column:
@@ -71,8 +90,8 @@ def is_binary(c: str | Column) -> Column:
 def is_unknown_string(c: str | Column) -> Column:
     if isinstance(c, str):
         q = sql_ident(c)
-        return F.expr(f"({q} IS NULL OR lower(trim({q})) IN ({_UNKNOWN_SQL}))")
-    return c.isNull() | F.lower(F.trim(c)).isin(UNKNOWN_STRINGS)
+        return F.expr(f"({q} IS NULL OR lower(trim(BOTH {_SPACE_SQL} FROM {q})) IN ({_UNKNOWN_SQL}))")
+    return c.isNull() | F.lower(strip(c)).isin(UNKNOWN_STRINGS)
 
 
 def is_unknown_numeric(c: str | Column) -> Column:
@@ -91,7 +110,7 @@ def decode_hour_code(c: str | Column) -> Column:
     null.  Two-digit years pivot like C ``strptime``: 69..99 -> 19xx, 00..68 -> 20xx.
     Only exactly eight digits are accepted; impossible dates (month 13, 30 February,
     hour 24) are null."""
-    text = F.trim(col(c).cast("string"))
+    text = strip(c)
 
     def part(pos: int):
         return F.substring(text, pos, 2).cast("int")

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..config import AD_NUMERIC_COLUMNS, SEGMENT_MAP, TREATMENT_LABELS, ZIP_CODE_MAP
 from ..functions.core import (any_true, decode_hour_code, is_binary, is_unknown_numeric,
-                              is_unknown_string, lenient_double, lookup, na_to_null)
+                              is_unknown_string, lenient_double, lenient_int, lookup, na_to_null,
+                              strip)
 from ..schemas import FLAG_COLUMNS, STG_ADS, STG_EXPERIMENT
 
 
@@ -54,16 +55,14 @@ def _ads_prepared(raw: DataFrame) -> DataFrame:
     })
 
 
-def _as_int(c: str):
-    return lenient_double(c).cast("int")
-
-
 def clean_ads(raw: DataFrame) -> DataFrame:
     """Raw ad log -> ``stg_ad_events`` rows.
 
     Drops rows whose click is not 0/1, then rows whose hour code does not decode;
     derives ``event_date`` / ``event_hour``; flags unknown values; coerces numeric
-    feature columns leniently (bad text -> null).
+    feature columns leniently (bad text or a value out of range -> null).  ``click`` and
+    ``hour`` are required; other columns may be absent: they become null, and their flags
+    false.
     """
     return _typed_ads(_ads_prepared(raw).filter(F.col("_valid_click") & F.col("_valid_hour")))
 
@@ -71,16 +70,26 @@ def clean_ads(raw: DataFrame) -> DataFrame:
 def _typed_ads(df: DataFrame) -> DataFrame:
     typed = {
         "click": F.col("_click").cast("int"),
-        "hour": F.trim("hour").cast("bigint"),
-        "c1": lenient_double("c1").cast("bigint"),
-        "device_type": _as_int("device_type"),
+        "hour": strip("hour").cast("bigint"),
         "event_date": F.to_date("_ts"),
         "event_hour": F.hour("_ts").cast("int"),
     }
-    for c in AD_NUMERIC_COLUMNS:
-        typed[c] = _as_int(c) if c in ("banner_pos", "device_conn_type") else lenient_double(c)
+    numbers = {"c1": "bigint", "device_type": "int", "banner_pos": "int", "device_conn_type": "int",
+               **{c: "double" for c in AD_NUMERIC_COLUMNS if c not in ("banner_pos", "device_conn_type")}}
+    for c, kind in numbers.items():
+        if c in df.columns:
+            typed[c] = lenient_double(c) if kind == "double" else lenient_int(c, kind)
     out = df.withColumns(typed)
-    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STG_ADS.fields])
+
+    def field(f):
+        if f.name in out.columns:
+            return F.col(f.name)
+        return F.lit(False if f.name in _FLAG_NAMES else None)
+
+    return out.select(*[field(f).cast(f.dataType).alias(f.name) for f in STG_ADS.fields])
+
+
+_FLAG_NAMES = {f"flag_unknown_{c}" for c in FLAG_COLUMNS}
 
 
 def _ads_summary_counters(df: DataFrame) -> list:
@@ -151,7 +160,7 @@ def observed_ads_summary(obs, daily: DataFrame, dataset: str = "avazu_mobile_ads
 def unknown_flags(raw: DataFrame) -> DataFrame:
     """C7-C10 as a long table: per monitored column, rows flagged unknown among kept rows."""
     stg = clean_ads(raw)
-    present = [c for c in FLAG_COLUMNS]
+    present = list(FLAG_COLUMNS)
     cols = [F.sum(F.col(f"flag_unknown_{c}").cast("int")).cast("bigint").alias(c)
             for c in present]
     cols.append(F.sum(F.col("flag_missing_fields").cast("int")).cast("bigint")
@@ -171,13 +180,22 @@ def _experiment_prepared(raw: DataFrame, segment_map: dict[str, str]) -> DataFra
         "_bad_visit": ~is_binary("_visit"),
         "_bad_conversion": ~is_binary("_conversion"),
         "_bad_spend": ~F.coalesce(F.col("_spend") >= 0, F.lit(False)),
-    }).withColumn("_valid", ~(F.col("_bad_visit") | F.col("_bad_conversion") | F.col("_bad_spend")))
+    }).withColumn("_valid", F.when(F.col("_bad_visit") | F.col("_bad_conversion") | F.col("_bad_spend"), False)
+                  .otherwise(_required()))
+
+
+#: columns of a valid recipient that must be whole numbers; a bad value stops the run
+REQUIRED_INTS = ("recency", "mens", "womens", "newbie")
 
 
-def _strict_int(c: str):
-    """Narrowing that must not lose rows: null or unparseable text raises."""
-    return F.when(F.col(c).isNull(), F.raise_error(F.lit(f"null value in required column {c}"))
-                  ).otherwise(F.trim(c).cast("double").cast("int"))
+def _required():
+    """True, or an error for a null or unparseable required value.  It is part of the row
+    filter, before arms are mapped: an expression in a column would be pruned with it."""
+    guard = F.lit(True)
+    for c in REQUIRED_INTS:
+        guard = F.when(lenient_int(c).isNull(), F.raise_error(F.lit(f"null or bad value in required column {c}"))
+                       .cast("boolean")).otherwise(guard)
+    return guard
 
 
 def clean_experiment(raw: DataFrame, segment_map: dict[str, str] | None = None,
@@ -191,11 +209,11 @@ def clean_experiment(raw: DataFrame, segment_map: dict[str, str] | None = None,
         F.col("_valid") & F.col("treatment_group").isNotNull())
     std = lookup("zip_code", region_map)
     out = df.withColumns({
-        "recency": _strict_int("recency"),
-        "mens": _strict_int("mens"),
-        "womens": _strict_int("womens"),
-        "newbie": _strict_int("newbie"),
-        "history": F.trim("history").cast("double"),
+        "recency": lenient_int("recency"),
+        "mens": lenient_int("mens"),
+        "womens": lenient_int("womens"),
+        "newbie": lenient_int("newbie"),
+        "history": strip("history").cast("double"),
         "visit": F.col("_visit").cast("int"),
         "conversion": F.col("_conversion").cast("int"),
         "spend": F.col("_spend"),

@@ -35,12 +35,22 @@ def na(c: str) -> str:
     return f"(CASE WHEN {c} IN {in_list(NA_TOKENS)} THEN NULL ELSE {c} END)"
 
 
+# White space and numbers are stated here on their own, not taken from the library.
+_SPACE = "'" + "".join(chr(i) for i in [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                        0x2028, 0x2029, 0x202F, 0x205F, 0x3000]) + "'"
+_NUMBER = r"'[+-]?(\d{1,200}(\.\d{0,200})?|\.\d{1,200})([eE][+-]?\d{1,2})?'"
+
+
+def strip(c: str) -> str:
+    return f"trim({c}, {_SPACE})"
+
+
 def dbl(c: str) -> str:
-    return f"TRY_CAST(trim({c}) AS DOUBLE)"
+    return f"(CASE WHEN regexp_full_match({strip(c)}, {_NUMBER}) THEN TRY_CAST({strip(c)} AS DOUBLE) END)"
 
 
 def unknown_str(c: str) -> str:
-    return f"({c} IS NULL OR lower(trim({c})) IN {in_list(UNKNOWN_STRINGS)})"
+    return f"({c} IS NULL OR lower({strip(c)}) IN {in_list(UNKNOWN_STRINGS)})"
 
 
 def unknown_num(c: str) -> str:
@@ -52,7 +62,7 @@ def binary(c: str) -> str:
 
 
 def hour_ts(c: str) -> str:
-    t = f"trim({c})"
+    t = strip(c)
     return (f"(CASE WHEN regexp_full_match({t}, '[0-9]{{8}}') THEN "
             f"try_strptime((CASE WHEN CAST(substr({t}, 1, 2) AS INTEGER) >= 69 THEN '19' "
             f"ELSE '20' END) || {t}, '%Y%m%d%H') END)")
@@ -72,17 +82,22 @@ RAW_ADS = f"""raw_ads AS (
     CAST(event_id AS VARCHAR) AS id,
     CASE WHEN {pm('event_id', 97)} = 13 THEN '9'
          WHEN {pm('event_id', 89)} = 7 THEN 'x'
+         WHEN {pm('event_id', 101)} = 9 THEN '1d'
+         WHEN {pm('event_id', 103)} = 9 THEN 'NAN'
+         WHEN {pm('event_id', 107)} = 9 THEN chr(9) || '1.0' || chr(160)
          WHEN event_type = 'click' THEN '1' ELSE '0' END AS click,
     CASE WHEN {pm('event_id', 83)} = 5 THEN '99999999'
          WHEN {pm('event_id', 79)} = 3 THEN substr({_CODE}, 1, 7)
          ELSE {_CODE} END AS hour,
     '1005' AS c1,
-    CAST({pm('event_id', 2)} AS VARCHAR) AS banner_pos,
+    CASE WHEN {pm('event_id', 109)} = 3 THEN '1e12'
+         ELSE CAST({pm('event_id', 2)} AS VARCHAR) END AS banner_pos,
     CASE WHEN {pm('event_id', 53)} = 1 THEN ''
          WHEN {pm('event_id', 53)} = 2 THEN ' Unknown '
          WHEN {pm('event_id', 53)} = 3 THEN NULL
          WHEN {pm('event_id', 53)} = 4 THEN '-1'
          WHEN {pm('event_id', 53)} = 5 THEN 'NA'
+         WHEN {pm('event_id', 53)} = 6 THEN chr(9) || 'unknown' || chr(10)
          ELSE 'site_' || CAST({pm(_K, 16)} AS VARCHAR) END AS site_id,
     'dom_' || CAST({pm(_K, 8)} AS VARCHAR) AS site_domain,
     'site_' || CAST({pm(_K, 4)} AS VARCHAR) AS site_category,
@@ -93,8 +108,10 @@ RAW_ADS = f"""raw_ads AS (
     'ip_' || CAST({pm('user_id', 50)} AS VARCHAR) AS device_ip,
     'model_' || CAST({pm('user_id', 9)} AS VARCHAR) AS device_model,
     CASE WHEN {pm('event_id', 61)} = 7 THEN '-1'
+         WHEN {pm('event_id', 113)} = 7 THEN 'NAN'
          ELSE CAST({pm('user_id', 4)} AS VARCHAR) END AS device_type,
-    CAST({pm('user_id', 3)} AS VARCHAR) AS device_conn_type,
+    CASE WHEN {pm('event_id', 127)} = 7 THEN '2.5'
+         ELSE CAST({pm('user_id', 3)} AS VARCHAR) END AS device_conn_type,
     CAST({_K} AS VARCHAR) AS c14,
     '320' AS c15,
     '50' AS c16,
@@ -141,6 +158,7 @@ raw_experiment AS (
     CASE WHEN {pm('c_custkey', 5)} = 0 THEN '1' ELSE '0' END AS newbie,
     CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'Web'
          WHEN c_mktsegment IN ('FURNITURE', 'HOUSEHOLD') THEN 'Phone'
+         WHEN {pm('c_custkey', 127)} = 31 THEN 'N/A'
          ELSE 'Multichannel' END AS channel,
     CASE WHEN {pm('c_custkey', 107)} = 11 THEN 'Both E-Mail'
          WHEN {pm('c_custkey', 3)} = 0 THEN 'No E-Mail'
@@ -148,8 +166,10 @@ raw_experiment AS (
          ELSE 'Womens E-Mail' END AS segment,
     CASE WHEN {pm('c_custkey', 103)} = 17 THEN '2'
          ELSE CAST(coalesce(any_visit, 0) AS VARCHAR) END AS visit,
-    CAST(coalesce(any_conv, 0) AS VARCHAR) AS conversion,
+    CASE WHEN {pm('c_custkey', 109)} = 19 THEN '1f'
+         ELSE CAST(coalesce(any_conv, 0) AS VARCHAR) END AS conversion,
     CASE WHEN {pm('c_custkey', 101)} = 23 THEN '-5.0'
+         WHEN {pm('c_custkey', 113)} = 29 THEN 'NAN'
          ELSE CAST(coalesce(spend_total, CAST(0 AS DECIMAL(18,2))) AS VARCHAR) END AS spend
   FROM customer LEFT JOIN per_customer ON c_custkey = o_custkey
 )"""
@@ -177,16 +197,16 @@ ads_prep AS (
 
 _INT_COLS = {"banner_pos", "device_conn_type"}
 _NUM = ",\n    ".join(
-    f"CAST({dbl(c)} AS INTEGER) AS {c}" if c in _INT_COLS else f"{dbl(c)} AS {c}"
+    f"TRY_CAST({dbl(c)} AS INTEGER) AS {c}" if c in _INT_COLS else f"{dbl(c)} AS {c}"
     for c in ("banner_pos", "device_conn_type", "c14", "c15", "c16", "c17", "c18", "c19",
               "c20", "c21"))
 
 STG_ADS = f"""stg_ads AS (
-  SELECT id, CAST(_click AS INTEGER) AS click, CAST(trim(hour) AS BIGINT) AS hour,
-    CAST({dbl('c1')} AS BIGINT) AS c1,
+  SELECT id, CAST(_click AS INTEGER) AS click, CAST({strip('hour')} AS BIGINT) AS hour,
+    TRY_CAST({dbl('c1')} AS BIGINT) AS c1,
     site_id, site_domain, site_category, app_id, app_domain, app_category,
     device_id, device_ip, device_model,
-    CAST({dbl('device_type')} AS INTEGER) AS device_type,
+    TRY_CAST({dbl('device_type')} AS INTEGER) AS device_type,
     {_NUM},
     CAST(_ts AS DATE) AS event_date, CAST(hour(_ts) AS INTEGER) AS event_hour,
     {", ".join(f"flag_unknown_{c}" for c in FLAG_COLUMNS)}, flag_missing_fields
@@ -209,11 +229,11 @@ exp_prep AS (
 )"""
 
 STG_EXP = f"""stg_exp AS (
-  SELECT CAST(CAST(trim(recency) AS DOUBLE) AS INTEGER) AS recency, history_segment,
-    CAST(trim(history) AS DOUBLE) AS history,
-    CAST(CAST(trim(mens) AS DOUBLE) AS INTEGER) AS mens,
-    CAST(CAST(trim(womens) AS DOUBLE) AS INTEGER) AS womens, zip_code,
-    CAST(CAST(trim(newbie) AS DOUBLE) AS INTEGER) AS newbie, channel, segment,
+  SELECT CAST({dbl('recency')} AS INTEGER) AS recency, history_segment,
+    CAST({strip('history')} AS DOUBLE) AS history,
+    CAST({dbl('mens')} AS INTEGER) AS mens,
+    CAST({dbl('womens')} AS INTEGER) AS womens, zip_code,
+    CAST({dbl('newbie')} AS INTEGER) AS newbie, channel, segment,
     CAST(_visit AS INTEGER) AS visit, CAST(_conversion AS INTEGER) AS conversion,
     _spend AS spend, treatment_group,
     {case_map('treatment_group', TREATMENT_LABELS)} AS treatment_label,

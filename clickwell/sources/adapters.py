@@ -3,7 +3,9 @@
 * ``raw_ads``: an impression log shaped like the raw ad-click file (all text, as a
   CSV reader with an all-string schema would give), one row per ``events`` row.
   A deterministic share of rows carries the defects the cleaning step must handle:
-  invalid click text, undecodable hour codes, missing-value tokens, unknown ids.
+  invalid click text, undecodable hour codes, missing-value tokens, unknown ids,
+  numbers that a plain cast would take (``1d``, ``NAN``) or overflow on, and white space
+  other than blanks.
 * ``raw_experiment``: one row per ``customer``; the arm comes from the customer key,
   the outcome (visit / conversion / spend) from that customer's orders.
 
@@ -35,13 +37,16 @@ _CODE = "date_format(ts, 'yyMMddHH')"
 ADS_EXPRS = {
     "id": "CAST(event_id AS STRING)",
     "click": ("CASE WHEN pmod(event_id, 97) = 13 THEN '9' WHEN pmod(event_id, 89) = 7 THEN 'x' "
+              "WHEN pmod(event_id, 101) = 9 THEN '1d' WHEN pmod(event_id, 103) = 9 THEN 'NAN' "
+              "WHEN pmod(event_id, 107) = 9 THEN concat(char(9), '1.0', char(160)) "
               "WHEN event_type = 'click' THEN '1' ELSE '0' END"),
     "hour": (f"CASE WHEN pmod(event_id, 83) = 5 THEN '99999999' "
              f"WHEN pmod(event_id, 79) = 3 THEN substring({_CODE}, 1, 7) ELSE {_CODE} END"),
     "c1": "'1005'",
-    "banner_pos": "CAST(pmod(event_id, 2) AS STRING)",
+    "banner_pos": "CASE WHEN pmod(event_id, 109) = 3 THEN '1e12' ELSE CAST(pmod(event_id, 2) AS STRING) END",
     "site_id": ("CASE pmod(event_id, 53) WHEN 1 THEN '' WHEN 2 THEN ' Unknown ' "
                 "WHEN 3 THEN CAST(NULL AS STRING) WHEN 4 THEN '-1' WHEN 5 THEN 'NA' "
+                "WHEN 6 THEN concat(char(9), 'unknown', char(10)) "
                 f"ELSE concat('site_', CAST(pmod({_K}, 16) AS STRING)) END"),
     "site_domain": f"concat('dom_', CAST(pmod({_K}, 8) AS STRING))",
     "site_category": f"concat('site_', CAST(pmod({_K}, 4) AS STRING))",
@@ -51,9 +56,10 @@ ADS_EXPRS = {
     "device_id": "concat('dev_', CAST(user_id AS STRING))",
     "device_ip": "concat('ip_', CAST(pmod(user_id, 50) AS STRING))",
     "device_model": "concat('model_', CAST(pmod(user_id, 9) AS STRING))",
-    "device_type": ("CASE WHEN pmod(event_id, 61) = 7 THEN '-1' "
+    "device_type": ("CASE WHEN pmod(event_id, 61) = 7 THEN '-1' WHEN pmod(event_id, 113) = 7 THEN 'NAN' "
                     "ELSE CAST(pmod(user_id, 4) AS STRING) END"),
-    "device_conn_type": "CAST(pmod(user_id, 3) AS STRING)",
+    "device_conn_type": ("CASE WHEN pmod(event_id, 127) = 7 THEN '2.5' "
+                         "ELSE CAST(pmod(user_id, 3) AS STRING) END"),
     "c14": f"CAST({_K} AS STRING)",
     "c15": "'320'",
     "c16": "'50'",
@@ -111,14 +117,16 @@ def raw_experiment(spark: SparkSession, sf_dir: str, variant: str = "plain") ->
         "newbie": "CASE WHEN pmod(c_custkey, 5) = 0 THEN '1' ELSE '0' END",
         "channel": ("CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'Web' "
                     "WHEN c_mktsegment IN ('FURNITURE', 'HOUSEHOLD') THEN 'Phone' "
-                    "ELSE 'Multichannel' END"),
+                    "WHEN pmod(c_custkey, 127) = 31 THEN 'N/A' ELSE 'Multichannel' END"),
         "segment": (f"CASE WHEN pmod(c_custkey, 107) = 11 THEN 'Both E-Mail' "
                     f"ELSE CASE pmod(c_custkey, 3) WHEN 0 THEN '{ARM_LABELS[0]}' "
                     f"WHEN 1 THEN '{ARM_LABELS[1]}' ELSE '{ARM_LABELS[2]}' END END"),
         "visit": ("CASE WHEN pmod(c_custkey, 103) = 17 THEN '2' "
                   "ELSE CAST(coalesce(any_visit, 0) AS STRING) END"),
-        "conversion": "CAST(coalesce(any_conv, 0) AS STRING)",
+        "conversion": ("CASE WHEN pmod(c_custkey, 109) = 19 THEN '1f' "
+                       "ELSE CAST(coalesce(any_conv, 0) AS STRING) END"),
         "spend": (f"CASE WHEN pmod(c_custkey, 101) = 23 THEN '-5.0' "
+                  f"WHEN pmod(c_custkey, 113) = 29 THEN 'NAN' "
                   f"ELSE CAST(coalesce(spend_total, {zero}) AS STRING) END"),
     }
     return j.selectExpr(*[f"{exprs[c]} AS {c}" for c in EXPERIMENT_RAW_COLUMNS])
