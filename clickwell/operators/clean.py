@@ -117,6 +117,7 @@ def _finish_ads_summary(s: DataFrame, dataset: str) -> DataFrame:
     return (s.withColumns({"dataset": F.lit(dataset),
                            "rows_removed": F.col("input_rows") - F.col("output_rows"),
                            "ctr": ctr,
+                           "columns": F.array(*[F.lit(f.name) for f in STG_ADS.fields]),
                            "distinct_days": F.col("distinct_days").cast("bigint")})
             .drop("_clicks"))
 
@@ -204,9 +205,11 @@ def clean_experiment(raw: DataFrame, segment_map: dict[str, str] | None = None,
     """Raw experiment -> ``stg_email_experiment`` rows."""
     segment_map = segment_map or SEGMENT_MAP
     labels = labels or TREATMENT_LABELS
-    region_map = region_map or ZIP_CODE_MAP
-    df = _experiment_prepared(raw, segment_map).filter(
-        F.col("_valid") & F.col("treatment_group").isNotNull())
+    return _typed_experiment(_experiment_prepared(raw, segment_map), labels, region_map or ZIP_CODE_MAP)
+
+
+def _typed_experiment(df: DataFrame, labels: dict[str, str], region_map: dict[str, str]) -> DataFrame:
+    df = df.filter(F.col("_valid") & F.col("treatment_group").isNotNull())
     std = lookup("zip_code", region_map)
     out = df.withColumns({
         "recency": lenient_int("recency"),
@@ -229,17 +232,9 @@ def clean_experiment(raw: DataFrame, segment_map: dict[str, str] | None = None,
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STG_EXPERIMENT.fields])
 
 
-def clean_experiment_summary(raw: DataFrame, segment_map: dict[str, str] | None = None,
-                             region_map: dict[str, str] | None = None,
-                             dataset: str = "hillstrom_email_experiment",
-                             with_counts: bool = False) -> DataFrame:
-    """One-row summary.  Drop reasons are counted independently (they overlap);
-    unmapped arms are counted among the value-valid rows.  ``with_counts`` adds the
-    per-arm counts as a ``map<string,bigint>`` column, from the same pass (counters
-    grouped by arm, then rolled up)."""
-    segment_map = segment_map or SEGMENT_MAP
-    region_map = region_map or ZIP_CODE_MAP
-    df = _experiment_prepared(raw, segment_map)
+def _experiment_counters(df: DataFrame, segment_map: dict[str, str], region_map: dict[str, str]) -> list:
+    """Counters of C24: drop reasons, rates and recipients per mapped arm (the arms are
+    those of the configured map).  Plain sums, so a write can observe them."""
     kept = F.col("_valid") & F.col("treatment_group").isNotNull()
     std = lookup("zip_code", region_map)
     typo = F.coalesce(F.col("zip_code") != std, F.lit(True))
@@ -247,7 +242,7 @@ def clean_experiment_summary(raw: DataFrame, segment_map: dict[str, str] | None
     def n(cond):
         return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
 
-    counters = [
+    return [
         F.count(F.lit(1)).alias("input_rows"),
         n(kept).alias("output_rows"),
         n(F.col("_bad_visit")).alias("dropped_invalid_visit"),
@@ -258,31 +253,59 @@ def clean_experiment_summary(raw: DataFrame, segment_map: dict[str, str] | None
         n(kept & std.isNull()).alias("rows_with_unknown_fields"),
         n(kept & (F.col("_visit") == 1)).alias("_visits"),
         n(kept & (F.col("_conversion") == 1)).alias("_conversions"),
-    ]
-    if not with_counts:
-        s = df.agg(*counters, F.sum(F.when(kept, F.col("_spend"))).alias("_revenue"))
-    else:
-        # One pass: the counters per arm (arms are few; null arm included), then a roll-up
-        # of those rows gives both the totals and the per-arm count map.
-        per_arm = df.groupBy("treatment_group").agg(
-            *counters, F.sum(F.when(kept, F.col("_spend"))).alias("_revenue"))
-        names = [c for c in per_arm.columns if c != "treatment_group"]
-        s = per_arm.agg(
-            *[F.sum(c).cast("double" if c == "_revenue" else "bigint").alias(c) for c in names],
-            F.map_from_entries(F.collect_list(F.when(
-                F.col("treatment_group").isNotNull() & (F.col("output_rows") > 0),
-                F.struct("treatment_group", F.col("output_rows").alias("count")))))
-            .alias("treatment_group_counts"))
+        F.sum(F.when(kept, F.col("_spend"))).alias("_revenue"),
+    ] + [n(kept & (F.col("treatment_group") == arm)).alias(f"_arm_{arm}") for arm in _arms(segment_map)]
+
+
+def _arms(segment_map: dict[str, str]) -> list[str]:
+    return sorted(set(segment_map.values()))
+
+
+def _finish_experiment_summary(s: DataFrame, segment_map: dict[str, str], dataset: str) -> DataFrame:
     out_rows = F.col("output_rows")
 
     def rate(c, digits):
         return F.when(out_rows == 0, F.lit(0.0)).otherwise(F.round(F.col(c) / out_rows, digits))
 
-    s = s.withColumns({
+    counts = F.create_map(*[x for arm in _arms(segment_map) for x in (F.lit(arm), F.col(f"_arm_{arm}"))])
+    return s.withColumns({
         "dataset": F.lit(dataset),
         "rows_removed": F.col("input_rows") - out_rows,
+        "treatment_group_counts": F.map_filter(counts, lambda k, v: v > 0),
         "visit_rate": rate("_visits", 6),
         "conversion_rate": rate("_conversions", 6),
         "revenue_mean": rate("_revenue", 4),
-    }).drop("_visits", "_conversions", "_revenue")
-    return s
+        "columns": F.array(*[F.lit(f.name) for f in STG_EXPERIMENT.fields]),
+    }).drop("_visits", "_conversions", "_revenue", *[f"_arm_{arm}" for arm in _arms(segment_map)])
+
+
+def clean_experiment_summary(raw: DataFrame, segment_map: dict[str, str] | None = None,
+                             region_map: dict[str, str] | None = None,
+                             dataset: str = "hillstrom_email_experiment") -> DataFrame:
+    """One-row summary.  Drop reasons are counted independently (they overlap);
+    unmapped arms are counted among the value-valid rows; ``treatment_group_counts`` maps
+    each arm that has recipients to their number, ``columns`` lists the staging columns."""
+    segment_map = segment_map or SEGMENT_MAP
+    df = _experiment_prepared(raw, segment_map)
+    return _finish_experiment_summary(
+        df.agg(*_experiment_counters(df, segment_map, region_map or ZIP_CODE_MAP)), segment_map, dataset)
+
+
+def clean_experiment_observed(raw: DataFrame, segment_map: dict[str, str] | None = None,
+                              region_map: dict[str, str] | None = None):
+    """C23 + C24 in one pass: the staging rows and an ``Observation`` that holds the
+    counters once the rows are written (``observed_experiment_summary``)."""
+    from pyspark.sql import Observation
+    segment_map, region_map = segment_map or SEGMENT_MAP, region_map or ZIP_CODE_MAP
+    obs = Observation("experiment_cleaning_summary")
+    df = _experiment_prepared(raw, segment_map)
+    df = df.observe(obs, *_experiment_counters(df, segment_map, region_map))
+    return _typed_experiment(df, TREATMENT_LABELS, region_map), obs
+
+
+def observed_experiment_summary(spark, obs, segment_map: dict[str, str] | None = None,
+                                dataset: str = "hillstrom_email_experiment") -> DataFrame:
+    counters = obs.get
+    row = spark.createDataFrame([tuple(counters.values())], ", ".join(
+        f"`{k}` {'double' if k == '_revenue' else 'bigint'}" for k in counters))
+    return _finish_experiment_summary(row, segment_map or SEGMENT_MAP, dataset)

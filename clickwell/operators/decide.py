@@ -165,6 +165,16 @@ def action_counts(recs: DataFrame, actions: tuple[str, ...] = ACTIONS) -> DataFr
                     .alias("recommendation_count")))
 
 
+def recommendation_summary(recs: DataFrame, portfolio_row: DataFrame,
+                           actions: tuple[str, ...] = ACTIONS) -> DataFrame:
+    """One row with the portfolio, the number of recommendations, their counts per
+    action (zero-filled map, lower case) and ``success`` (there are any)."""
+    counts = recs.agg(F.count(F.lit(1)).alias("recommendation_count"), F.create_map(*[x for a in actions for x in (
+        F.lit(a.lower()), F.coalesce(F.sum(F.when(F.col("action") == a, 1)), F.lit(0)).cast("bigint"))]).alias("action_counts"))
+    return portfolio_row.select(F.round("ctr", 6).alias("overall_ctr"), "impressions", "clicks").crossJoin(
+        F.broadcast(counts)).withColumn("success", F.col("recommendation_count") > 0)
+
+
 def headline(recs: DataFrame, top: DataFrame, ab: DataFrame,
              exp: ExperimentConfig = ExperimentConfig(), n_scale: int = 3,
              n_pause: int = 2) -> DataFrame:

@@ -180,13 +180,19 @@ MATRIX_METRICS = (
 
 def arm_matrix(results: DataFrame, cfg: ExperimentConfig = ExperimentConfig(),
                metrics: tuple[tuple[str, str], ...] = MATRIX_METRICS) -> DataFrame:
-    """Metrics as rows, arms as columns (pivot over the configured arm list)."""
-    metrics = tuple(m for m in metrics if m[1] in results.columns)
+    """Metrics as rows, arms as columns: the configured arms first, in their order,
+    then any others that the results hold, by name (k names, read from the mart)."""
+    found = {r[0] for r in results.select("treatment_group").distinct().collect()}
+    arms = list(cfg.arm_order) + sorted(found - set(cfg.arm_order) - {None})
     long = results.select(
         "treatment_group",
         F.explode(F.array(*[F.struct(F.lit(i).alias("metric_order"), F.lit(label).alias("metric"),
                                      F.col(c).cast("double").alias("value"))
                             for i, (label, c) in enumerate(metrics)])).alias("m"))
     long = long.select("treatment_group", "m.metric_order", "m.metric", "m.value")
-    return (long.groupBy("metric_order", "metric")
-            .pivot("treatment_group", list(cfg.arm_order)).agg(F.first("value")))
+    return long.groupBy("metric_order", "metric").pivot("treatment_group", arms).agg(F.first("value"))
+
+
+def ordered_arms(results: DataFrame, cfg: ExperimentConfig = ExperimentConfig()) -> DataFrame:
+    """The results with ``arm_order`` (1-based rank in output order)."""
+    return results.withColumn("arm_order", F.row_number().over(Window.orderBy(arm_rank(cfg), "treatment_group")).cast("int"))

@@ -120,14 +120,15 @@ def forecast_results(candidates: DataFrame, series_cols: tuple[str, ...] = ()) -
 
 def forecast_summary(metrics: DataFrame, results: DataFrame, hourly: DataFrame,
                      staging_rows: DataFrame) -> DataFrame:
-    """one row: series length, result rows, hours, selected model and its
-    metrics, total input impressions and the reconciliation flag (series long enough,
+    """one row: series length, result rows, hours, metrics of every model, selected
+    model and its metrics, total input impressions and the reconciliation flag (series long enough,
     results present, input impressions == staging rows, MAE present).
     ``staging_rows`` is a one-row frame with column ``staging_row_count``."""
     sel = metrics.filter("selected").select(
         "train_hours", "holdout_hours", F.col("model_name").alias("selected_model"),
         "mae", "rmse", "mape")
-    models = metrics.agg(F.count(F.lit(1)).alias("models_evaluated"))
+    models = metrics.agg(F.count(F.lit(1)).alias("models_evaluated"), F.array_sort(F.collect_list(F.struct(
+        "model_name", "mae", "rmse", "mape"))).alias("model_metrics"))
     rows = results.agg(F.count(F.lit(1)).alias("results_row_count"))
     series = hourly.agg(F.count(F.lit(1)).alias("input_row_count"),
                         F.coalesce(F.sum("impressions"), F.lit(0)).cast("bigint")

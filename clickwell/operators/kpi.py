@@ -3,8 +3,8 @@
 All marts are hash aggregations on their grain (partial aggregation map-side, then
 one shuffle of at most one row per group per task), so a hot day, hour or segment
 is pre-aggregated before it is shuffled.  Portfolio totals are taken from the
-already-aggregated mart, never from a second scan of the event log, and joined back
-as a one-row broadcast (a proven size bound: exactly one row).
+written mart, never from a second scan of the event log, and joined back as a one-row
+broadcast (a proven size bound: exactly one row).
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_MIN_IMPRESSIONS, RANKING_LIMIT, SEGMENT_DIMS
 from ..functions.core import safe_ratio
+from ..session import write_shared
 
 
 def _kpi_aggs(click_col: str = "click"):
@@ -39,41 +40,25 @@ def hourly_trends(stg: DataFrame, date_col: str = "event_date",
                      .groupBy(*by, date_col, hour_col).agg(*_kpi_aggs()))
 
 
-def one_row_total(mart: DataFrame, col: str, alias: str) -> DataFrame:
-    """Single-row total of an aggregated mart, meant for a broadcast cross join."""
-    return mart.agg(F.coalesce(F.sum(col), F.lit(0)).cast("bigint").alias(alias))
+def _with_share(seg: DataFrame, total: DataFrame) -> DataFrame:
+    """Click share of a segment mart; ``total`` is one row with ``_total_clicks``."""
+    return (seg.crossJoin(F.broadcast(total))
+            .withColumn("click_share", safe_ratio("clicks", "_total_clicks")).drop("_total_clicks"))
 
 
-def segment_performance(stg: DataFrame, dims: tuple[str, ...] = SEGMENT_DIMS,
-                        total_strategy: str = "window") -> DataFrame:
+def _click_total(mart: DataFrame) -> DataFrame:
+    return mart.agg(F.coalesce(F.sum("clicks"), F.lit(0)).cast("bigint").alias("_total_clicks"))
+
+
+def segment_performance(stg: DataFrame, dims: tuple[str, ...] = SEGMENT_DIMS) -> DataFrame:
     """A4 + A5: per segment (null dimension values kept as their own group), with the
     segment's share of all clicks (0.0 when there are no clicks).
 
-    The event log is aggregated once.  The click total is then taken over the
-    aggregated segment rows:
-
-    * ``window`` (default): a window over the whole segment mart.  Its single-partition
-      exchange carries one row per segment (bounded by the product of the dimension
-      cardinalities, not by the event volume).  Any plan that consumes the aggregate
-      twice (cross join with a one-row total, scalar subquery) makes adaptive execution
-      re-scan the event log for the second consumer, which at scale costs far more.
-    * ``checkpoint``: for very high-cardinality dimensions; the aggregated mart is
-      written once under ``spark.checkpoint.dir`` (``session.write_shared``) and the
-      one-row total is broadcast back, so no task holds more than its share.
-    """
-    seg = _with_ctr(stg.groupBy(*dims).agg(*_kpi_aggs()))
-    if total_strategy == "window":
-        total = F.sum("clicks").over(Window.partitionBy())
-        return seg.withColumn("click_share", F.when(total == 0, F.lit(0.0))
-                              .otherwise(F.col("clicks").cast("double") / total.cast("double")))
-    if total_strategy == "checkpoint":
-        from ..session import write_shared
-        seg = write_shared(seg)
-        total = one_row_total(seg, "clicks", "_total_clicks")
-        return (seg.crossJoin(F.broadcast(total))
-                .withColumn("click_share", safe_ratio("clicks", "_total_clicks"))
-                .drop("_total_clicks"))
-    raise ValueError(f"unknown total_strategy {total_strategy!r}")
+    The mart is written once to the shared checkpoint folder and the total of its clicks
+    is joined back as one broadcast row.  ``dims`` may be of any cardinality: no task holds
+    more than its share of the mart, and the event log is read once."""
+    seg = write_shared(_with_ctr(stg.groupBy(*dims).agg(*_kpi_aggs())))
+    return _with_share(seg, _click_total(seg))
 
 
 def portfolio(mart: DataFrame) -> DataFrame:
@@ -132,21 +117,17 @@ def kpi_summary(stg: DataFrame, date_col: str = "event_date") -> DataFrame:
     })
 
 
-def hourly_range(hourly: DataFrame, segments: DataFrame, staging_rows: DataFrame) -> DataFrame:
-    """A10 from built marts: hourly totals, overall CTR, CTR range (6 dp), mart row
-    counts and the reconciliation flag.  ``staging_rows`` is a one-row frame with
-    column ``staging_row_count``."""
-    h = hourly.agg(
-        F.count(F.lit(1)).alias("hourly_rows"),
-        F.coalesce(F.sum("impressions"), F.lit(0)).cast("bigint").alias("total_impressions"),
-        F.coalesce(F.sum("clicks"), F.lit(0)).cast("bigint").alias("total_clicks"),
-        F.round(F.min("ctr"), 6).alias("min_hourly_ctr"),
-        F.round(F.max("ctr"), 6).alias("max_hourly_ctr"),
-    )
-    s = segments.agg(F.count(F.lit(1)).alias("segment_rows"),
-                     F.coalesce(F.sum("impressions"), F.lit(0)).cast("bigint")
-                     .alias("segment_impressions"))
-    return _funnel_flags(h.crossJoin(F.broadcast(s)).crossJoin(F.broadcast(staging_rows)))
+def daily_listing(daily: DataFrame) -> DataFrame:
+    """The daily marts as the run summary lists them (CTR to 6 dp)."""
+    return daily.select("event_date", "impressions", "clicks", F.round("ctr", 6).alias("ctr"))
+
+
+def segment_rankings(top: DataFrame, bottom: DataFrame, dims: tuple[str, ...] = SEGMENT_DIMS) -> DataFrame:
+    """A10: both rankings of the funnel summary as rows (at most twice the limit)."""
+    cols = ["rank", *dims, "impressions", "clicks", F.round("ctr", 6).alias("ctr"),
+            F.round("click_share", 6).alias("click_share")]
+    return top.select(F.lit("top_by_ctr").alias("ranking"), *cols).unionByName(
+        bottom.select(F.lit("bottom_by_ctr").alias("ranking"), *cols))
 
 
 def _funnel_flags(df: DataFrame) -> DataFrame:
@@ -157,10 +138,12 @@ def _funnel_flags(df: DataFrame) -> DataFrame:
     })
 
 
-def ensure_not_empty(df: DataFrame, name: str) -> None:
-    """A11 / R2 guard: raise when a required table has no rows (a 1-row probe job)."""
-    if df.isEmpty():
-        raise RuntimeError(f"{name} is empty; build it before running this step.")
+def ensure_not_empty(tables: dict[str, DataFrame]) -> None:
+    """A11 / R2 guard: raise when required tables have no rows, naming all of them (a 1-row
+    probe job each)."""
+    empty = [name for name, df in tables.items() if df.isEmpty()]
+    if empty:
+        raise RuntimeError(f"Empty tables: {', '.join(empty)}; build them before running this step.")
 
 
 # ------------------------------------------------------------------ one-pass ad marts
@@ -205,12 +188,10 @@ def daily_from(rollup: DataFrame, date_col: str = "event_date") -> DataFrame:
 
 
 def segments_from(rollup: DataFrame, dims: tuple[str, ...] = SEGMENT_DIMS) -> DataFrame:
-    """A4 + A5 from the rollup (click share over the segment rows)."""
-    seg = _with_ctr(rollup.filter(F.col("_set") == SEGMENT_SET)
-                    .select(*dims, "impressions", "clicks"))
-    total = F.sum("clicks").over(Window.partitionBy())
-    return seg.withColumn("click_share", F.when(total == 0, F.lit(0.0))
-                          .otherwise(F.col("clicks").cast("double") / total.cast("double")))
+    """A4 + A5 from a written rollup: every row is in one (date, hour) group, so the click
+    total is that of the hourly rows, joined as one broadcast row."""
+    seg = _with_ctr(rollup.filter(F.col("_set") == SEGMENT_SET).select(*dims, "impressions", "clicks"))
+    return _with_share(seg, _click_total(rollup.filter(F.col("_set") == HOURLY_SET)))
 
 
 def staging_rows_from(rollup: DataFrame) -> DataFrame:

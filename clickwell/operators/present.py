@@ -5,7 +5,7 @@ All inputs are marts (already aggregated); rendering itself is out of scope.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ACTIONS, ExperimentConfig
@@ -41,14 +41,11 @@ def segment_chart(seg: DataFrame, min_impressions: int, top_n: int = 10,
                   label_chars: int = 8) -> DataFrame:
     """Top-n segments by CTR with a short label and an above / below portfolio
     class (portfolio CTR computed from the segment mart, not hard-coded)."""
-    whole = Window.partitionBy()   # one row per segment; avoids consuming the mart twice
-    port = F.sum("clicks").over(whole) / F.sum("impressions").over(whole)
+    port = F.broadcast(portfolio(seg).select(F.col("ctr").alias("_portfolio_ctr")))
     keys = [F.col("ctr").desc(), F.col("impressions").desc(), F.col("device_type").asc_nulls_first(),
             F.col("app_category").asc_nulls_first(), F.col("site_category").asc_nulls_first(),
             F.col("banner_pos").asc_nulls_first()]
-    top = (seg.withColumn("_portfolio_ctr", F.when(F.sum("impressions").over(whole) == 0, 0.0)
-                          .otherwise(port))
-           .filter(F.col("impressions") >= min_impressions).orderBy(*keys).limit(top_n))
+    top = seg.filter(F.col("impressions") >= min_impressions).orderBy(*keys).limit(top_n).crossJoin(port)
     label = F.concat(F.lit("d"), F.coalesce(F.col("device_type").cast("string"), F.lit("None")),
                      F.lit(" | "), F.substring(F.coalesce("app_category", F.lit("None")), 1, label_chars),
                      F.lit(" | "), F.substring(F.coalesce("site_category", F.lit("None")), 1, label_chars))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.core import decode_hour_code, is_binary, lenient_double, na_to_null, safe_ratio
+from ..session import write_shared
 from .clean import na_normalize, normalize_columns
 
 AD_DISTINCT_COLUMNS = ("device_id", "device_type", "app_id", "app_category", "site_id",
@@ -48,38 +49,7 @@ def missing_summary(df: DataFrame) -> DataFrame:
                     F.round(F.col("missing_count") / F.col("__rows") * 100, 2).alias("missing_pct")))
 
 
-def _bracket_aggs(x, accuracy: int):
-    """Count and quantile-sketch bounds ``lo <= median <= hi`` (the sketch's rank
-    error is at most n / accuracy, so quantiles 0.5 -/+ 2 / accuracy bracket it)."""
-    d = 2.0 / accuracy
-    return [F.count(x).alias("_n"),
-            F.percentile_approx(x, [max(0.0, 0.5 - d), min(1.0, 0.5 + d)], accuracy).alias("_b")]
-
-
-def _median_from_bounds(values: DataFrame, bounds: DataFrame,
-                        carry: tuple[str, ...] = ()) -> DataFrame:
-    """Second pass of the exact median.  ``values`` has one column ``_x`` (no nulls);
-    ``bounds`` is one row with ``_n`` and ``_b`` (the bracket) plus any ``carry``
-    columns, which are passed through to the one-row result (so the caller consumes
-    ``bounds`` once).  Values below / above the bracket collapse into two counters;
-    values inside are grouped by value, so the ordered window at the end sees at most
-    ~4n / accuracy distinct values however skewed the column is."""
-    b = bounds.select("_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"), *carry)
-    tagged = values.crossJoin(F.broadcast(b)).select(
-        "_n", *carry, F.when(F.col("_x") < F.col("_lo"), F.lit(0))
-        .when(F.col("_x") > F.col("_hi"), F.lit(2)).otherwise(F.lit(1)).alias("_side"),
-        F.when(F.col("_x").between(F.col("_lo"), F.col("_hi")), F.col("_x")).alias("_v"))
-    groups = tagged.groupBy("_n", *carry, "_side", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy("_side", "_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = groups.withColumn("_cum", F.sum("_c").over(w))
-    k1 = F.floor((F.col("_n") - 1) / 2)          # 0-based ranks of the middle values
-    k2 = F.floor(F.col("_n") / 2)
-    picks = cum.agg(
-        F.min(F.when((F.col("_side") == 1) & (F.col("_cum") > k1), F.col("_v"))).alias("_v1"),
-        F.min(F.when((F.col("_side") == 1) & (F.col("_cum") > k2), F.col("_v"))).alias("_v2"),
-        *[F.first(c).alias(c) for c in ("_n", *carry)])
-    return picks.select(*[c for c in ("_n", *carry) if carry],
-                        (F.col("_v1") + (F.col("_v2") - F.col("_v1")) * 0.5).alias("median"))
+BINS = 4096
 
 
 def _values(df: DataFrame, column: str) -> DataFrame:
@@ -87,36 +57,66 @@ def _values(df: DataFrame, column: str) -> DataFrame:
     return df.select(x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
 
 
-def exact_median(df: DataFrame, column: str, accuracy: int = 1_000_000) -> DataFrame:
-    """Exact median (mean of the two middle values for an even count) without
-    gathering the column, or its value -> count map, in one task: a sketch pass
-    brackets the median, a second pass counts around the bracket.  One-row result with
-    column ``median`` (null for no values)."""
-    values = _values(df, column)
-    return _median_from_bounds(values, values.agg(*_bracket_aggs(F.col("_x"), accuracy)))
-
-
-def distribution(df: DataFrame, column: str, approx: bool = False,
-                 accuracy: int = 1_000_000) -> DataFrame:
-    """Min, max, mean (4 dp), median, sample std (4 dp; 0.0 for one value) of the
-    non-null values.  The statistics and the median's sketch bracket come from one
-    aggregation; the exact median then needs one more pass (``approx`` skips it and
-    reports the sketch's median)."""
-    values = _values(df, column)
+def _value_at(values: DataFrame, rank: int, low: float, high: float) -> float:
+    """The value of 0-based ``rank`` in sorted order, ``low`` and ``high`` being the least
+    and the greatest.  Each pass counts the values per bin of the range that holds the rank
+    (at most ``BINS`` rows, added up map-side) and goes on with one bin, from its least to
+    its greatest value, so that a pass cuts the range at least ``BINS``-fold or ends."""
+    below = 0
+    while low < high:
+        width = high / BINS - low / BINS
+        x = F.col("_x")
+        inside = values.filter((x >= F.lit(low)) & (x <= F.lit(high)))
+        number = F.least(F.floor((x - F.lit(low)) / F.lit(width)), F.lit(BINS - 1)) if width > 0 else (x > F.lit(low)).cast("int")
+        bins = inside.groupBy(number.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"),
+                                                     F.max("_x").alias("hi")).collect()
+        for r in sorted(bins, key=lambda r: r.b):
+            if below + r.n > rank:
+                break
+            below += r.n
+        else:
+            raise AssertionError(f"rank {rank} is not among the {below} values counted")
+        if (r.lo, r.hi) == (low, high):  # a bin that cannot be cut further
+            raise AssertionError(f"no progress between {low!r} and {high!r}")
+        low, high = r.lo, r.hi
+    return low
+
+
+def exact_median(df: DataFrame, column: str) -> float | None:
+    """Exact median (mean of the two middle values for an even count; None for no values).
+    Neither the column nor its distinct values are gathered: what a task holds and sends
+    is at most ``BINS`` counters, whatever the column."""
+    values = write_shared(_values(df, column))
     x = F.col("_x")
-    aggs = [F.min(x).alias("min"), F.max(x).alias("max"), F.round(F.avg(x), 4).alias("mean"),
-            F.stddev_samp(x).alias("_std")]
-    if approx:
-        aggs += [F.count(x).alias("_n"),
-                 F.percentile_approx(x, 0.5, accuracy).cast("double").alias("median")]
-        s = values.agg(*aggs)
-    else:
-        stats = values.agg(*aggs, *_bracket_aggs(x, accuracy))
-        s = _median_from_bounds(values, stats, carry=("min", "max", "mean", "_std"))
-    return s.select(F.lit(column).alias("column_name"),
-                    F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("n"), "min", "max",
-                    "mean", "median",
-                    F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(F.round("_std", 4)).alias("std"))
+    s = values.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    return _median(values, s.n, s.lo, s.hi)
+
+
+def _median(values: DataFrame, n: int, low: float, high: float) -> float | None:
+    if not n:
+        return None
+    first = _value_at(values, (n - 1) // 2, low, high)
+    second = first
+    if n % 2 == 0:  # the same value again, or the next greater one
+        x = F.col("_x")
+        s = values.agg(F.sum(F.when(x <= F.lit(first), 1).otherwise(0)).alias("upto"),
+                       F.min(F.when(x > F.lit(first), x)).alias("next")).first()
+        second = first if s.upto > n // 2 else s.next
+    return first + (second - first) * 0.5
+
+
+def distribution(df: DataFrame, column: str) -> DataFrame:
+    """Min, max, mean (4 dp), exact median, sample std (4 dp; 0.0 for one value) of the
+    non-null values.  The column is written once to the shared folder (its input may be
+    costly); one aggregation gives the statistics, and the median takes a few counting
+    passes (see ``exact_median``)."""
+    values = write_shared(_values(df, column))
+    x = F.col("_x")
+    s = values.agg(F.count(x).alias("n"), F.min(x).alias("min"), F.max(x).alias("max"),
+                   F.round(F.avg(x), 4).alias("mean"), F.round(F.stddev_samp(x), 4).alias("std")).first()
+    row = (column, s.n, s.min, s.max, s["mean"], _median(values, s.n, s.min, s.max), 0.0 if s.n == 1 else s["std"])
+    return df.sparkSession.createDataFrame(
+        [row], "column_name string, n bigint, min double, max double, mean double, median double, std double")
 
 
 def distinct_counts(df: DataFrame, columns, approx: bool = False) -> DataFrame:
@@ -244,11 +244,11 @@ def arm_profile(raw: DataFrame) -> DataFrame:
                     F.round(safe_ratio("_r", "recipients"), 4).alias("revenue_per_customer"))
 
 
-def revenue_distribution(raw: DataFrame, approx: bool = False) -> DataFrame:
+def revenue_distribution(raw: DataFrame) -> DataFrame:
     """P2 on the money column with unparseable / missing values as 0."""
     df = _as_pandas_read(raw)
     k = experiment_columns(df.columns)
-    return distribution(df.select(_zero_filled(k["money"]).alias(k["money"])), k["money"], approx)
+    return distribution(df.select(_zero_filled(k["money"]).alias(k["money"])), k["money"])
 
 
 __all__ = ["missing_summary", "distribution", "distinct_counts", "value_counts", "top_values",
@@ -268,13 +268,14 @@ def profile_ads(raw: DataFrame, distinct_columns=AD_DISTINCT_COLUMNS, top_column
             "top_values": top_values(valid, top_columns, k)}
 
 
-def profile_experiment(raw: DataFrame, approx_median: bool = False) -> dict[str, DataFrame]:
-    """The experiment profile as named DataFrames (all lazy)."""
+def profile_experiment(raw: DataFrame) -> dict[str, DataFrame]:
+    """The experiment profile as named DataFrames (the distribution is computed
+    at once, the others are lazy)."""
     df = _as_pandas_read(raw)
     k = experiment_columns(df.columns)
     dist_cols = [c for c in ("zip_code", "channel") if c in df.columns]
     return {"summary": experiment_overview(raw), "missing_values": missing_summary(df),
             "treatment_counts": value_counts(df, [k["arm"]]),
             "segment_metrics": arm_profile(raw),
-            "revenue_distribution": revenue_distribution(raw, approx_median),
+            "revenue_distribution": revenue_distribution(raw),
             "value_counts": value_counts(df, dist_cols) if dist_cols else None}

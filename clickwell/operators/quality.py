@@ -2,8 +2,8 @@
 
 Every table contributes one small aggregation (row count plus the sums the checks
 need); the one-row results are cross-joined (broadcast, one row each) into a single
-metrics row and expanded into one row per check.  No table is scanned twice and no
-check pulls data to the driver.
+metrics row and expanded into one row per check.  The raw inputs' row counts are taken
+as given one-row frames, so that a pipeline can count them while it stages them.
 """
 
 from __future__ import annotations
@@ -49,29 +49,38 @@ def _stg_arms(stg_experiment: DataFrame) -> DataFrame:
             F.col("n").cast("string"))))).alias("stg_groups"))
 
 
+def _no_variance():
+    """Neither the arm nor the control has both outcomes, so the pooled variance is 0."""
+    rate, control = F.col("conversion_rate"), F.col("control_conversion_rate")
+    return (rate == control) & rate.isin(0.0, 1.0)
+
+
 def _f6(c):
     return F.format_string("%.6f", F.round(c, 6))
 
 
-def validation_checks(*, raw_ads: DataFrame, raw_experiment: DataFrame, stg_ads: DataFrame,
+def count_rows(df: DataFrame) -> DataFrame:
+    """One row ``n``."""
+    return df.agg(F.count(F.lit(1)).alias("n"))
+
+
+def validation_checks(*, raw_ads_rows: DataFrame, raw_experiment_rows: DataFrame, stg_ads: DataFrame,
                       stg_experiment: DataFrame, daily: DataFrame, hourly: DataFrame,
                       segments: DataFrame, ab: DataFrame, forecast_inputs: DataFrame,
                       forecast_results: DataFrame, ads_summary: DataFrame,
                       experiment_summary: DataFrame, tol: float = VALIDATION_TOLERANCE,
                       pending_marts: dict[str, DataFrame] | None = None) -> DataFrame:
     """The 25 named checks as rows (check_order, check_name, status, expected,
-    actual, message).  Expectations come from the cleaning summaries."""
-    def cnt(df, alias):
-        return df.agg(F.count(F.lit(1)).alias(alias))
-
+    actual, message).  Expectations come from the cleaning summaries; ``raw_*_rows`` are
+    one-row frames ``n``."""
     def kpis(df, p):
         return df.agg(F.count(F.lit(1)).alias(f"{p}_rows"),
                       F.coalesce(F.sum("impressions"), F.lit(0)).cast("bigint").alias(f"{p}_impr"),
                       F.coalesce(F.sum("clicks"), F.lit(0)).cast("bigint").alias(f"{p}_clicks"))
 
     parts = [
-        cnt(raw_ads, "raw_ads_rows"),
-        cnt(raw_experiment, "raw_exp_rows"),
+        raw_ads_rows.select(F.col("n").alias("raw_ads_rows")),
+        raw_experiment_rows.select(F.col("n").alias("raw_exp_rows")),
         stg_ads.agg(F.count(F.lit(1)).alias("stg_ads_rows"),
                     F.avg(F.col("click").cast("double")).alias("stg_ads_ctr")),
         # rows, visit rate and per-arm counts from one pass over the staging table
@@ -83,8 +92,9 @@ def validation_checks(*, raw_ads: DataFrame, raw_experiment: DataFrame, stg_ads:
         ab.agg(F.count(F.lit(1)).alias("ab_rows"),
                F.coalesce(F.sum("recipients"), F.lit(0)).cast("bigint").alias("ab_recipients"),
                F.coalesce(F.sum("conversions"), F.lit(0)).cast("bigint").alias("ab_conversions"),
+               # a test without variance has no p-value; it counts as tested
                F.sum(F.when((F.col("treatment_group") != CONTROL_GROUP)
-                            & F.col("p_value").isNotNull(), 1).otherwise(0))
+                            & (F.col("p_value").isNotNull() | _no_variance()), 1).otherwise(0))
                .cast("bigint").alias("ab_p_rows")),
         counts_text(ab, "treatment_group", "recipients", "ab_groups"),
         forecast_results.agg(F.count(F.lit(1)).alias("fres_rows"),
@@ -191,17 +201,24 @@ def validation_summary(checks: DataFrame) -> DataFrame:
     return s.withColumn("success", F.col("failed_count") == 0)
 
 
-def lock_snapshot(metrics: DataFrame, success_flags: DataFrame | None = None) -> DataFrame:
-    """L1: freeze (metric, value, tolerance) rows.  ``success_flags`` is a frame of
-    (step, success); any false or missing step fails the job instead of locking."""
-    if success_flags is None:
-        return metrics
-    bad = success_flags.agg(F.sum(F.when(F.coalesce(F.col("success"), F.lit(False)), 0)
-                                  .otherwise(1)).alias("_bad"))
-    guarded = metrics.crossJoin(F.broadcast(bad))
-    return guarded.withColumn("value", F.when(F.col("_bad") > 0, F.raise_error(
-        F.lit("Cannot lock metrics: a pipeline step did not succeed"))).otherwise(F.col("value"))
-    ).drop("_bad")
+# --- fixed values that must equal the reference: steps that a lock needs ---------
+REQUIRED_STEPS = ("campaign", "funnel", "ab_test", "forecast", "recommendations", "exports",
+                  "validation")
+# ----------------------------------------------------------------------------------
+
+
+def lock_snapshot(metrics: DataFrame, steps: DataFrame,
+                  required: tuple[str, ...] = REQUIRED_STEPS) -> DataFrame:
+    """L1: freeze (metric, value, tolerance) rows.  ``steps`` holds (step, success) of the
+    run; a required step that is missing or did not succeed fails the job, and the error
+    names all of them."""
+    done = F.collect_set(F.when(F.coalesce(F.col("success"), F.lit(False)), F.col("step")))
+    bad = F.array_sort(F.array_except(F.array(*[F.lit(x) for x in required]), done))
+    guard = steps.agg(bad.alias("_bad"))
+    return metrics.crossJoin(F.broadcast(guard)).withColumn("value", F.when(
+        F.size("_bad") > 0, F.raise_error(F.concat(
+            F.lit("Cannot lock metrics, steps missing or failed: "), F.array_join("_bad", ", ")))
+        .cast("double")).otherwise(F.col("value"))).drop("_bad")
 
 
 def lock_drift(current: DataFrame, locked: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def compact(plan: str) -> str:
             detail = re.sub(r"#\d+L?", "", detail)
         elif op in ("HashAggregate", "ObjectHashAggregate", "SortAggregate"):
             funcs = re.search(r"functions=\[([^\]]*)\]", rest)
-            detail = re.sub(r"#\d+L?", "", funcs.group(1))[:120] if funcs else ""
+            detail = re.sub(r"#\d+L?", "", funcs.group(1)) if funcs else ""
         elif op == "TakeOrderedAndProject":
             lim = re.search(r"limit=(\d+)", rest)
             detail = f"limit={lim.group(1)}" if lim else ""

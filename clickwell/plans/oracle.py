@@ -97,7 +97,7 @@ RAW_ADS = f"""raw_ads AS (
          WHEN {pm('event_id', 53)} = 3 THEN NULL
          WHEN {pm('event_id', 53)} = 4 THEN '-1'
          WHEN {pm('event_id', 53)} = 5 THEN 'NA'
-         WHEN {pm('event_id', 53)} = 6 THEN chr(9) || 'unknown' || chr(10)
+         WHEN {pm('event_id', 53)} = 6 THEN chr(9) || 'unknown' || chr(12)
          ELSE 'site_' || CAST({pm(_K, 16)} AS VARCHAR) END AS site_id,
     'dom_' || CAST({pm(_K, 8)} AS VARCHAR) AS site_domain,
     'site_' || CAST({pm(_K, 4)} AS VARCHAR) AS site_category,

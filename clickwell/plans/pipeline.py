@@ -9,12 +9,34 @@ not from the raw files, and every later step scans the small typed tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+import threading
+from collections.abc import Callable
+
+from pyspark import inheritable_thread_target
+
 from ..config import DEFAULT_HOLDOUT_HOURS, ExperimentConfig, RankingConfig
-from ..operators import clean, decide, experiment, forecast, kpi
+from ..operators import clean, decide, experiment, forecast, kpi, quality
 from ..schemas import TABLES
+from ..session import write_shared
+from ..sources import sinks
+
+# --- fixed values that must equal the reference: exports (file, source, description) --
+EXPORTS = (
+    ("campaign_kpis.csv", "mart_campaign_kpis", "Campaign KPIs"),
+    ("ctr_trends.csv", "mart_ctr_trends", "CTR trends"),
+    ("segment_performance.csv", "mart_device_app_performance", "Segment performance"),
+    ("ab_test_results.csv", "mart_ab_test_results", "A/B test results"),
+    ("forecast_results.csv", "mart_forecast_results", "Forecast results"),
+    ("recommendation_matrix.csv", "recommendations_summary",
+     "Scale / pause / retest recommendation matrix"),
+)
+# ----------------------------------------------------------------------------------
+EXPORT_ORDER = {"mart_campaign_kpis": ["event_date"], "mart_ctr_trends": ["event_date", "event_hour"],
+                "mart_ab_test_results": ["treatment_group"],
+                "mart_forecast_results": ["event_date", "event_hour"]}
 
 
 class Bundle:
@@ -31,17 +53,19 @@ class Bundle:
         self.raw_ads, self.raw_experiment = raw_ads, raw_experiment
         self.ranking, self.exp, self.holdout_hours, self.share = ranking, exp, holdout_hours, share
         self._cache: dict[str, DataFrame] = dict(overrides or {})
+        self._locks: dict[str, threading.RLock] = {}
+        self._guard = threading.Lock()
 
     def _get(self, name: str, make):
-        if name not in self._cache:
-            self._cache[name] = make()
-        return self._cache[name]
+        with self._guard:
+            lock = self._locks.setdefault(name, threading.RLock())
+        with lock:
+            if name not in self._cache:
+                self._cache[name] = make()
+            return self._cache[name]
 
     def _shared(self, df: DataFrame) -> DataFrame:
-        if not self.share:
-            return df
-        from ..session import write_shared
-        return write_shared(df)
+        return write_shared(df) if self.share else df
 
     stg_ads = property(lambda self: self._get("stg_ad_events", lambda: clean.clean_ads(self.raw_ads)))
     stg_experiment = property(lambda self: self._get(
@@ -71,16 +95,23 @@ class Bundle:
     ads_summary = property(lambda self: self._get(
         "_ads_summary", lambda: clean.clean_ads_summary(self.raw_ads)))
     experiment_summary = property(lambda self: self._get(
-        "_experiment_summary",
-        lambda: clean.clean_experiment_summary(self.raw_experiment, with_counts=True)))
+        "_experiment_summary", lambda: clean.clean_experiment_summary(self.raw_experiment)))
+    raw_ads_rows = property(lambda self: self._get(
+        "_raw_ads_rows", lambda: quality.count_rows(self.raw_ads)))
+    raw_experiment_rows = property(lambda self: self._get(
+        "_raw_experiment_rows", lambda: quality.count_rows(self.raw_experiment)))
+
+    def staged(self, base: str) -> "Bundle":
+        """A bundle that reads both staging tables back from ``base``, where one pass over
+        each raw input writes them and counts what the summaries and checks need."""
+        return Bundle(self.raw_ads, self.raw_experiment, self.ranking, self.exp, self.holdout_hours,
+                      self.share, write_staging(self.raw_ads, self.raw_experiment, base))
 
     def prefetch(self, *names: str) -> "Bundle":
         """Build the named tables concurrently (their shared writes are independent
         Spark jobs; running them side by side keeps the executors busy while one of
         them has stragglers).  Names are attribute names, e.g. ``"rollup", "ab"``."""
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
-            list(pool.map(lambda n: getattr(self, n), names))
+        _parallel(*[(lambda n=n: getattr(self, n)) for n in names])
         return self
 
     def table(self, name: str) -> DataFrame:
@@ -97,11 +128,12 @@ class Bundle:
         }[name]()
 
 
-def _parallel(*jobs):
-    """Run independent write jobs concurrently (one driver thread each)."""
+def _parallel(*jobs: Callable):
+    """Run independent write jobs concurrently (one driver thread each, with the caller's
+    Spark local properties)."""
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-        return [f.result() for f in [pool.submit(j) for j in jobs]]
+        return [f.result() for f in [pool.submit(inheritable_thread_target(j)) for j in jobs]]
 
 
 def build(raw_ads: DataFrame, raw_experiment: DataFrame,
@@ -115,112 +147,130 @@ def build(raw_ads: DataFrame, raw_experiment: DataFrame,
     return Bundle(raw_ads, raw_experiment, ranking, exp, holdout_hours, share)
 
 
+def write_staging(raw_ads: DataFrame, raw_experiment: DataFrame, base: str) -> dict[str, DataFrame]:
+    """Full refresh of both staging tables from one pass over each raw input.  The raw row
+    counts and the cleaning counters are observed on the writes.  Returns the tables read
+    back, the one-row counts and the cleaning summaries."""
+    spark = raw_ads.sparkSession
+    seen = {name: Observation(name) for name in ("raw_ads", "raw_experiment")}
+    count = F.count(F.lit(1)).alias("n")
+    ads, ads_obs = clean.clean_ads_observed(raw_ads.observe(seen["raw_ads"], count))
+    exp, exp_obs = clean.clean_experiment_observed(raw_experiment.observe(seen["raw_experiment"], count))
+    _parallel(lambda: sinks.write_table(ads, f"{base}/stg_ad_events", partition_by=("event_date",)),
+              lambda: sinks.write_table(exp, f"{base}/stg_email_experiment"))
+    back = lambda name: spark.read.schema(TABLES[name][1]).parquet(f"{base}/{name}")
+    stg_ads = back("stg_ad_events")
+    rows = lambda name: spark.createDataFrame([(seen[name].get["n"],)], "n bigint")
+    return {"stg_ad_events": stg_ads, "stg_email_experiment": back("stg_email_experiment"),
+            "_raw_ads_rows": rows("raw_ads"), "_raw_experiment_rows": rows("raw_experiment"),
+            "_ads_summary": clean.observed_ads_summary(
+                ads_obs, stg_ads.select("event_date").distinct()),
+            "_experiment_summary": clean.observed_experiment_summary(spark, exp_obs)}
+
+
 def materialize(bundle: Bundle, warehouse: str, ranking: RankingConfig | None = None,
                 exp: ExperimentConfig | None = None,
                 holdout_hours: int | None = None) -> Bundle:
     """Write staging + marts (full refresh, ``created_at`` stamped on marts) and
-    return a bundle reading them back.  The ad staging table and the cleaning
-    counters come from one pass over the raw log; all ad marts from one pass over
-    staging (the rollup)."""
-    from ..sources.sinks import write_table
+    return a bundle reading them back.  Each raw input is read once (``write_staging``),
+    and all ad marts come from one pass over staging (the rollup).  The cleaning summaries
+    go to the warehouse's summary store and are read back from there."""
     ranking = ranking or bundle.ranking
     exp = exp or bundle.exp
     holdout_hours = bundle.holdout_hours if holdout_hours is None else holdout_hours
     spark = bundle.raw_ads.sparkSession
     base = warehouse.rstrip("/")
-    stg_observed, ads_obs = clean.clean_ads_observed(bundle.raw_ads)
-    # independent writes run as concurrent Spark jobs
-    _parallel(lambda: write_table(stg_observed, f"{base}/stg_ad_events",
-                                  partition_by=("event_date",)),
-              lambda: write_table(clean.clean_experiment(bundle.raw_experiment),
-                                  f"{base}/stg_email_experiment"))
-    stg_ads = spark.read.parquet(f"{base}/stg_ad_events").to(TABLES["stg_ad_events"][1])
-    stg_exp = spark.read.parquet(f"{base}/stg_email_experiment").to(
-        TABLES["stg_email_experiment"][1])
-    write_table(kpi.ad_rollup(stg_ads, ranking.dims), f"{base}/_ad_rollup")
-    overrides = {"stg_ad_events": stg_ads, "stg_email_experiment": stg_exp,
-                 "_ad_rollup": spark.read.parquet(f"{base}/_ad_rollup")}
+    overrides = write_staging(bundle.raw_ads, bundle.raw_experiment, base)
+    for name, dataset in (("_ads_summary", "avazu_mobile_ads"), ("_experiment_summary", "hillstrom_email_experiment")):
+        overrides[name] = sinks.merge_summary(spark, overrides[name], dataset, f"{base}/cleaning_summary")
+    sinks.write_table(kpi.ad_rollup(overrides["stg_ad_events"], ranking.dims), f"{base}/_ad_rollup")
+    overrides["_ad_rollup"] = spark.read.parquet(f"{base}/_ad_rollup")
     lazy = Bundle(bundle.raw_ads, bundle.raw_experiment, ranking, exp, holdout_hours,
                   overrides=overrides)
     marts = [name for name, (layer, _) in TABLES.items() if layer == "mart"]
-
-    # plans are built here (the bundle's cache is not shared across threads); only the
-    # writes run concurrently
+    # plans are built here; only the writes run concurrently
     frames = {name: lazy.table(name).to(TABLES[name][1])
               .withColumn("created_at", F.current_timestamp()) for name in marts}
-    _parallel(*[(lambda n=name: write_table(frames[n], f"{base}/{n}")) for name in marts])
+    _parallel(*[(lambda n=name: sinks.write_table(frames[n], f"{base}/{n}")) for name in marts])
     for name in marts:
         overrides[name] = spark.read.parquet(f"{base}/{name}").drop("created_at")
-    out = Bundle(bundle.raw_ads, bundle.raw_experiment, ranking, exp, holdout_hours,
-                 overrides=overrides)
-    overrides["_ads_summary"] = clean.observed_ads_summary(ads_obs, out.daily)
-    overrides["_experiment_summary"] = bundle.experiment_summary
+    return Bundle(bundle.raw_ads, bundle.raw_experiment, ranking, exp, holdout_hours,
+                  overrides=overrides)
+
+
+def checks_of(b: Bundle) -> DataFrame:
+    return quality.validation_checks(
+        raw_ads_rows=b.raw_ads_rows, raw_experiment_rows=b.raw_experiment_rows, stg_ads=b.stg_ads,
+        stg_experiment=b.stg_experiment, daily=b.daily, hourly=b.hourly, segments=b.segments,
+        ab=b.ab, forecast_inputs=b.forecast_inputs, forecast_results=b.forecast_results,
+        ads_summary=b.ads_summary, experiment_summary=b.experiment_summary)
+
+
+def steps_of(b: Bundle, recs: DataFrame, checks: DataFrame, exported: DataFrame | None = None) -> DataFrame:
+    """(step, success) of every step a lock needs, each by its own summary's rule.
+    ``exported``: the export manifest, when there was an export."""
+    staging = kpi.staging_rows_from(b.rollup)
+    exp_rows = b.stg_experiment.agg(F.count(F.lit(1)).alias("staging_row_count"))
+    flag = lambda df, step: df.select(F.lit(step).alias("step"), "success")
+    daily = b.daily.agg(F.count(F.lit(1)).alias("n"), F.sum("impressions").alias("i")).crossJoin(
+        F.broadcast(staging)).select(((F.col("n") > 0) & (F.col("i") == F.col("staging_row_count"))).alias("success"))
+    out = flag(daily, "campaign").unionByName(flag(kpi.funnel_summary(b.rollup), "funnel")).unionByName(
+        flag(experiment.ab_summary(b.ab, exp_rows, b.exp), "ab_test")).unionByName(
+        flag(forecast.forecast_summary(b.forecast_metrics, b.forecast_results, b.forecast_inputs, staging), "forecast")).unionByName(
+        flag(recs.agg((F.count(F.lit(1)) > 0).alias("success")), "recommendations")).unionByName(
+        flag(quality.validation_summary(checks), "validation"))
+    if exported is not None:
+        out = out.unionByName(flag(exported.agg((F.count(F.lit(1)) == len(EXPORTS)).alias("success")), "exports"))
     return out
 
 
+def lock_metrics_of(b: Bundle, recs: DataFrame) -> DataFrame:
+    from ..config import ACTIONS
+    arms = tuple(sorted(r[0] for r in b.ab.select("treatment_group").distinct().collect()))  # k arm names
+    return quality.lock_metrics(
+        ads_summary=b.ads_summary, experiment_summary=b.experiment_summary, daily=b.daily,
+        hourly=b.hourly, segments=b.segments, top=b.top, ab=b.ab,
+        forecast_inputs=b.forecast_inputs, forecast_metrics=b.forecast_metrics,
+        forecast_results=b.forecast_results, recommendations=recs, arms=arms, actions=ACTIONS)
+
+
+def export_all(b: Bundle, recs: DataFrame, zones: tuple[str, ...]) -> DataFrame:
+    """Every mart and the recommendation matrix to every zone; returns the
+    manifest, whose row counts are those the writes reported."""
+    rows = []
+    for file_name, source, text in EXPORTS:
+        if source == "recommendations_summary":
+            n = sinks.export_mart(sinks.recommendation_matrix(recs.orderBy("rule_order", "row_order")), file_name, zones, [])
+        else:
+            keys = list(b.ranking.dims) if source == "mart_device_app_performance" else EXPORT_ORDER[source]
+            n = sinks.export_mart(b.table(source), file_name, zones, keys)
+        rows.append((file_name, source, text, n))
+    return sinks.export_manifest(b.raw_ads.sparkSession, rows)
+
+
 def run_all(raw_ads: DataFrame, raw_experiment: DataFrame, warehouse: str,
             export_zones: tuple[str, ...] = (), ranking: RankingConfig = RankingConfig(),
             exp: ExperimentConfig = ExperimentConfig(),
             holdout_hours: int = DEFAULT_HOLDOUT_HOURS) -> dict[str, DataFrame]:
-    """The whole batch run: guard inputs (A11), write staging + marts (S6, S10, S11),
-    guard marts (R2), write recommendations, validation checks and the metric lock,
-    export marts and the recommendation matrix to every zone (S13, S14) with a
-    manifest (S15).  Returns the written tables re-read from the warehouse."""
-    from ..config import ACTIONS
-    from ..operators import quality
-    from ..sources import sinks
+    """The whole batch run: write staging + marts (S6, S10, S11, C25), guard staging and
+    marts (A11, R2), write recommendations and validation checks, export marts and the
+    recommendation matrix to every zone (S13, S14) with a manifest (S15), and lock the
+    metrics if every required step succeeded (L1; without export zones there is no
+    export step and no lock).  Returns the written tables re-read from the warehouse."""
     spark = raw_ads.sparkSession
     base = warehouse.rstrip("/")
-    lazy = build(raw_ads, raw_experiment, ranking, exp, holdout_hours)
-    kpi.ensure_not_empty(lazy.stg_ads, "stg_ad_events")
-    kpi.ensure_not_empty(lazy.stg_experiment, "stg_email_experiment")
-    b = materialize(lazy, base, ranking, exp, holdout_hours)
-    for name, (layer, _) in TABLES.items():
-        if layer == "mart":
-            kpi.ensure_not_empty(b.table(name), name)
+    b = materialize(build(raw_ads, raw_experiment, ranking, exp, holdout_hours), base, ranking, exp, holdout_hours)
+    kpi.ensure_not_empty({name: b.table(name) for name, (layer, _) in TABLES.items() if layer != "raw"})
     sinks.write_table(b.recommendations, f"{base}/recommendations")
     recs = spark.read.parquet(f"{base}/recommendations")
-    checks = quality.validation_checks(
-        raw_ads=b.raw_ads, raw_experiment=b.raw_experiment, stg_ads=b.stg_ads,
-        stg_experiment=b.stg_experiment, daily=b.daily, hourly=b.hourly, segments=b.segments,
-        ab=b.ab, forecast_inputs=b.forecast_inputs, forecast_results=b.forecast_results,
-        ads_summary=b.ads_summary, experiment_summary=b.experiment_summary)
-    sinks.write_table(checks, f"{base}/validation_checks")
+    sinks.write_table(checks_of(b), f"{base}/validation_checks")
     checks = spark.read.parquet(f"{base}/validation_checks")
-    arms = tuple(r[0] for r in b.ab.select("treatment_group").collect())  # k arm names
-    metrics = quality.lock_metrics(
-        ads_summary=b.ads_summary, experiment_summary=b.experiment_summary, daily=b.daily,
-        hourly=b.hourly, segments=b.segments, top=b.top, ab=b.ab,
-        forecast_inputs=b.forecast_inputs, forecast_metrics=b.forecast_metrics,
-        forecast_results=b.forecast_results, recommendations=recs, arms=arms, actions=ACTIONS)
-    flags = quality.validation_summary(checks).select(F.lit("validation").alias("step"), "success")
-    sinks.write_table(quality.lock_snapshot(metrics, flags), f"{base}/metric_lock")
-    exports = {
-        "campaign_kpis.csv": ("mart_campaign_kpis", "Campaign KPIs", b.daily, ["event_date"]),
-        "ctr_trends.csv": ("mart_ctr_trends", "CTR trends", b.hourly,
-                           ["event_date", "event_hour"]),
-        "segment_performance.csv": ("mart_device_app_performance", "Segment performance",
-                                    b.segments, list(ranking.dims)),
-        "ab_test_results.csv": ("mart_ab_test_results", "A/B test results", b.ab,
-                                ["treatment_group"]),
-        "forecast_results.csv": ("mart_forecast_results", "Forecast results",
-                                 b.forecast_results, ["event_date", "event_hour"]),
-        "recommendation_matrix.csv": ("recommendations_summary",
-                                      "Scale / pause / retest recommendation matrix",
-                                      sinks.recommendation_matrix(
-                                          recs.orderBy("rule_order", "row_order")),
-                                      []),
-    }
-    manifest = None
+    out = {name: b.table(name) for name in TABLES}
+    out.update({"recommendations": recs, "validation_checks": checks})
     if export_zones:
-        for file_name, (_, _, df, keys) in exports.items():
-            sinks.export_mart(df, file_name, export_zones, keys)
-        manifest = sinks.export_manifest({f: (src, desc, df) for f, (src, desc, df, _)
-                                          in exports.items()}, export_zones[-1])
+        manifest = export_all(b, recs, export_zones)
         sinks.write_table(manifest, f"{export_zones[-1].rstrip('/')}/data_manifest", fmt="json")
-    out = {name: b.table(name) for name in TABLES}
-    out.update({"recommendations": recs, "validation_checks": checks,
-                "metric_lock": spark.read.parquet(f"{base}/metric_lock")})
-    if manifest is not None:
-        out["manifest"] = manifest
+        steps = steps_of(b, recs, checks, manifest)
+        sinks.write_table(quality.lock_snapshot(lock_metrics_of(b, recs), steps), f"{base}/metric_lock")
+        out.update({"manifest": manifest, "metric_lock": spark.read.parquet(f"{base}/metric_lock")})
     return out

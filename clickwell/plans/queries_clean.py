@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import clean
-from ..schemas import FLAG_COLUMNS
+from ..schemas import FLAG_COLUMNS, STG_ADS, STG_EXPERIMENT
 from ..sources.adapters import raw_ads, raw_experiment
 from .oracle import with_ctes
 from .registry import register
@@ -14,6 +16,10 @@ def clean_ads(spark, sf):
     return clean.clean_ads(raw_ads(spark, sf))
 
 
+def _COLUMNS(schema):
+    return "[" + ", ".join(f"'{f.name}'" for f in schema.fields) + "]"
+
+
 _UNKNOWN = ",\n  ".join(
     f"CAST(sum(CASE WHEN _valid_click AND _valid_hour AND flag_unknown_{c} THEN 1 ELSE 0 END)"
     f" AS BIGINT) AS unknown_{c}" for c in FLAG_COLUMNS)
@@ -37,7 +43,8 @@ SELECT 'avazu_mobile_ads' AS dataset,
     AS rows_removed,
   CASE WHEN sum(CASE WHEN _valid_click AND _valid_hour THEN 1 ELSE 0 END) = 0 THEN 0.0
        ELSE round(sum(CASE WHEN _valid_click AND _valid_hour AND _click = 1 THEN 1 ELSE 0 END)
-                  / sum(CASE WHEN _valid_click AND _valid_hour THEN 1 ELSE 0 END), 6) END AS ctr
+                  / sum(CASE WHEN _valid_click AND _valid_hour THEN 1 ELSE 0 END), 6) END AS ctr,
+  {_COLUMNS(STG_ADS)} AS columns
 FROM ads_prep"""))
 def clean_ads_summary(spark, sf):
     return clean.clean_ads_summary(raw_ads(spark, sf))
@@ -85,22 +92,14 @@ SELECT CAST(count(*) AS BIGINT) AS input_rows,
   CAST(count(*) - {_n(_KEPT)} AS BIGINT) AS rows_removed,
   {_rate(_n(_KEPT + ' AND _visit = 1'), 6)} AS visit_rate,
   {_rate(_n(_KEPT + ' AND _conversion = 1'), 6)} AS conversion_rate,
-  {_rate(f'sum(CASE WHEN {_KEPT} THEN _spend END)', 4)} AS revenue_mean
+  {_rate(f'sum(CASE WHEN {_KEPT} THEN _spend END)', 4)} AS revenue_mean,
+  (SELECT string_agg(treatment_group || '=' || n, ',' ORDER BY treatment_group) FROM (
+     SELECT treatment_group, count(*) AS n FROM exp_prep WHERE {_KEPT} GROUP BY treatment_group) g)
+    AS treatment_group_counts,
+  {_COLUMNS(STG_EXPERIMENT)} AS columns
 FROM exp_prep"""))
 def clean_experiment_summary(spark, sf):
-    return clean.clean_experiment_summary(raw_experiment(spark, sf))
-
-
-@register("clean_summary_upsert", None)
-def clean_summary_upsert(spark, sf):
-    """Both datasets' summaries upserted into one keyed store (JSON partitioned by
-    dataset) under the session's checkpoint folder; returns the stored rows."""
-    import uuid
-
-    from ..session import checkpoint_dir
-    from ..sources.sinks import merge_summary
-    path = f"{checkpoint_dir(spark).rstrip('/')}/cleaning_summary-{uuid.uuid4().hex}"
-    merge_summary(spark, clean.clean_ads_summary(raw_ads(spark, sf)).drop("dataset"),
-                  "avazu_mobile_ads", path)
-    return merge_summary(spark, clean.clean_experiment_summary(raw_experiment(spark, sf))
-                         .drop("dataset"), "hillstrom_email_experiment", path)
+    """The arm map as sorted text, which both engines can compare."""
+    return clean.clean_experiment_summary(raw_experiment(spark, sf)).withColumn(
+        "treatment_group_counts", F.array_join(F.array_sort(F.transform(
+            F.map_entries("treatment_group_counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), ","))

@@ -8,8 +8,8 @@ from . import inputs
 from .oracle import ratio, with_ctes
 from .registry import register
 
-# Segment rankings on the driver tables: segments hold ~100 impressions per 10k events,
-# so the ranking threshold is 100 rather than the 1,000 used on the full ad log.
+# The queries' explicit ranking threshold.  It is a parameter of the ranking (a segment
+# needs this many impressions); the library's default is 1,000.
 MIN_IMPRESSIONS = 100
 LIMIT = 5
 _DIMS_ORDER = ("device_type ASC NULLS FIRST, app_category ASC NULLS FIRST, "

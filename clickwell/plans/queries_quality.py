@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
-from ..plans.pipeline import build
 from ..config import RankingConfig
-from ..sources import sinks
+from ..session import new_folder, write_shared
 from ..sources.adapters import raw_ads, raw_experiment
+from .pipeline import build, checks_of, export_all, lock_metrics_of, steps_of
 from .oracle import contrast, ratio, with_ctes
 from .queries_decide import DECIDE_CTES
 from .queries_forecast import HOLDOUT
@@ -19,16 +19,10 @@ RANKING = RankingConfig(min_impressions=MIN_IMPRESSIONS, limit=LIMIT)
 
 
 def bundle(spark, sf):
+    """Staging written once from one pass over each raw input, the ad rollup and the
+    experiment mart from one pass over staging; everything else reads those."""
     return build(raw_ads(spark, sf), raw_experiment(spark, sf, "contrast"), RANKING,
-                 holdout_hours=HOLDOUT, share=True).prefetch("rollup", "ab")
-
-
-def _checks(b):
-    return Q.validation_checks(
-        raw_ads=b.raw_ads, raw_experiment=b.raw_experiment, stg_ads=b.stg_ads,
-        stg_experiment=b.stg_experiment, daily=b.daily, hourly=b.hourly, segments=b.segments,
-        ab=b.ab, forecast_inputs=b.forecast_inputs, forecast_results=b.forecast_results,
-        ads_summary=b.ads_summary, experiment_summary=b.experiment_summary)
+                 holdout_hours=HOLDOUT, share=True).staged(new_folder(spark, "staging")).prefetch("rollup", "ab")
 
 
 def _f6(x: str) -> str:
@@ -82,8 +76,9 @@ QUALITY_CTES = [
             coalesce(sum(click_share), 0.0) AS seg_share FROM segments) sg,
     (SELECT count(*) AS ab_rows, coalesce(sum(recipients), 0) AS ab_recipients,
             coalesce(sum(conversions), 0) AS ab_conversions,
-            sum(CASE WHEN treatment_group != 'control' AND z_score IS NOT NULL THEN 1 ELSE 0 END)
-              AS ab_p_rows FROM abp) ab,
+            sum(CASE WHEN treatment_group != 'control' AND (z_score IS NOT NULL OR
+                      (conversion_rate = control_conversion_rate AND conversion_rate IN (0, 1)))
+                     THEN 1 ELSE 0 END) AS ab_p_rows FROM abp) ab,
     (SELECT count(*) AS fres_rows,
             sum(CASE WHEN mae IS NOT NULL AND rmse IS NOT NULL AND model_name IS NOT NULL
                      THEN 1 ELSE 0 END) AS fres_metric_rows FROM results) fr,
@@ -156,7 +151,7 @@ SELECT *, check_name || ': ' || status || ' (expected ' || coalesce(expected, 'N
           || ', actual ' || coalesce(actual, 'None') || ')' AS message
 FROM checks"""))
 def validation_checks(spark, sf):
-    return _checks(bundle(spark, sf))
+    return checks_of(bundle(spark, sf))
 
 
 @register("validation_summary", _qsql("""
@@ -166,29 +161,13 @@ SELECT CAST(sum(CASE WHEN status = 'pass' THEN 1 ELSE 0 END) AS BIGINT) AS passe
        sum(CASE WHEN status != 'pass' THEN 1 ELSE 0 END) = 0 AS success
 FROM checks"""))
 def validation_summary(spark, sf):
-    return Q.validation_summary(_checks(bundle(spark, sf)))
+    return Q.validation_summary(checks_of(bundle(spark, sf)))
 
 
 ARMS = ("control", "mens_email", "womens_email")
 ACTIONS = ("Scale", "Pause", "Retest")
 
 
-def _lock(b):
-    return Q.lock_metrics(
-        ads_summary=b.ads_summary, experiment_summary=b.experiment_summary, daily=b.daily,
-        hourly=b.hourly, segments=b.segments, top=b.top, ab=b.ab,
-        forecast_inputs=b.forecast_inputs, forecast_metrics=b.forecast_metrics,
-        forecast_results=b.forecast_results, recommendations=b.recommendations,
-        arms=ARMS, actions=ACTIONS)
-
-
-def _success_flags(b):
-    n = lambda df, step: df.agg((F.count(F.lit(1)) > 0).alias("success")).select(
-        F.lit(step).alias("step"), "success")
-    return n(b.stg_ads, "clean_ads").unionByName(n(b.stg_experiment, "clean_experiment")) \
-        .unionByName(n(b.recommendations, "recommendations"))
-
-
 def _d(x) -> str:
     return f"CAST('{float(x)!r}' AS DOUBLE)"
 
@@ -233,76 +212,55 @@ LOCK_PARTS = [
 LOCK_SQL = "\nUNION ALL ".join(LOCK_PARTS)
 
 
+def _lock(b):
+    """Metrics, and the guard over the seven required steps (with a real export)."""
+    recs = write_shared(b.recommendations)
+    manifest = export_all(b, recs, (new_folder(b.raw_ads.sparkSession, "marts"),))
+    return Q.lock_snapshot(write_shared(lock_metrics_of(b, recs)), steps_of(b, recs, checks_of(b), manifest))
+
+
 @register("lock_snapshot", _qsql(LOCK_SQL))
 def lock_snapshot(spark, sf):
-    b = bundle(spark, sf)
-    return Q.lock_snapshot(_lock(b), _success_flags(b))
+    return _lock(bundle(spark, sf))
+
+
+# The lock that drift is measured against differs from the run: rates were 10 % higher,
+# one metric was not locked, one locked metric is no longer produced.
+RETIRED = ("retired.metric", 1.0, 0.0)
+UNLOCKED = "portfolio.clicks"
 
 
 @register("lock_drift", _qsql(f"""
-SELECT metric, value AS locked_value, value AS current_value, tolerance,
-       value - value AS difference, 'ok' AS status
-FROM ({LOCK_SQL}) l"""))
+SELECT coalesce(l.metric, c.metric) AS metric, l.value AS locked_value, c.value AS current_value,
+       l.tolerance, c.value - l.value AS difference,
+       CASE WHEN l.metric IS NULL THEN 'new' WHEN c.metric IS NULL THEN 'missing'
+            WHEN abs(c.value - l.value) <= l.tolerance THEN 'ok' ELSE 'drift' END AS status
+FROM (SELECT metric, CASE WHEN metric LIKE '%_rate' THEN value * {_d(1.1)} ELSE value END AS value, tolerance
+      FROM ({LOCK_SQL}) a WHERE metric != '{UNLOCKED}'
+      UNION ALL SELECT '{RETIRED[0]}', {_d(RETIRED[1])}, {_d(RETIRED[2])}) l
+FULL JOIN ({LOCK_SQL}) c ON l.metric = c.metric"""))
 def lock_drift(spark, sf):
+    now = write_shared(_lock(bundle(spark, sf)))
+    locked = now.filter(F.col("metric") != UNLOCKED).withColumn(
+        "value", F.when(F.col("metric").endswith("_rate"), F.col("value") * 1.1).otherwise(F.col("value")))
+    retired = spark.createDataFrame([RETIRED], "metric string, value double, tolerance double")
+    return Q.lock_drift(now, locked.unionByName(retired))
+
+
+@register("validation_failing", _qsql("SELECT * FROM checks").replace(
+    "avg(CAST(click AS DOUBLE)) AS stg_ads_ctr FROM stg_ads) s1",
+    "avg(CAST(click AS DOUBLE)) AS stg_ads_ctr FROM stg_ads WHERE CAST(id AS BIGINT) % 997 != 3) s1"))
+def validation_failing(spark, sf):
+    """The checks over a staging table that has lost rows: the row count fails."""
     b = bundle(spark, sf)
-    locked = Q.lock_snapshot(_lock(b), _success_flags(b))
-    return Q.lock_drift(_lock(b), locked)
-
-
-_TABLE_SOURCES = {
-    "raw_avazu_ads": ("raw", "events", "parquet"),
-    "raw_hillstrom_email": ("raw", "customer+orders", "parquet"),
-    "stg_ad_events": ("staging", "raw_avazu_ads", "table"),
-    "stg_email_experiment": ("staging", "raw_hillstrom_email", "table"),
-}
-_SQL_TABLE = {"raw_avazu_ads": "raw_ads", "raw_hillstrom_email": "raw_experiment",
-              "stg_ad_events": "stg_ads", "stg_email_experiment": "stg_exp",
-              "mart_campaign_kpis": "daily", "mart_ctr_trends": "hourly",
-              "mart_device_app_performance": "segments", "mart_ab_test_results": "abp",
-              "mart_forecast_inputs": "hourly", "mart_forecast_results": "results",
-              "recommendations_summary": "recs"}
-
-
-@register("load_audit", _qsql("\nUNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{layer}' AS layer, '{src}' AS source, '{typ}' AS source_type, "
-    f"count(*) AS row_count, 'loaded' AS status FROM {_SQL_TABLE[t]}"
-    for t, (layer, src, typ) in _TABLE_SOURCES.items())))
-def load_audit(spark, sf):
-    b = bundle(spark, sf)
-    return sinks.load_audit({t: (layer, src, typ, b.table(t))
-                             for t, (layer, src, typ) in _TABLE_SOURCES.items()})
+    b._cache["stg_ad_events"] = b.stg_ads.filter("cast(id as bigint) % 997 <> 3")
+    return checks_of(b).drop("message")
 
 
-@register("table_inventory", _qsql("\nUNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{layer}' AS layer, count(*) AS row_count FROM {_SQL_TABLE[t]}"
-    for t, (layer, _) in __import__("clickwell.schemas", fromlist=["TABLES"]).TABLES.items())))
-def table_inventory(spark, sf):
-    from ..schemas import TABLES
-    b = bundle(spark, sf)
-    return sinks.table_inventory({t: (layer, b.table(t)) for t, (layer, _) in TABLES.items()})
-
-
-# --- fixed values that must equal the reference: exports (source, file, description) --
-EXPORTS = {
-    "campaign_kpis.csv": ("mart_campaign_kpis", "Campaign KPIs"),
-    "ctr_trends.csv": ("mart_ctr_trends", "CTR trends"),
-    "segment_performance.csv": ("mart_device_app_performance", "Segment performance"),
-    "ab_test_results.csv": ("mart_ab_test_results", "A/B test results"),
-    "forecast_results.csv": ("mart_forecast_results", "Forecast results"),
-    "recommendation_matrix.csv": ("recommendations_summary",
-                                  "Scale / pause / retest recommendation matrix"),
-}
-# ----------------------------------------------------------------------------------
-EXPORTS_DIR = "exports"
-
-
-@register("export_manifest", _qsql("\nUNION ALL ".join(
-    f"SELECT '{f}' AS file, '{src}' AS source, '{desc}' AS description, count(*) AS row_count, "
-    f"'{EXPORTS_DIR}/{f}' AS relative_path FROM {_SQL_TABLE[src]}"
-    for f, (src, desc) in EXPORTS.items())))
-def export_manifest(spark, sf):
+@register("run_steps", _qsql("""
+SELECT step, true AS success FROM (VALUES ('campaign'), ('funnel'), ('ab_test'), ('forecast'),
+  ('recommendations'), ('validation')) s(step)"""))
+def run_steps(spark, sf):
+    """Success of each step by its own summary's rule (without an export)."""
     b = bundle(spark, sf)
-    tables = {src: (b.recommendations if src == "recommendations_summary" else b.table(src))
-              for src, _ in EXPORTS.values()}
-    return sinks.export_manifest({f: (src, desc, tables[src]) for f, (src, desc) in EXPORTS.items()},
-                                 EXPORTS_DIR)
+    return steps_of(b, write_shared(b.recommendations), checks_of(b))

@@ -24,11 +24,5 @@ def register(name: str, sql: str | None):
 
 def load_all() -> None:
     """Import the modules that register queries (idempotent)."""
-    from . import queries_kpi, queries_clean  # noqa: F401
-    for mod in ("queries_experiment", "queries_forecast", "queries_decide",
-                "queries_profile", "queries_quality"):
-        try:
-            __import__(f"{__package__}.{mod}")
-        except ModuleNotFoundError as exc:  # modules land one milestone at a time
-            if exc.name != f"{__package__}.{mod}":
-                raise
+    from . import (queries_clean, queries_decide, queries_experiment, queries_forecast,  # noqa: F401
+                   queries_kpi, queries_profile, queries_quality, queries_tables)

@@ -1,16 +1,21 @@
 """Spark session helpers.
 
 The library never creates its own session inside an operator; callers pass one in.
-``local_session`` is what the tests, bench and entry point use.  ``checkpoint_dir``
-reads ``spark.checkpoint.dir`` from the session (the shared folder a cluster names)
-and only falls back to a fresh scratch folder when the setting is unset, as in tests.
+``local_session`` is what the tests and the bench use, ``cli_session`` what the command
+line does.  ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session (the shared
+folder a cluster names).  Without that setting a local session uses a fresh scratch
+folder, as in tests; on a cluster it is an error, since executors do not share local
+folders.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import threading
+import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -37,24 +42,45 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cli_session(app_name: str = "clickwell") -> SparkSession:
+    """The session that ``spark-submit`` configures; without one, a local session."""
+    if SparkConf().contains("spark.master"):
+        builder = SparkSession.builder.appName(app_name)
+        for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+            builder = builder.config(key, DEFAULT_CONF[key])
+        return builder.getOrCreate()
+    return local_session(app_name=app_name)
+
+
 _FALLBACK_DIRS: dict[str, str] = {}
+_LOCK = threading.Lock()
+_WRITTEN: list[str] = []
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the session's ``spark.checkpoint.dir`` if set (the
-    folder a cluster names), else one scratch folder per application (tests, local
-    runs).  The setting itself is never changed: it is a core config."""
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or in local mode
+    without that setting one scratch folder per application."""
     configured = (spark.conf.get("spark.checkpoint.dir", None)
                   or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
+        return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
-    if app not in _FALLBACK_DIRS:
-        _FALLBACK_DIRS[app] = tempfile.mkdtemp(prefix="clickwell-ckpt-",
-                                               dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.sparkContext.setCheckpointDir(_FALLBACK_DIRS[app])
-    return _FALLBACK_DIRS[app]
+    with _LOCK:
+        if app not in _FALLBACK_DIRS:
+            _FALLBACK_DIRS[app] = tempfile.mkdtemp(prefix="clickwell-ckpt-",
+                                                   dir=os.environ.get("TMPDIR", "/tmp"))
+        return _FALLBACK_DIRS[app]
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """The path of a new folder under the shared folder; ``remove_shared`` deletes it."""
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    with _LOCK:
+        _WRITTEN.append(path)
+    return path
 
 
 def write_shared(df):
@@ -62,8 +88,18 @@ def write_shared(df):
     checkpoint directory and reading it back.  One job (a reliable RDD checkpoint
     computes the data twice unless it is also cached); the result survives executor
     loss and is columnar for the readers that follow."""
-    import uuid
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/shared-{uuid.uuid4().hex}"
+    path = new_folder(spark, "shared")
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_shared(spark: SparkSession) -> int:
+    """Delete every folder that ``new_folder`` and ``write_shared`` made in this process.
+    For the end of a run: DataFrames that still read them cannot be used afterwards."""
+    with _LOCK:
+        paths, _WRITTEN[:] = list(_WRITTEN), []
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)

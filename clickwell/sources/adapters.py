@@ -46,7 +46,7 @@ ADS_EXPRS = {
     "banner_pos": "CASE WHEN pmod(event_id, 109) = 3 THEN '1e12' ELSE CAST(pmod(event_id, 2) AS STRING) END",
     "site_id": ("CASE pmod(event_id, 53) WHEN 1 THEN '' WHEN 2 THEN ' Unknown ' "
                 "WHEN 3 THEN CAST(NULL AS STRING) WHEN 4 THEN '-1' WHEN 5 THEN 'NA' "
-                "WHEN 6 THEN concat(char(9), 'unknown', char(10)) "
+                "WHEN 6 THEN concat(char(9), 'unknown', char(12)) "
                 f"ELSE concat('site_', CAST(pmod({_K}, 16) AS STRING)) END"),
     "site_domain": f"concat('dom_', CAST(pmod({_K}, 8) AS STRING))",
     "site_category": f"concat('site_', CAST(pmod({_K}, 4) AS STRING))",

@@ -14,12 +14,26 @@ from pyspark.sql import types as T
 from ..schemas import ADS_RAW_TEXT, EXPERIMENT_RAW_TEXT, RAW_ADS, RAW_EXPERIMENT
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = ADS_RAW_TEXT,
-                 header: bool = True) -> DataFrame:
-    """Header CSV as text columns (empty field -> null).  Missing-value tokens
-    are normalised by the cleaning step (``clean.na_normalize``)."""
-    return (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
-            .option("nullValue", "").csv(path))
+def _csv(spark: SparkSession, header: bool):
+    """Reader of text columns that fails on a ragged row or on a header that differs
+    between files.  (With column pruning the parser would not count the fields.)"""
+    return (spark.read.option("header", header).option("enforceSchema", False).option("mode", "FAILFAST")
+            .option("columnPruning", False).option("escape", '"').option("nullValue", ""))
+
+
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = ADS_RAW_TEXT) -> DataFrame:
+    """Header CSV as text columns (empty field -> null), bound by header name:
+    any column order, letter case and further columns are accepted; a missing column or a
+    ragged row is an error.  Missing-value tokens are normalised by the cleaning step
+    (``clean.na_normalize``)."""
+    names = spark.read.option("header", True).option("escape", '"').csv(path).columns
+    by_name = {n.strip().lower(): n for n in names}
+    missing = [f.name for f in schema.fields if f.name.lower() not in by_name]
+    if missing:
+        raise ValueError(f"{path} lacks columns: {', '.join(missing)}")
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = _csv(spark, header=True).schema(text).csv(path)
+    return rows.select(*[F.col(f"`{by_name[f.name.lower()]}`").alias(f.name) for f in schema.fields])
 
 
 def read_ads_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -56,10 +70,11 @@ def read_staging(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 def read_gzip_sample(spark: SparkSession, path: str, rows: int | None,
                      schema: T.StructType = ADS_RAW_TEXT, partitions: int | None = None) -> DataFrame:
     """Gzip CSV whose header line is optional (a data row whose first field is the
-    first column's name is a header); keep the first ``rows`` data rows.  gzip is not
-    splittable, so the frame is repartitioned after the read."""
+    first column's name is a header); keep the first ``rows`` data rows of the file, in
+    file order.  gzip is not splittable, so one task reads the file anyway, and the frame is
+    repartitioned after the read."""
     first = schema.fields[0].name
-    df = (spark.read.schema(schema).option("header", False).option("nullValue", "").csv(path)
+    df = (_csv(spark, header=False).schema(schema).csv(path)
           .filter(~F.col(first).eqNullSafe(F.lit(first))))
     if rows is not None:
         df = df.limit(rows)
@@ -67,13 +82,30 @@ def read_gzip_sample(spark: SparkSession, path: str, rows: int | None,
     return df.repartition(n)
 
 
+def first_rows(spark: SparkSession, rows: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows in file order, without passing them through one task: rows are
+    numbered within their split, splits are counted (one number each), and a split keeps
+    what the splits before it leave.  ``rows`` comes straight from a file."""
+    placed = rows.select("*", F.monotonically_increasing_id().alias("__at"))
+    split = F.shiftright("__at", 33)
+    counts = sorted((r[0], r[1]) for r in placed.groupBy(split.alias("s")).agg(F.count("*")).collect())
+    left, keep = n, {}
+    for s, count in counts:
+        keep[s] = min(left, count)
+        left -= keep[s]
+    limits = spark.createDataFrame(list(keep.items()), "__split long, __keep long")
+    return (placed.join(F.broadcast(limits), split == F.col("__split"))
+            .filter(F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) < F.col("__keep"))
+            .drop("__at", "__split", "__keep"))
+
+
 def import_csv(spark: SparkSession, source: str, destination: str, rows: int | None = None,
                schema: T.StructType = ADS_RAW_TEXT, force: bool = False) -> DataFrame:
-    """Copy a CSV (whole or first ``rows`` rows) to ``destination``; an existing
+    """Copy a CSV (whole or the first ``rows`` rows of the file) to ``destination``; an existing
     destination is kept unless ``force``.  A missing source raises."""
     df = read_raw_csv(spark, source, schema)
     if rows is not None:
-        df = df.limit(rows)
+        df = first_rows(spark, df, rows)
     df.write.mode("overwrite" if force else "ignore").option("header", True).csv(destination)
     return read_raw_csv(spark, destination, schema)
 

@@ -3,11 +3,9 @@
 The batch path rebuilds ``mart_ctr_trends`` from the whole staging table (full
 refresh).  For a log that keeps arriving, the same mart can be maintained as a
 stream: raw files -> the same cleaning operator (narrow, so it runs unchanged on a
-streaming frame) -> event-time hour windows with a watermark -> append to a Parquet
-mart partitioned by ``event_date``.  Each hour is emitted once, when the watermark
-passes its end; events later than the watermark are dropped by Spark (the
-``late_rows`` observation of the batch path counts them if needed).  State holds only
-the open hours, so it does not grow with the log.
+streaming frame) -> counts per (date, hour) -> the whole mart, rewritten after each batch.
+There is no watermark: a late event still counts in its hour, and the newest hours are in
+the mart at once.  The state is one row per hour that the log covers, as is the mart.
 """
 
 from __future__ import annotations
@@ -21,47 +19,32 @@ from ..operators.clean import clean_ads
 from ..schemas import ADS_RAW_TEXT
 
 
-def event_time(stg: DataFrame) -> DataFrame:
-    """Staging rows with the hour start as the event-time column (``event_ts``).
-    Watermarks need a ``timestamp``; it is built from epoch arithmetic (the wall clock
-    read as UTC) so hour windows do not depend on the session time zone."""
-    secs = F.unix_date("event_date").cast("bigint") * 86400 + F.col("event_hour") * 3600
-    return stg.withColumn("event_ts", F.timestamp_seconds(secs))
-
-
-def _wall_clock(ts):
-    """(date, hour) of an ``event_time`` timestamp, without the session time zone."""
-    secs = F.unix_seconds(ts)
-    return (F.date_from_unix_date(F.floor(secs / 86400).cast("int")),
-            (F.pmod(secs, F.lit(86400)) / 3600).cast("int"))
-
-
-def hourly_kpis_streaming(stg_stream: DataFrame, watermark: str = "2 hours") -> DataFrame:
-    """Streaming equivalent of ``kpi.hourly_trends`` (append mode)."""
-    ev = event_time(stg_stream).withWatermark("event_ts", watermark)
-    agg = ev.groupBy(F.window("event_ts", "1 hour").alias("w")).agg(
-        F.count(F.lit(1)).alias("impressions"), F.sum("click").cast("bigint").alias("clicks"))
-    date, hour = _wall_clock(F.col("w.start"))
-    return agg.select(date.alias("event_date"), hour.alias("event_hour"),
-                      "impressions", "clicks", safe_ratio("clicks", "impressions").alias("ctr"))
+def hourly_kpis_streaming(stg_stream: DataFrame) -> DataFrame:
+    """Streaming equivalent of ``kpi.hourly_trends`` (complete mode)."""
+    agg = (stg_stream.filter(F.col("event_date").isNotNull() & F.col("event_hour").isNotNull())
+           .groupBy("event_date", "event_hour").agg(
+               F.count(F.lit(1)).alias("impressions"), F.sum("click").cast("bigint").alias("clicks")))
+    return agg.withColumn("ctr", safe_ratio("clicks", "impressions"))
 
 
 def start_hourly_refresh(spark: SparkSession, raw_dir: str, mart_path: str, checkpoint: str,
-                         fmt: str = "parquet", watermark: str = "2 hours",
-                         available_now: bool = True, max_files_per_trigger: int | None = None
-                         ) -> StreamingQuery:
+                         fmt: str = "parquet", available_now: bool = True,
+                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Run the incremental hourly mart: ``raw_dir`` holds raw ad files (text columns,
-    ``ADS_RAW_TEXT``), ``mart_path`` receives appended hours, ``checkpoint`` (a shared
-    path, e.g. under ``spark.checkpoint.dir``) makes the query restartable after a
-    failure without duplicating output."""
+    ``ADS_RAW_TEXT``), ``mart_path`` is replaced by the whole mart after each batch,
+    ``checkpoint`` (a shared path, e.g. under ``spark.checkpoint.dir``) makes the query
+    restartable after a failure: a repeated batch writes the same mart again."""
     reader = spark.readStream.schema(ADS_RAW_TEXT).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = hourly_kpis_streaming(clean_ads(reader.load(raw_dir)), watermark)
-    writer = (stream.writeStream.outputMode("append").format("parquet")
-              .option("checkpointLocation", checkpoint).partitionBy("event_date"))
+    stream = hourly_kpis_streaming(clean_ads(reader.load(raw_dir)))
+
+    def replace(mart: DataFrame, batch: int) -> None:
+        mart.write.mode("overwrite").parquet(mart_path)
+
+    writer = stream.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(replace)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
-    return writer.start(mart_path)
+    return writer.start()
