@@ -8,6 +8,7 @@ metrics (24-hour holdout).
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from ..operators import decide as R
 from ..operators import experiment as X
@@ -238,3 +239,20 @@ SELECT event_date, event_hour, model_name, mape, 'forecast', forecast_clicks FRO
     forecast_ctes(HOLDOUT)))
 def forecast_pairs(spark, sf):
     return present.forecast_pairs(FC.run_forecast(inputs.hourly(spark, sf), HOLDOUT)[2])
+
+
+@register("recommendation_summary", _sql(f"""
+SELECT round({ratio('sum(clicks)', 'sum(impressions)')}, 6) AS overall_ctr,
+       CAST(sum(impressions) AS BIGINT) AS impressions, CAST(sum(clicks) AS BIGINT) AS clicks,
+       (SELECT count(*) FROM recs) AS recommendation_count,
+       (SELECT string_agg(lower(action) || '=' || recommendation_count, ',' ORDER BY lower(action))
+        FROM action_counts) AS action_counts,
+       (SELECT count(*) FROM recs) > 0 AS success
+FROM daily"""))
+def recommendation_summary(spark, sf):
+    """R11; the map of counts as sorted text, which both engines can compare."""
+    daily, hourly, seg, top, bottom, ab, met = _inputs(spark, sf)
+    port = kpi.portfolio(daily)
+    s = R.recommendation_summary(R.recommendations(port, top, bottom, hourly, ab, met), port)
+    return s.withColumn("action_counts", F.array_join(F.array_sort(F.transform(F.map_entries("action_counts"), lambda e: F.concat(
+        e["key"], F.lit("="), e["value"].cast("string")))), ","))

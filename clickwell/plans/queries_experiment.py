@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..config import CONTROL_GROUP, SIGNIFICANCE_ALPHA
 from ..functions.stats import critical_z
 from ..operators import experiment as X
+from ..session import write_shared
 from . import inputs
 from .oracle import contrast, ratio, with_ctes
 from .registry import register
@@ -86,13 +87,6 @@ def ab_lift_contrast(spark, sf):
                         with_z=True)
 
 
-@register("ab_pvalue", None)
-def ab_pvalue(spark, sf):
-    """Full 15-column mart with p-values (erfc UDF): rows-only oracle check; the
-    p-values themselves are unit-tested against math.erfc and published values."""
-    return X.ab_results(inputs.stg_experiment(spark, sf, "contrast"))
-
-
 @register("ab_summary", _exp_sql(f"""
 SELECT CAST(count(*) AS BIGINT) AS mart_row_count,
        CAST(coalesce(sum(recipients), 0) AS BIGINT) AS total_recipients,
@@ -127,42 +121,97 @@ def scenario_lift(spark, sf):
     return X.scenario_lift(X.arm_metrics(inputs.stg_experiment(spark, sf)))
 
 
-_MATRIX_ROWS = [(i, label, col) for i, (label, col) in enumerate(X.MATRIX_METRICS)
-                if col != "p_value"]
+# --- p-values -----------------------------------------------------------------------
+# DuckDB has no erfc.  The oracle takes p = erfc(x), x = |z| / sqrt(2), from the Taylor
+# series of erf below x = 2 (absolute error under 1e-14) and from the continued fraction
+# of erfc beyond (relative error under 1e-12).
+import math as _math
+
+_TERMS = " + ".join(
+    f"CAST('{(-1) ** n / (_math.factorial(n) * (2 * n + 1))!r}' AS DOUBLE) * pow(xx, {2 * n + 1})"
+    for n in range(45))
+_FRACTION = "xx"
+for _n in range(90, 0, -1):
+    _FRACTION = f"(xx+{_n / 2!r}/{_FRACTION})"
+_P = (f"(CASE WHEN xx < 2 THEN 1.0 - CAST('{2 / _math.sqrt(_math.pi)!r}' AS DOUBLE) * ({_TERMS}) "
+      f"ELSE exp(-xx * xx) / (CAST('{_math.sqrt(_math.pi)!r}' AS DOUBLE) * {_FRACTION}) END)")
+P_DIGITS = 10
+AB_P = f"""ab_p AS (
+  SELECT * EXCLUDE (xx, z_score, statistically_significant), CASE WHEN treatment_group = {CTRL} THEN NULL
+         WHEN recipients = 0 THEN 1.0 WHEN z_score IS NULL THEN NULL ELSE {_P} END AS p_value,
+         statistically_significant
+  FROM (SELECT *, abs(z_score) / sqrt(2.0) AS xx FROM ab_sig) t
+)"""
+
+
+def _p_sql(body: str) -> str:
+    return with_ctes(["stg_exp"], body, [ARMS, AB, AB_P])
+
+
+@register("ab_pvalue", contrast(_p_sql(f"""
+SELECT * REPLACE (round(p_value, {P_DIGITS}) AS p_value), round(ln(p_value), 6) AS ln_p FROM ab_p""")))
+def ab_pvalue(spark, sf):
+    """X11: the 15 columns of the mart, with p to ten places and its logarithm (two ways of
+    computing p agree to about twelve digits, not to the last bit)."""
+    r = X.ab_results(inputs.stg_experiment(spark, sf, "contrast"))
+    return r.withColumns({"ln_p": F.round(F.log("p_value"), 6), "p_value": F.round("p_value", P_DIGITS)})
+
+
+@register("ab_ordered", _p_sql(f"""
+SELECT * REPLACE (round(p_value, {P_DIGITS}) AS p_value), CAST(row_number() OVER (ORDER BY
+  CASE treatment_group WHEN 'control' THEN 1 WHEN 'mens_email' THEN 2 WHEN 'womens_email' THEN 3 ELSE 4 END,
+  treatment_group) AS INTEGER) AS arm_order FROM ab_p"""))
+def ab_ordered(spark, sf):
+    """The results in arm order."""
+    r = X.ordered_arms(X.ab_results(inputs.stg_experiment(spark, sf)))
+    return r.withColumn("p_value", F.round("p_value", P_DIGITS))
+
+
 _MATRIX_UNION = " UNION ALL ".join(
-    f"SELECT {i} AS metric_order, '{label}' AS metric, treatment_group, "
-    f"CAST({col} AS DOUBLE) AS value FROM ab_sig" for i, label, col in _MATRIX_ROWS)
+    f"SELECT {i} AS metric_order, '{label}' AS metric, treatment_group, round(CAST({col} AS DOUBLE), 10) AS value FROM ab_p"
+    for i, (label, col) in enumerate(X.MATRIX_METRICS))
+# One more arm than the configured three: the customers of one region, as a fourth arm.
+_FOURTH = "CASE WHEN zip_code_std = 'Rural' AND treatment_group = 'womens_email' THEN 'womens_rural' ELSE treatment_group END"
 
 
-@register("arm_matrix", _exp_sql(f"""
+@register("arm_matrix", _p_sql(f"""
 SELECT metric_order, metric,
   max(CASE WHEN treatment_group = 'control' THEN value END) AS control,
   max(CASE WHEN treatment_group = 'mens_email' THEN value END) AS mens_email,
-  max(CASE WHEN treatment_group = 'womens_email' THEN value END) AS womens_email
-FROM ({_MATRIX_UNION}) m GROUP BY metric_order, metric"""))
+  max(CASE WHEN treatment_group = 'womens_email' THEN value END) AS womens_email,
+  max(CASE WHEN treatment_group = 'womens_rural' THEN value END) AS womens_rural
+FROM ({_MATRIX_UNION}) m GROUP BY metric_order, metric""").replace(
+    "FROM stg_exp GROUP BY treatment_group", f"FROM (SELECT * REPLACE ({_FOURTH} AS treatment_group) FROM stg_exp) GROUP BY treatment_group"))
 def arm_matrix(spark, sf):
-    return X.arm_matrix(X.ab_results(inputs.stg_experiment(spark, sf), with_p_value=False))
+    """X14 with an arm that is not in the configured list."""
+    stg = inputs.stg_experiment(spark, sf).withColumn("treatment_group", F.expr(_FOURTH))
+    m = X.arm_matrix(write_shared(X.ab_results(stg)))
+    return m.select("metric_order", "metric", *[F.round(c, 10).alias(c) for c in m.columns[2:]])
 
 
-# --- X12 rounded rows with p-values -------------------------------------------------
-# DuckDB has no erfc.  For the rows the run summary reports (p rounded to 6 dp) the
-# oracle evaluates erf by its Taylor series (90 terms; absolute error < 6e-11 for
-# x <= 4) and uses p = 0 beyond x = 4, where erfc(x) < 1.6e-8 rounds to 0.
-import math as _math
+SCENARIO = {"control": 0.05, "mens_email": 0.08, "womens_email": 0.04}
 
-_TERMS = " + ".join(
-    f"CAST('{(-1) ** n / (_math.factorial(n) * (2 * n + 1))!r}' AS DOUBLE) * pow(xx, {2 * n + 1})"
-    for n in range(90))
-_P_SERIES = (f"(CASE WHEN xx > 4 THEN 0.0 ELSE 1.0 - CAST('{2 / _math.sqrt(_math.pi)!r}' AS DOUBLE)"
-             f" * ({_TERMS}) END)")
+
+@register("scenario_given", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{a}', CAST('{r!r}' AS DOUBLE), CAST('{(0.0 if a == 'control' else r - SCENARIO['control'])!r}' AS DOUBLE), "
+    f"CAST('{(0.0 if a == 'control' else (r - SCENARIO['control']) / SCENARIO['control'])!r}' AS DOUBLE))"
+    for a, r in SCENARIO.items()) + ") s(treatment_group, scenario_rate, scenario_absolute_lift, scenario_relative_lift) "
+    "WHERE treatment_group IN (SELECT treatment_group FROM (" + _exp_sql("SELECT treatment_group FROM arms", ("arms",)) + ") a)")
+def scenario_given(spark, sf):
+    """X13 with rates that a user names, for the arms that the experiment has."""
+    arms = X.arm_metrics(inputs.stg_experiment(spark, sf))
+    rates = F.create_map(*[F.lit(x) for kv in SCENARIO.items() for x in kv])
+    return X.scenario_lift(arms, arms.select("treatment_group", rates[F.col("treatment_group")].alias("scenario_rate")).filter(
+        "scenario_rate is not null"))
+
+
+# --- X12 rounded rows with p-values --------------------------------------------------
 _ROUND = {c: d for c, d in X.SUMMARY_DIGITS.items() if c != "p_value"}
-_ROUNDED_SQL = _exp_sql(f"""
+_ROUNDED_SQL = _p_sql(f"""
 SELECT treatment_group, treatment_label, recipients, conversions,
   {", ".join(f"round({c}, {d}) AS {c}" for c, d in _ROUND.items())},
-  CASE WHEN treatment_group = {CTRL} OR z_score IS NULL THEN NULL
-       ELSE round({_P_SERIES}, 6) END AS p_value,
-  statistically_significant
-FROM (SELECT *, abs(z_score) / sqrt(2.0) AS xx FROM ab_sig) t""")
+  round(p_value, 6) AS p_value, statistically_significant
+FROM ab_p""")
 
 
 @register("ab_summary_rows", _ROUNDED_SQL)

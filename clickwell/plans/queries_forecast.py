@@ -4,6 +4,8 @@
 from __future__ import annotations
 
 from ..config import MOVING_AVERAGE_WINDOW, NAIVE_MODEL_NAME, PRIMARY_MODEL_NAME
+from pyspark.sql import functions as F
+
 from ..operators import forecast as FC
 from . import inputs
 from .oracle import with_ctes
@@ -97,6 +99,8 @@ def forecast_results_1h(spark, sf):
 @register("forecast_summary", with_ctes(["hourly", "stg_ads"], """
 SELECT m.train_hours, m.holdout_hours, m.model_name AS selected_model, m.mae, m.rmse, m.mape,
        (SELECT CAST(count(*) AS BIGINT) FROM metrics) AS models_evaluated,
+       (SELECT string_agg(concat_ws(' ', model_name, printf('%.6f', mae), printf('%.6f', rmse), printf('%.6f', mape)),
+                          ', ' ORDER BY model_name) FROM metrics) AS model_metrics,
        (SELECT CAST(count(*) AS BIGINT) FROM results) AS results_row_count,
        (SELECT CAST(count(*) AS BIGINT) FROM hourly) AS input_row_count,
        (SELECT CAST(coalesce(sum(impressions), 0) AS BIGINT) FROM hourly) AS total_impressions,
@@ -112,4 +116,7 @@ def forecast_summary(spark, sf):
     roll = write_shared(roll)          # one scan of staging feeds all four consumers
     hourly = kpi.hourly_from(roll)
     _, met, res = FC.run_forecast(hourly, HOLDOUT)
-    return FC.forecast_summary(met, res, hourly, kpi.staging_rows_from(roll))
+    s = FC.forecast_summary(met, res, hourly, kpi.staging_rows_from(roll))
+    # the nested metrics as text, which both engines can compare
+    return s.withColumn("model_metrics", F.array_join(F.transform("model_metrics", lambda m: F.concat_ws(
+        " ", m["model_name"], *[F.format_string("%.6f", m[c]) for c in ("mae", "rmse", "mape")])), ", "))

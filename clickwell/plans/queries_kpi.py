@@ -94,3 +94,23 @@ CROSS JOIN (SELECT CAST(count(*) AS BIGINT) AS segment_rows,
 CROSS JOIN (SELECT CAST(count(*) AS BIGINT) AS staging_row_count FROM stg_ads) r"""))
 def hourly_range(spark, sf):
     return kpi.funnel_summary(kpi.ad_rollup(inputs.stg_ads(spark, sf)))
+
+
+@register("daily_listing", with_ctes(["daily"], "SELECT event_date, impressions, clicks, round(ctr, 6) AS ctr FROM daily"))
+def daily_listing(spark, sf):
+    return kpi.daily_listing(inputs.daily(spark, sf))
+
+
+def _ranking_rows(name: str, direction: str) -> str:
+    order = f"ctr {direction}, impressions DESC, {_DIMS_ORDER}"
+    return (f"SELECT '{name}' AS ranking, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank, device_type, app_category, "
+            f"site_category, banner_pos, impressions, clicks, round(ctr, 6) AS ctr, round(click_share, 6) AS click_share "
+            f"FROM (SELECT * FROM segments WHERE impressions >= {MIN_IMPRESSIONS} ORDER BY {order} LIMIT {LIMIT})")
+
+
+@register("segment_rankings", with_ctes(["segments"], "SELECT * FROM ({}) t UNION ALL SELECT * FROM ({}) b".format(
+    _ranking_rows("top_by_ctr", "DESC"), _ranking_rows("bottom_by_ctr", "ASC"))))
+def segment_rankings(spark, sf):
+    """A10: both rankings as the funnel summary lists them."""
+    seg = inputs.segments(spark, sf)
+    return kpi.segment_rankings(kpi.top_segments(seg, MIN_IMPRESSIONS, LIMIT), kpi.bottom_segments(seg, MIN_IMPRESSIONS, LIMIT))

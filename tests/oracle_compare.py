@@ -60,8 +60,11 @@ SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "
 
 
 def type_diff(schema, description):
-    spark_t = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__)
-               for f in schema.fields}
+    def name(t):
+        if type(t).__name__ == "ArrayType":
+            return name(t.elementType) + "[]"
+        return SPARK_TO_DUCK.get(type(t).__name__, type(t).__name__)
+    spark_t = {f.name: name(f.dataType) for f in schema.fields}
     duck_t = {d[0]: str(d[1]) for d in description}
     return {c: (spark_t[c], duck_t.get(c)) for c in spark_t if spark_t[c] != duck_t.get(c)}
 

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def _checks(b, **override):
-    kw = dict(raw_ads=b.raw_ads, raw_experiment=b.raw_experiment, stg_ads=b.stg_ads,
+    kw = dict(raw_ads_rows=b.raw_ads_rows, raw_experiment_rows=b.raw_experiment_rows, stg_ads=b.stg_ads,
               stg_experiment=b.stg_experiment, daily=b.daily, hourly=b.hourly,
               segments=b.segments, ab=b.ab, forecast_inputs=b.forecast_inputs,
               forecast_results=b.forecast_results, ads_summary=b.ads_summary,
@@ -37,11 +37,36 @@ def test_wrong_row_count_detected(bundle):
     assert rows["raw_avazu_ads_row_count"].status == "pass"
 
 
-def test_lock_refuses_failed_step(spark, bundle):
+@pytest.mark.parametrize("step", Q.REQUIRED_STEPS)
+def test_lock_refuses_each_missing_or_failed_step(spark, step):
     metrics = spark.createDataFrame([("m", 1.0, 0.0)], "metric string, value double, tolerance double")
-    flags = spark.createDataFrame([("a", True), ("b", False)], "step string, success boolean")
-    with pytest.raises(Exception, match="did not succeed"):
-        Q.lock_snapshot(metrics, flags).collect()
+    rest = [(s, True) for s in Q.REQUIRED_STEPS if s != step]
+    for steps in (rest, rest + [(step, False)], rest + [(step, None)]):
+        flags = spark.createDataFrame(steps, "step string, success boolean")
+        with pytest.raises(Exception, match=f"missing or failed: {step}"):
+            Q.lock_snapshot(metrics, flags).collect()
+    done = spark.createDataFrame(rest + [(step, True)], "step string, success boolean")
+    assert Q.lock_snapshot(metrics, done).first().value == 1.0
+
+
+def test_arm_without_variance_counts_as_tested(spark, bundle):
+    """Nobody converts, so the pooled variance is zero and p is null: the check passes."""
+    from clickwell.operators import experiment as X
+    stg = bundle.stg_experiment.withColumn("converted", F.lit(0))
+    rows = {r.check_name: r.status for r in _checks(bundle, ab=X.ab_results(stg)).collect()}
+    assert rows["mart_ab_test_results_treatment_significance"] == "pass"
+
+
+def test_pending_marts_must_be_empty(spark, bundle):
+    pending = {"mart_new": spark.range(0), "mart_filled": spark.range(2)}
+    rows = {r.check_name: r.status for r in _checks(bundle, pending_marts=pending).collect()}
+    assert rows["mart_new_empty"] == "pass" and rows["mart_filled_empty"] == "fail"
+
+
+def test_guard_names_every_empty_table(spark):
+    from clickwell.operators.kpi import ensure_not_empty
+    with pytest.raises(RuntimeError, match="a, c"):
+        ensure_not_empty({"a": spark.range(0), "b": spark.range(1), "c": spark.range(0)})
 
 
 def test_drift(spark):
@@ -59,6 +84,19 @@ def test_materialize_round_trip(spark, bundle, scratch):
     assert "created_at" in spark.read.parquet(f"{scratch}/mart_campaign_kpis").columns
 
 
+def test_full_refresh_drops_dates_that_are_gone(spark, scratch):
+    raw = raw_ads(spark, SF)
+    exp = raw_experiment(spark, SF, "contrast")
+    first = build(raw, exp, RankingConfig(min_impressions=5))
+    materialize(first, scratch)
+    days = [r[0] for r in first.daily.select("event_date").distinct().orderBy("event_date").collect()]
+    later = raw.filter(F.col("hour").startswith(days[-1].strftime("%y%m%d")))
+    m = materialize(build(later, exp, RankingConfig(min_impressions=5)), scratch)
+    assert [r[0] for r in m.daily.select("event_date").collect()] == [days[-1]]
+    assert m.stg_ads.select("event_date").distinct().count() == 1
+    assert {r.status for r in _checks(m).collect()} == {"pass"}
+
+
 def test_run_all_writes_everything(spark, scratch):
     from clickwell.plans.pipeline import run_all
     zones = (f"{scratch}/marts", f"{scratch}/exports")
