@@ -11,7 +11,10 @@ number, text); candidates are verified with a banded bit-parallel edit distance.
 
 Lists of lines that share a segment are paired with their first member only; after the
 links found so far are followed, members still in different components are paired with
-each other.  So a group of n near lines makes about n candidates and loses no link.
+each other if their signatures allow it.  So a group of n near lines makes about n
+candidates and loses no link.  A signature is 64 bits, the parities of the counts of 64
+classes of characters: an edit changes two of them at most, so lines within ``tau`` edits
+differ in 2 * ``tau`` bits at most, and lines that differ in whole words rarely pass.
 
 The texts of candidate lines are fetched in one more pass over the documents.  A bit
 table of fixed size (``FILTER_BITS`` bits) tells which lines are worth sending; its
@@ -191,6 +194,13 @@ def _with_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["token", "line", "pivot"])
 
 
+def _parities(line: str) -> int:
+    """Bit k: whether the characters of class k occur an odd number of times."""
+    codes = np.frombuffer(line.encode("utf-32-le"), np.uint32)
+    classes = (codes * np.uint32(2654435761)) >> np.uint32(26)
+    return int(np.bitwise_xor.reduce(np.left_shift(np.uint64(1), classes.astype(np.uint64))).view(np.int64))
+
+
 # --- a bit table of the lines whose texts are needed -----------------------------------
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,7 +246,9 @@ def _wanted(min_chars: int, shared_filter):
                         found[key] = x
                 yield pa.RecordBatch.from_arrays([
                     pa.array([_number(k) for k in found], pa.int64()), pa.array(list(found), pa.binary()),
-                    pa.array(list(found.values()), pa.string())], names=["line", "key", "body"])
+                    pa.array(list(found.values()), pa.string()),
+                    pa.array([_parities(x) for x in found.values()], pa.int64())],
+                    names=["line", "key", "body", "parities"])
     return run
 
 
@@ -251,12 +263,16 @@ def _near(tau: int):
 
 
 def _verify(pairs: DataFrame, bodies: DataFrame, tau: int) -> DataFrame:
-    side = lambda x: bodies.select(*[F.col(c).alias(f"{c}_{x}") for c in ("line", "key", "body")])
-    return (pairs.join(side("a"), "line_a").join(side("b"), "line_b")
+    side = lambda x: bodies.select(*[F.col(c).alias(f"{c}_{x}") for c in ("line", "key", "body", "parities")])
+    return (pairs.join(side("a"), "line_a").join(side("b"), "line_b").filter(_may_be_near("parities_a", "parities_b", tau))
             .select("line_a", "line_b", "key_a", "key_b", "body_a", "body_b")
             .mapInArrow(_near(tau), "line_a long, line_b long, key_a binary, key_b binary, near boolean"))
 
 
+def _may_be_near(a: str, b: str, tau: int):
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= 2 * tau
+
+
 def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("line_a"), F.greatest(a, b).alias("line_b")]
 
@@ -270,8 +286,8 @@ def near_line_links(texts: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS
                          .repartition(parallelism(spark), "list").drop("list").sortWithinPartitions("token", "line")
                          .mapInArrow(_with_pivot, "token long, line long, pivot long"))
     table = spark.sparkContext.broadcast(_filter_of(lists.select("line").unionByName(lists.select(F.col("pivot").alias("line")))))
-    bodies = write_shared(texts.mapInArrow(_wanted(min_chars, table), "line long, key binary, body string")
-                          .dropDuplicates(["line", "key", "body"]))
+    bodies = write_shared(texts.mapInArrow(_wanted(min_chars, table), "line long, key binary, body string, parities long")
+                          .dropDuplicates(["key"]))
     star = lists.filter("line <> pivot").select(*_ordered("line", "pivot")).distinct()
     judged = write_shared(_verify(star, bodies, tau))
     part = components(judged.filter("near"), "line_a", "line_b").select(F.col("node").alias("line"), F.col("component").alias("part"))
@@ -279,9 +295,12 @@ def near_line_links(texts: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS
     placed = (lists.select(F.expr("shiftright(token, 1)").alias("list"), F.expr("token & 1").alias("role"), "line")
               .join(part, "line", "left").withColumn("part", F.coalesce("part", "line")))
     split = placed.groupBy("list").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y")
-    rest = write_shared(placed.join(split.select("list"), "list", "left_semi"))
-    probes = rest.select("list", F.col("line").alias("other"), F.col("part").alias("other_part"))
+    rest = write_shared(placed.join(split.select("list"), "list", "left_semi")
+                        .join(bodies.select("line", "parities"), "line"))
+    probes = rest.select("list", F.col("line").alias("other"), F.col("part").alias("other_part"),
+                         F.col("parities").alias("other_parities"))
     pairs = (rest.filter("role = 0").join(probes, "list").filter("part <> other_part")
+             .filter(_may_be_near("parities", "other_parities", tau))
              .select(*_ordered("line", "other")).distinct()
              .join(judged.select("line_a", "line_b"), ["line_a", "line_b"], "left_anti"))
     more = _verify(pairs, bodies, tau)
