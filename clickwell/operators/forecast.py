@@ -54,16 +54,15 @@ def forecast_candidates(hourly: DataFrame, holdout_hours: int = DEFAULT_HOLDOUT_
                         window: int = MOVING_AVERAGE_WINDOW,
                         series_cols: tuple[str, ...] = ()) -> DataFrame:
     """F4 + F5: holdout rows of both models, long form (one row per model and hour)."""
-    s = ordered_series(hourly, holdout_hours, series_cols)
-    w = Window.partitionBy(*series_cols).orderBy("t")
+    # lags share their window (and its sort) with the series index
+    w = Window.partitionBy(*series_cols).orderBy(*ORDER_COLS)
     whole = Window.partitionBy(*series_cols)
-    train = ~F.col("is_holdout")
-    s = s.withColumns({
-        "_ma_clicks": _trailing_mean("clicks", w, window),
-        "_ma_ctr": _trailing_mean("ctr", w, window),
-        "_last_clicks": F.max_by(F.when(train, F.col("clicks")), F.when(train, F.col("t"))).over(whole),
-        "_last_ctr": F.max_by(F.when(train, F.col("ctr")), F.when(train, F.col("t"))).over(whole),
-    }).filter("is_holdout")
+    s = ordered_series(hourly.withColumns({"_ma_clicks": _trailing_mean("clicks", w, window),
+                                           "_ma_ctr": _trailing_mean("ctr", w, window)}),
+                       holdout_hours, series_cols)
+    last = F.col("t") == F.col("n") - F.col("h")   # the last training row
+    s = s.withColumns({"_last_clicks": F.max(F.when(last, F.col("clicks"))).over(whole),
+                       "_last_ctr": F.max(F.when(last, F.col("ctr"))).over(whole)}).filter("is_holdout")
     models = F.array(
         F.struct(F.lit(PRIMARY_MODEL_NAME).alias("model_name"), F.lit(0).alias("model_rank"),
                  F.col("_ma_clicks").alias("forecast_clicks"), F.col("_ma_ctr").alias("forecast_ctr")),

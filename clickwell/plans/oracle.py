@@ -8,10 +8,19 @@ steps and the marts; each query is ``WITH <the CTEs it needs> SELECT ...``.
 
 from __future__ import annotations
 
-from ..config import (CTR_PAUSE_MULTIPLIER, CTR_SCALE_MULTIPLIER, SEGMENT_MAP,
-                      TREATMENT_LABELS, ZIP_CODE_MAP)
-from ..functions.core import NA_TOKENS, UNKNOWN_STRINGS
-from ..schemas import ADS_RAW_COLUMNS, EXPERIMENT_RAW_COLUMNS, FLAG_COLUMNS
+from ..config import CTR_PAUSE_MULTIPLIER, CTR_SCALE_MULTIPLIER
+from ..schemas import ADS_RAW_COLUMNS, EXPERIMENT_RAW_COLUMNS
+
+# --- fixed values, stated here on their own so that an error in the library shows ------
+NA_TOKENS = ["", "NA", "N/A", "n/a", "<NA>", "#N/A", "#N/A N/A", "#NA", "NULL", "null", "None", "nan", "NaN",
+             "-nan", "-NaN", "1.#IND", "-1.#IND", "1.#QNAN", "-1.#QNAN"]
+UNKNOWN_STRINGS = ["", "nan", "null", "none", "unknown", "-1"]
+SEGMENT_MAP = {"No E-Mail": "control", "Mens E-Mail": "mens_email", "Womens E-Mail": "womens_email"}
+TREATMENT_LABELS = {"control": "Control (No E-Mail)", "mens_email": "Mens E-Mail", "womens_email": "Womens E-Mail"}
+ZIP_CODE_MAP = {"Surburban": "Suburban", "Suburban": "Suburban", "Urban": "Urban", "Rural": "Rural"}
+FLAG_COLUMNS = ["site_id", "site_domain", "site_category", "app_id", "app_domain", "app_category", "device_id",
+                "device_model", "device_type"]
+# ---------------------------------------------------------------------------------------
 
 
 def pm(x: str, m: int) -> str:
