@@ -19,24 +19,28 @@ longer where many rates are 0, and taken if the residual shrinks well.  A step n
 probabilities and the K numbers of each earlier step, so no rates are stored, shuffled
 or collected while iterating; a lost task is simply computed again.
 
-The classifier is naive Bayes over hashed words, counted over all labelled rows (2 **
-18 cells a domain).  A domain's word distribution is mixed half and half with that of all
-labelled rows, so a word says something only where domains differ and an unknown word
-says nothing.  Evidence is tempered by EVIDENCE / sqrt(words): neighbouring words are not
-independent, and memberships are meant to be soft.
-
-Defined cases: null or wordless text has the domains' prior probabilities and no
-tokens; a domain without labelled rows takes no part, and without any for the anchor all
+The classifier is naive Bayes on what a document holds: its words (lower case, without
+punctuation at the ends), the shapes of its words (signs after the last letter, capitals)
+and threefold repeats, hashed to 2 ** 18 cells and counted over all labelled rows.  Only
+cells that mark a domain say anything, by being there or not: those that at least
+``LEAST_LIFT`` times as many of its documents have as of all, and significantly so
+(``LEAST_Z`` standard deviations).  All others are taken as equally likely everywhere, so
+that the length or language of a text does not count.
+
+Defined cases: null or wordless text has the probabilities of a text without any telling
+cell and no tokens; a domain without labelled rows takes no part, and without any for the anchor all
 rates are 1; repeated rows and null ids get rates like others; no documents give no
 rows; other columns are left alone.
 """
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import write_shared
@@ -46,7 +50,10 @@ from .langid import BITS, count_cells
 #: target weights of the domains that the label table tells apart
 WEIGHTS = {"clean": 0.95, "low": 0.04, "toxic": 0.01}
 ANCHOR = "clean"
-EVIDENCE = 4.0
+#: a cell marks a domain whose share of documents with it exceeds that of all by so much
+LEAST_Z = 5.0
+LEAST_LIFT = 2.0
+STRENGTH = 10.0
 ROUNDS = 60
 TOLERANCE = 1e-5
 
@@ -59,36 +66,56 @@ def label_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "text", "domain")
 
 
-def _word_cells(texts: pa.Array) -> np.ndarray:
-    return (hash_strings(split_words(texts)[0]) >> np.uint64(64 - BITS)).astype(np.int64)
+PUNCTUATION = string.punctuation
 
 
-def _log_ratios(counts: np.ndarray) -> np.ndarray:
-    """log of (mixed probability in a domain / probability over all), 0 for unseen cells."""
-    every = counts.sum(0)
-    own = counts / np.maximum(counts.sum(1, keepdims=True), 1)
-    ratio = np.divide(own * every.sum(), every, out=np.ones_like(own), where=every > 0)
-    return np.log(0.5 + 0.5 * ratio).astype(np.float32)
+def _features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, cell) of every distinct feature of every text, and the rows' numbers of words."""
+    words, offsets = split_words(texts)
+    counts = np.diff(offsets)
+    coded = words.dictionary_encode()
+    of, each = coded.indices.to_numpy(), coded.dictionary
+    bare = pc.ascii_trim(each, PUNCTUATION)
+    tail = pc.extract_regex(each, r"(?P<tail>[^\pL\pN]*)$").field("tail")
+    capitals = pc.and_(pc.utf8_is_upper(bare), pc.greater(pc.utf8_length(bare), 1))
+    shape = pc.binary_join_element_wise("shape", pc.cast(capitals, pa.string()), tail, " ")
+    row = np.repeat(np.arange(len(texts)), counts)
+    thrice = np.flatnonzero((of[2:] == of[1:-1]) & (of[2:] == of[:-2]) & (row[2:] == row[:-2]))
+    cell = lambda values: (hash_strings(values) >> np.uint64(64 - BITS)).astype(np.int64)
+    cells = [cell(pc.ascii_lower(bare))[of], cell(shape)[of], np.repeat(cell(pa.array(["thrice"])), len(thrice))]
+    pairs = np.unique(np.concatenate([row, row, row[thrice]]) << BITS | np.concatenate(cells))
+    return pairs >> BITS, pairs & ((1 << BITS) - 1), counts
 
 
-def _posteriors(model, prior: np.ndarray):
+def _document_cells(texts: pa.Array) -> np.ndarray:
+    return _features(texts)[1]
+
+
+def _log_ratios(counts: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For counts of documents per domain and cell: what a cell adds to a domain's log score
+    where it is present, and the score of a document without any."""
+    n = held.astype(float)[:, None]
+    share = counts.sum(0) / n.sum()
+    spread = np.sqrt(np.maximum(n * share * (1 - share), 1e-12))
+    own = (counts + STRENGTH * share) / (n + STRENGTH)
+    telling = (counts - n * share >= LEAST_Z * spread) & (own >= LEAST_LIFT * share)
+    own = np.where(telling, own, share).clip(1e-9, 1 - 1e-9)
+    share = share.clip(1e-9, 1 - 1e-9)
+    absent = np.where(telling, np.log((1 - own) / (1 - share)), 0.0)
+    present = np.where(telling, np.log(own / share), 0.0)
+    return (present - absent).astype(np.float32), absent.sum(1)
+
+
+def _posteriors(model, base: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = model.value.T.copy()
+        table = model.value
         for batch in batches:
             for part in slices(batch, "text"):
-                words, offsets = split_words(part.column("text"))
-                cells = (hash_strings(words) >> np.uint64(64 - BITS)).astype(np.int64)
-                n = np.diff(offsets)
-                score = np.zeros((part.num_rows, len(prior)))
-                has = np.flatnonzero(n)
-                if len(has):
-                    score[has] = np.add.reduceat(table[cells].astype(np.float64), offsets[:-1][has], axis=0)
-                    score[has] *= np.minimum(1, EVIDENCE / np.sqrt(n[has]))[:, None]
-                score += np.log(prior)
+                row, cell, n = _features(part.column("text"))
+                score = np.stack([np.bincount(row, weights=w[cell], minlength=part.num_rows) for w in table], axis=1) + base
                 p = np.exp(score - score.max(1, keepdims=True))
                 p /= p.sum(1, keepdims=True)
-                flat = pa.array(p.ravel())
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, p.size + 1, p.shape[1], dtype=np.int32)), flat)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, p.size + 1, p.shape[1], dtype=np.int32)), pa.array(p.ravel()))
                 yield pa.RecordBatch.from_arrays([
                     *[part.column(c) for c in part.schema.names if c != "text"], pa.array(n, pa.int64()), lists],
                     names=[c for c in part.schema.names if c != "text"] + ["tokens", "p"])
@@ -174,12 +201,12 @@ def document_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, floa
     if weights.get(anchor, 0) <= 0:
         raise ValueError("the anchor domain needs a positive weight")
     kind = docs.schema[id_col].dataType.simpleString()
-    domains, counts, held = count_cells(labelled, "text", "domain", _word_cells)
+    domains, counts, held = count_cells(labelled, "text", "domain", _document_cells)
     if not domains:
         domains, counts, held = [anchor], np.ones((1, 1 << BITS), np.int64), np.ones(1)
-    model = _log_ratios(counts)
+    model, without = _log_ratios(counts, held)
     rows = write_shared(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        _posteriors(spark.sparkContext.broadcast(model), held / held.sum()),
+        _posteriors(spark.sparkContext.broadcast(model), np.log(held / held.sum()) + without),
         f"id {kind}, tokens long, p array<double>"))
     steps = solve(rows, domains, weights, anchor) if anchor in domains else []
     return rows.mapInArrow(_with_rate(steps, domains),
