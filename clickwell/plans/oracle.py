@@ -8,7 +8,6 @@ steps and the marts; each query is ``WITH <the CTEs it needs> SELECT ...``.
 
 from __future__ import annotations
 
-from ..config import CTR_PAUSE_MULTIPLIER, CTR_SCALE_MULTIPLIER
 from ..schemas import ADS_RAW_COLUMNS, EXPERIMENT_RAW_COLUMNS
 
 # --- fixed values, stated here on their own so that an error in the library shows ------
@@ -315,6 +314,3 @@ def with_ctes(names: list[str], body: str, extra: list[str] | None = None) -> st
 def contrast(sql: str) -> str:
     """Swap the plain experiment adapter for the contrast variant."""
     return sql.replace(CTES["raw_experiment"], CTES["raw_experiment_contrast"])
-
-
-SCALE, PAUSE = CTR_SCALE_MULTIPLIER, CTR_PAUSE_MULTIPLIER
