@@ -59,10 +59,11 @@ TOLERANCE = 1e-5
 
 
 def label_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, domain) of the labelled documents: toxic, low (quality 0) or clean."""
+    """(text, domain) of the labelled documents: toxic, low (quality 0) or clean.  Labels
+    grow with the documents, so they are joined by a shuffle at every size."""
     marks = labels.select(F.col("doc_id").alias("__id"), F.expr(
         "case when toxic = 1 then 'toxic' when quality = 0 then 'low' when quality = 1 then 'clean' end").alias("domain"))
-    return docs.select("doc_id", "text").join(marks.filter("domain is not null"), F.col("doc_id") == F.col("__id")).select(
+    return docs.select("doc_id", "text").join(marks.filter("domain is not null").hint("merge"), F.col("doc_id") == F.col("__id")).select(
         "text", "domain")
 
 
