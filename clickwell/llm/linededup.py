@@ -21,8 +21,10 @@ table of fixed size (``FILTER_BITS`` bits) tells which lines are worth sending;
 false hits cost a row and are gone after the join.
 
 Of each class of lines (links followed all the way) the first occurrence, by (id, line
-number), stays.  A document of whose characters more than ``most`` would go is left
-whole: copies of whole documents are for the document join to find.
+number), stays.  ``dedup_lines`` with ``most`` None cuts all others; with a number it leaves
+a document whole of whose characters more than that share would go.
+``dedup_lines_but_copies`` cuts all others too, but leaves a document whole that the
+document join is sure to drop: one that is a near copy of a document it repeats.
 
 Defined cases: null text stays null; lines of fewer than ``min_chars`` code points
 (without white space at the ends) always stay; a null id keeps its lines, which are not
@@ -44,6 +46,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import write_shared
 from .common import let, parallelism, slices
 from .graph import components
+from .ngram_join import similarity_classes
 
 TAU = 2
 MIN_CHARS = 24
@@ -308,8 +311,8 @@ def near_line_links(texts: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS
 
 
 def repeated_lines(texts: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(id, numbers): per document the numbers of its lines that repeat an earlier line.
-    texts: id, text."""
+    """(id, numbers, holder): per document the numbers of its lines that repeat an earlier
+    line, and the document that holds the first occurrences of most of them.  texts: id, text."""
     texts = texts.filter("id is not null and text is not null")
     found = write_shared(texts.mapInArrow(_occurrences(min_chars), "id long, number int, key binary"))
     part = components(near_line_links(texts, tau, min_chars), "key_a", "key_b")
@@ -320,15 +323,13 @@ def repeated_lines(texts: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS)
     repeated = classes.join(firsts, "class", "left").filter("n > 1 or class_first <> first").select(
         "key", F.coalesce("class_first", "first").alias("keep"))
     return (found.join(repeated, "key").filter("not (keep.id = id and keep.number = number)")
-            .groupBy("id").agg(F.sort_array(F.collect_set("number")).alias("numbers")))
+            .groupBy("id").agg(F.sort_array(F.collect_set("number")).alias("numbers"),
+                               F.mode("keep.id", True).alias("holder")))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau: int = TAU,
-                min_chars: int = MIN_CHARS, most: float = MOST, stats: str | None = None) -> DataFrame:
-    """``docs`` with ``text_col`` without repeated lines; ``stats`` names an optional struct
-    column n_lines, n_repeated (lines that repeat an earlier one), n_removed."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    gone = repeated_lines(texts, tau, min_chars).select(F.col("id").alias("__id"), F.col("numbers").alias("__numbers"))
+def _cut(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, most: float | None) -> DataFrame:
+    """``docs`` with __key, the columns of ``gone`` (__id, __numbers, __holder) and __cut:
+    text, n_gone (characters of the lines to go), n_lines, n_removed."""
     every = [F.col(f"`{c}`") for c in docs.columns]
     joined = docs.select(*every, F.col(id_col).cast("long").alias("__key")).join(gone, F.col("__key") == F.col("__id"), "left")
     text = F.col(text_col)
@@ -337,15 +338,57 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         chars = F.aggregate(F.col("__numbers"), F.lit(0).cast("long"),
                             lambda s, i: s + F.coalesce(F.length(F.get(lines, i)), F.lit(0)))
         left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__numbers"))
-        whole = F.col("__numbers").isNull() | (chars > F.lit(most) * F.length(text))
+        whole = F.col("__numbers").isNull()
+        if most is not None:
+            whole = whole | (chars > F.lit(most) * F.length(text))
         return F.struct(F.when(whole, text).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")).alias("text"),
-                        F.size(lines).cast("long").alias("n_lines"),
+                        chars.alias("n_gone"), F.size(lines).cast("long").alias("n_lines"),
                         F.when(whole, F.lit(0)).otherwise(F.size(lines) - F.size(left)).cast("long").alias("n_removed"))
 
-    done = joined.select(*every, "__numbers", let(F.split(text, "\n"), cut).alias("__cut"))
+    return joined.select(*every, *[f"__{c}" for c in ("key", "numbers", "holder")], let(F.split(text, "\n"), cut).alias("__cut"))
+
+
+def _gone(docs: DataFrame, id_col: str, text_col: str, tau: int, min_chars: int) -> DataFrame:
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return repeated_lines(texts, tau, min_chars).select(*[F.col(c).alias(f"__{c}") for c in ("id", "numbers", "holder")])
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau: int = TAU,
+                min_chars: int = MIN_CHARS, most: float | None = MOST, stats: str | None = None) -> DataFrame:
+    """``docs`` with ``text_col`` without repeated lines; ``stats`` names an optional struct
+    column n_lines, n_repeated (lines that repeat an earlier one), n_removed."""
+    done = _cut(docs, _gone(docs, id_col, text_col, tau, min_chars), id_col, text_col, most)
     out = [F.col("__cut.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     if stats:
         out.append(F.struct(F.coalesce("__cut.n_lines", F.lit(0)).cast("long").alias("n_lines"),
                             F.coalesce(F.size("__numbers"), F.lit(0)).cast("long").alias("n_repeated"),
                             F.coalesce("__cut.n_removed", F.lit(0)).cast("long").alias("n_removed")).alias(stats))
     return done.select(*out)
+
+
+def dedup_lines_but_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau: int = TAU,
+                           min_chars: int = MIN_CHARS, most: float = MOST, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with ``text_col`` without repeated lines, except documents that a join of near
+    copies (``n`` words, ``num`` / ``den``) of the result drops.
+
+    In doubt are documents of whose characters more than ``most`` would go, most lines to
+    another document, the holder.  They, as they are, and the holders, cut, are joined.  A
+    document in doubt stays whole if the first of its class is not in doubt: every member of
+    the class is then in the result with the text it was joined with, so the join of the
+    result finds the same links and drops it.  All others are cut."""
+    gone = write_shared(_gone(docs, id_col, text_col, tau, min_chars))
+    judged = _cut(docs.select(id_col, text_col), gone, id_col, text_col, None).filter("__key is not null").select(
+        F.col("__key").alias("id"), F.col(text_col).alias("text"), F.col("__holder").alias("holder"),
+        F.col("__cut.text").alias("cut"), F.col("__cut.n_gone").alias("n_gone"))
+    doubt = write_shared(judged.filter((F.col("n_gone") > F.lit(most) * F.length("text")) & (F.col("holder") != F.col("id")))
+                         .select("id", "holder").distinct())
+    chosen = (doubt.select("id", F.lit(True).alias("doubt")).unionByName(doubt.select(F.col("holder").alias("id"), F.lit(False).alias("doubt")))
+              .groupBy("id").agg(F.max("doubt").alias("doubt")))
+    some = write_shared(judged.join(chosen, "id").select("id", F.when(F.col("doubt"), F.col("text")).otherwise(F.col("cut")).alias("text"), "doubt")
+                        .dropDuplicates(["id"]))
+    classes = similarity_classes(some.select("id", "text"), id_col="id", n=n, num=num, den=den).select("id", "component_id")
+    copies = (classes.join(some.filter("doubt").select("id"), "id", "left_semi")
+              .join(some.filter("not doubt").select(F.col("id").alias("component_id")), "component_id", "left_semi"))
+    kept = gone.join(copies.select(F.col("id").alias("__id")), "__id", "left_anti")
+    return _cut(docs, kept, id_col, text_col, None).select(
+        *[F.col("__cut.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

@@ -22,8 +22,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts lines that repeat an earlier line of the corpus; n_chars follows the text."""
-    return linededup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """Cuts lines that repeat an earlier line of the corpus, but for near copies of whole
+    documents that the next stage is sure to drop; n_chars follows the text."""
+    return linededup.dedup_lines_but_copies(docs, n=5, num=80, den=100).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

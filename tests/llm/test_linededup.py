@@ -3,7 +3,9 @@ import random
 import pytest
 from hypothesis import given, settings, strategies as st
 
+import corpus_pipeline
 from clickwell.llm.linededup import _segments, _signature, dedup_lines, within
+from clickwell.llm.queries import QUERIES
 from helpers import awkward_rows, frame, prose, union_find
 
 
@@ -91,3 +93,31 @@ def test_defined_cases(spark):
     assert by_id[19].text == by_id[16].text and by_id[19].counts.n_repeated == 1 and by_id[19].counts.n_removed == 0
     assert by_id[34].text == "a\n\n\nb\nb\nb"
     assert dedup_lines(frame(spark, [])).count() == 0
+
+
+def patchwork():
+    """Documents 0 to 3 are their own, 4 holds one passage of each, 5 is a copy of 0, 6
+    repeats its own line, 7 has the passages of 4 and a line of its own."""
+    rng = random.Random(11)
+    rows = [(i, "\n".join(prose(rng, 12) for _ in range(4))) for i in range(4)]
+    rows.append((4, "\n".join(rows[i][1].split("\n")[i] for i in range(4)) + "\nits own"))
+    rows.append((5, rows[0][1]))
+    own = prose(rng, 12)
+    rows.append((6, "\n".join([own] * 4)))
+    rows.append((7, rows[4][1].replace("its own", prose(rng, 3))))
+    return [(i, t, None, None, len(t)) for i, t in rows]
+
+
+def test_query_cuts_every_repeated_line(spark, scratch):
+    frame(spark, patchwork()).write.parquet(f"{scratch}/cut/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op9_line_dedup"](spark, f"{scratch}/cut").collect()}
+    assert all(r.n_removed == r.n_repeated for r in got.values())
+    assert [got[i].n_removed for i in range(8)] == [0, 0, 0, 0, 4, 4, 3, 4]
+
+
+def test_pipeline_leaves_only_copies_that_the_join_drops(spark):
+    rows = {i: t for i, t, *_ in patchwork()}
+    cut = corpus_pipeline.line_dedup(spark, frame(spark, patchwork()), None)
+    texts = {r.doc_id: r.text for r in cut.collect()}
+    assert texts[4] == "its own" and texts[6] == rows[6].split("\n")[0] and texts[7] == rows[7].split("\n")[4]
+    assert texts[5] == rows[5] and 5 not in {r.doc_id for r in corpus_pipeline.near_duplicates(spark, cut, None).collect()}
