@@ -26,9 +26,12 @@ a document whole of whose characters more than that share would go.
 ``dedup_lines_but_copies`` cuts all others too, but leaves a document whole that the
 document join is sure to drop: one that is a near copy of a document it repeats.
 
-Defined cases: null text stays null; lines of fewer than ``min_chars`` code points
-(without white space at the ends) always stay; a null id keeps its lines, which are not
-compared; ids are taken to name one text; other columns are left alone.
+Near lines are looked for among lines of ``min_chars`` code points or more (without white
+space at the ends); equal lines among those of ``exact_chars`` or more, by default the same.
+
+Defined cases: null text stays null; lines of fewer than ``exact_chars`` code points always
+stay, and so do lines of white space alone; a null id keeps its lines, which are not compared;
+ids are taken to name one text; other columns are left alone.
 """
 
 from __future__ import annotations
@@ -310,11 +313,11 @@ def near_line_links(texts: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS
     return judged.filter("near").unionByName(more.filter("near")).select("key_a", "key_b")
 
 
-def repeated_lines(texts: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_lines(texts: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
     """(id, numbers, holder): per document the numbers of its lines that repeat an earlier
     line, and the document that holds the first occurrences of most of them.  texts: id, text."""
     texts = texts.filter("id is not null and text is not null")
-    found = write_shared(texts.mapInArrow(_occurrences(min_chars), "id long, number int, key binary"))
+    found = write_shared(texts.mapInArrow(_occurrences(min_chars if exact_chars is None else max(1, min(exact_chars, min_chars))), "id long, number int, key binary"))
     part = components(near_line_links(texts, tau, min_chars), "key_a", "key_b")
     lines = found.groupBy("key").agg(F.min(F.struct("id", "number")).alias("first"), F.count("*").alias("n"))
     classes = lines.join(part, F.col("key") == F.col("node"), "left").withColumn("class", F.coalesce("component", "key"))
@@ -348,16 +351,17 @@ def _cut(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, most: flo
     return joined.select(*every, *[f"__{c}" for c in ("key", "numbers", "holder")], let(F.split(text, "\n"), cut).alias("__cut"))
 
 
-def _gone(docs: DataFrame, id_col: str, text_col: str, tau: int, min_chars: int) -> DataFrame:
+def _gone(docs: DataFrame, id_col: str, text_col: str, tau: int, min_chars: int, exact_chars: int | None = None) -> DataFrame:
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return repeated_lines(texts, tau, min_chars).select(*[F.col(c).alias(f"__{c}") for c in ("id", "numbers", "holder")])
+    return repeated_lines(texts, tau, min_chars, exact_chars).select(*[F.col(c).alias(f"__{c}") for c in ("id", "numbers", "holder")])
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau: int = TAU,
-                min_chars: int = MIN_CHARS, most: float | None = MOST, stats: str | None = None) -> DataFrame:
+                min_chars: int = MIN_CHARS, most: float | None = MOST, stats: str | None = None,
+                exact_chars: int | None = None) -> DataFrame:
     """``docs`` with ``text_col`` without repeated lines; ``stats`` names an optional struct
     column n_lines, n_repeated (lines that repeat an earlier one), n_removed."""
-    done = _cut(docs, _gone(docs, id_col, text_col, tau, min_chars), id_col, text_col, most)
+    done = _cut(docs, _gone(docs, id_col, text_col, tau, min_chars, exact_chars), id_col, text_col, most)
     out = [F.col("__cut.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     if stats:
         out.append(F.struct(F.coalesce("__cut.n_lines", F.lit(0)).cast("long").alias("n_lines"),

@@ -141,7 +141,7 @@ def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_line_dedup")
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return linededup.dedup_lines(docs, most=None, stats="counts").select(
+    return linededup.dedup_lines(docs, most=None, stats="counts", exact_chars=1).select(
         "doc_id", "counts.*", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 

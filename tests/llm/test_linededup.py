@@ -1,4 +1,5 @@
 import random
+from hashlib import sha256
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -121,3 +122,11 @@ def test_pipeline_leaves_only_copies_that_the_join_drops(spark):
     texts = {r.doc_id: r.text for r in cut.collect()}
     assert texts[4] == "its own" and texts[6] == rows[6].split("\n")[0] and texts[7] == rows[7].split("\n")[4]
     assert texts[5] == rows[5] and 5 not in {r.doc_id for r in corpus_pipeline.near_duplicates(spark, cut, None).collect()}
+
+
+def test_query_cuts_repeated_lines_of_every_length(spark, scratch):
+    rows = [(1, "Menu\n\n  a line of its own, one of many\n}"), (2, "x\n Menu \n\nMenus\n}"), (3, None), (4, "Menu")]
+    frame(spark, [(i, t, None, None, 0) for i, t in rows]).write.parquet(f"{scratch}/short/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op9_line_dedup"](spark, f"{scratch}/short").collect()}
+    assert {i: (r.n_repeated, r.n_removed) for i, r in got.items()} == {1: (0, 0), 2: (2, 2), 3: (0, 0), 4: (1, 1)}
+    assert got[2].kept_sha256 == sha256(b"x\n\nMenus").hexdigest()
