@@ -17,15 +17,18 @@ no tuning:
 Steps are first tried with the M of the documents whose rate is still positive, which is
 longer where many rates are 0, and taken if the residual shrinks well.  A step needs K sums over all documents, and a document's rate follows from its
 probabilities and the K numbers of each earlier step, so no rates are stored, shuffled
-or collected while iterating; a lost task is simply computed again.
+or collected while iterating; a lost task is simply computed again.  Targets that are not
+met when the steps end, and weights of domains without labelled rows, give a warning.
 
 The classifier is naive Bayes on what a document holds: its words (lower case, without
 punctuation at the ends), the shapes of its words (signs after the last letter, capitals)
 and threefold repeats, hashed to 2 ** 18 cells and counted over all labelled rows.  Only
 cells that mark a domain say anything, by being there or not: those that at least
-``LEAST_LIFT`` times as many of its documents have as of all, and significantly so
-(``LEAST_Z`` standard deviations).  All others are taken as equally likely everywhere, so
-that the length or language of a text does not count.
+``LEAST_LIFT`` times as many of its documents have as of all other domains, and significantly
+so (``LEAST_Z`` standard deviations).  The domains that a marking cell does not mark share one
+rate of it; all other cells are taken as equally likely everywhere, so that the length or
+language of a text does not count.  The domain's own documents are not in what it is compared
+with, so a domain with most of the labelled rows can be marked too.
 
 Defined cases: null or wordless text has the probabilities of a text without any telling
 cell and no tokens; a domain without labelled rows takes no part, and without any for the anchor all
@@ -36,6 +39,7 @@ rows; other columns are left alone.
 from __future__ import annotations
 
 import string
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,12 +54,14 @@ from .langid import BITS, count_cells
 #: target weights of the domains that the label table tells apart
 WEIGHTS = {"clean": 0.95, "low": 0.04, "toxic": 0.01}
 ANCHOR = "clean"
-#: a cell marks a domain whose share of documents with it exceeds that of all by so much
+#: a cell marks a domain whose share of documents with it exceeds that of the others by so much
 LEAST_Z = 5.0
 LEAST_LIFT = 2.0
 STRENGTH = 10.0
 ROUNDS = 60
 TOLERANCE = 1e-5
+#: targets missed by more than this part of their sum are reported
+LEAST_MET = 1e-3
 
 
 def label_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -97,13 +103,16 @@ def _log_ratios(counts: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.nd
     where it is present, and the score of a document without any."""
     n = held.astype(float)[:, None]
     share = counts.sum(0) / n.sum()
-    spread = np.sqrt(np.maximum(n * share * (1 - share), 1e-12))
-    own = (counts + STRENGTH * share) / (n + STRENGTH)
-    telling = (counts - n * share >= LEAST_Z * spread) & (own >= LEAST_LIFT * share)
-    own = np.where(telling, own, share).clip(1e-9, 1 - 1e-9)
+    spread = np.sqrt(np.maximum(n * share * (1 - share) * (1 - n / n.sum()), 1e-12))
+    rate = lambda x, rows: (x + STRENGTH * share) / (rows + STRENGTH)
+    own, others = rate(counts, n), rate(counts.sum(0) - counts, n.sum() - n)
+    telling = (counts - n * share >= LEAST_Z * spread) & (own >= LEAST_LIFT * others)
+    rest = rate(np.where(telling, 0, counts).sum(0), np.where(telling, 0, n).sum(0))
+    rest = np.where(telling.any(0), rest, share)
+    own = np.where(telling, own, rest).clip(1e-9, 1 - 1e-9)
     share = share.clip(1e-9, 1 - 1e-9)
-    absent = np.where(telling, np.log((1 - own) / (1 - share)), 0.0)
-    present = np.where(telling, np.log(own / share), 0.0)
+    absent = np.where(telling.any(0), np.log((1 - own) / (1 - share)), 0.0)
+    present = np.where(telling.any(0), np.log(own / share), 0.0)
     return (present - absent).astype(np.float32), absent.sum(1)
 
 
@@ -179,6 +188,9 @@ def solve(rows: DataFrame, domains: list[str], weights: dict[str, float], anchor
             longer = steps + [inverse(whole) @ (now - target)]
             found = _add_up(rows, longer, len(domains))
         steps, (now, _, active) = longer, found
+    if error(now) > LEAST_MET * max(target.sum(), 1.0):
+        warnings.warn("targets not met, expected tokens (target): " + ", ".join(
+            f"{d} {x:.0f} ({y:.0f})" for d, x, y in zip(domains, now, target)), RuntimeWarning, stacklevel=2)
     return steps
 
 
@@ -205,6 +217,9 @@ def document_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, floa
     domains, counts, held = count_cells(labelled, "text", "domain", _document_cells)
     if not domains:
         domains, counts, held = [anchor], np.ones((1, 1 << BITS), np.int64), np.ones(1)
+    missing = [x for x, w in weights.items() if w > 0 and x not in domains]
+    if missing:
+        warnings.warn(f"no labelled rows, so no target can be met: {', '.join(missing)}", RuntimeWarning, stacklevel=2)
     model, without = _log_ratios(counts, held)
     rows = write_shared(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         _posteriors(spark.sparkContext.broadcast(model), np.log(held / held.sum()) + without),

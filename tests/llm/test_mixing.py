@@ -1,8 +1,11 @@
+import random
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from clickwell.llm import mixing
-from helpers import awkward_rows, frame
+from helpers import awkward_rows, frame, prose
 
 SF = "/root/testdata/sf0.01"
 
@@ -72,3 +75,28 @@ def test_defined_cases(spark):
     assert mixing.mix(docs, nothing).count() == len(awkward_rows())
     assert mixing.mix(frame(spark, []), labelled).count() == 0
     assert mixing.document_rates(frame(spark, []), nothing).count() == 0
+
+
+@pytest.mark.parametrize("toxic", [100, 300])
+def test_domains_with_half_or_more_of_the_labels_are_told_apart(spark, toxic):
+    """Balanced and toxic-heavy labels; one word of each text is found in its domain only."""
+    rng = random.Random(toxic)
+    marked = lambda n, word: [prose(rng, 20) + f" {word} " + prose(rng, 5) for _ in range(n)]
+    rows = [(t, "clean") for t in marked(100, "gentle")] + [(t, "toxic") for t in marked(toxic, "vile")]
+    labelled = spark.createDataFrame(rows, "text string, domain string")
+    docs = spark.createDataFrame([(i, t, d) for i, (t, d) in enumerate(
+        [(t, "clean") for t in marked(60, "gentle")] + [(t, "toxic") for t in marked(60, "vile")])], "doc_id long, text string, domain string")
+    got = mixing.document_rates(docs, labelled, {"clean": 0.99, "toxic": 0.01}).join(docs, "doc_id").collect()
+    assert all(max(r.posteriors, key=r.posteriors.get) == r.domain for r in got)
+    seen = {d: sum(r.rate * r.tokens * r.posteriors[d] for r in got) for d in ("clean", "toxic")}
+    assert abs(seen["toxic"] / seen["clean"] - 1 / 99) < 1e-3
+
+
+def test_targets_that_cannot_be_met_are_reported(spark):
+    rows = spark.createDataFrame([(100, [0.5, 0.5])] * 4, "tokens long, p array<double>")
+    with pytest.warns(RuntimeWarning, match="targets not met"):
+        mixing.solve(rows, ["clean", "toxic"], {"clean": 0.99, "toxic": 0.01}, "clean")
+    docs = spark.createDataFrame([(1, "alpha beta")], "doc_id long, text string")
+    labelled = spark.createDataFrame([("alpha beta", "clean")], "text string, domain string")
+    with pytest.warns(RuntimeWarning, match="toxic"):
+        mixing.document_rates(docs, labelled, {"clean": 0.99, "toxic": 0.01}).count()
