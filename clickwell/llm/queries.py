@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, fingerprints, langid, linededup, mixing, ngram_join, packing, quality, sharding, substring
+from . import (chat, fingerprints, langid, linededup, mixing, ngram_join, packing, pii, quality, sharding, spelling,
+               substring, whitening)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +173,106 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sharding")
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents").select("doc_id"), sharding.Shards.numbered(64))
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(table(spark, sf_dir, "embeddings"), k=16)
+
+
+def _pii_sql() -> str:
+    """The plain expressions of every kind, with the places of matches as running sums."""
+    digit = "CAST(substr(reverse(dg), i, 1) AS INTEGER)"
+    luhn = (f"list_sum(list_transform(range(1, length(dg) + 1), lambda i: CASE WHEN i % 2 = 1 THEN {digit} "
+            f"WHEN {digit} < 5 THEN 2 * {digit} ELSE 2 * {digit} - 9 END)) % 10 = 0")
+    bare = "replace(v, ' ', '')"
+    mod97 = (f"list_reduce([0] || list_transform(string_split(substr({bare}, 5) || left({bare}, 4), ''), lambda c: ascii(c)), "
+             "lambda r, c: CASE WHEN c < 58 THEN r * 10 + c - 48 ELSE r * 100 + c - 55 END % 97) = 1")
+    alone = "NOT regexp_matches(b, '[A-Za-z0-9]$') AND NOT regexp_matches(a, '^[A-Za-z0-9]')"
+    near = "regexp_matches(lower(right(b, 40) || ' ' || left(a, 40)), '(^|[^a-z])(ssn|social security|taxpayer)')"
+    kinds = (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         "len(list_filter(string_split(v, '.'), lambda x: CAST(x AS HUGEINT) > 255)) = 0"),
+        ("card", r"[0-9]([\x20-]?[0-9])+", f"length(dg) BETWEEN 16 AND 19 AND {luhn}"),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(dg) BETWEEN 8 AND 15"),
+        ("iban", "[A-Z]{2}[0-9]{2}( ?[A-Z0-9]{4}){2,7}( ?[A-Z0-9]{1,3})?", f"{alone} AND {mod97}"),
+        ("ssn", "[0-9]{3}-[0-9]{2}-[0-9]{4}",
+         f"{alone} AND {near} AND NOT regexp_matches(v, '^(000|666|9)|-00-|-0000$')"))
+    ctes = []
+    for at, (kind, pattern, valid) in enumerate(kinds):
+        ctes.append(f"""m{at} AS (
+  SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS g FROM d
+  WHERE regexp_matches(t, '{pattern}')),
+p{at} AS (
+  SELECT doc_id, m[i] AS v, g[i] AS b, g[i + 1] AS a, regexp_replace(m[i], '[^0-9]', '', 'g') AS dg,
+         sum(length(g[i]) + length(m[i])) OVER (PARTITION BY doc_id ORDER BY i) AS e
+  FROM (SELECT doc_id, m, g, unnest(range(1, len(m) + 1)) AS i FROM m{at})),
+s{at} AS (
+  SELECT doc_id, {at} AS k, '{kind}' AS kind, CAST(e - length(v) AS BIGINT) AS s, CAST(e AS BIGINT) AS e
+  FROM p{at} WHERE {valid})""")
+    base = " UNION ALL ".join(f"SELECT * FROM s{i}" for i in range(4))
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+{", ".join(ctes)},
+base AS ({base}),
+more AS (SELECT * FROM s4 UNION ALL SELECT * FROM s5),
+kept AS (SELECT * FROM more WHERE NOT EXISTS (
+  SELECT 1 FROM base WHERE base.doc_id = more.doc_id AND base.s < more.e AND more.s < base.e)),
+every AS (SELECT *, kind || ':' || s || ':' || e AS line FROM (SELECT * FROM base UNION ALL SELECT * FROM kept)),
+per AS (
+  SELECT doc_id, count(*) FILTER (k = 0) AS n_email, count(*) FILTER (k = 1) AS n_ip, count(*) FILTER (k = 2) AS n_card,
+         count(*) FILTER (k = 3) AS n_phone, string_agg(line, ',' ORDER BY k, s) FILTER (k < 4) AS b,
+         string_agg(line, ',' ORDER BY k, s) AS a FROM every GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(b, '')) AS base_sha256, coalesce(a, '') AS spans
+FROM d LEFT JOIN per USING (doc_id)"""
+
+
+@query("op12_pii", _pii_sql())
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "spans")
+    number = lambda kind: F.size(pii.of_kind(F.col("spans"), kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[number(k) for k in pii.BASE],
+                        F.sha2(pii.listed(pii.of_kind(F.col("spans"), *pii.BASE)), 256).alias("base_sha256"),
+                        pii.listed(F.col("spans")).alias("spans"))
+
+
+@query("op13_spelling_variants", r"""
+WITH RECURSIVE
+bits(n, c, k) AS (
+  SELECT n, n, 0 FROM range(256) t(n)
+  UNION ALL SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+tab AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8),
+r AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[A-Za-z\x{C0}-\x{FF}]+')) AS w FROM documents),
+rn AS (SELECT doc_id, w, count(*) AS n, hex(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w) AS hx
+       FROM r WHERE length(w) >= 5 GROUP BY doc_id, w),
+h AS (
+  SELECT w, n, xor(4294967295, list_reduce([4294967295] || list_transform(range(0, length(hx) // 2),
+           lambda i: CAST('0x' || substr(hx, 2 * i + 1, 2) AS BIGINT)),
+           lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]))) AS h FROM rn, tab),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+cut AS (SELECT word, n, i, left(word, i - 1) AS a, substr(word, i + 1) AS b FROM places),
+pairs AS (
+  SELECT x.word, y.word AS other, y.n AS other_n FROM cut x JOIN cut y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT v.word, cut.word, cut.n FROM cut JOIN v ON v.word = cut.a || cut.b
+  UNION SELECT cut.word, v.word, v.n FROM cut JOIN v ON v.word = cut.a || cut.b),
+ranked AS (
+  SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS k FROM pairs),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * v.n THEN other END AS form,
+         CASE WHEN other_n >= 2 * v.n THEN other_n END AS form_n
+  FROM v LEFT JOIN ranked r ON r.word = v.word AND r.k = 1),
+chain(word, now) AS (
+  SELECT word, word FROM f
+  UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.now WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, chain.now AS root, f.n, f.n_near, f.form_n
+FROM f JOIN chain ON chain.word = f.word JOIN f last ON last.word = chain.now AND last.form IS NULL""")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(spelling.slipped_words(table(spark, sf_dir, "documents"))), lead=2)
