@@ -100,7 +100,7 @@ def main():
         from pyspark.sql import SparkSession
         spark = SparkSession.builder.master("local[8]").getOrCreate()
     else:
-        spark = local_session()
+        spark = local_session(cores=__import__("os").environ.get("CORES", "*"))
     if tz:
         spark.conf.set("spark.sql.session.timeZone", tz)
     qs, oracle = E.queries(), E.oracle_sql()

@@ -24,7 +24,7 @@ def test_clean_ads_summary_tiny(raw_ads_tiny):
 
 def test_clean_experiment_drops_and_flags(spark):
     from clickwell.schemas import EXPERIMENT_RAW_TEXT
-    from conftest import tiny_experiment_rows
+    from tiny_inputs import tiny_experiment_rows
     raw = spark.createDataFrame(tiny_experiment_rows(dirty=True), EXPERIMENT_RAW_TEXT)
     out = clean.clean_experiment(raw).collect()
     assert len(out) == 4
@@ -94,7 +94,7 @@ def test_required_values_are_checked_whatever_is_read(spark):
 
     from clickwell.operators.experiment import arm_metrics
     from clickwell.schemas import EXPERIMENT_RAW_TEXT
-    from conftest import tiny_experiment_rows
+    from tiny_inputs import tiny_experiment_rows
     rows = [list(r) for r in tiny_experiment_rows()]
     rows[1][0] = None
     with pytest.raises(Exception, match="required column recency"):
@@ -106,7 +106,7 @@ def test_required_values_are_checked_whatever_is_read(spark):
 
 def test_not_a_number_is_not_money(spark):
     from clickwell.schemas import EXPERIMENT_RAW_TEXT
-    from conftest import tiny_experiment_rows
+    from tiny_inputs import tiny_experiment_rows
     rows = [list(r) for r in tiny_experiment_rows()]
     rows[0][-1] = "NAN"
     got = clean.clean_experiment(spark.createDataFrame([tuple(r) for r in rows], EXPERIMENT_RAW_TEXT))

@@ -4,7 +4,7 @@ import os
 from clickwell.plans.pipeline import run_all
 from clickwell.schemas import TABLES
 from clickwell.sources.readers import read_ads_csv, read_experiment_csv
-from conftest import ADS_HEADER, EXP_HEADER, tiny_ads_rows, tiny_experiment_rows
+from tiny_inputs import ADS_HEADER, EXP_HEADER, tiny_ads_rows, tiny_experiment_rows
 
 
 def _csv(path, header, rows):

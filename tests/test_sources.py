@@ -5,7 +5,7 @@ import pytest
 
 from clickwell.schemas import ADS_RAW_TEXT, MART_CAMPAIGN_KPIS
 from clickwell.sources import readers, sinks
-from conftest import ADS_HEADER, tiny_ads_rows
+from tiny_inputs import ADS_HEADER, tiny_ads_rows
 
 
 def _write_csv(path, header, rows, gz=False):
