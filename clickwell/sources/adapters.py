@@ -9,7 +9,10 @@
 * ``raw_experiment``: one row per ``customer``; the arm comes from the customer key,
   the outcome (visit / conversion / spend) from that customer's orders.
 
-Both are projections of the whole tables, so their work grows with the data: the
+* ``touches`` and ``orders_on_log``: the events as touches of a user, and the orders placed on
+  the log's month, ten customers to a user of the log.
+
+The first two are projections of the whole tables, so their work grows with the data: the
 ads adapter is a narrow map over ``events``; the experiment adapter pre-aggregates
 ``orders`` to customer grain (partial aggregation happens map-side, so a customer
 holding a third of all orders is reduced before the shuffle) and then left-joins it
@@ -130,3 +133,25 @@ def raw_experiment(spark: SparkSession, sf_dir: str, variant: str = "plain") ->
                   f"ELSE CAST(coalesce(spend_total, {zero}) AS STRING) END"),
     }
     return j.selectExpr(*[f"{exprs[c]} AS {c}" for c in EXPERIMENT_RAW_COLUMNS])
+
+
+def touches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, user_id, ts, event_type, value): the whole event log."""
+    return _table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
+
+
+def orders_on_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(order_id, user_id, order_ts, amount): every order, its date folded into the thirty days
+    of the log and its second of the day taken from its key."""
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id", "o_custkey div 10 AS user_id",
+        "dateadd(SECOND, CAST(pmod(o_orderkey * 7919, 86400) AS INT), dateadd(DAY, CAST(pmod(datediff(o_orderdate, DATE '1995-01-01'), 30) AS INT), "
+        "TIMESTAMP_NTZ '2024-01-01 00:00:00')) AS order_ts", "o_totalprice AS amount")
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_id, ts, kind, id, amount): clicks and orders as rows of one stream."""
+    clicks = touches(spark, sf_dir).filter("event_type = 'click'").selectExpr(
+        "user_id", "cast(ts as timestamp) as ts", "'click' as kind", "event_id as id", "cast(null as double) as amount")
+    return clicks.unionByName(orders_on_log(spark, sf_dir).selectExpr(
+        "user_id", "cast(order_ts as timestamp) as ts", "'order' as kind", "order_id as id", "amount"))
