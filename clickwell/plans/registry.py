@@ -24,6 +24,6 @@ def register(name: str, sql: str | None):
 
 def load_all() -> None:
     """Import the modules that register queries (idempotent)."""
-    from . import (queries_clean, queries_decide, queries_experiment, queries_forecast,  # noqa: F401
+    from . import (queries_clean, queries_decide, queries_experiment, queries_explore, queries_forecast,  # noqa: F401
                    queries_kpi, queries_profile, queries_quality, queries_stream, queries_tables,
                    queries_time)

@@ -155,3 +155,16 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id", "cast(ts as timestamp) as ts", "'click' as kind", "event_id as id", "cast(null as double) as amount")
     return clicks.unionByName(orders_on_log(spark, sf_dir).selectExpr(
         "user_id", "cast(order_ts as timestamp) as ts", "'order' as kind", "order_id as id", "amount"))
+
+
+def event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, props): the events' properties; a deterministic share is nested, holds other
+    types, is cut short (malformed), is not an object, or is null."""
+    return _table(spark, sf_dir, "events").selectExpr("event_id", """CASE
+        WHEN pmod(event_id, 17) = 3 THEN CAST(NULL AS STRING)
+        WHEN pmod(event_id, 13) = 2 THEN substring(props, 1, length(props) - 1)
+        WHEN pmod(event_id, 19) = 4 THEN concat('[', event_id % 5, ', "x"]')
+        WHEN pmod(event_id, 23) = 5 THEN '"only text"'
+        WHEN pmod(event_id, 11) = 1 THEN concat('{"k": ', event_id % 100, ', "geo": {"country": "c', event_id % 7,
+             '", "city": null, "at": {"x": ', event_id % 3, '}}, "tags": ["a', event_id % 4, '", "b"], "ok": true, "score": 1.5}')
+        ELSE props END AS props""")
