@@ -49,6 +49,9 @@ def _sql_list(values) -> str:
 _NA_SQL = _sql_list(NA_TOKENS)
 _UNKNOWN_SQL = _sql_list(UNKNOWN_STRINGS)
 _SPACE_SQL = sql_str(WHITESPACE)
+# first code points of unknown values in either case, of white space, and 0 of empty text
+_UNKNOWN_FIRST_SQL = ", ".join(str(x) for x in sorted(
+    {0, *map(ord, WHITESPACE)} | {ord(v) for u in UNKNOWN_STRINGS if u for v in (u[0], u[0].upper())}))
 
 
 def safe_ratio(numerator: str | Column, denominator: str | Column) -> Column:
@@ -72,14 +75,19 @@ def strip(c: str | Column) -> Column:
 
 def lenient_double(c: str | Column) -> Column:
     """Parse decimal text as a number; anything else -> null (never raises, never NaN or
-    infinite).  A bare cast would also take ``1d``, ``0x1p0`` and ``NAN``."""
-    text = strip(c)
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    infinite).  A bare cast would also take ``1d``, ``0x1p0`` and ``NAN``.  Plain whole numbers,
+    which are most of a log, are told by the text they are written back as; only the rest is
+    trimmed and matched."""
+    whole, text = col(c).try_cast("bigint"), strip(c)
+    return F.when(whole.cast("string") == col(c), whole.cast("double")).when(
+        text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def lenient_int(c: str | Column, kind: str = "int") -> Column:
-    """Number rounded half to even; unparseable or out of range -> null."""
-    return F.rint(lenient_double(c)).try_cast(kind)
+    """Number rounded half to even; unparseable or out of range -> null.  Plain whole numbers in
+    range are taken as they are."""
+    whole = col(c).try_cast(kind)
+    return F.when(whole.cast("string") == col(c), whole).otherwise(F.rint(lenient_double(c)).try_cast(kind))
 
 
 def is_binary(c: str | Column) -> Column:
@@ -88,9 +96,12 @@ def is_binary(c: str | Column) -> Column:
 
 
 def is_unknown_string(c: str | Column) -> Column:
+    """Null, or an unknown value once trimmed and lower-cased.  Only text that begins as such a
+    value or with white space is trimmed."""
     if isinstance(c, str):
         q = sql_ident(c)
-        return F.expr(f"({q} IS NULL OR lower(trim(BOTH {_SPACE_SQL} FROM {q})) IN ({_UNKNOWN_SQL}))")
+        return F.expr(f"({q} IS NULL OR (ascii({q}) IN ({_UNKNOWN_FIRST_SQL}) AND "
+                      f"lower(trim(BOTH {_SPACE_SQL} FROM {q})) IN ({_UNKNOWN_SQL})))")
     return c.isNull() | F.lower(strip(c)).isin(UNKNOWN_STRINGS)
 
 

@@ -138,10 +138,14 @@ def _funnel_flags(df: DataFrame) -> DataFrame:
     })
 
 
+def empty_tables(tables: dict[str, DataFrame]) -> list[str]:
+    """Names of the tables without rows (a 1-row probe job each)."""
+    return [name for name, df in tables.items() if df.isEmpty()]
+
+
 def ensure_not_empty(tables: dict[str, DataFrame]) -> None:
-    """A11 / R2 guard: raise when required tables have no rows, naming all of them (a 1-row
-    probe job each)."""
-    empty = [name for name, df in tables.items() if df.isEmpty()]
+    """A11 / R2 guard: raise when required tables have no rows, naming all of them."""
+    empty = empty_tables(tables)
     if empty:
         raise RuntimeError(f"Empty tables: {', '.join(empty)}; build them before running this step.")
 

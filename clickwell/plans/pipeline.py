@@ -103,9 +103,15 @@ class Bundle:
 
     def staged(self, base: str) -> "Bundle":
         """A bundle that reads both staging tables back from ``base``, where one pass over
-        each raw input writes them and counts what the summaries and checks need."""
+        each raw input writes them and counts what the summaries and checks need.  The tables are
+        scratch, so they are not partitioned: that would shuffle the whole log."""
         return Bundle(self.raw_ads, self.raw_experiment, self.ranking, self.exp, self.holdout_hours,
-                      self.share, write_staging(self.raw_ads, self.raw_experiment, base))
+                      self.share, write_staging(self.raw_ads, self.raw_experiment, base, partition_by=()))
+
+    def with_tables(self, **tables: DataFrame) -> "Bundle":
+        """A bundle with other tables in place of these; what has been built so far is kept."""
+        return Bundle(self.raw_ads, self.raw_experiment, self.ranking, self.exp, self.holdout_hours,
+                      self.share, {**self._cache, **tables})
 
     def prefetch(self, *names: str) -> "Bundle":
         """Build the named tables concurrently (their shared writes are independent
@@ -147,7 +153,8 @@ def build(raw_ads: DataFrame, raw_experiment: DataFrame,
     return Bundle(raw_ads, raw_experiment, ranking, exp, holdout_hours, share)
 
 
-def write_staging(raw_ads: DataFrame, raw_experiment: DataFrame, base: str) -> dict[str, DataFrame]:
+def write_staging(raw_ads: DataFrame, raw_experiment: DataFrame, base: str,
+                  partition_by: tuple[str, ...] = ("event_date",)) -> dict[str, DataFrame]:
     """Full refresh of both staging tables from one pass over each raw input.  The raw row
     counts and the cleaning counters are observed on the writes.  Returns the tables read
     back, the one-row counts and the cleaning summaries."""
@@ -156,7 +163,7 @@ def write_staging(raw_ads: DataFrame, raw_experiment: DataFrame, base: str) -> d
     count = F.count(F.lit(1)).alias("n")
     ads, ads_obs = clean.clean_ads_observed(raw_ads.observe(seen["raw_ads"], count))
     exp, exp_obs = clean.clean_experiment_observed(raw_experiment.observe(seen["raw_experiment"], count))
-    _parallel(lambda: sinks.write_table(ads, f"{base}/stg_ad_events", partition_by=("event_date",)),
+    _parallel(lambda: sinks.write_table(ads, f"{base}/stg_ad_events", partition_by=partition_by),
               lambda: sinks.write_table(exp, f"{base}/stg_email_experiment"))
     back = lambda name: spark.read.schema(TABLES[name][1]).parquet(f"{base}/{name}")
     stg_ads = back("stg_ad_events")
@@ -198,12 +205,12 @@ def materialize(bundle: Bundle, warehouse: str, ranking: RankingConfig | None =
                   overrides=overrides)
 
 
-def checks_of(b: Bundle) -> DataFrame:
+def checks_of(b: Bundle, pending_marts: dict[str, DataFrame] | None = None) -> DataFrame:
     return quality.validation_checks(
         raw_ads_rows=b.raw_ads_rows, raw_experiment_rows=b.raw_experiment_rows, stg_ads=b.stg_ads,
         stg_experiment=b.stg_experiment, daily=b.daily, hourly=b.hourly, segments=b.segments,
         ab=b.ab, forecast_inputs=b.forecast_inputs, forecast_results=b.forecast_results,
-        ads_summary=b.ads_summary, experiment_summary=b.experiment_summary)
+        ads_summary=b.ads_summary, experiment_summary=b.experiment_summary, pending_marts=pending_marts)
 
 
 def steps_of(b: Bundle, recs: DataFrame, checks: DataFrame, exported: DataFrame | None = None) -> DataFrame:

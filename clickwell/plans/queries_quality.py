@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
+from ..operators.kpi import empty_tables
+from ..schemas import TABLES
 from ..config import RankingConfig
 from ..session import new_folder, write_shared
 from ..sources.adapters import raw_ads, raw_experiment
-from .pipeline import build, checks_of, export_all, lock_metrics_of, steps_of
+from .pipeline import build, checks_of, export_all, lock_metrics_of, run_all, steps_of
 from .oracle import contrast, ratio, with_ctes
 from .queries_decide import DECIDE_CTES
 from .queries_forecast import HOLDOUT
@@ -247,14 +251,112 @@ def lock_drift(spark, sf):
     return Q.lock_drift(now, locked.unionByName(retired))
 
 
-@register("validation_failing", _qsql("SELECT * FROM checks").replace(
+def _failing(sql: str, *changes: tuple[str, str]) -> str:
+    """The oracle with parts of its measures changed, each of which must be there once."""
+    for old, new in changes:
+        if sql.count(old) != 1:
+            raise ValueError(f"{old!r} is there {sql.count(old)} times")
+        sql = sql.replace(old, new)
+    return sql
+
+
+@register("validation_failing", _failing(_qsql("SELECT * FROM checks"), (
     "avg(CAST(click AS DOUBLE)) AS stg_ads_ctr FROM stg_ads) s1",
-    "avg(CAST(click AS DOUBLE)) AS stg_ads_ctr FROM stg_ads WHERE CAST(id AS BIGINT) % 997 != 3) s1"))
+    "avg(CAST(click AS DOUBLE)) AS stg_ads_ctr FROM stg_ads WHERE CAST(id AS BIGINT) % 997 != 3) s1")))
 def validation_failing(spark, sf):
     """The checks over a staging table that has lost rows: the row count fails."""
     b = bundle(spark, sf)
-    b._cache["stg_ad_events"] = b.stg_ads.filter("cast(id as bigint) % 997 <> 3")
-    return checks_of(b).drop("message")
+    return checks_of(b.with_tables(stg_ad_events=b.stg_ads.filter("cast(id as bigint) % 997 <> 3"))).drop("message")
+
+
+@register("validation_failing_values", _failing(
+    _qsql("SELECT * FROM checks"),
+    ("avg(CAST(click AS DOUBLE)) AS stg_ads_ctr FROM stg_ads) s1",
+     "avg(CASE WHEN CAST(id AS BIGINT) % 7 = 0 THEN 1.0 ELSE CAST(click AS DOUBLE) END) AS stg_ads_ctr FROM stg_ads) s1"),
+    ("FROM stg_exp) s2", "FROM stg_exp WHERE treatment_group <> 'mens_email') s2"),
+    ("FROM stg_exp GROUP BY treatment_group) g) AS stg_groups",
+     "FROM stg_exp WHERE treatment_group <> 'mens_email' GROUP BY treatment_group) g) AS stg_groups"),
+    ("coalesce(sum(clicks), 0) AS daily_clicks", "coalesce(sum(2 * clicks), 0) AS daily_clicks"),
+    ("AS hourly_clicks FROM hourly) h", "AS hourly_clicks FROM hourly WHERE event_hour <> 5) h"),
+    ("coalesce(sum(impressions), 0) AS seg_impr", "coalesce(sum(impressions + 1), 0) AS seg_impr"),
+    ("coalesce(sum(click_share), 0.0) AS seg_share", "coalesce(sum(click_share / 2), 0.0) AS seg_share"),
+    ("'=' || CAST(recipients AS VARCHAR) AS s FROM abp", "'=' || CAST(recipients + 1 AS VARCHAR) AS s FROM abp"),
+    ("coalesce(sum(recipients), 0) AS ab_recipients", "coalesce(sum(recipients + 1), 0) AS ab_recipients"),
+    ("coalesce(sum(conversions), 0) AS ab_conversions", "coalesce(sum(2 * conversions), 0) AS ab_conversions"),
+    ("(z_score IS NOT NULL OR", "((z_score IS NOT NULL AND false) OR"),
+    ("sum(CASE WHEN mae IS NOT NULL AND", "sum(CASE WHEN false AND")))
+def validation_failing_values(spark, sf):
+    """The checks over tables with wrong values: clicks added, an arm lost, an hour lost, shares
+    halved, arm counts shifted, p-values and forecast errors missing."""
+    b = bundle(spark, sf)
+    hours = b.hourly.filter("event_hour <> 5")
+    plus = lambda df, c: df.withColumn(c, F.col(c) + 1)
+    return checks_of(b.with_tables(
+        stg_ad_events=b.stg_ads.withColumn("click", F.expr("if(cast(id as bigint) % 7 = 0, 1, click)")),
+        stg_email_experiment=b.stg_experiment.filter("treatment_group <> 'mens_email'"),
+        mart_campaign_kpis=b.daily.withColumn("clicks", F.col("clicks") * 2),
+        mart_ctr_trends=hours, mart_forecast_inputs=hours,
+        mart_device_app_performance=plus(b.segments, "impressions").withColumn("click_share", F.col("click_share") / 2),
+        mart_ab_test_results=plus(b.ab, "recipients").withColumns({"conversions": F.col("conversions") * 2,
+                                                                  "p_value": F.lit(None).cast("double")}),
+        mart_forecast_results=b.forecast_results.withColumn("mae", F.lit(None).cast("double")))).drop("message")
+
+
+@register("validation_failing_empty", _failing(
+    _qsql("SELECT * FROM checks"),
+    ("AS daily_clicks FROM daily) d", "AS daily_clicks FROM daily WHERE false) d"),
+    ("AS hourly_clicks FROM hourly) h", "AS hourly_clicks FROM hourly WHERE false) h"),
+    ("AS seg_share FROM segments) sg", "AS seg_share FROM segments WHERE false) sg"),
+    ("FROM results) fr", "FROM results WHERE false) fr")))
+def validation_failing_empty(spark, sf):
+    """The checks over marts without rows."""
+    b = bundle(spark, sf)
+    none = lambda df: df.filter("false")
+    return checks_of(b.with_tables(
+        mart_campaign_kpis=none(b.daily), mart_ctr_trends=none(b.hourly), mart_forecast_inputs=none(b.hourly),
+        mart_device_app_performance=none(b.segments), mart_forecast_results=none(b.forecast_results))).drop("message")
+
+
+@register("validation_pending", _qsql("""
+SELECT check_order, check_name, status, expected, actual FROM checks
+UNION ALL SELECT 25, 'mart_planned_empty', 'pass', '0', '0'
+UNION ALL SELECT 25, 'mart_daily_copy_empty', CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END, '0', CAST(count(*) AS VARCHAR) FROM daily"""))
+def validation_pending(spark, sf):
+    """V9: two marts that are not built yet must be empty; one of them is not."""
+    b = bundle(spark, sf)
+    return checks_of(b, {"mart_planned": b.daily.filter("false"), "mart_daily_copy": b.daily}).drop("message")
+
+
+@register("guard_empty", with_ctes(["raw_ads", "stg_exp"], """
+SELECT name AS table_name FROM (
+  SELECT unnest(['stg_ad_events', 'mart_campaign_kpis', 'mart_ctr_trends', 'mart_device_app_performance',
+                 'mart_forecast_inputs', 'mart_forecast_results']) AS name,
+         (SELECT count(*) FROM raw_ads WHERE NOT regexp_matches(click, '^9')) AS n
+  UNION ALL SELECT unnest(['stg_email_experiment', 'mart_ab_test_results']), (SELECT count(*) FROM stg_exp))
+WHERE n = 0""").replace("NOT regexp_matches(click, '^9')", "replace(coalesce(click, ''), coalesce(click, ''), '9') IN ('0', '1')"))
+def guard_empty(spark, sf):
+    """The tables that the guard names when no click of the log is valid."""
+    bad = raw_ads(spark, sf).withColumn("click", F.lit("9"))
+    b = build(bad, raw_experiment(spark, sf, "contrast"), RANKING, holdout_hours=HOLDOUT, share=True).staged(new_folder(spark, "staging"))
+    names = empty_tables({name: b.table(name) for name, (layer, _) in TABLES.items() if layer != "raw"})
+    return spark.createDataFrame([(n,) for n in names], "table_name string")
+
+
+@register("full_run", _qsql("\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {src}" for t, src in (
+        ("raw_avazu_ads", "raw_ads"), ("raw_hillstrom_email", "raw_experiment"), ("stg_ad_events", "stg_ads"),
+        ("stg_email_experiment", "stg_exp"), ("mart_campaign_kpis", "daily"), ("mart_ctr_trends", "hourly"),
+        ("mart_device_app_performance", "segments"), ("mart_ab_test_results", "abp"), ("mart_forecast_inputs", "hourly"),
+        ("mart_forecast_results", "results"), ("recommendations", "recs"), ("validation_checks", "checks"),
+        ("metric_lock", f"({LOCK_SQL})"))) + """
+UNION ALL SELECT 'manifest', 6"""))
+def full_run(spark, sf):
+    """A12 and all other steps: the whole batch run with exports and lock; rows of every table."""
+    zones = (new_folder(spark, "marts"), new_folder(spark, "exports"))
+    out = run_all(raw_ads(spark, sf), raw_experiment(spark, sf, "contrast"), new_folder(spark, "warehouse"), zones, RANKING,
+                  holdout_hours=HOLDOUT)
+    rows = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name, df in out.items()]
+    return reduce(lambda a, b: a.unionByName(b), rows)
 
 
 @register("run_steps", _qsql("""

@@ -3,12 +3,14 @@ checkpoint folder and reads back what it wrote (S1-S16, C25)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import clean
 from ..schemas import ADS_RAW_COLUMNS, EXPERIMENT_RAW_TEXT, RAW_ADS, RAW_EXPERIMENT, STG_ADS, TABLES
 from ..session import new_folder, write_shared
-from ..sources import readers, sinks
+from ..sources import readers, sinks, versions
 from ..sources.adapters import raw_ads, raw_experiment
 from .oracle import with_ctes
 from .pipeline import EXPORTS, build, export_all, materialize
@@ -81,6 +83,29 @@ def import_csv(spark, sf):
     return readers.import_csv(spark, source, new_folder(spark, "import"), schema=EXPERIMENT_RAW_TEXT)
 
 
+@register("gzip_sample", with_ctes(["raw_ads"], """
+SELECT least(500, count(*)) AS n_rows, least(500, count(*)) AS n_in_source, CAST(0 AS BIGINT) AS n_header FROM raw_ads"""))
+def gzip_sample(spark, sf):
+    """500 rows of gzip files with header lines; all are rows of the source, none a header."""
+    rows = raw_ads(spark, sf)
+    path = _write_csv(rows, new_folder(spark, "gzip"), header=True, compression="gzip")
+    got = readers.read_gzip_sample(spark, path, 500, rows.schema)
+    known = rows.select(F.col("id").alias("known")).distinct()
+    return got.join(known, F.col("id") == F.col("known"), "left").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("known").alias("n_in_source"), F.count_if(F.col("id") == "id").alias("n_header"))
+
+
+@register("import_skip_force", with_ctes(["raw_experiment"], """
+SELECT unnest([1, 2, 3]) AS step, unnest([least(100, count(*)), least(100, count(*)), count(*)]) AS row_count FROM raw_experiment"""))
+def import_skip_force(spark, sf):
+    """The first 100 rows; the whole file, skipped as the target exists; the whole file by force."""
+    rows = raw_experiment(spark, sf)
+    source, target = _write_csv(rows, new_folder(spark, "csv")), new_folder(spark, "import")
+    counts = [readers.import_csv(spark, source, target, rows=n, schema=EXPERIMENT_RAW_TEXT, force=force).count()
+              for n, force in ((100, False), (None, False), (None, True))]
+    return spark.createDataFrame(list(enumerate(counts, 1)), "step int, row_count bigint")
+
+
 # --- S5, S6, S10: staging, full refresh -----------------------------------------------------
 
 @register("full_refresh", with_ctes(["stg_ads"], "SELECT * FROM stg_ads WHERE day(event_date) % 2 = 1"))
@@ -176,6 +201,74 @@ def export_read_back(spark, sf):
     return back["segments"].select(F.lit("segment_performance.csv").alias("file"), "*")
 
 
+@register("export_without_stamp", with_ctes(["daily"], "SELECT * FROM daily"))
+def export_without_stamp(spark, sf):
+    """The daily mart as it stands in the warehouse, stamped, exported and read back with the
+    columns that the file has: the stamp is left out."""
+    b = materialize(build(raw_ads(spark, sf), raw_experiment(spark, sf, "contrast"), RANKING, holdout_hours=HOLDOUT),
+                    folder := new_folder(spark, "warehouse"))
+    stamped = spark.read.parquet(f"{folder}/mart_campaign_kpis")
+    assert "created_at" in stamped.columns and "created_at" not in b.daily.columns
+    path = new_folder(spark, "exports")
+    sinks.export_mart(stamped, "campaign_kpis.csv", (path,), ["event_date"])
+    text = spark.read.option("header", True).csv(f"{path}/campaign_kpis.csv")
+    kinds = {f.name: f.dataType for f in TABLES["mart_campaign_kpis"][1].fields}
+    return text.select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in text.columns])
+
+
+# --- atomic publish ---------------------------------------------------------------------------
+
+def _published(spark, sf):
+    """A warehouse with three loads: staging of the even days, a load that fails in its third table,
+    staging of all days; the audits of the loads are returned too."""
+    warehouse, base = new_folder(spark, "published"), new_folder(spark, "sources")
+    stg, exp = clean.clean_ads(raw_ads(spark, sf)), clean.clean_experiment(raw_experiment(spark, sf, "contrast"))
+    exp.write.parquet(f"{base}/stg_exp")
+    stg.write.parquet(f"{base}/all")
+    stg.filter(F.day("event_date") % 2 == 0).write.parquet(f"{base}/even")
+    bad = _write_csv(raw_ads(spark, sf), f"{base}/raw")      # has clicks that are not numbers
+    staging = lambda name: lambda s, p: readers.read_staging(s, p, TABLES[name][1])
+    target = lambda name, part: sinks.LoadTarget(name, "staging", f"{base}/{part}", "parquet", staging(name))
+    raw = sinks.LoadTarget("raw_avazu_ads", "raw", bad, "csv", readers.load_raw_ads)
+    experiment = target("stg_email_experiment", "stg_exp")
+    loads = ((target("stg_ad_events", "even"), experiment), (target("stg_ad_events", "all"), experiment, raw),
+             (target("stg_ad_events", "all"),))
+    return warehouse, [versions.load_data(spark, load, warehouse) for load in loads]
+
+
+@register("publish_versions", with_ctes(["stg_ads", "stg_exp"], """
+SELECT 1 AS version, 'stg_ad_events' AS table_name, count(*) AS row_count FROM stg_ads WHERE day(event_date) % 2 = 0
+UNION ALL SELECT 2, 'stg_ad_events', count(*) FROM stg_ads
+UNION ALL SELECT unnest([1, 2]), 'stg_email_experiment', count(*) FROM stg_exp"""))
+def publish_versions(spark, sf):
+    """Rows of every table of every version that was published: the load that failed published none."""
+    warehouse, _ = _published(spark, sf)
+    rows = [versions.read_table(spark, warehouse, t, v.number).agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(v.number).alias("version"), F.lit(t).alias("table_name"), "row_count")
+        for v in versions.history(spark, warehouse) for t in sorted(v.tables)]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
+@register("publish_audit", with_ctes(["stg_ads", "stg_exp"], """
+SELECT 1 AS load, 'stg_ad_events' AS table_name, count(*) AS row_count, 'success' AS status FROM stg_ads WHERE day(event_date) % 2 = 0
+UNION ALL SELECT unnest([2, 3]), 'stg_ad_events', count(*), 'success' FROM stg_ads
+UNION ALL SELECT unnest([1, 2]), 'stg_email_experiment', count(*), 'success' FROM stg_exp
+UNION ALL SELECT 2, 'raw_avazu_ads', NULL, 'failed'"""))
+def publish_audit(spark, sf):
+    """The audits of the three loads; the second fails in its third table."""
+    _, done = _published(spark, sf)
+    return reduce(lambda a, b: a.unionByName(b), [
+        audit.select(F.lit(k).alias("load"), "table_name", "row_count", "status") for k, (audit, _) in enumerate(done, 1)])
+
+
+@register("publish_rollback", with_ctes(["stg_ads"], "SELECT * FROM stg_ads WHERE day(event_date) % 2 = 0"))
+def publish_rollback(spark, sf):
+    """Staging as read after the first version is published again."""
+    warehouse, _ = _published(spark, sf)
+    versions.rollback(spark, warehouse, 1)
+    return versions.read_table(spark, warehouse, "stg_ad_events")
+
+
 # --- C25, S17: summary store ----------------------------------------------------------------
 
 _KEPT_ADS = "_valid_click AND _valid_hour"
