@@ -275,4 +275,4 @@ chain(word, now) AS (
 SELECT f.word, f.form, chain.now AS root, f.n, f.n_near, f.form_n
 FROM f JOIN chain ON chain.word = f.word JOIN f last ON last.word = chain.now AND last.form IS NULL""")
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spelling.variants(spelling.vocabulary(spelling.slipped_words(table(spark, sf_dir, "documents"))), lead=2)
+    return spelling.variants(spelling.vocabulary(spelling.word_counts(table(spark, sf_dir, "documents"))), lead=2)

@@ -18,8 +18,9 @@ hash), which leaves few vectors to a signature: 49 at most among the 207,000 of
 documents.  The dealing changes how many candidates there are, never which pairs are found.
 Signatures are hashes, so a collision adds a candidate and no more.
 
-Counting is a hash aggregation with a map-side part: a word that fills a third of all
-documents is one row a task.  Roots are found by pointer jumping over the words that have
+Words are counted in tasks, slice by slice of a few MB of text, and the counts are added up by
+a hash aggregation with a map-side part: a word that fills a third of all documents is one
+row a task.  Roots are found by pointer jumping over the words that have
 a form; a form has at least ``lead`` times the count of its word, so chains are short
 and the joins are few.
 
@@ -31,17 +32,20 @@ in code-point order; no words give an empty table; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
+from zlib import crc32
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import write_shared
-from .common import let
+from .common import lower_ascii, slices
 
-RUN = "[A-Za-z\\u00C0-\\u00FF]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+LETTER = "[A-Za-z\u00C0-\u00FF]"
 #: parts of the element space; more parts make signatures finer and more numerous
 PARTS = 8
 #: elements dealt by their frequency; the rest are dealt by hash
@@ -49,32 +53,39 @@ DEALT = 1024
 _MASK = (1 << 64) - 1
 
 
-def runs(text: Column) -> Column:
-    """The runs of letters of a text, A-Z lower-cased."""
-    lowered = lambda w: F.when(F.octet_length(w) == F.length(w), F.lower(w)).otherwise(
-        F.translate(w, UPPER, LOWER))
-    return F.transform(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)), lowered)
+def _counts(min_length: int, every: int):
+    long_runs = re.compile(f"{LETTER}{{{min_length},}}")
 
-
-def with_slips(doc_id: Column, run: Column, every: int = 97) -> Column:
-    """The run, less one code point where ``every`` divides the checksum of id and run."""
-    def slip(h: Column) -> Column:
-        at = (h % F.length(run)).cast("int")
-        return F.when(h % every == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))
-                      ).otherwise(run)
-    return let(F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), run)), slip)
-
-
-def slipped_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = 5) -> DataFrame:
-    """One row (word) per run of at least ``min_length`` code points, slips applied."""
-    each = docs.select(F.col(id_col).alias("id"), F.explode(
-        F.filter(runs(F.col(text_col)), lambda w: F.length(w) >= min_length)).alias("run"))
-    return each.select(with_slips(F.col("id"), F.col("run")).alias("word"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                seen: dict[str, int] = {}
+                for doc_id, text in zip(part.column("id").to_pylist(), lower_ascii(part.column("text")).to_pylist()):
+                    start = crc32(f"{doc_id}:".encode())
+                    for word, n in Counter(long_runs.findall(text)).items():
+                        h = crc32(word.encode(), start)
+                        if h % every == 0:
+                            at = h % len(word)
+                            word = word[:at] + word[at + 1:]
+                        seen[word] = seen.get(word, 0) + n
+                yield pa.RecordBatch.from_pydict({"word": list(seen), "n": list(seen.values())}, schema=pa.schema(
+                    [("word", pa.string()), ("n", pa.int64())]))
+
+    return run
+
+
+def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = 5, every: int = 97) -> DataFrame:
+    """(word, n): the runs of at least ``min_length`` letters of all texts, A-Z lower-cased, less one
+    code point where ``every`` divides the checksum of id and run.  Counts of a few MB of text
+    at a time; a word has a row for each, to be added up."""
+    return docs.filter(F.col(f"`{text_col}`").isNotNull()).select(
+        F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(
+        _counts(min_length, every), "word string, n long")
 
 
 def vocabulary(words: DataFrame, min_length: int = 5, min_count: int = 3) -> DataFrame:
-    """(word, n) of the rows of ``words`` (column ``word``) that are long and common enough."""
-    return (words.filter(F.length("word") >= min_length).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    """(word, n) of the words (word, n) that are long and common enough."""
+    return (words.filter(F.length("word") >= min_length).groupBy("word").agg(F.sum("n").alias("n"))
             .filter(F.col("n") >= min_count))
 
 
