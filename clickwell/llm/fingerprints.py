@@ -153,3 +153,21 @@ def within_radius(prints: DataFrame, radius: int = 3, blocks: int = 6, id_col: s
     dist = distance(F.col("hi"), F.col("lo"), F.col("hi_b"), F.col("lo_b"))
     return (keyed.join(other, ["t", "kh", "kl"]).filter("id < b").withColumn("dist", dist)
             .filter(F.col("dist") <= radius).select(F.col("id").alias("a"), "b", "dist").distinct())
+
+
+def neighbours(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, fingerprint, class_id (smallest id of an equal fingerprint) and n_links (other
+    fingerprints within ``radius`` bits) per row; null ids are in no class and have no links.  Rows
+    that repeat a text have one fingerprint, which is voted on once."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select(
+        "id", F.sha2(F.col("text").cast("binary"), 256).alias("digest"), "text")
+    prints = write_shared(simhash(rows.select("digest", "text").dropDuplicates(["digest"]), ["digest"]))
+    placed = write_shared(rows.select("id", "digest").join(prints, "digest").select("id", "hi", "lo"))
+    pairs = within_radius(placed, radius)
+    links = (pairs.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links")))
+    classes = placed.filter("id is not null").groupBy("hi", "lo").agg(F.min("id").alias("class_id")).join(links, "class_id", "left")
+    keyed = placed.join(classes, ["hi", "lo"], "left")
+    member = F.col("id").isNotNull()
+    return keyed.select(F.col("id").alias(id_col), as_hex(F.col("hi"), F.col("lo")).alias("fingerprint"),
+                        F.when(member, F.col("class_id")).alias("class_id"),
+                        F.when(member, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"))

@@ -94,7 +94,8 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         near("edited_hi", "edited_lo").alias("near_edited"), near("next_hi", "next_lo").alias("near_next"))
 
 
-@query("op6_quality_rules", rf"""
+#: measurements of every document, up to the table m
+MEASURES_SQL = rf"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {WORD}) AS ws,
          list_filter(split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, {WORD})) AS ls FROM documents),
@@ -110,7 +111,10 @@ m AS (
          len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
          length(regexp_replace(t, '[^\p{{L}}]+', '', 'g')) AS n_letters,
          length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS n_upper
-  FROM w LEFT JOIN repeated r USING (doc_id)),
+  FROM w LEFT JOIN repeated r USING (doc_id))"""
+
+
+@query("op6_quality_rules", f"""{MEASURES_SQL},
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
        CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
@@ -126,6 +130,30 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~quality.passes(F.col("failures"), "base-1")).alias("base_failed"), "kept")
 
 
+@query("quality_ablations", f"""{MEASURES_SQL},
+f AS (
+  SELECT CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+         + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
+         + CASE WHEN word_chars < 2 * n_words OR word_chars > 15 * n_words THEN 16 ELSE 0 END
+         + CASE WHEN 2 * n_letters < word_chars THEN 32 ELSE 0 END + CASE WHEN 2 * n_upper > n_letters THEN 64 ELSE 0 END AS bits
+  FROM m),
+rules AS (SELECT unnest(['few_words', 'repeated_windows', 'symbols', 'repeated_lines', 'word_length', 'few_letters', 'shouting']) AS rule,
+                 unnest([1, 2, 4, 8, 16, 32, 64]) AS bit)
+SELECT rule, count(*) AS n_docs, count(*) FILTER (bits & bit <> 0) AS n_failed, count(*) FILTER (bits = bit) AS n_failed_alone,
+       count(*) FILTER (bits & (127 - bit) = 0) AS n_kept_without
+FROM rules, f GROUP BY rule""")
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per rule of the web policy: what it rejects, alone too, and what the policy keeps without it."""
+    return quality.ablations(quality.ledger(table(spark, sf_dir, "documents")), "web-1")
+
+
+@query("simhash_neighbours")
+def simhash_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class of its fingerprint (smallest id) and how many other
+    fingerprints lie within three bits."""
+    return fingerprints.neighbours(table(spark, sf_dir, "documents"), radius=3)
+
+
 @query("op4_best_fit_packing")
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickwell.llm import fingerprints
 from clickwell.llm.queries import QUERIES
-from helpers import awkward_rows, frame, prose
+from helpers import VOCAB, awkward_rows, frame, prose
 
 
 def test_edited_texts_and_neighbours(spark, scratch):
@@ -71,3 +71,37 @@ def test_all_pairs_within_the_radius(spark):
         want = {(min(i, j), max(i, j), (u ^ v).bit_count()) for (u, i), (v, j) in combinations(least.items(), 2)
                 if (u ^ v).bit_count() <= radius}
         assert got == want
+
+
+def test_neighbours_of_whole_texts(spark):
+    """Classes and links by comparing all pairs of fingerprints."""
+    rng = random.Random(9)
+    bases = [prose(rng, 400) for _ in range(8)]
+    texts = [b if k == 0 else b.replace(" ", "  ", k) if k == 1 else b + " " + rng.choice(VOCAB) * (k > 2) for b in bases for k in range(5)]
+    docs = frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)] + [(None, texts[0], None, None, None), (900, None, None, None, None)])
+    got = fingerprints.neighbours(docs, radius=3).collect()
+    assert len(got) == len(texts) + 2
+    prints = {r.doc_id: int(r.fingerprint, 16) for r in got if r.doc_id is not None}
+    classes = {}
+    for i in sorted(prints):
+        classes.setdefault(prints[i], i)
+    for r in got:
+        if r.doc_id is None:
+            assert r.class_id is None and r.n_links == 0
+        else:
+            p = prints[r.doc_id]
+            assert r.class_id == classes[p]
+            assert r.n_links == sum(0 < bin(p ^ q).count("1") <= 3 for q in classes)
+    assert sum(r.n_links > 0 for r in got) > 4
+    assert fingerprints.neighbours(frame(spark, [])).count() == 0
+
+
+def test_neighbours_query_equals_brute_force(spark):
+    got = QUERIES["simhash_neighbours"](spark, "/root/testdata/sf0.001").collect()
+    prints = {}
+    for r in sorted(got, key=lambda r: r.doc_id):
+        prints.setdefault(int(r.fingerprint, 16), r.doc_id)
+    for r in got:
+        p = int(r.fingerprint, 16)
+        assert r.class_id == prints[p]
+        assert r.n_links == sum(0 < bin(p ^ q).count("1") <= 3 for q in prints)
