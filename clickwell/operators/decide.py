@@ -38,10 +38,9 @@ _NUM = ("ctr", "impressions", "click_share", "pctr", "lift", "rel", "p", "inc",
         "mape")
 
 
+# --- fixed values that must equal the reference: evidence sentences ----------------
 def _evidence_text(kind, v: dict, alpha: float) -> str:
-    """Evidence sentence with Python number formatting (see ``functions.text``).
-
-    The sentence templates are fixed output values that must equal the reference."""
+    """Evidence sentence with Python number formatting (see ``functions.text``)."""
     def num(x):
         return float("nan") if x is None or x != x else float(x)
     if kind == "segment_scale":
@@ -64,6 +63,7 @@ def _evidence_text(kind, v: dict, alpha: float) -> str:
         return (f"Model {v['model']}: MAE={num(v['mae']):,.1f}, RMSE={num(v['rmse']):,.1f}, "
                 f"MAPE={num(v['mape']):.1f}%")
     return None
+# ----------------------------------------------------------------------------------
 
 
 def _evidence_udf(alpha: float):

@@ -150,6 +150,7 @@ def _stored(spark, sf):
     ]
 
 
+# --- fixed names of the contract ---------------------------------------------------------
 _LOADED = (("raw_avazu_ads", "raw", "csv", f"raw_ads WHERE {_STRICT}"),
            ("raw_hillstrom_email", "raw", "csv", f"raw_experiment WHERE {_EXP_OK}"),
            ("stg_ad_events", "staging", "parquet", "stg_ads"), ("stg_email_experiment", "staging", "parquet", "stg_exp"))
@@ -167,6 +168,7 @@ def load_audit(spark, sf):
 _SQL_TABLE = {"stg_ad_events": "stg_ads", "stg_email_experiment": "stg_exp", "mart_campaign_kpis": "daily",
               "mart_ctr_trends": "hourly", "mart_device_app_performance": "segments", "mart_ab_test_results": "abp",
               "mart_forecast_inputs": "hourly", "mart_forecast_results": "results", "recommendations_summary": "recs"}
+# -------------------------------------------------------------------------------------------
 _LAYERS = {t: layer for t, (layer, _) in TABLES.items() if layer != "raw"}
 
 

@@ -18,6 +18,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, dtype, True) for name, dtype in fields])
 
 
+# --- fixed values that must equal the reference: columns and types of every table ------
 # Raw ad log columns in file order (header spelling differs only in case: C1, C14..C21).
 ADS_RAW_COLUMNS = [
     "id", "click", "hour", "c1", "banner_pos", "site_id", "site_domain", "site_category",
@@ -47,7 +48,7 @@ RAW_EXPERIMENT = _struct(
     ("conversion", I), ("spend", D),
 )
 
-# --- fixed values that must equal the reference: monitored columns (output order)
+# Monitored columns, in output order.
 FLAG_COLUMNS = [
     "site_id", "site_domain", "site_category", "app_id", "app_domain", "app_category",
     "device_id", "device_model", "device_type",
@@ -103,3 +104,4 @@ TABLES = {
     "mart_forecast_inputs": ("mart", MART_FORECAST_INPUTS),
     "mart_forecast_results": ("mart", MART_FORECAST_RESULTS),
 }
+# -----------------------------------------------------------------------------------

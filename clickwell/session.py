@@ -14,6 +14,7 @@ import os
 import tempfile
 import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark import SparkConf
 from pyspark.sql import SparkSession
@@ -83,6 +84,32 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_SMALL: dict[str, tuple[int, str]] = {}     # application: writes under way, and the setting before them
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000):
+    """Arrow batches of at most ``rows`` rows for the jobs that run inside: whole texts go to the
+    Python workers, and Spark's default of 10,000 of them takes a hundred MB a task on both sides.  The
+    setting is put back when the last of several concurrent writes has ended."""
+    app = spark.sparkContext.applicationId
+    with _LOCK:
+        n, before = _SMALL.get(app, (0, spark.conf.get(_BATCH)))
+        _SMALL[app] = (n + 1, before)
+        if n == 0 and not 0 < int(before) <= rows:
+            spark.conf.set(_BATCH, str(rows))
+    try:
+        yield
+    finally:
+        with _LOCK:
+            n, before = _SMALL.pop(app)
+            if n > 1:
+                _SMALL[app] = (n - 1, before)
+            else:
+                spark.conf.set(_BATCH, before)
+
+
 def write_shared(df):
     """Cut lineage by writing ``df`` once as Parquet to a new folder under the shared
     checkpoint directory and reading it back.  One job (a reliable RDD checkpoint
@@ -90,7 +117,8 @@ def write_shared(df):
     loss and is columnar for the readers that follow."""
     spark = df.sparkSession
     path = new_folder(spark, "shared")
-    df.write.mode("error").parquet(path)
+    with small_batches(spark):
+        df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

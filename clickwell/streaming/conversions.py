@@ -3,9 +3,10 @@
 State per user: the clicks of the last ``within`` seconds and the orders that wait for the
 watermark.  An order waits until the watermark has passed its time, so clicks that arrive
 after it in any batch, but in time, still count; then it is emitted with the number of
-clicks in its window and the last of them.  Every arrival sets a timer, so the state of a
-user who comes no more is cleared too: clicks go once the watermark is more than the window
-past them, and a user without clicks or waiting orders leaves no state.
+clicks in its window and the last of them.  Each user has one timer, at the first waiting order or
+else where the last click leaves the window, so a batch costs one call per user it wakes, and the
+state of a user who comes no more is cleared too: a user without clicks in the window and waiting
+orders leaves no state.
 
 Spark drops what arrives behind the watermark (``delay``).  Orders within ``delay`` of the
 newest time wait in the state and are emitted when the stream goes on.  State and source
@@ -16,6 +17,7 @@ batches, and what is kept is bounded by the user's rows within window and delay.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -40,38 +42,54 @@ class CreditOrders(StatefulProcessor):
         self.handle = handle
         self.clicks = handle.getListState("clicks", "ts bigint, id bigint")
         self.waiting = handle.getListState("waiting", "ts bigint, id bigint, amount double")
+        self.timer = handle.getValueState("timer", "ms bigint")
+
+    def _wake(self, ms: int) -> None:
+        """Set the user's one timer to ``ms`` if that is earlier."""
+        now = self.timer.get()
+        if now is None or ms < now[0]:
+            if now is not None:
+                self.handle.deleteTimer(now[0])
+            self.handle.registerTimer(ms)
+            self.timer.update((ms,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        timers = set()
+        first_order, last_click = None, None
         for batch in rows:
             micros = batch["ts"].astype("datetime64[us]").astype("int64")
-            clicks = batch["kind"] == "click"
+            clicks, orders = batch["kind"] == "click", batch["kind"] == "order"
             if clicks.any():
                 self.clicks.appendList([(int(t), int(i)) for t, i in zip(micros[clicks], batch["id"][clicks])])
-            orders = batch["kind"] == "order"
+                last_click = max(last_click or 0, int(micros[clicks].max()))
             if orders.any():
                 self.waiting.appendList([(int(t), int(i), float(a)) for t, i, a in zip(
                     micros[orders], batch["id"][orders], batch["amount"][orders])])
-                timers |= {int(t) // 1000 + 1 for t in micros[orders]}
-            if clicks.any():
-                timers.add((int(micros[clicks].max()) + self.within) // 1000 + 1)
-        for t in timers:
-            self.handle.registerTimer(t)
+                first_order = min(first_order or int(micros[orders].min()), int(micros[orders].min()))
+        if first_order is not None:
+            self._wake(first_order // 1000 + 1)
+        elif last_click is not None and self.timer.get() is None:
+            self._wake((last_click + self.within) // 1000 + 1)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        mark = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        self.timer.clear()
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
         waiting = [tuple(x) for x in self.waiting.get()]
         due = sorted(x for x in waiting if x[0] < mark)
+        left = [x for x in waiting if x[0] >= mark]
         clicks = sorted(tuple(x) for x in self.clicks.get())
+        times = [c[0] for c in clicks]
         out = []
         for t, i, amount in due:
-            mine = [c for c in clicks if t - self.within <= c[0] <= t]
-            out.append((key[0], i, t, amount, len(mine), mine[-1][1] if mine else None))
-        left = [x for x in waiting if x[0] >= mark]
-        kept = [c for c in clicks if c[0] >= min([mark, *(x[0] for x in left)]) - self.within]
+            first, last = bisect_left(times, t - self.within), bisect_right(times, t)
+            out.append((key[0], i, t, amount, last - first, clicks[last - 1][1] if last > first else None))
+        kept = clicks[bisect_left(times, min([mark, *(x[0] for x in left)]) - self.within):]
         self._put(self.waiting, left, len(due) > 0)
         self._put(self.clicks, kept, len(kept) < len(clicks))
+        if left:
+            self._wake(min(x[0] for x in left) // 1000 + 1)
+        elif kept:
+            self._wake((kept[-1][0] + self.within) // 1000 + 1)
         if out:
             yield pd.DataFrame(out, columns=["user_id", "order_id", "ts_micros", "amount", "n_clicks", "last_click_id"]).astype(
                 {"last_click_id": "Int64"})

@@ -62,3 +62,16 @@ def test_decode_is_independent_of_session_time_zone(spark):
         assert (r.d, r.h) == (dt.date(2024, 3, 10), 2)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_small_batches_are_put_back(spark):
+    from clickwell.session import small_batches
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    with small_batches(spark, 50):
+        with small_batches(spark, 70):
+            assert spark.conf.get(key) == "50"
+            seen = spark.range(0, 400, 1, 1).mapInArrow(
+                lambda batches: (b.slice(0, 1).set_column(0, "id", __import__("pyarrow").array([b.num_rows])) for b in batches), "id long").collect()
+        assert spark.conf.get(key) == "50" and {r.id for r in seen} == {50}
+    assert spark.conf.get(key) == before
