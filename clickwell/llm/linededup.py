@@ -44,7 +44,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import write_shared
 from .common import let, parallelism, slices
@@ -129,25 +129,28 @@ def _number(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-def _lines(part: pa.RecordBatch, min_chars: int) -> Iterator[tuple[int, int, str]]:
-    """(row, line number, stripped line) of every line that counts."""
+def _lines(part: pa.RecordBatch, min_chars: int) -> Iterator[tuple[int, int, str, int]]:
+    """(row, line number, stripped line, code points with white space) of every line that counts."""
     lists = pc.split_pattern(part.column("text"), "\n")
-    bare = pc.ascii_trim_whitespace(lists.flatten())
+    whole = lists.flatten()
+    bare = pc.ascii_trim_whitespace(whole)
     offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))])
     use = np.flatnonzero(pc.utf8_length(bare).to_numpy(zero_copy_only=False) >= min_chars)
     row = np.searchsorted(offsets, use, side="right") - 1
-    yield from zip(row.tolist(), (use - offsets[row]).tolist(), bare.take(pa.array(use)).to_pylist())
+    at = pa.array(use)
+    yield from zip(row.tolist(), (use - offsets[row]).tolist(), bare.take(at).to_pylist(),
+                   pc.utf8_length(whole.take(at)).to_pylist())
 
 
 def _occurrences(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [(r, n, _key(x)) for r, n, x in _lines(part, min_chars)]
-                row, number, key = zip(*found) if found else ((), (), ())
+                found = [(r, n, _key(x), c) for r, n, x, c in _lines(part, min_chars)]
+                row, number, key, chars = zip(*found) if found else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays([
                     part.column("id").take(pa.array(row, pa.int64())), pa.array(number, pa.int32()),
-                    pa.array(key, pa.binary())], names=["id", "number", "key"])
+                    pa.array(key, pa.binary()), pa.array(chars, pa.int32())], names=["id", "number", "key", "chars"])
     return run
 
 
@@ -157,7 +160,7 @@ def _substrings(min_chars: int, tau: int):
         for batch in batches:
             for part in slices(batch, "text"):
                 tokens, lines = [], []
-                for x in {x for _, _, x in _lines(part, min_chars)}:
+                for x in {x for _, _, x, _ in _lines(part, min_chars)}:
                     spec = _signature(len(x), tau)
                     tokens += [hashed(x[a:b].encode(), seed) & ~1 | role for a, b, seed, role in spec]
                     lines += [_number(_key(x))] * len(spec)
@@ -246,7 +249,7 @@ def _wanted(min_chars: int, shared_filter):
         for batch in batches:
             for part in slices(batch, "text"):
                 found = {}
-                for x in {x for _, _, x in _lines(part, min_chars)}:
+                for x in {x for _, _, x, _ in _lines(part, min_chars)}:
                     key = _key(x)
                     if table[_number(key) & (len(table) - 1)]:
                         found[key] = x
@@ -314,10 +317,11 @@ def near_line_links(texts: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS
 
 
 def repeated_lines(texts: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
-    """(id, numbers, holder): per document the numbers of its lines that repeat an earlier
-    line, and the document that holds the first occurrences of most of them.  texts: id, text."""
+    """(id, numbers, chars, holder): per document the numbers of its lines that repeat an
+    earlier line, their code points, and the document that holds the first occurrences of
+    most of them.  texts: id, text."""
     texts = texts.filter("id is not null and text is not null")
-    found = write_shared(texts.mapInArrow(_occurrences(min_chars if exact_chars is None else max(1, min(exact_chars, min_chars))), "id long, number int, key binary"))
+    found = write_shared(texts.mapInArrow(_occurrences(min_chars if exact_chars is None else max(1, min(exact_chars, min_chars))), "id long, number int, key binary, chars int"))
     part = components(near_line_links(texts, tau, min_chars), "key_a", "key_b")
     lines = found.groupBy("key").agg(F.min(F.struct("id", "number")).alias("first"), F.count("*").alias("n"))
     classes = lines.join(part, F.col("key") == F.col("node"), "left").withColumn("class", F.coalesce("component", "key"))
@@ -326,34 +330,48 @@ def repeated_lines(texts: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS,
     repeated = classes.join(firsts, "class", "left").filter("n > 1 or class_first <> first").select(
         "key", F.coalesce("class_first", "first").alias("keep"))
     return (found.join(repeated, "key").filter("not (keep.id = id and keep.number = number)")
-            .groupBy("id").agg(F.sort_array(F.collect_set("number")).alias("numbers"),
-                               F.mode("keep.id", True).alias("holder")))
-
-
-def _cut(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, most: float | None) -> DataFrame:
-    """``docs`` with __key, the columns of ``gone`` (__id, __numbers, __holder) and __cut:
-    text, n_gone (characters of the lines to go), n_lines, n_removed."""
-    every = [F.col(f"`{c}`") for c in docs.columns]
-    joined = docs.select(*every, F.col(id_col).cast("long").alias("__key")).join(gone, F.col("__key") == F.col("__id"), "left")
-    text = F.col(text_col)
-
-    def cut(lines):
-        chars = F.aggregate(F.col("__numbers"), F.lit(0).cast("long"),
-                            lambda s, i: s + F.coalesce(F.length(F.get(lines, i)), F.lit(0)))
-        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__numbers"))
-        whole = F.col("__numbers").isNull()
+            .groupBy("id").agg(F.sort_array(F.collect_set(F.struct("number", "chars"))).alias("at"),
+                               F.mode("keep.id", True).alias("holder"))
+            .select("id", F.col("at.number").alias("numbers"), "holder",
+                    F.aggregate("at", F.lit(0).cast("long"), lambda s, x: s + x["chars"]).alias("chars")))
+
+
+def _without(text: Column, numbers: Column, most: float | None = None) -> Column:
+    """text, n_lines and n_removed of a text without the lines of these numbers (null: none);
+    it stays whole where more than ``most`` of its code points would go."""
+    def cut(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), numbers)
+        whole = numbers.isNull()
         if most is not None:
+            chars = F.aggregate(numbers, F.lit(0).cast("long"), lambda s, i: s + F.coalesce(F.length(F.get(lines, i)), F.lit(0)))
             whole = whole | (chars > F.lit(most) * F.length(text))
         return F.struct(F.when(whole, text).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")).alias("text"),
-                        chars.alias("n_gone"), F.size(lines).cast("long").alias("n_lines"),
+                        F.size(lines).cast("long").alias("n_lines"),
                         F.when(whole, F.lit(0)).otherwise(F.size(lines) - F.size(left)).cast("long").alias("n_removed"))
+    return let(F.split(text, "\n"), cut)
 
-    return joined.select(*every, *[f"__{c}" for c in ("key", "numbers", "holder")], let(F.split(text, "\n"), cut).alias("__cut"))
+
+def _nested(docs: DataFrame, id_col: str) -> DataFrame:
+    """(row, id): the input in one struct, so that no name of its columns is in the way."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"))
+
+
+def _by_id(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """Left join on id, by a shuffle at every size; rows with a null id do not take part."""
+    held = rows.filter("id is not null").join(facts.hint("merge"), "id", "left")
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in facts.schema.fields if f.name != "id"]
+    return held.select(*rows.columns, *[c for c in facts.columns if c != "id"]).unionByName(
+        rows.filter("id is null").select("*", *missing))
 
 
 def _gone(docs: DataFrame, id_col: str, text_col: str, tau: int, min_chars: int, exact_chars: int | None = None) -> DataFrame:
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return repeated_lines(texts, tau, min_chars, exact_chars).select(*[F.col(c).alias(f"__{c}") for c in ("id", "numbers", "holder")])
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return repeated_lines(texts, tau, min_chars, exact_chars)
+
+
+def _back(docs: DataFrame, text_col: str, text: Column) -> list[Column]:
+    """The columns of ``docs`` out of ``row``, with another text."""
+    return [text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau: int = TAU,
@@ -361,17 +379,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 exact_chars: int | None = None) -> DataFrame:
     """``docs`` with ``text_col`` without repeated lines; ``stats`` names an optional struct
     column n_lines, n_repeated (lines that repeat an earlier one), n_removed."""
-    done = _cut(docs, _gone(docs, id_col, text_col, tau, min_chars, exact_chars), id_col, text_col, most)
-    out = [F.col("__cut.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    gone = _gone(docs, id_col, text_col, tau, min_chars, exact_chars).select("id", "numbers")
+    done = _by_id(_nested(docs, id_col), gone).select("row", "numbers", _without(F.col("row")[text_col], F.col("numbers"), most).alias("cut"))
+    out = _back(docs, text_col, F.col("cut.text"))
     if stats:
-        out.append(F.struct(F.coalesce("__cut.n_lines", F.lit(0)).cast("long").alias("n_lines"),
-                            F.coalesce(F.size("__numbers"), F.lit(0)).cast("long").alias("n_repeated"),
-                            F.coalesce("__cut.n_removed", F.lit(0)).cast("long").alias("n_removed")).alias(stats))
+        out.append(F.struct(F.coalesce("cut.n_lines", F.lit(0)).cast("long").alias("n_lines"),
+                            F.coalesce(F.size("numbers"), F.lit(0)).cast("long").alias("n_repeated"),
+                            F.coalesce("cut.n_removed", F.lit(0)).cast("long").alias("n_removed")).alias(stats))
     return done.select(*out)
 
 
 def dedup_lines_but_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau: int = TAU,
-                           min_chars: int = MIN_CHARS, most: float = MOST, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+                           min_chars: int = MIN_CHARS, most: float = MOST, n: int = 5, num: int = 80, den: int = 100,
+                           exact_chars: int | None = None) -> DataFrame:
     """``docs`` with ``text_col`` without repeated lines, except documents that a join of near
     copies (``n`` words, ``num`` / ``den``) of the result drops.
 
@@ -379,20 +399,25 @@ def dedup_lines_but_copies(docs: DataFrame, id_col: str = "doc_id", text_col: st
     another document, the holder.  They, as they are, and the holders, cut, are joined.  A
     document in doubt stays whole if the first of its class is not in doubt: every member of
     the class is then in the result with the text it was joined with, so the join of the
-    result finds the same links and drops it.  All others are cut."""
-    gone = write_shared(_gone(docs, id_col, text_col, tau, min_chars))
-    judged = _cut(docs.select(id_col, text_col), gone, id_col, text_col, None).filter("__key is not null").select(
-        F.col("__key").alias("id"), F.col(text_col).alias("text"), F.col("__holder").alias("holder"),
-        F.col("__cut.text").alias("cut"), F.col("__cut.n_gone").alias("n_gone"))
-    doubt = write_shared(judged.filter((F.col("n_gone") > F.lit(most) * F.length("text")) & (F.col("holder") != F.col("id")))
+    result finds the same links and drops it.  All others are cut.
+
+    Who is in doubt follows from lengths alone.  The texts are joined with the lines to go
+    once, by a shuffle at every size, and written; only those in doubt are joined again."""
+    gone = write_shared(_gone(docs, id_col, text_col, tau, min_chars, exact_chars))
+    sizes = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.length(F.col(f"`{text_col}`")).alias("size"))
+    doubt = write_shared(gone.join(sizes.hint("merge"), "id").filter((F.col("chars") > F.lit(most) * F.col("size")) & (F.col("holder") != F.col("id")))
                          .select("id", "holder").distinct())
-    chosen = (doubt.select("id", F.lit(True).alias("doubt")).unionByName(doubt.select(F.col("holder").alias("id"), F.lit(False).alias("doubt")))
-              .groupBy("id").agg(F.max("doubt").alias("doubt")))
-    some = write_shared(judged.join(chosen, "id").select("id", F.when(F.col("doubt"), F.col("text")).otherwise(F.col("cut")).alias("text"), "doubt")
+    roles = (doubt.select("id", F.lit(True).alias("doubt")).unionByName(doubt.select(F.col("holder").alias("id"), F.lit(False).alias("doubt")))
+             .groupBy("id").agg(F.max("doubt").alias("doubt")))
+    judged = write_shared(_by_id(_nested(docs, id_col), gone.select("id", "numbers").join(roles, "id", "full")))
+    text = F.col("row")[text_col]
+    cut = _without(text, F.col("numbers"))["text"]
+    some = write_shared(judged.filter("doubt is not null").select("id", F.when(F.col("doubt"), text).otherwise(cut).alias("text"), "doubt")
                         .dropDuplicates(["id"]))
     classes = similarity_classes(some.select("id", "text"), id_col="id", n=n, num=num, den=den).select("id", "component_id")
     copies = (classes.join(some.filter("doubt").select("id"), "id", "left_semi")
-              .join(some.filter("not doubt").select(F.col("id").alias("component_id")), "component_id", "left_semi"))
-    kept = gone.join(copies.select(F.col("id").alias("__id")), "__id", "left_anti")
-    return _cut(docs, kept, id_col, text_col, None).select(
-        *[F.col("__cut.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+              .join(some.filter("not doubt").select(F.col("id").alias("component_id")), "component_id", "left_semi")
+              .select("id", F.lit(True).alias("copy")))
+    clear = judged.filter("doubt is null or not doubt").select(*_back(docs, text_col, cut))
+    unclear = _by_id(judged.filter("doubt"), copies).select(*_back(docs, text_col, F.when(F.col("copy"), text).otherwise(cut)))
+    return clear.unionByName(unclear)

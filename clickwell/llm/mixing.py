@@ -238,9 +238,11 @@ def copies(rate: Column, id_col: Column) -> Column:
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """``docs`` with each row repeated as often as its rate says (0 times: it goes).  Rows
-    that repeat an id, and so a text, share one rate; a null id is kept once."""
-    rates = document_rates(docs, labelled, weights).filter("doc_id is not null").groupBy("doc_id").agg(F.max("rate").alias("__rate"))
-    chosen = rates.select(F.col("doc_id").alias("__id"), copies(F.col("__rate"), F.col("doc_id")).alias("__n")).filter("__n > 0")
-    every = [F.col(f"`{c}`") for c in docs.columns]
-    seen = docs.join(chosen, F.col("doc_id") == F.col("__id")).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-    return seen.select(*every).unionByName(docs.filter("doc_id is null"))
+    that repeat an id, and so a text, share one rate; a null id is kept once.  Texts meet
+    their rates by a shuffle at every size; the input is one struct there, so that no name
+    of its columns is in the way."""
+    rates = document_rates(docs, labelled, weights).filter("doc_id is not null").groupBy("doc_id").agg(F.max("rate").alias("rate"))
+    chosen = rates.select(F.col("doc_id").alias("id"), copies(F.col("rate"), F.col("doc_id")).alias("n")).filter("n > 0")
+    rows = docs.filter("doc_id is not null").select(F.col("doc_id").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    seen = rows.join(chosen.hint("merge"), "id").select("row", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    return seen.select(*[F.col("row")[c].alias(c) for c in docs.columns]).unionByName(docs.filter("doc_id is null"))

@@ -311,9 +311,12 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The documents that stay when one of each class of near copies is kept: the smallest
-    doc_id.  Repeated rows of a kept document count once; a null doc_id always stays."""
-    classes = similarity_classes(docs, n=n, num=num, den=den)
-    kept = classes.filter("doc_id = component_id").select("doc_id").distinct()
-    chosen = docs.join(kept, "doc_id", "left_semi").withColumn("__text", F.xxhash64("text"))
-    return (chosen.dropDuplicates(["doc_id", "__text"]).drop("__text")
-            .unionByName(docs.filter("doc_id is null"))).select(docs.columns)
+    doc_id.  Repeated rows of a kept document count once; a null doc_id always stays.  Texts
+    meet the kept ids by a shuffle at every size; the input is one struct there, so that no
+    name of its columns is in the way."""
+    texts = docs.select("doc_id", F.col("text"))
+    kept = similarity_classes(texts, n=n, num=num, den=den).filter("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.filter("doc_id is not null").select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"),
+                                                    F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    chosen = rows.join(kept.hint("merge"), "id", "left_semi").dropDuplicates(["id", "hash"])
+    return chosen.select(*[F.col("row")[c].alias(c) for c in docs.columns]).unionByName(docs.filter("doc_id is null"))

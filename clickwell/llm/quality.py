@@ -104,35 +104,34 @@ def measure(text: Column) -> Column:
                     _without(text, "[^\\p{Lu}]+").alias("n_upper"))
 
 
-def with_ledger(docs: DataFrame, text_col: str = "text", name: str = "__ledger") -> DataFrame:
-    """``docs`` with one struct column: the measurements and ``failures``, the bits of
-    the rules that fail.  The generator makes sure that a text is measured once, however
-    often the column is used."""
-    every = [F.col(f"`{c}`") for c in docs.columns]
-    once = docs.select(*every, F.inline(F.array(F.struct(measure(F.col(text_col)).alias("__measured")))))
-    m = F.col("__measured")
+def with_ledger(docs: DataFrame, text_col: str = "text", name: str = "ledger") -> DataFrame:
+    """(row, ``name``): the input in one struct, so that no name of its columns is in the
+    way, and the measurements and ``failures``, the bits of the rules that fail.  The
+    generator makes sure that a text is measured once, however often the column is used."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    once = docs.select(row, F.inline(F.array(F.struct(measure(F.col(f"`{text_col}`")).alias("measured")))))
+    m = F.col("measured")
     values = {"n_words": m["words"]["n_words"], "n_repeat_words": m["words"]["n_repeat_words"],
               "n_lines": m["lines"]["n_lines"], "n_dup_lines": m["lines"]["n_dup_lines"],
               **{c: m[c] for c in ("word_chars", "n_symbols", "n_letters", "n_upper")}}
     measured = F.struct(*[values[c].alias(c) for c in MEASURES])
 
-    def failures(row: Column) -> Column:
+    def failures() -> Column:
         bits = F.lit(0).cast("long")
         for rule in RULES:
             sql = " ".join(f"x.{t}" if t in MEASURES else t for t in rule.fails.split())
-            bits = bits.bitwiseOR(F.expr(f"element_at(transform(array(__m), x -> case when {sql} then {1 << rule.bit}L "
+            bits = bits.bitwiseOR(F.expr(f"element_at(transform(array(m), x -> case when {sql} then {1 << rule.bit}L "
                                          "else 0L end), 1)"))
         return bits
 
-    return (once.select(*every, measured.alias("__m"))
-            .select(*every, F.struct(*[F.col("__m")[c].alias(c) for c in MEASURES],
-                                     failures(F.col("__m")).alias("failures")).alias(name)))
+    return (once.select("row", measured.alias("m"))
+            .select("row", F.struct(*[F.col("m")[c].alias(c) for c in MEASURES], failures().alias("failures")).alias(name)))
 
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, the measurements and ``failures`` for every row."""
-    return with_ledger(docs.select(F.col(id_col), F.col(text_col).alias("__text")), "__text").select(
-        id_col, "__ledger.*")
+    return with_ledger(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).select(
+        F.col("row.id").alias(id_col), "ledger.*")
 
 
 def passes(failures: Column, policy: str) -> Column:
@@ -145,7 +144,8 @@ def apply_policy(ledger_rows: DataFrame, policy: str) -> DataFrame:
 
 def keep(docs: DataFrame, policy: str = "web-1") -> DataFrame:
     """The documents that a policy keeps, with their own columns."""
-    return with_ledger(docs).filter(passes(F.col("__ledger.failures"), policy)).select(docs.columns)
+    return with_ledger(docs).filter(passes(F.col("ledger.failures"), policy)).select(
+        *[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def ablations(ledger_rows: DataFrame, policy: str) -> DataFrame:

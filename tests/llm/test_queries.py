@@ -29,9 +29,9 @@ def test_query_matches_sql(spark, name):
     assert compare([tuple(r) for r in df.collect()], df.columns, res.fetchall(), [d[0] for d in res.description]) is None
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_and_the_pipeline_are_registered():
     names = E.queries()
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in names)] == []
     assert names["pipeline"] is corpus_pipeline.run and "pipeline" not in E.oracle_sql()
 
 
@@ -46,17 +46,17 @@ def test_packing_query_has_the_tokenizer_s_ids(spark):
     assert len({r.sequence_id for r in got}) == len(brute_best_fit([r.length for r in got], 4096)[0])
 
 
-def near_line_classes(rows, tau=2, min_chars=24):
-    """Kept texts by comparing all pairs of lines; character counts rule most pairs out."""
+def repeats(rows, tau=2, near_chars=24):
+    """{(id, line number): (id, number) of the first line of its class} of the lines that
+    repeat an earlier one, by comparing all pairs; character counts rule most pairs out."""
     lines = sorted((i, n, x.strip(" \t\n\x0b\f\r")) for i, t in rows for n, x in enumerate(t.split("\n")))
-    lines = [x for x in lines if len(x[2]) >= min_chars]
-    first, gone = {}, set()
+    lines = [x for x in lines if x[2]]
+    first = {}
     for i, n, x in lines:
-        gone |= {(i, n)} if x in first else set()
         first.setdefault(x, (i, n))
-    different = sorted(first, key=len)
+    different = sorted((x for x in first if len(x) >= near_chars), key=len)
     counts = [Counter(x) for x in different]
-    parent = {x: x for x in different}
+    parent = {x: x for x in first}
 
     def find(x):
         while parent[x] != x:
@@ -71,16 +71,30 @@ def near_line_classes(rows, tau=2, min_chars=24):
             if sum((counts[a] - counts[b]).values()) <= tau and sum((counts[b] - counts[a]).values()) <= tau and distance(x, y) <= tau:
                 parent[find(x)] = find(y)
     least = {}
-    for x in different:
+    for x in first:
         least[find(x)] = min(least.get(find(x), first[x]), first[x])
-    gone |= {(i, n) for i, n, x in lines if least[find(x)] != (i, n)}
-    out = {}
+    return {(i, n): least[find(x)] for i, n, x in lines if least[find(x)] != (i, n)}
+
+
+def lines_cut_but_copies(rows):
+    """The stage's rule: every repeat is cut, but a document that would lose more than half of
+    its characters, most lines to another document, stays whole if it is a near copy (5 words,
+    0.8) in a class whose first member is such another document, cut."""
+    gone = repeats(rows)
+    texts, cut, holder = dict(rows), {}, {}
     for i, t in rows:
         all_lines = t.split("\n")
-        cut = {n for n in range(len(all_lines)) if (i, n) in gone}
-        out[i] = t if sum(len(all_lines[n]) for n in cut) > 0.5 * len(t) else "\n".join(
-            x for n, x in enumerate(all_lines) if n not in cut)
-    return out
+        cut[i] = "\n".join(x for n, x in enumerate(all_lines) if (i, n) not in gone)
+        mine = [gone[i, n][0] for n in range(len(all_lines)) if (i, n) in gone]
+        chars = sum(len(x) for n, x in enumerate(all_lines) if (i, n) in gone)
+        if 2 * chars > len(t):
+            most = min(mine, key=lambda h: (-mine.count(h), h))
+            holder |= {i: most} if most != i else {}
+    some = {i: texts[i] if i in holder else cut[i] for i in {*holder, *holder.values()}}
+    ids = sorted(some)
+    classes = ngram_classes([some[i] for i in ids], 5, 80, 100)[1]
+    copies = {i for i, c in zip(ids, classes) if i in holder and ids[c] not in holder}
+    return {i: texts[i] if i in copies else cut[i] for i in texts}
 
 
 def test_pipeline_stages(spark, scratch):
@@ -98,11 +112,11 @@ def test_pipeline_stages(spark, scratch):
     con = duck(SF)
     kept = {r[0] for r in con.execute(f"SELECT doc_id FROM ({ORACLE['op6_quality_rules']}) WHERE kept").fetchall()}
     assert set(texts["quality_rules"]) == kept
-    assert texts["line_dedup"] == near_line_classes(sorted(texts["quality_rules"].items()))
+    assert texts["line_dedup"] == lines_cut_but_copies(sorted(texts["quality_rules"].items()))
     ids = sorted(texts["line_dedup"])
     classes = ngram_classes([texts["line_dedup"][i] for i in ids], 5, 80, 100)[1]
     assert set(texts["near_duplicates"]) == {ids[c] for c in classes}
-    labels = spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").selectExpr("doc_id", "1 as quality", "toxic").filter("toxic is not null")
     labelled = mixing.label_domains(spark.read.parquet(f"{SF}/documents.parquet"), labels)
     rates = mixing.document_rates(tables["near_duplicates"], labelled, {"clean": 0.99, "toxic": 0.01})
     want = {r.doc_id: r.n for r in rates.select("doc_id", mixing.copies(F.col("rate"), F.col("doc_id")).alias("n")).collect() if r.n}
@@ -112,6 +126,20 @@ def test_pipeline_stages(spark, scratch):
     assert len({r.sequence_id for r in packed}) == len(brute_best_fit([r.length for r in packed], 4096)[0])
 
 
+def test_no_name_of_a_column_is_in_the_way(spark):
+    """Stages get every name that they use inside as a column of the input."""
+    names = ("row id key numbers holder doubt chars cut hash n rate m ledger measured text_ component_id n_shingles size "
+             "copy domain node tokens __text __key __cut __numbers __holder __n __id __copy __m spans").split()
+    plain = frame(spark)
+    docs = plain.select("*", *[F.lit(k).alias(c) for k, c in enumerate(names)])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        want = Counter((r.doc_id, r.text) for r in stage(spark, plain, SF).collect())
+        assert Counter((r.doc_id, r.text) for r in out.collect()) == want, name
+        assert out.filter(" or ".join(f"`{c}` is null or `{c}` <> {k}" for k, c in enumerate(names))).count() == 0
+
+
 def test_stages_on_empty_and_awkward_tables(spark):
     for rows in ([], None):
         docs = frame(spark, rows)
