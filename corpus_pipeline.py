@@ -24,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts lines that repeat an earlier line of the corpus, but for near copies of whole
     documents that the next stage is sure to drop; n_chars follows the text."""
-    return linededup.dedup_lines_but_copies(docs, n=5, num=80, den=100).withColumn("n_chars", F.length("text").cast("long"))
+    return linededup.dedup_lines_but_copies(docs, n=5, num=80, den=100, exact_chars=1).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,10 +34,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or drops documents so that toxic text is one hundredth of the tokens.  The
-    classifier learns from all labelled documents of good quality; poor quality is what
-    the first stage has dropped."""
-    labelled = mixing.label_domains(table(spark, sf_dir, "documents"),
-                                    table(spark, sf_dir, "labels").filter("quality = 1"))
+    classifier learns from every document with a label of toxicity, whatever its quality."""
+    labels = table(spark, sf_dir, "labels").filter("toxic is not null").select("doc_id", F.lit(1).alias("quality"), "toxic")
+    labelled = mixing.label_domains(table(spark, sf_dir, "documents"), labels)
     return mixing.mix(docs, labelled, weights={"clean": 0.99, "toxic": 0.01})
 
 
