@@ -13,7 +13,7 @@ from ..config import RankingConfig
 from ..session import new_folder, write_shared
 from ..sources.adapters import raw_ads, raw_experiment
 from .pipeline import build, checks_of, export_all, lock_metrics_of, run_all, steps_of
-from .oracle import contrast, ratio, with_ctes
+from .oracle import CHECK_NAMES, contrast, ratio, with_ctes
 from .queries_decide import DECIDE_CTES
 from .queries_forecast import HOLDOUT
 from .queries_kpi import LIMIT, MIN_IMPRESSIONS
@@ -102,7 +102,7 @@ def _approx(actual, expected, populated="true"):
 
 
 _NG = "len(string_split(exp_groups, ','))"
-_N = Q.CHECK_NAMES
+_N = CHECK_NAMES
 CHECK_ROWS = [
     _c(0, _N[0], "raw_ads_rows = exp_ads_in", "exp_ads_in", "raw_ads_rows"),
     _c(1, _N[1], "raw_exp_rows = exp_exp_in", "exp_exp_in", "raw_exp_rows"),

@@ -12,8 +12,8 @@ from ..schemas import ADS_RAW_COLUMNS, EXPERIMENT_RAW_TEXT, RAW_ADS, RAW_EXPERIM
 from ..session import new_folder, write_shared
 from ..sources import readers, sinks, versions
 from ..sources.adapters import raw_ads, raw_experiment
-from .oracle import with_ctes
-from .pipeline import EXPORTS, build, export_all, materialize
+from .oracle import EXPORTS, with_ctes
+from .pipeline import build, export_all, materialize
 from .queries_forecast import HOLDOUT
 from .queries_quality import RANKING, _qsql, bundle
 from .registry import register
