@@ -10,9 +10,10 @@ of pieces follows from the count of pieces per length (at most ``capacity`` numb
 ``plan`` keeps the open sequences as intervals of numbers per remaining room, in a
 segment tree over the rooms 0 to ``capacity`` whose descent finds the tightest room in
 log(capacity) steps, and serves whole runs of equal pieces at once.  Its answer, runs of
-(length, ranks, sequences, offset), is a small table that Spark joins with the ranked
-pieces.  Ranks are counted per (length, salt), so no length, however frequent, is sorted
-in one task.
+(length, ranks, sequences, offset), is a small table that is broadcast to the ranked pieces
+(``BROADCAST_ROWS`` at most; a larger one would be joined by a shuffle on the length).  Ranks
+are counted per (length, salt), so the pieces of one length, however frequent, are neither sorted
+nor joined in one task.
 
 Defined cases: null text is empty, so its one piece is the end id alone; null ids and
 repeated rows are packed like others (pieces are told apart by a row key); other columns
@@ -163,6 +164,10 @@ def _pieces(path: str, capacity: int, end_id: int, salts: int):
     return run
 
 
+#: rows of the plan (40 bytes each) that are sent to every task
+BROADCAST_ROWS = 500_000
+
+
 class RoomTree:
     """Segment tree over remaining rooms 0 .. capacity; each leaf holds intervals
     [first, last) of numbers of open sequences with that room."""
@@ -249,8 +254,10 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     base = per_salt.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n"))
                            .alias("base"))
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    steps = spark.createDataFrame(plan(counts, capacity),
-                                  "at long, first_rank long, last_rank long, first_sequence long, offset long")
+    planned = plan(counts, capacity)
+    steps = spark.createDataFrame(planned, "at long, first_rank long, last_rank long, first_sequence long, offset long")
+    if len(planned) <= BROADCAST_ROWS:   # else the pieces of one length meet in one task
+        steps = F.broadcast(steps)
     own = F.row_number().over(Window.partitionBy("length", "salt").orderBy("id", "piece", "ids_crc32"))
     ranked = pieces.withColumn("own", own).join(base, ["length", "salt"]).withColumn(
         "rank", F.col("base") + F.col("own") - 1)
