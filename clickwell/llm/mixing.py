@@ -60,6 +60,8 @@ LEAST_LIFT = 2.0
 STRENGTH = 10.0
 ROUNDS = 60
 TOLERANCE = 1e-5
+#: numbers that are added up as columns of one row
+WIDE = 200
 #: targets missed by more than this part of their sum are reported
 LEAST_MET = 1e-3
 
@@ -156,17 +158,19 @@ def _sums(steps: list[np.ndarray], domains: int):
                 whole += (p * t[:, None]).T @ p
                 active += (p * (t * (rate > 0))[:, None]).T @ p
         values = np.concatenate([total, whole.ravel(), active.ravel()])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values)), pa.int32()), pa.array(values)],
-                                         names=["i", "x"])
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(np.array([0, len(values)], np.int32), values)], names=["x"])
     return run
 
 
 def _add_up(rows: DataFrame, steps: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """K + 2 * K * K numbers."""
-    parts = rows.select("tokens", "p").mapInArrow(_sums(steps, k), "i int, x double")
+    """K + 2 * K * K numbers.  A few are added up as columns, one partial sum a task; many as rows."""
+    parts = rows.select("tokens", "p").mapInArrow(_sums(steps, k), "x array<double>")
     out = np.zeros(k + 2 * k * k)
-    for i, x in parts.groupBy("i").agg(F.sum("x")).collect():
-        out[i] = x
+    if len(out) <= WIDE:
+        out += [x or 0.0 for x in parts.agg(*[F.sum(F.get("x", F.lit(i))).alias(f"x{i}") for i in range(len(out))]).first()]
+    else:
+        for i, x in parts.select(F.posexplode("x").alias("i", "x")).groupBy("i").agg(F.sum("x")).collect():
+            out[i] = x
     return out[:k], out[k:k + k * k].reshape(k, k), out[k + k * k:].reshape(k, k)
 
 
@@ -187,7 +191,10 @@ def solve(rows: DataFrame, domains: list[str], weights: dict[str, float], anchor
         if error(found[0]) > 0.7 * error(now):  # the longer step went too far
             longer = steps + [inverse(whole) @ (now - target)]
             found = _add_up(rows, longer, len(domains))
+        moved = np.abs(found[0] - now).sum()
         steps, (now, _, active) = longer, found
+        if moved <= TOLERANCE / 100 * max(target.sum(), 1.0):   # all rounds together would not move by the tolerance
+            break
     if error(now) > LEAST_MET * max(target.sum(), 1.0):
         warnings.warn("targets not met, expected tokens (target): " + ", ".join(
             f"{d} {x:.0f} ({y:.0f})" for d, x, y in zip(domains, now, target)), RuntimeWarning, stacklevel=2)

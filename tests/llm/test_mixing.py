@@ -100,3 +100,13 @@ def test_targets_that_cannot_be_met_are_reported(spark):
     labelled = spark.createDataFrame([("alpha beta", "clean")], "text string, domain string")
     with pytest.warns(RuntimeWarning, match="toxic"):
         mixing.document_rates(docs, labelled, {"clean": 0.99, "toxic": 0.01}).count()
+
+
+def test_sums_as_columns_and_as_rows_are_the_same(spark, monkeypatch):
+    rows = spark.createDataFrame([(10 * i, [i / 50, 1 - i / 50]) for i in range(50)], "tokens long, p array<double>").repartition(4)
+    steps = [np.array([0.5, 0.1])]
+    few = mixing._add_up(rows, steps, 2)
+    monkeypatch.setattr(mixing, "WIDE", 0)
+    many = mixing._add_up(rows, steps, 2)
+    assert all(np.allclose(x, y, rtol=1e-12) for x, y in zip(few, many))
+    assert all((x == 0).all() for x in mixing._add_up(rows.limit(0), steps, 2))
