@@ -115,3 +115,31 @@ def test_credits_count_clicks_that_come_after_the_order(spark, scratch):
         conversions.start_credits(arriving, f"{scratch}/out", f"{scratch}/ckpt", 3600, 7200).awaitTermination()
     rows = spark.read.schema(conversions.OUTPUT).parquet(f"{scratch}/out").collect()
     assert [(r.order_id, r.n_clicks, r.last_click_id) for r in rows] == [(7, 1, 1)]
+
+
+def test_credits_of_many_users_share_state_and_calls(spark, scratch):
+    """Three thousand users cost the state and the calls of the groups they are dealt to, and get what
+    brute force gives them, for equal times, repeated and unknown ids and unknown amounts too."""
+    rng = random.Random(4)
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    rows = [(u, at(rng.randrange(500)), "order", 10 * u, u / 4) for u in range(3000)]
+    rows += [(u, at(rng.randrange(400)), "click", u, None) for u in range(0, 3000, 3)]
+    hot = [(7, at(5 * rng.randrange(100)), rng.choice(["click", "order"]), rng.choice([None, *range(40)]),
+            rng.choice([None, 1.5])) for _ in range(400)]
+    rows += [(u, t, k, i, a if k == "order" else None) for u, t, k, i, a in hot]
+    for batch in (rows, [(1, at(5000), "click", 0, None)]):
+        spark.createDataFrame(batch, conversions.INPUT).coalesce(1).write.mode("append").parquet(f"{scratch}/raw")
+        q = conversions.start_credits(spark.readStream.schema(conversions.INPUT).parquet(f"{scratch}/raw"),
+                                      f"{scratch}/out", f"{scratch}/ckpt", 3600, 600)
+        q.awaitTermination()
+        assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) < 6000
+    want = []
+    for u, t, kind, order, amount in rows:
+        if kind == "order":
+            near = [(s, -1 if i is None else i) for v, s, k, i, _ in rows
+                    if k == "click" and v == u and t - dt.timedelta(hours=1) <= s <= t] if u % 3 == 0 or u == 7 else []
+            last = max(near)[1] if near else -1
+            want.append((u, order, amount, len(near), None if last < 0 else last))
+    got = [(r.user_id, r.order_id, r.amount, r.n_clicks, r.last_click_id)
+           for r in spark.read.schema(conversions.OUTPUT).parquet(f"{scratch}/out").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
