@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SLICE_BYTES = 4 << 20
+#: hash values of ``id_marks``: 4 MB of bits
+MARK_BITS = 1 << 25
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -40,6 +42,25 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def id_marks(ids: DataFrame, bits: int = MARK_BITS) -> DataFrame:
+    """(bucket, marked) of the ids in the one column of ``ids``: a bitmap with a bit for each of ``bits``
+    hash values, in rows of 4 KB.  Its broadcast has a fixed size, whatever the input."""
+    at = F.pmod(F.xxhash64(ids.columns[0]), F.lit(bits)) + 1
+    return ids.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("marked"))
+
+
+def with_mark(rows: DataFrame, marks: DataFrame, bits: int = MARK_BITS) -> DataFrame:
+    """``rows`` (with a column id) and a column ``mark``: false only if the id is not among those of ``marks``.
+    A few others share a bit with one of them, so what is marked still needs an exact join."""
+    at = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1
+    place = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("marked", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) > 0
+    return rows.withColumn("bucket", F.bitmap_bucket_number(at)).join(F.broadcast(marks), "bucket", "left").select(
+        *rows.columns, F.coalesce(bit, F.lit(False)).alias("mark"))
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch between rows into slices of about ``max_bytes`` of ``column``."""
     if batch.num_rows == 0:

@@ -38,7 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import write_shared
-from .common import hash_strings, hash_windows, lower_ascii, parallelism, signed, slices, split_words
+from .common import (hash_strings, hash_windows, id_marks, lower_ascii, parallelism, signed, slices, split_words,
+                     with_mark)
 from .graph import components
 
 SKETCH_BITS = 20
@@ -234,7 +235,10 @@ def _suffix_filter(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> Da
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, n: int, lower: bool, num: int, den: int) -> DataFrame:
-    """Both joins read one exchange of the texts; what travels besides is one text a pair."""
+    """Both joins read one exchange of the texts that are in a pair (and the few that share a mark with
+    one); what travels besides is one text a pair."""
+    paired = id_marks(pairs.select(F.explode(F.array("id_a", "id_b")).alias("id")))
+    texts = with_mark(texts, paired).filter("mark").drop("mark")
     side = lambda x: texts.select(F.col("id").alias(f"id_{x}"), F.col("text").alias(f"text_{x}"))
     return (pairs.join(side("b"), "id_b").join(side("a"), "id_a").select("a", "b", "text_a", "text_b")
             .mapInArrow(_shared(n, lower), "a binary, b binary, shared long, both long")
@@ -270,7 +274,7 @@ def similarity_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     star = _overlap_filters(postings.filter("node <> pivot")
                             .withColumnsRenamed({"pivot_pos": "pos_b", "pivot_size": "size_b"}), num, den)
-    star = _suffix_filter(star.select(*_ordered("node", "pivot")).distinct(), nodes, num, den)
+    star = write_shared(_suffix_filter(star.select(*_ordered("node", "pivot")).distinct(), nodes, num, den))
     judged = write_shared(_verify(star, texts, n, lower, num, den))
     member = components(judged.filter("linked"))
 
@@ -311,12 +315,19 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The documents that stay when one of each class of near copies is kept: the smallest
-    doc_id.  Repeated rows of a kept document count once; a null doc_id always stays.  Texts
-    meet the kept ids by a shuffle at every size; the input is one struct there, so that no
-    name of its columns is in the way."""
+    doc_id.  Repeated rows of a kept document count once; a null doc_id always stays.  Only
+    documents whose id is dropped or repeated, and the few that share a mark with one, meet these
+    ids, by a shuffle at every size; the others stay where they are.  The input is one struct there, so
+    that no name of its columns is in the way."""
     texts = docs.select("doc_id", F.col("text"))
-    kept = similarity_classes(texts, n=n, num=num, den=den).filter("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
-    rows = docs.filter("doc_id is not null").select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"),
-                                                    F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    chosen = rows.join(kept.hint("merge"), "id", "left_semi").dropDuplicates(["id", "hash"])
-    return chosen.select(*[F.col("row")[c].alias(c) for c in docs.columns]).unionByName(docs.filter("doc_id is null"))
+    doubtful = write_shared(
+        similarity_classes(texts, n=n, num=num, den=den).filter("doc_id is not null").groupBy(F.col("doc_id").alias("id"))
+        .agg(F.max(F.col("doc_id") == F.col("component_id")).alias("kept"), F.count(F.lit(1)).alias("n_rows"))
+        .filter("not kept or n_rows > 1").select("id", "kept"))
+    rows = with_mark(docs.filter("doc_id is not null").select(
+        F.col("doc_id").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), id_marks(doubtful.select("id")))
+    dropped = doubtful.filter("not kept").select("id")
+    chosen = (rows.filter("mark").select("id", F.xxhash64("row.text").alias("hash"), "row")
+              .join(dropped.hint("merge"), "id", "left_anti").dropDuplicates(["id", "hash"]))
+    stay = rows.filter("not mark").select("row").unionByName(chosen.select("row"))
+    return stay.select(*[F.col("row")[c].alias(c) for c in docs.columns]).unionByName(docs.filter("doc_id is null"))

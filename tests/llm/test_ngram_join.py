@@ -62,3 +62,24 @@ def test_empty_table_and_kept_documents(spark):
     ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
     assert len(ids) == len(set(ids)) and 16 in ids and 19 not in ids and 25 in ids
     assert kept.filter("doc_id is null").count() == 2
+
+
+def test_texts_in_no_pair_stay_where_they_are(spark, monkeypatch):
+    """Of documents that are like no other, neither the text nor the row is sent to be joined; ids that
+    are dropped or repeated are judged exactly."""
+    from clickwell.llm import ngram_join
+    sent, marking = [], ngram_join.with_mark
+
+    def counted(rows, marks):
+        out = marking(rows, marks)
+        sent.append((rows.count(), out.filter("mark").count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "with_mark", counted)
+    alone = [(i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(300)]
+    common = " ".join(f"c{k}" for k in range(40))
+    rows = alone + [(1000, common), (1001, common + " end"), (1002, alone[5][1]), (7, alone[7][1]), (None, common)]
+    kept = keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.text) for r in kept.collect()) == sorted(
+        alone + [(1000, common), (-1, common)])
+    assert sent and all(n >= 304 and marked <= 6 for n, marked in sent)
