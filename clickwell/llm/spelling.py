@@ -165,8 +165,9 @@ def near_words(words: DataFrame) -> DataFrame:
     alike = a.join(b, "sig").filter("side = 1 or a < b").select("a", "b").distinct()
     first = alike.join(words.select(F.col("letters").alias("a"), "word"), "a").select("b", "word")
     second = words.select(F.col("letters").alias("b"), F.col("word").alias("other"))
-    found = write_shared(first.join(second, "b").filter(F.levenshtein("word", "other", 1) == 1).select("word", "other"))
-    return found.unionByName(found.select(F.col("other").alias("word"), F.col("word").alias("other")))
+    found = first.join(second, "b").filter(F.levenshtein("word", "other", 1) == 1)
+    return found.select(F.explode(F.array(F.struct("word", "other"), F.struct(F.col("other").alias("word"), F.col("word").alias("other"))))
+                        .alias("pair")).select("pair.*")
 
 
 def _roots(forms: DataFrame) -> DataFrame:

@@ -100,3 +100,15 @@ def test_defined_cases(spark):
     assert run(frame(spark).withColumnsRenamed({"lang": "word", "source": "n"})) == brute(brute_words(docs))
     assert run(frame(spark, [(None, "Über ÜBER über straße STRASSE " * 4 + "x" * 30_000, None, None, None)] * 3)) == brute(
         brute_words([(None, "Über ÜBER über straße STRASSE " * 4 + "x" * 30_000)] * 3))
+
+
+def test_near_words_writes_no_pairs(spark, monkeypatch):
+    """Near words are found in one pass over two written tables, the vectors and their signatures."""
+    from clickwell.llm import spelling
+    writes, write = [], spelling.write_shared
+    monkeypatch.setattr(spelling, "write_shared", lambda df: writes.append(df.columns) or write(df))
+    words = spark.createDataFrame([(w, "".join(sorted(w))) for w in ("letter", "lettér", "lette", "other")], "word string, letters string")
+    got = sorted((r.word, r.other) for r in spelling.near_words(words).collect())
+    assert got == sorted([("letter", "lettér"), ("lettér", "letter"), ("letter", "lette"), ("lette", "letter"),
+                          ("lettér", "lette"), ("lette", "lettér")])
+    assert len(writes) == 2
