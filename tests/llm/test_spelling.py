@@ -109,6 +109,5 @@ def test_near_words_writes_no_pairs(spark, monkeypatch):
     monkeypatch.setattr(spelling, "write_shared", lambda df: writes.append(df.columns) or write(df))
     words = spark.createDataFrame([(w, "".join(sorted(w))) for w in ("letter", "lettér", "lette", "other")], "word string, letters string")
     got = sorted((r.word, r.other) for r in spelling.near_words(words).collect())
-    assert got == sorted([("letter", "lettér"), ("lettér", "letter"), ("letter", "lette"), ("lette", "letter"),
-                          ("lettér", "lette"), ("lette", "lettér")])
+    assert got == sorted([("letter", "lettér"), ("lettér", "letter"), ("letter", "lette"), ("lette", "letter")])
     assert len(writes) == 2
