@@ -46,6 +46,9 @@ SKETCH_BITS = 20
 BLOCK = 1 << 14
 BANDS = 16
 HOT_MEMBERS = 20_000
+#: text that a task hashes at a time, and blocks of counts that it sends at a time
+PART_BYTES = 1 << 20
+BLOCKS_SENT = 8
 
 _FIRST_PASS = "id long, n_shingles long, node binary, bands array<int>, block int, counts binary"
 _PREFIX = "token long, salt int, pos int, size int, node binary"
@@ -76,7 +79,7 @@ def _first_pass(n: int, lower: bool, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART_BYTES):
                 sets = list(_sets(part.column("text"), n, lower))
                 nodes = [_node(s) for s in sets]
                 held = np.concatenate(sets)
@@ -89,12 +92,13 @@ def _first_pass(n: int, lower: bool, bits: int):
                     pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
                     names=["id", "n_shingles", "node", "bands", "block", "counts"])
         filled = [i for i in range(0, len(counts), BLOCK) if counts[i:i + BLOCK].any()]
-        k = len(filled)
-        yield pa.RecordBatch.from_arrays([
-            pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()),
-            pa.nulls(k, pa.list_(pa.int32())), pa.array([i // BLOCK for i in filled], pa.int32()),
-            pa.array([counts[i:i + BLOCK].tobytes() for i in filled], pa.binary())],
-            names=["id", "n_shingles", "node", "bands", "block", "counts"])
+        for sent in (filled[i:i + BLOCKS_SENT] for i in range(0, len(filled), BLOCKS_SENT)):
+            k = len(sent)
+            yield pa.RecordBatch.from_arrays([
+                pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()),
+                pa.nulls(k, pa.list_(pa.int32())), pa.array([i // BLOCK for i in sent], pa.int32()),
+                pa.array([counts[i:i + BLOCK].astype(np.uint32).tobytes() for i in sent], pa.binary())],
+                names=["id", "n_shingles", "node", "bands", "block", "counts"])
     return run
 
 
@@ -102,11 +106,11 @@ def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-            mine = np.frombuffer(counts, np.int64)
+            mine = np.frombuffer(counts, np.uint32).astype(np.int64)
             total[block] = total[block] + mine if block in total else mine
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
-                                      pa.array([x.tobytes() for x in total.values()], pa.binary())],
-                                     names=["block", "counts"])
+    for block, counts in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([counts.tobytes()], pa.binary())],
+                                         names=["block", "counts"])
 
 
 def _document_counts(first: DataFrame, bits: int) -> np.ndarray:
@@ -124,11 +128,12 @@ def _prefixes(n: int, lower: bool, bits: int, num: int, den: int, shared_counts)
         counts = shared_counts.value
         hot = HOT_MEMBERS + 4 * int(counts.mean())
         for batch in batches:
-            for part in slices(batch, "text"):
-                tokens, places, sizes, nodes, seen = [], [], [], [], set()
+            seen = set()
+            for part in slices(batch, "text", PART_BYTES):
+                tokens, places, sizes, nodes = [], [], [], []
                 for members in _sets(part.column("text"), n, lower):
                     node = _node(members)
-                    if node is None or node in seen:  # copies in one slice are sent once
+                    if node is None or node in seen:  # copies in one batch are sent once
                         continue
                     seen.add(node)
                     size = len(members)
@@ -256,6 +261,12 @@ def similarity_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(rows, links).  rows: id, n_shingles, node for every input row.  links: verified
     pairs a, b of nodes that between them connect every component, with their number of
     shared n-grams."""
+    return _linked(docs, id_col, text_col, n, num, den, lower, sketch_bits)[:2]
+
+
+def _linked(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int, lower: bool,
+            sketch_bits: int = SKETCH_BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``similarity_links`` and the components (node, component) of the links."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     first = write_shared(texts.mapInArrow(_first_pass(n, lower, sketch_bits), _FIRST_PASS))
@@ -290,16 +301,30 @@ def similarity_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     more = write_shared(_suffix_filter(pairs, nodes, num, den))
     links = judged.filter("linked")
     if not more.isEmpty():
-        links = links.unionByName(write_shared(_verify(more, texts, n, lower, num, den)).filter("linked"))
-    return rows, links.select("a", "b", "shared")
+        found = write_shared(_verify(more, texts, n, lower, num, den)).filter("linked")
+        links = links.unionByName(found)
+        member = _joined(member, found)
+    return rows, links.select("a", "b", "shared"), member
+
+
+def _joined(member: DataFrame, links: DataFrame) -> DataFrame:
+    """The components when ``links`` are added: only the components that a new link joins are
+    looked at again; a node without one stands for itself."""
+    part = lambda x: member.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
+    between = write_shared(links.join(part("a"), "a", "left").join(part("b"), "b", "left")
+                           .select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b")))
+    over = components(between).withColumnsRenamed({"node": "part", "component": "top"})
+    alone = over.join(member.select(F.col("component").alias("part")), "part", "left_anti")
+    return (member.join(over.withColumnRenamed("part", "component"), "component", "left")
+            .select("node", F.coalesce("top", "component").alias("component"))
+            .unionByName(alone.select(F.col("part").alias("node"), F.col("top").alias("component"))))
 
 
 def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
                        num: int = 80, den: int = 100, lower: bool = True) -> DataFrame:
     """``id_col``, n_shingles, component_id (smallest id reachable by links, itself
     included) and n_copies (rows with the same set) for every input row."""
-    rows, links = similarity_links(docs, id_col, text_col, n, num, den, lower)
-    member = components(links)
+    rows, _, member = _linked(docs, id_col, text_col, n, num, den, lower)
     per_node = (rows.filter("node is not null and id is not null").groupBy("node")
                 .agg(F.min("id").alias("least"), F.count("*").alias("n_copies")))
     grouped = per_node.join(member, "node")

@@ -1,7 +1,11 @@
 import random
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from clickwell.llm import ngram_join
 from clickwell.llm.ngram_join import keep_one_of_each, similarity_classes
 from helpers import SCHEMA, awkward_rows, frame, noisy_copies, union_find, words
 
@@ -83,3 +87,47 @@ def test_texts_in_no_pair_stay_where_they_are(spark, monkeypatch):
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.text) for r in kept.collect()) == sorted(
         alone + [(1000, common), (-1, common)])
     assert sent and all(n >= 304 and marked <= 6 for n, marked in sent)
+
+
+def test_a_task_sends_its_counts_and_prefixes_in_small_batches():
+    """No Arrow batch of the two passes grows with the text that a task holds; the counts are those of the sets."""
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(4000)) for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["id", "text"])
+    first = list(ngram_join._first_pass(5, True, 20)(iter([batch])))
+    blocks = pa.Table.from_batches(first).select(["block", "counts"]).drop_null()
+    counts = np.zeros(1 << 20, np.int64)
+    for out in ngram_join._add_blocks(iter(blocks.to_batches())):
+        for block, part in zip(out.column("block").to_pylist(), out.column("counts").to_pylist()):
+            counts[block * ngram_join.BLOCK:(block + 1) * ngram_join.BLOCK] = np.frombuffer(part, np.int64)
+    held = np.concatenate(list(ngram_join._sets(batch.column("text"), 5, True)))
+    assert (counts == np.bincount(ngram_join._cells(held, 20), minlength=1 << 20)).all()
+    shared = SimpleNamespace(value=counts.astype(np.int32))
+    prefixes = list(ngram_join._prefixes(5, True, 20, 80, 100, shared)(iter([batch, batch])))
+    assert max(x.nbytes for x in first) < 1 << 20 and max(x.nbytes for x in prefixes) < 3 << 20
+
+
+def test_components_are_computed_again_only_where_late_links_join_them(spark, monkeypatch):
+    """Without late links the components are computed once; with some, only over components."""
+    calls, plain = [], ngram_join.components
+
+    def counted(links, *names):
+        calls.append(links.count())
+        return plain(links, *names)
+
+    monkeypatch.setattr(ngram_join, "components", counted)
+    base = " ".join(f"c{k}" for k in range(40))
+    similarity_classes(spark.createDataFrame([(1, base), (2, base + " end"), (3, "another text")], "doc_id long, text string"))
+    assert calls == [1]
+    rng = random.Random(5)
+    for _ in range(3):
+        find, link = union_find(60)
+        early = [(rng.randrange(60), rng.randrange(60)) for _ in range(25)]
+        late = [(rng.randrange(60), rng.randrange(60)) for _ in range(12)]
+        for x, y in early + late:
+            link(x, y)
+        pairs = lambda x: spark.createDataFrame(x, "a long, b long")
+        got = {r.node: r.component for r in ngram_join._joined(plain(pairs(early)), pairs(late)).collect()}
+        assert got == {x: find(x) for pair in early + late if pair[0] != pair[1] for x in pair} | {
+            x: find(x) for x in got if x == find(x)}
+        assert {x for x, y in early + late if x != y} <= set(got)
